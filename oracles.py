@@ -1,0 +1,338 @@
+"""DuckDB SQL oracles, one per registered query (same column names as the Spark side).
+
+All share one CTE prefix: the fixture binding of ``events`` to requests / delivery /
+verification and the Silver join. Rates are DOUBLE; integer sums are cast to BIGINT.
+"""
+
+from __future__ import annotations
+
+BINDING = r"""
+WITH e AS (
+  SELECT event_id, ts, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INT) AS k,
+         CASE WHEN event_type = 'error' THEN 'ait'
+              WHEN event_type = 'signup' AND user_id % 10 = 7 THEN 'risky'
+              WHEN event_type = 'purchase' AND user_id % 10 = 8 THEN 'dead'
+              ELSE 'normal' END AS scen
+  FROM events),
+req0 AS (
+  SELECT CAST(event_id AS VARCHAR) AS request_id,
+    CASE scen WHEN 'ait' THEN concat('550199', lpad(CAST(k AS VARCHAR), 4, '0'))
+              WHEN 'dead' THEN concat('447700', lpad(CAST(k AS VARCHAR), 4, '0'))
+              ELSE concat(CAST(100000 + (user_id * 7919) % 900000 AS VARCHAR),
+                          lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0')) END AS msisdn,
+    CASE scen WHEN 'ait' THEN 'ent_3' ELSE concat('ent_', CAST(1 + user_id % 10 AS VARCHAR)) END
+      AS enterprise_id,
+    CASE WHEN scen = 'ait' THEN 'LV' WHEN scen = 'risky' THEN 'XS' WHEN user_id % 4 = 0 THEN 'US'
+         WHEN user_id % 4 = 1 THEN 'IN' WHEN user_id % 4 = 2 THEN 'GB' ELSE 'BR' END AS country_iso,
+    CASE WHEN scen = 'ait' THEN '247' WHEN scen = 'risky' THEN '881' WHEN user_id % 4 = 0 THEN '310'
+         WHEN user_id % 4 = 1 THEN '404' WHEN user_id % 4 = 2 THEN '234' ELSE '724' END AS mcc,
+    CASE WHEN scen = 'ait' THEN '1' WHEN scen = 'risky' THEN '0' WHEN user_id % 4 = 0 THEN '260'
+         WHEN user_id % 4 = 1 THEN '45' WHEN user_id % 4 = 2 THEN '10' ELSE '5' END AS mnc,
+    concat('10.0.', CAST(user_id % 256 AS VARCHAR), '.', CAST(k AS VARCHAR)) AS ip,
+    CASE event_type WHEN 'click' THEN 'voice' WHEN 'view' THEN 'whatsapp' ELSE 'sms' END AS channel,
+    ts AS event_ts, event_id
+  FROM e),
+requests_raw AS (SELECT * FROM req0 UNION ALL SELECT * FROM req0 WHERE event_id % 50 = 0),
+requests AS (SELECT DISTINCT * EXCLUDE (event_id) FROM requests_raw),
+delivery AS (
+  SELECT CAST(event_id AS VARCHAR) AS request_id,
+    CASE WHEN k % 20 = 0 THEN 'failed' ELSE 'delivered' END AS status,
+    CAST(50 + CAST(round(value * 100) AS BIGINT) % 3951 AS INT) AS operator_latency_ms,
+    ts + CAST(50 + CAST(round(value * 100) AS BIGINT) % 3951 AS INT) * INTERVAL 1 MILLISECOND
+      AS delivery_ts
+  FROM e WHERE k <> 50),
+verification AS (
+  SELECT CAST(event_id AS VARCHAR) AS request_id,
+    CASE WHEN scen = 'ait' THEN (CASE WHEN k % 20 = 1 THEN 'verified' ELSE 'timeout' END)
+         WHEN scen = 'dead' THEN 'timeout' WHEN k % 10 < 7 THEN 'verified' ELSE 'timeout' END
+      AS outcome,
+    CAST(1 + k % 3 AS INT) AS attempts,
+    ts + CAST(50 + CAST(round(value * 100) AS BIGINT) % 3951 AS INT) * INTERVAL 1 MILLISECOND
+       + k * INTERVAL 1 SECOND AS verification_ts
+  FROM e WHERE k % 20 <> 0 AND k <> 50),
+silver AS (
+  SELECT r.*, d.status AS delivery_status, d.operator_latency_ms, d.delivery_ts,
+    v.outcome AS verification_outcome, v.attempts, v.verification_ts,
+    substr(r.msisdn, 1, 6) AS number_range, coalesce(v.outcome = 'verified', false) AS is_verified
+  FROM requests r LEFT JOIN delivery d ON r.request_id = d.request_id
+                  LEFT JOIN verification v ON r.request_id = v.request_id),
+funnel AS (
+  SELECT enterprise_id, mcc, mnc, count(*) AS requested,
+    count_if(delivery_status = 'delivered') AS delivered,
+    count_if(is_verified) AS verified,
+    round(CAST(count_if(is_verified) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0.0), 4)
+      AS verify_rate
+  FROM silver GROUP BY 1, 2, 3),
+loss AS (
+  SELECT enterprise_id, mcc, mnc, requested, verify_rate,
+    CASE WHEN requested > 100 AND verify_rate < 0.10::DOUBLE
+         THEN CAST(requested AS DOUBLE) * 0.03::DOUBLE ELSE 0.0::DOUBLE END
+      AS estimated_ait_loss_usd
+  FROM funnel)
+"""
+
+
+def _score_sql(req: str = "requests", ver: str = "verifications", mx: str = "msisdn_max_count",
+               ait_min: int = 100) -> dict[str, str]:
+    """The four rule terms, score and severity as DuckDB expressions (DOUBLE arithmetic)."""
+    r = f"coalesce(CAST({req} AS BIGINT), 0)"
+    v = f"coalesce(CAST({ver} AS BIGINT), 0)" if ver else "CAST(0 AS BIGINT)"
+    m = f"coalesce(CAST({mx} AS BIGINT), 0)" if mx else "CAST(0 AS BIGINT)"
+    rate = f"(CASE WHEN {r} <> 0 THEN CAST({v} AS DOUBLE) / CAST({r} AS DOUBLE) ELSE 0.0::DOUBLE END)"
+    velocity = (f"(CASE WHEN {m} - 30 > 0 THEN CAST(least({m} - 30, 100) AS DOUBLE) * 0.5::DOUBLE "
+                f"ELSE 0.0::DOUBLE END)")
+    ait = (f"(CASE WHEN {r} < {ait_min} THEN 0.0::DOUBLE WHEN {rate} >= 0.10::DOUBLE THEN 0.0::DOUBLE "
+           f"ELSE (0.10::DOUBLE - {rate}) / 0.10::DOUBLE * CAST({r} AS DOUBLE) * 2.0::DOUBLE END)")
+    never = f"(CASE WHEN {r} >= 50 AND {v} = 0 THEN 40.0::DOUBLE ELSE 0.0::DOUBLE END)"
+    route = ("(CASE WHEN coalesce((mcc = '247' AND mnc = '1') OR (mcc = '88' AND mnc = '0') "
+             "OR (mcc = '881' AND mnc = '0'), false) THEN 25.0::DOUBLE ELSE 0.0::DOUBLE END)")
+    score = f"({velocity} + {ait} + {never} + {route})"
+    sev = (f"(CASE WHEN {score} >= 100.0 THEN 'high' WHEN {score} >= 20.0 THEN 'medium' "
+           f"ELSE 'low' END)")
+    return dict(velocity=velocity, ait=ait, never=never, route=route, score=score, severity=sev)
+
+
+# Scored aggregate over Silver: two-level msisdn maximum and distinct IPs.
+_AGG_SILVER = """
+agg AS (
+  SELECT t.enterprise_id, t.number_range, t.mcc, t.mnc, t.requests, t.verifications,
+         t.msisdn_max_count, i.distinct_ip
+  FROM (SELECT enterprise_id, number_range, mcc, mnc, CAST(sum(n) AS BIGINT) AS requests,
+               CAST(sum(v) AS BIGINT) AS verifications, max(n) AS msisdn_max_count
+        FROM (SELECT enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n,
+                     sum(CAST(is_verified AS BIGINT)) AS v
+              FROM silver GROUP BY ALL) GROUP BY ALL) t
+  JOIN (SELECT enterprise_id, number_range, mcc, mnc, count(DISTINCT ip) AS distinct_ip
+        FROM silver GROUP BY ALL) i
+  ON t.enterprise_id IS NOT DISTINCT FROM i.enterprise_id
+     AND t.number_range IS NOT DISTINCT FROM i.number_range
+     AND t.mcc IS NOT DISTINCT FROM i.mcc AND t.mnc IS NOT DISTINCT FROM i.mnc)
+"""
+
+_S = _score_sql()
+_SCORED = f"""
+scored AS (
+  SELECT *, {_S['velocity']} AS velocity_points, {_S['ait']} AS ait_signature_points,
+         {_S['never']} AS never_verified_points, {_S['route']} AS risky_route_points,
+         {_S['score']} AS score, {_S['severity']} AS severity
+  FROM agg)
+"""
+
+_D = _score_sql(ait_min=50)
+_DAILY = f"""
+dagg AS (
+  SELECT t.window_start, t.window_end, t.enterprise_id, t.number_range, t.mcc, t.mnc,
+         t.requests, t.verifications, t.msisdn_max_count, i.distinct_ip
+  FROM (SELECT window_start, window_end, enterprise_id, number_range, mcc, mnc,
+               CAST(sum(n) AS BIGINT) AS requests, CAST(sum(v) AS BIGINT) AS verifications,
+               max(n) AS msisdn_max_count
+        FROM (SELECT date_trunc('day', event_ts) AS window_start,
+                     date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
+                     enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n,
+                     sum(CAST(is_verified AS BIGINT)) AS v
+              FROM silver WHERE event_ts IS NOT NULL GROUP BY ALL) GROUP BY ALL) t
+  JOIN (SELECT date_trunc('day', event_ts) AS window_start, enterprise_id, number_range, mcc, mnc,
+               count(DISTINCT ip) AS distinct_ip
+        FROM silver WHERE event_ts IS NOT NULL GROUP BY ALL) i
+  ON t.window_start = i.window_start
+     AND t.enterprise_id IS NOT DISTINCT FROM i.enterprise_id
+     AND t.number_range IS NOT DISTINCT FROM i.number_range
+     AND t.mcc IS NOT DISTINCT FROM i.mcc AND t.mnc IS NOT DISTINCT FROM i.mnc),
+dscored AS (SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM dagg),
+dalerts AS (SELECT *, window_start AS created_at FROM dscored WHERE severity <> 'low')
+"""
+
+
+def _with(*ctes: str) -> str:
+    extra = "".join("," + c for c in ctes)
+    return BINDING + extra
+
+
+def _disc_pct(value_expr: str, dims: list[str], ps: list[float], names: list[str],
+              src: str = "silver") -> str:
+    """Exact discrete percentile: smallest value whose running count >= p * total."""
+    d = ", ".join(dims)
+    picks = ", ".join(f"min(CASE WHEN cum >= {p}::DOUBLE * tot THEN val END) AS {n}"
+                      for p, n in zip(ps, names))
+    return f"""
+SELECT {d}, {picks}
+FROM (SELECT {d}, val, sum(cnt) OVER (PARTITION BY {d} ORDER BY val
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             sum(cnt) OVER (PARTITION BY {d}) AS tot
+      FROM (SELECT {d}, {value_expr} AS val, count(*) AS cnt FROM {src}
+            WHERE {value_expr} IS NOT NULL GROUP BY ALL))
+GROUP BY {d}
+"""
+
+
+REQ_COLS = ("request_id, msisdn, enterprise_id, country_iso, mcc, mnc, ip, channel, event_ts")
+
+
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["parse_requests"] = BINDING + f"""
+SELECT {REQ_COLS} FROM requests_raw WHERE event_id % 97 <> 0"""
+    q["quarantine_requests"] = BINDING + """
+SELECT request_id AS key, 'not-json' AS value FROM requests_raw WHERE event_id % 97 = 0"""
+    q["dedupe_requests"] = BINDING + "SELECT * FROM requests"
+    q["dedupe_latest_delivery"] = BINDING + """
+SELECT request_id,
+       CASE WHEN request_id LIKE '%3' THEN 'expired' ELSE status END AS status,
+       operator_latency_ms,
+       CASE WHEN request_id LIKE '%3' THEN delivery_ts + INTERVAL 1 SECOND ELSE delivery_ts END
+         AS event_ts
+FROM delivery"""
+    q["silver_events"] = BINDING + "SELECT * FROM silver"
+    q["verified_membership"] = BINDING + """
+SELECT r.*, (r.request_id IN (SELECT request_id FROM verification WHERE outcome = 'verified'))
+         AS is_verified
+FROM (SELECT * EXCLUDE (event_id) FROM requests_raw) r"""
+
+    q["delivery_funnel"] = BINDING + "SELECT * FROM funnel"
+    names = ["p50_latency_ms", "p90_latency_ms", "p99_latency_ms"]
+    q["latency_pct"] = BINDING + _disc_pct("operator_latency_ms", ["mcc", "mnc"],
+                                           [0.5, 0.9, 0.99], names)
+    q["ait_loss"] = BINDING + "SELECT * FROM loss"
+    q["ait_loss_top"] = BINDING + """
+SELECT * FROM loss ORDER BY estimated_ait_loss_usd DESC, enterprise_id, mcc, mnc LIMIT 10"""
+    q["ait_loss_by_route"] = BINDING + """
+SELECT mcc, mnc, CAST(sum(requested) AS BIGINT) AS requested,
+       sum(estimated_ait_loss_usd) AS estimated_ait_loss_usd
+FROM loss GROUP BY 1, 2"""
+    q["funnel_by_country_day"] = BINDING + """
+SELECT country_iso, date_trunc('day', event_ts) AS bucket_start, count(*) AS requested,
+    count_if(delivery_status = 'delivered') AS delivered, count_if(is_verified) AS verified,
+    round(CAST(count_if(is_verified) AS DOUBLE) / nullif(CAST(count(*) AS DOUBLE), 0.0), 4)
+      AS verify_rate
+FROM silver GROUP BY 1, 2"""
+    q["verify_latency_pct"] = BINDING + _disc_pct(
+        "(epoch_ms(verification_ts) - epoch_ms(delivery_ts))", ["mcc", "mnc"], [0.5, 0.9, 0.99],
+        ["p50_verify_ms", "p90_verify_ms", "p99_verify_ms"])
+    q["operator_performance"] = BINDING + f"""
+, pct AS ({_disc_pct("operator_latency_ms", ["mcc", "mnc"], [0.5, 0.9],
+                     ["p50_latency_ms", "p90_latency_ms"])})
+SELECT b.*, pct.p50_latency_ms, pct.p90_latency_ms
+FROM (SELECT mcc, mnc, count(*) AS requested, count_if(delivery_status = 'delivered') AS delivered,
+             count_if(delivery_status IS NULL) AS undelivered,
+             avg(operator_latency_ms) AS avg_latency_ms,
+             round(CAST(count_if(delivery_status = 'delivered') AS DOUBLE)
+                   / nullif(CAST(count(*) AS DOUBLE), 0.0), 4) AS delivery_rate
+      FROM silver GROUP BY 1, 2) b
+LEFT JOIN pct ON b.mcc = pct.mcc AND b.mnc = pct.mnc"""
+
+    q["fraud_aggregate_batch"] = BINDING + """
+SELECT enterprise_id, substr(msisdn, 1, 6) AS number_range, mcc, mnc, count(*) AS requests
+FROM requests_raw GROUP BY ALL"""
+    q["fraud_aggregate_verified"] = BINDING + """
+, flagged AS (
+  SELECT r.*, substr(r.msisdn, 1, 6) AS number_range,
+         CAST(r.request_id IN (SELECT request_id FROM verification WHERE outcome = 'verified')
+              AS BIGINT) AS v
+  FROM requests_raw r)
+SELECT t.*, i.distinct_ip
+FROM (SELECT enterprise_id, number_range, mcc, mnc, CAST(sum(n) AS BIGINT) AS requests,
+             CAST(sum(sv) AS BIGINT) AS verifications, max(n) AS msisdn_max_count
+      FROM (SELECT enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n, sum(v) AS sv
+            FROM flagged GROUP BY ALL) GROUP BY ALL) t
+JOIN (SELECT enterprise_id, number_range, mcc, mnc, count(DISTINCT ip) AS distinct_ip
+      FROM flagged GROUP BY ALL) i
+ON t.enterprise_id IS NOT DISTINCT FROM i.enterprise_id
+   AND t.number_range IS NOT DISTINCT FROM i.number_range
+   AND t.mcc IS NOT DISTINCT FROM i.mcc AND t.mnc IS NOT DISTINCT FROM i.mnc"""
+    q["rule_scores"] = _with(_AGG_SILVER, _SCORED) + "SELECT * FROM scored"
+    q["fraud_alerts"] = _with(_AGG_SILVER, _SCORED) + \
+        "SELECT * FROM scored WHERE severity <> 'low'"
+    q["alerts_by_severity"] = _with(_AGG_SILVER, _SCORED) + """
+SELECT severity, count(*) AS alert_count FROM scored WHERE severity <> 'low' GROUP BY 1"""
+    q["windowed_aggregate_tumbling"] = BINDING + """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+       enterprise_id, number_range, mcc, mnc, CAST(sum(n) AS BIGINT) AS requests,
+       CAST(sum(v) AS BIGINT) AS verifications, max(n) AS msisdn_max_count
+FROM (SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+             enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n,
+             sum(CAST(is_verified AS BIGINT)) AS v
+      FROM silver WHERE event_ts IS NOT NULL GROUP BY ALL)
+GROUP BY ALL"""
+    q["windowed_alerts_daily"] = _with(_DAILY) + "SELECT * EXCLUDE (created_at) FROM dalerts"
+    q["fraud_daily"] = _with(_DAILY) + """
+SELECT CAST(created_at AS DATE) AS day, severity, count(*) AS alert_count
+FROM dalerts GROUP BY 1, 2"""
+    q["fraud_daily_by_dimension"] = _with(_DAILY) + """
+SELECT CAST(created_at AS DATE) AS day, severity, enterprise_id, mcc, mnc,
+       count(*) AS alert_count
+FROM dalerts GROUP BY ALL"""
+    vel = []
+    for d in ("msisdn", "ip", "enterprise_id", "number_range"):
+        vel.append(f"""
+SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, ws AS window_start,
+       ws + INTERVAL 5 MINUTE AS window_end, count(*) AS requests, count(*) > 30 AS over_ceiling
+FROM (SELECT {d}, unnest(generate_series(time_bucket(INTERVAL 1 MINUTE, event_ts)
+                                         - INTERVAL 4 MINUTE,
+                                         time_bucket(INTERVAL 1 MINUTE, event_ts),
+                                         INTERVAL 1 MINUTE)) AS ws
+      FROM silver WHERE event_ts IS NOT NULL)
+GROUP BY 1, 2, 3, 4""")
+    q["sliding_velocity_by_dimension"] = BINDING + "\nUNION ALL\n".join(vel)
+    q["never_verified_msisdn"] = BINDING + """
+SELECT msisdn, count(*) AS requests, CAST(sum(CAST(is_verified AS BIGINT)) AS BIGINT) AS verifications
+FROM silver GROUP BY 1 HAVING count(*) >= 10 AND sum(CAST(is_verified AS BIGINT)) = 0"""
+
+    q["entity_features"] = BINDING + """
+SELECT enterprise_id, count(*) AS requests, avg(CAST(is_verified AS DOUBLE)) AS verify_rate,
+       avg(CAST(operator_latency_ms AS DOUBLE)) AS avg_latency,
+       count(DISTINCT number_range) AS range_spread
+FROM silver WHERE enterprise_id IS NOT NULL GROUP BY 1"""
+    q["entity_features_by_range"] = BINDING + """
+SELECT enterprise_id, number_range, count(*) AS requests,
+       avg(CAST(is_verified AS DOUBLE)) AS verify_rate,
+       avg(CAST(operator_latency_ms AS DOUBLE)) AS avg_latency,
+       count(DISTINCT number_range) AS range_spread
+FROM silver WHERE enterprise_id IS NOT NULL AND number_range IS NOT NULL GROUP BY 1, 2"""
+    q["quality_silver"] = BINDING + """
+SELECT 'not_null' AS "check", 'request_id' AS target, count_if(request_id IS NULL) AS failed_rows,
+       count_if(request_id IS NULL) = 0 AS ok FROM silver
+UNION ALL
+SELECT 'in_set', 'is_verified', count_if(NOT coalesce(is_verified IN (true, false), false)),
+       count_if(NOT coalesce(is_verified IN (true, false), false)) = 0 FROM silver"""
+    q["quality_marts"] = BINDING + """
+, lat AS (SELECT DISTINCT mcc, mnc FROM silver WHERE operator_latency_ms IS NOT NULL)
+SELECT 'not_null' AS "check", 'delivery_funnel.enterprise_id' AS target,
+       count_if(enterprise_id IS NULL) AS failed_rows, count_if(enterprise_id IS NULL) = 0 AS ok
+FROM funnel
+UNION ALL
+SELECT 'accepted_range', 'delivery_funnel.verify_rate',
+       count_if(coalesce(verify_rate < 0 OR verify_rate > 1, false)),
+       count_if(coalesce(verify_rate < 0 OR verify_rate > 1, false)) = 0 FROM funnel
+UNION ALL
+SELECT 'not_null', 'latency_pct.mcc', count_if(mcc IS NULL), count_if(mcc IS NULL) = 0 FROM lat
+UNION ALL
+SELECT 'not_null', 'ait_loss.estimated_ait_loss_usd', count_if(estimated_ait_loss_usd IS NULL),
+       count_if(estimated_ait_loss_usd IS NULL) = 0 FROM loss"""
+    q["quality_relations"] = BINDING + """
+, rr AS (SELECT * EXCLUDE (event_id) FROM requests_raw),
+u1 AS (SELECT coalesce(sum(c), 0) AS n FROM (SELECT request_id, count(*) AS c FROM rr GROUP BY 1 HAVING count(*) > 1)),
+u2 AS (SELECT coalesce(sum(c), 0) AS n FROM (SELECT request_id, count(*) AS c FROM delivery GROUP BY 1 HAVING count(*) > 1)),
+o1 AS (SELECT count(*) AS n FROM delivery d WHERE d.request_id IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM rr WHERE rr.request_id = d.request_id)),
+o2 AS (SELECT count(*) AS n FROM verification v WHERE v.request_id IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM rr WHERE rr.request_id = v.request_id)),
+a1 AS (SELECT count_if(status IS NOT NULL AND status NOT IN ('delivered', 'failed', 'expired')) AS n FROM delivery),
+a2 AS (SELECT count_if(outcome IS NOT NULL AND outcome NOT IN ('verified', 'failed', 'timeout')) AS n FROM verification),
+a3 AS (SELECT count_if(channel IS NOT NULL AND channel NOT IN ('sms', 'voice', 'whatsapp')) AS n FROM rr)
+SELECT 'unique' AS "check", 'requests.request_id' AS target, CAST(n AS BIGINT) AS failed_rows, n = 0 AS ok FROM u1
+UNION ALL SELECT 'unique', 'delivery.request_id', CAST(n AS BIGINT), n = 0 FROM u2
+UNION ALL SELECT 'relationship', 'delivery.request_id', n, n = 0 FROM o1
+UNION ALL SELECT 'relationship', 'verification.request_id', n, n = 0 FROM o2
+UNION ALL SELECT 'accepted_values', 'delivery.status', n, n = 0 FROM a1
+UNION ALL SELECT 'accepted_values', 'verification.outcome', n, n = 0 FROM a2
+UNION ALL SELECT 'accepted_values', 'requests.channel', n, n = 0 FROM a3"""
+    q["layer_reconciliation"] = BINDING + """
+SELECT 'source' AS layer, (SELECT count(*) FROM events) AS rows, CAST(NULL AS BIGINT) AS expected,
+       true AS ok
+UNION ALL
+SELECT 'bronze_requests', (SELECT count(*) FROM requests_raw), NULL, true
+UNION ALL
+SELECT 'silver', (SELECT count(*) FROM silver), (SELECT count(DISTINCT request_id) FROM requests_raw),
+       (SELECT count(*) FROM silver) = (SELECT count(DISTINCT request_id) FROM requests_raw)"""
+    return q
