@@ -336,3 +336,56 @@ UNION ALL
 SELECT 'silver', (SELECT count(*) FROM silver), (SELECT count(DISTINCT request_id) FROM requests_raw),
        (SELECT count(*) FROM silver) = (SELECT count(DISTINCT request_id) FROM requests_raw)"""
     return q
+
+
+# Streaming replays: malformed request messages (event_id % 97 = 0) are quarantined, so the
+# streamed aggregates see requests_raw without them.
+_PARSED = """
+parsed AS (SELECT * EXCLUDE (event_id), substr(msisdn, 1, 6) AS number_range
+           FROM requests_raw WHERE event_id % 97 <> 0)
+"""
+_VERIFIED_STREAM = """
+sreq AS (SELECT DISTINCT * FROM parsed),
+sflag AS (SELECT s.*, CAST(s.request_id IN (SELECT request_id FROM verification
+                                            WHERE outcome = 'verified') AS BIGINT) AS v
+          FROM sreq s)
+"""
+
+
+def streaming_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = oracle_sql()
+    q["stream_bronze_landing"] = base["parse_requests"]
+    q["stream_bronze_quarantine"] = base["quarantine_requests"]
+    q["stream_dedupe"] = BINDING + f", {_PARSED} SELECT DISTINCT * EXCLUDE (number_range) FROM parsed"
+    q["stream_windowed_aggregate"] = BINDING + f", {_PARSED}" + """
+SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
+       enterprise_id, number_range, mcc, mnc, count(*) AS requests
+FROM parsed WHERE event_ts IS NOT NULL GROUP BY ALL"""
+    q["stream_sliding_msisdn_max"] = BINDING + f", {_PARSED}" + """
+SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, enterprise_id, number_range,
+       mcc, mnc, CAST(sum(n) AS BIGINT) AS requests, max(n) AS msisdn_max_count
+FROM (SELECT ws, enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n
+      FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, event_ts) - INTERVAL 30 MINUTE,
+                              time_bucket(INTERVAL 30 MINUTE, event_ts)]) AS ws
+            FROM parsed WHERE event_ts IS NOT NULL)
+      GROUP BY ALL)
+GROUP BY ALL"""
+    q["stream_fraud_alerts"] = BINDING + f", {_PARSED}, {_VERIFIED_STREAM}" + f"""
+, dagg AS (
+  SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, enterprise_id, number_range,
+         mcc, mnc, CAST(sum(n) AS BIGINT) AS requests, CAST(sum(sv) AS BIGINT) AS verifications,
+         max(n) AS msisdn_max_count
+  FROM (SELECT date_trunc('day', event_ts) AS window_start, enterprise_id, number_range, mcc,
+               mnc, msisdn, count(*) AS n, sum(v) AS sv
+        FROM sflag WHERE event_ts IS NOT NULL GROUP BY ALL)
+  GROUP BY ALL)
+SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM dagg
+WHERE {_D['severity']} <> 'low'"""
+    s = _score_sql(ver="", mx="")
+    q["stream_micro_batch_scoring"] = BINDING + f", {_PARSED}" + f"""
+, agg AS (SELECT enterprise_id, number_range, mcc, mnc, count(*) AS requests FROM parsed
+          GROUP BY ALL)
+SELECT *, {s['score']} AS score, {s['severity']} AS severity FROM agg"""
+    return q

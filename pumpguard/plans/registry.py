@@ -276,3 +276,167 @@ def q_layer_reconciliation(spark, sf_dir):
         ("bronze_requests", req, None),
         ("silver", s, req.select("request_id").distinct()),
     ])
+
+
+# --------------------------------------------------------------------------- anomaly detection
+# No SQL oracle: the forest is randomized (checked by property tests instead).
+
+@query("anomaly_scores")
+def q_anomaly_scores(spark, sf_dir):
+    from pumpguard.operators.iforest import score_anomalies
+    return score_anomalies(entity_features(silver(spark, sf_dir)))
+
+
+@query("anomaly_scores_by_range")
+def q_anomaly_scores_by_range(spark, sf_dir):
+    from pumpguard.operators.iforest import score_anomalies
+    keys = ("enterprise_id", "number_range")
+    return score_anomalies(entity_features(silver(spark, sf_dir), keys), keys)
+
+
+# --------------------------------------------------------------------------- streaming
+# Each streaming query replays messages derived from ``events`` through a landing directory in
+# the shared checkpoint folder, runs with ``availableNow`` and returns a batch read of its sink.
+# Append-mode windows close only when the watermark passes them, so the replay ends with one
+# far-future end-of-input message per topic (its own group is never emitted; stateless
+# outputs filter it by key).
+
+END_OF_REPLAY = "__end_of_replay__"
+END_TS = "2100-01-01T00:00:00.000000+00:00"
+
+
+def land_messages(spark: SparkSession, sf_dir: str, root: str,
+                  end_marker: bool = True) -> str:
+    """Write the three topics as JSON message files under ``root`` (the stream's source)."""
+    from pumpguard.sources.readers import MESSAGE_SCHEMA  # noqa: F401  (schema of the files)
+    ev = events(spark, sf_dir)
+    topics = {"requests": FX.request_payloads(ev), "delivery": FX.delivery_payloads(ev),
+              "verification": FX.verification_payloads(ev)}
+    end_body = {
+        "requests": F.to_json(F.struct(F.lit(END_OF_REPLAY).alias("request_id"),
+                                       F.lit(END_TS).alias("event_ts"))),
+        "delivery": F.to_json(F.struct(F.lit(END_OF_REPLAY).alias("request_id"),
+                                       F.lit("delivered").alias("status"),
+                                       F.lit(END_TS).alias("event_ts"))),
+        "verification": F.to_json(F.struct(F.lit(END_OF_REPLAY).alias("request_id"),
+                                           F.lit("verified").alias("outcome"),
+                                           F.lit(END_TS).alias("event_ts"))),
+    }
+    for t, df in topics.items():
+        df.write.mode("overwrite").json(f"{root}/{t}")
+        if end_marker:
+            (spark.range(1).select(F.lit(END_OF_REPLAY).alias("key"),
+                                   end_body[t].alias("value"),
+                                   F.lit(None).cast("timestamp").alias("arrival_ts"))
+             .coalesce(1).write.mode("append").json(f"{root}/{t}"))
+    return root
+
+
+def _stream_source(spark, root: str, topic: str):
+    from pumpguard.sources.readers import read_stream
+    from pumpguard.streaming.pipelines import parse_events
+    raw = read_stream(spark, topic, path=f"{root}/{topic}", fmt="json")
+    return parse_events(raw, topic)
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
+                           if f.dataType.typeName() == "timestamp"})
+
+
+def _await(queries) -> None:
+    for q in queries if isinstance(queries, list) else [queries]:
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+
+@query("stream_bronze_landing")
+def q_stream_bronze_landing(spark, sf_dir):
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import run_bronze
+    root = scratch_path(spark, "bronze-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
+                      landing_root=f"{root}/landing", fmt="json"))
+    out = spark.read.parquet(f"{root}/out/bronze/requests")
+    return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY))
+
+
+@query("stream_bronze_quarantine")
+def q_stream_bronze_quarantine(spark, sf_dir):
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import run_bronze
+    root = scratch_path(spark, "quarantine-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
+                      landing_root=f"{root}/landing", fmt="json"))
+    return spark.read.parquet(f"{root}/out/quarantine/requests").select("key", "value")
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import dedupe_stream, land_stream
+    root = scratch_path(spark, "dedupe-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    _await(land_stream(dedupe_stream(req, ["request_id"]), f"{root}/ckpt", f"{root}/out"))
+    out = spark.read.parquet(f"{root}/out")
+    return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY))
+
+
+@query("stream_windowed_aggregate")
+def q_stream_windowed_aggregate(spark, sf_dir):
+    """5-minute tumbling requests per (enterprise, range, mcc, mnc), watermark 10 minutes."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
+    root = scratch_path(spark, "window-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    agg = windowed_aggregate(req, "5 minutes")
+    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
+    return _ntz(spark.read.parquet(f"{root}/out"))
+
+
+@query("stream_sliding_msisdn_max")
+def q_stream_sliding_msisdn_max(spark, sf_dir):
+    """Sliding (1 hour / 30 minutes) two-level aggregate: requests and per-msisdn maximum."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
+    root = scratch_path(spark, "sliding-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    agg = windowed_aggregate(req, "1 hour", "30 minutes", msisdn_max=True)
+    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
+    return _ntz(spark.read.parquet(f"{root}/out"))
+
+
+@query("stream_fraud_alerts")
+def q_stream_fraud_alerts(spark, sf_dir):
+    """dedupe -> stream-stream join to verifications -> daily two-level window -> score ->
+    alerts through foreachBatch (idempotent per batch id)."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.streaming.pipelines import fraud_stream, start_alerts
+    root = scratch_path(spark, "alerts-replay")
+    land_messages(spark, sf_dir, f"{root}/landing")
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    ver, _ = _stream_source(spark, f"{root}/landing", "verification")
+    scored = fraud_stream(req, ver, size="1 day", cfg=DAILY_CFG)
+    _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt"))
+    return _ntz(spark.read.parquet(f"{root}/alerts").drop("batch_id", "created_at"))
+
+
+@query("stream_micro_batch_scoring")
+def q_stream_micro_batch_scoring(spark, sf_dir):
+    """Per-micro-batch aggregate + score (no state across batches); one batch per replay."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import _trigger, score_micro_batch
+    root = scratch_path(spark, "microbatch-replay")
+    land_messages(spark, sf_dir, f"{root}/landing", end_marker=False)
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    w = (req.writeStream.option("checkpointLocation", f"{root}/ckpt")
+         .foreachBatch(score_micro_batch(f"{root}/out")))
+    _await(_trigger(w, "available_now").start())
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
