@@ -389,3 +389,38 @@ WHERE {_D['severity']} <> 'low'"""
           GROUP BY ALL)
 SELECT *, {s['score']} AS score, {s['severity']} AS severity FROM agg"""
     return q
+
+
+def sink_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["route_enrichment"] = BINDING + """
+, routes AS (SELECT * FROM (VALUES
+    ('247', '1', 'LV', 'lv-premium-range', true),
+    ('88', '0', 'XX', 'international-shared', true),
+    ('881', '0', 'XS', 'global-satellite', true),
+    ('310', '260', 'US', 'us-mobile-260', false),
+    ('404', '45', 'IN', 'in-mobile-45', false),
+    ('234', '10', 'GB', 'gb-mobile-10', false),
+    ('724', '5', 'BR', 'br-mobile-5', false)) t(mcc, mnc, route_country, operator, high_risk))
+SELECT s.*, r.route_country, r.operator, r.high_risk
+FROM silver s LEFT JOIN routes r ON s.mcc = r.mcc AND s.mnc = r.mnc"""
+    q["alert_payload"] = _with(_DAILY) + """
+SELECT concat_ws('|', strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f'), enterprise_id, number_range,
+                 mcc, mnc) AS key,
+       to_json(struct_pack(window_start := strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f'),
+                           window_end := strftime(window_end, '%Y-%m-%dT%H:%M:%S.%f'),
+                           enterprise_id := enterprise_id, number_range := number_range,
+                           mcc := mcc, mnc := mnc, requests := requests,
+                           verifications := verifications, msisdn_max_count := msisdn_max_count,
+                           distinct_ip := distinct_ip, score := score, severity := severity))
+         AS value
+FROM dalerts"""
+    q["partitioned_layout"] = BINDING + """
+SELECT *, CAST(event_ts AS DATE) AS event_date FROM silver
+WHERE CAST(event_ts AS DATE) = DATE '2024-01-15'"""
+    q["compact_preserves_rows"] = BINDING + """
+SELECT *, CAST(event_ts AS DATE) AS event_date FROM silver"""
+    q["alerts_jdbc_roundtrip"] = _with(_AGG_SILVER, _SCORED) + """
+SELECT enterprise_id, number_range, mcc, mnc, requests, score, severity
+FROM scored WHERE severity <> 'low'"""
+    return q

@@ -440,3 +440,63 @@ def q_stream_micro_batch_scoring(spark, sf_dir):
          .foreachBatch(score_micro_batch(f"{root}/out")))
     _await(_trigger(w, "available_now").start())
     return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+# --------------------------------------------------------------------------- enrichment / sinks
+
+@query("route_enrichment")
+def q_route_enrichment(spark, sf_dir):
+    from pumpguard.sources.routes import route_dimension
+    return M.route_enrichment(silver(spark, sf_dir), route_dimension(spark))
+
+
+@query("alert_payload")
+def q_alert_payload(spark, sf_dir):
+    from pumpguard.sinks.writers import to_alert_messages
+    return to_alert_messages(A.alerts_only(daily_scored(spark, sf_dir)))
+
+
+@query("partitioned_layout")
+def q_partitioned_layout(spark, sf_dir):
+    """Silver written day-partitioned, read back for one day (partition pruning)."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import write_partitioned
+    path = scratch_path(spark, "silver-by-day")
+    write_partitioned(silver(spark, sf_dir), path=path)
+    return spark.read.parquet(path).filter(F.col("event_date") == F.lit("2024-01-15").cast("date"))
+
+
+@query("compact_preserves_rows")
+def q_compact_preserves_rows(spark, sf_dir):
+    """Many small files per day -> compacted to one file per day; same rows."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import compact, with_event_date
+    src = scratch_path(spark, "small-files")
+    (with_event_date(silver(spark, sf_dir)).repartition(32).write
+     .partitionBy("event_date").parquet(src))
+    dest = compact(spark, src, target_path=scratch_path(spark, "compacted"))
+    return spark.read.parquet(dest)
+
+
+@query("alerts_jdbc_roundtrip")
+def q_alerts_jdbc_roundtrip(spark, sf_dir):
+    """Alerts written through the JDBC sink and read back with a partitioned JDBC scan
+    (embedded in-memory Derby: in-process, no server)."""
+    import uuid
+    from pumpguard.sinks.writers import write_jdbc
+    from pumpguard.sources.readers import read_jdbc
+    url = f"jdbc:derby:memory:pg{uuid.uuid4().hex[:10]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    alerts = A.alerts_only(scored_aggregate(spark, sf_dir)).select(
+        "enterprise_id", "number_range", "mcc", "mnc", "requests", "score", "severity")
+    write_jdbc(alerts, url, "FRAUD_ALERTS", props)
+    back = read_jdbc(spark, url, "FRAUD_ALERTS", props, partition_column="requests",
+                     lower=0, upper=100_000, num_partitions=4)
+    return back.select(*[F.col(c).alias(c.lower()) for c in back.columns])
+
+
+@query("anomaly_worst")
+def q_anomaly_worst(spark, sf_dir):
+    from pumpguard.operators.iforest import score_anomalies, worst
+    keys = ("enterprise_id", "number_range")
+    return worst(score_anomalies(entity_features(silver(spark, sf_dir), keys), keys), 5, keys)

@@ -79,15 +79,17 @@ def compact(spark: SparkSession, path: str, target_path: str | None = None,
 def to_alert_messages(alerts: DataFrame, key_cols: Sequence[str] = ALERT_KEY) -> DataFrame:
     """Alerts as (key, value) for the alerts topic: key = the alert's identity, value = JSON of
     the whole row (timestamps as ISO text with microseconds)."""
-    cols = []
+    text = {}
     for f in alerts.schema.fields:
         c = F.col(f.name)
         if f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        cols.append(c.alias(f.name))
+        text[f.name] = c
+    cols = [c.alias(n) for n, c in text.items()]
     present = [k for k in key_cols if k in alerts.columns]
-    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in present])
-    return alerts.select(key.alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+    key = F.concat_ws("|", *[F.coalesce(text[k].cast("string"), F.lit("")) for k in present])
+    body = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    return alerts.select(key.alias("key"), body.alias("value"))
 
 
 def publish(messages: DataFrame, topic: str, bootstrap: str | None = None,
