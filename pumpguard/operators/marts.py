@@ -121,17 +121,35 @@ def alerts_by_severity(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("severity").agg(F.count(F.lit(1)).alias("alert_count"))
 
 
-def operator_performance(silver: DataFrame, dims: Sequence[str] = ROUTE_DIMS) -> DataFrame:
-    """Delivery success rate and latency per route (mcc, mnc)."""
-    delivered = F.col("delivery_status") == "delivered"
-    base = silver.groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("requested"),
-        F.count_if(delivered).alias("delivered"),
-        F.count_if(F.col("delivery_status").isNull()).alias("undelivered"),
-        F.avg("operator_latency_ms").alias("avg_latency_ms"),
-    ).withColumn("delivery_rate", safe_rate("delivered", "requested", 4))
-    pct = latency_percentiles(silver, dims, (0.5, 0.9))
-    return base.join(pct, list(dims), "left")
+def operator_performance(silver: DataFrame, dims: Sequence[str] = ROUTE_DIMS,
+                         ps: Sequence[float] = (0.5, 0.9)) -> DataFrame:
+    """Delivery success rate, mean and percentile latency per route, in one pass.
+
+    A histogram per (route, latency, status) is the only aggregate over Silver (partial on the
+    map side); a window over each route's histogram gives running counts, and the final
+    per-route aggregate (no further shuffle: already partitioned by route) derives every
+    metric from it. Mean = sum(latency x count) / latency count, the same value ``avg`` gives."""
+    dims = list(dims)
+    lat, st = "operator_latency_ms", "delivery_status"
+    hist = silver.groupBy(*dims, lat, st).agg(F.count(F.lit(1)).alias("_cnt"))
+    has_lat = F.col(lat).isNotNull()
+    lat_cnt = F.when(has_lat, F.col("_cnt")).otherwise(F.lit(0))
+    w_all = Window.partitionBy(*dims)
+    w_run = w_all.orderBy(F.col(lat).asc_nulls_last()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = (hist.withColumn("_cum", F.sum(lat_cnt).over(w_run))
+              .withColumn("_tot", F.sum(lat_cnt).over(w_all)))
+    names = [f"p{int(round(p * 100))}_latency_ms" for p in ps]
+    picks = [F.min(F.when(has_lat & (F.col("_cum") >= F.lit(float(p)) * F.col("_tot")),
+                          F.col(lat))).alias(n) for p, n in zip(ps, names)]
+    out = ranked.groupBy(*dims).agg(
+        F.sum("_cnt").alias("requested"),
+        F.sum(F.when(F.col(st) == "delivered", F.col("_cnt")).otherwise(0)).alias("delivered"),
+        F.sum(F.when(F.col(st).isNull(), F.col("_cnt")).otherwise(0)).alias("undelivered"),
+        (F.sum(F.col(lat).cast("long") * F.col("_cnt")).cast("double")
+         / F.nullif(F.sum(lat_cnt), F.lit(0)).cast("double")).alias("avg_latency_ms"),
+        *picks)
+    return out.withColumn("delivery_rate", safe_rate("delivered", "requested", 4))
 
 
 def route_enrichment(df: DataFrame, route_dim: DataFrame,

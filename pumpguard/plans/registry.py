@@ -208,13 +208,8 @@ def q_fraud_daily_by_dimension(spark, sf_dir):
 
 @query("sliding_velocity_by_dimension")
 def q_sliding_velocity(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    parts = [A.velocity_by(s, d, "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling)
-             for d in ("msisdn", "ip", "enterprise_id", "number_range")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return A.velocity_by(silver(spark, sf_dir), ("msisdn", "ip", "enterprise_id", "number_range"),
+                         "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling)
 
 
 @query("never_verified_msisdn")
