@@ -85,16 +85,21 @@ def _check(counts: DataFrame, check: str, target: str) -> DataFrame:
 
 def mart_checks(funnel: DataFrame, latency: DataFrame, loss: DataFrame) -> DataFrame:
     """The mart tests: three not-null checks and the verify_rate range."""
-    parts = [
-        not_null(funnel, "enterprise_id", "delivery_funnel.enterprise_id"),
-        accepted_range(funnel, "verify_rate", 0, 1, "delivery_funnel.verify_rate"),
-        not_null(latency, "mcc", "latency_pct.mcc"),
-        not_null(loss, "estimated_ait_loss_usd", "ait_loss.estimated_ait_loss_usd"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    vr = F.col("verify_rate")
+    f = funnel.agg(_null_count("enterprise_id").alias("nn"),
+                   F.count_if(F.coalesce((vr < 0) | (vr > 1), F.lit(False))).alias("rg"))
+    funnel_rows = f.select(F.inline(F.array(
+        F.struct(F.lit("not_null").alias("check"),
+                 F.lit("delivery_funnel.enterprise_id").alias("target"),
+                 F.col("nn").cast("long").alias("failed_rows")),
+        F.struct(F.lit("accepted_range").alias("check"),
+                 F.lit("delivery_funnel.verify_rate").alias("target"),
+                 F.col("rg").cast("long").alias("failed_rows")),
+    ))).withColumn("ok", F.col("failed_rows") == 0)
+    return (funnel_rows
+            .unionByName(not_null(latency, "mcc", "latency_pct.mcc"))
+            .unionByName(not_null(loss, "estimated_ait_loss_usd",
+                                  "ait_loss.estimated_ait_loss_usd")))
 
 
 def reconcile(layers: Sequence[tuple[str, DataFrame, int | DataFrame | None]]) -> DataFrame:

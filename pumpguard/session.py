@@ -10,9 +10,15 @@ from pyspark.sql import SparkSession
 from pumpguard.config import Settings
 
 
+ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
+                    "RocksDBStateStoreProvider")
+
+
 def build_session(app: str = "pumpguard", settings: Settings | None = None,
-                  master: str | None = None, extra: dict | None = None) -> SparkSession:
-    """AQE on, UTC session time zone, UI off; a v2 catalog only when one is configured."""
+                  master: str | None = None, extra: dict | None = None,
+                  rocksdb_state: bool = True) -> SparkSession:
+    """AQE on (with skew-join splitting), UTC session time zone, UI off, RocksDB state store for
+    large windowed / join / dedupe state; a v2 catalog only when one is configured."""
     s = settings or Settings.from_env()
     b = SparkSession.builder.appName(app)
     if master:
@@ -25,6 +31,8 @@ def build_session(app: str = "pumpguard", settings: Settings | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     }
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     if s.shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(s.shuffle_partitions)
     if s.checkpoint_root:

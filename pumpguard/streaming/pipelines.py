@@ -190,3 +190,35 @@ def late_rows(query: StreamingQuery) -> int:
                 else op.numRowsDroppedByWatermark
             total += int(n or 0)
     return total
+
+
+def for_each_batch(df: DataFrame, fn, checkpoint: str, trigger: str | None = "available_now",
+                   mode: str = "append") -> StreamingQuery:
+    """Call ``fn(batch_df, batch_id)`` for every micro-batch; ``fn`` should use ``batch_id`` to
+    stay idempotent when a batch is replayed after a failure."""
+    w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+         .foreachBatch(fn))
+    return _trigger(w, trigger).start()
+
+
+def publish_stream(alerts: DataFrame, checkpoint: str, topic: str = "otp.alerts",
+                   bootstrap: str | None = None, path: str | None = None,
+                   trigger: str | None = "available_now") -> StreamingQuery:
+    """Alerts as (key, JSON value) messages: to a Kafka topic, or to JSON files offline."""
+    from pumpguard.sinks.writers import to_alert_messages
+    msgs = to_alert_messages(alerts)
+    w = msgs.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if bootstrap:
+        w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+        return _trigger(w, trigger).start()
+    return _trigger(w.format("json"), trigger).start(f"{path.rstrip('/')}/{topic}")
+
+
+def latest_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """Alerts written in update mode (one row per changed window and batch) reduced to the latest
+    version per alert key: the keyed merge that keeps repeated updates from double counting."""
+    from pumpguard.operators.silver import dedupe
+    from pumpguard.schemas import ALERT_KEY
+    df = spark.read.parquet(path)
+    keys = [k for k in ALERT_KEY if k in df.columns]
+    return dedupe(df, keys, ["batch_id"], latest=True)
