@@ -124,7 +124,11 @@ def rule_breakdown(df: DataFrame, cfg: RuleConfig = RuleConfig(),
     """Every rule's contribution as its own column, then score and severity."""
     present = set(df.columns)
     parts = {f"{name}_points": R.RULES[name](cfg, inputs, present) for name in cfg.rules}
-    return score_aggregates(df.withColumns(parts), cfg, inputs)
+    total = None
+    for name in parts:                       # same left-to-right sum as ``score``
+        total = F.col(name) if total is None else total + F.col(name)
+    out = df.withColumns(parts).withColumn("score", total if total is not None else F.lit(0.0))
+    return out.withColumn("severity", R.severity("score", cfg))
 
 
 def alerts_only(scored: DataFrame) -> DataFrame:

@@ -300,13 +300,13 @@ END_OF_REPLAY = "__end_of_replay__"
 END_TS = "2100-01-01T00:00:00.000000+00:00"
 
 
-def land_messages(spark: SparkSession, sf_dir: str, root: str,
-                  end_marker: bool = True) -> str:
-    """Write the three topics as JSON message files under ``root`` (the stream's source)."""
-    from pumpguard.sources.readers import MESSAGE_SCHEMA  # noqa: F401  (schema of the files)
+def land_messages(spark: SparkSession, sf_dir: str, root: str, end_marker: bool = True,
+                  only: tuple[str, ...] = ("requests", "delivery", "verification")) -> str:
+    """Write the topics in ``only`` as JSON message files under ``root`` (the stream's source)."""
     ev = events(spark, sf_dir)
-    topics = {"requests": FX.request_payloads(ev), "delivery": FX.delivery_payloads(ev),
-              "verification": FX.verification_payloads(ev)}
+    builders = {"requests": FX.request_payloads, "delivery": FX.delivery_payloads,
+                "verification": FX.verification_payloads}
+    topics = {t: builders[t](ev) for t in only}
     end_body = {
         "requests": F.to_json(F.struct(F.lit(END_OF_REPLAY).alias("request_id"),
                                        F.lit(END_TS).alias("event_ts"))),
@@ -351,7 +351,7 @@ def q_stream_bronze_landing(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import run_bronze
     root = scratch_path(spark, "bronze-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
                       landing_root=f"{root}/landing", fmt="json"))
     out = spark.read.parquet(f"{root}/out/bronze/requests")
@@ -363,7 +363,7 @@ def q_stream_bronze_quarantine(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import run_bronze
     root = scratch_path(spark, "quarantine-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
                       landing_root=f"{root}/landing", fmt="json"))
     return spark.read.parquet(f"{root}/out/quarantine/requests").select("key", "value")
@@ -374,7 +374,7 @@ def q_stream_dedupe(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import dedupe_stream, land_stream
     root = scratch_path(spark, "dedupe-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     _await(land_stream(dedupe_stream(req, ["request_id"]), f"{root}/ckpt", f"{root}/out"))
     out = spark.read.parquet(f"{root}/out")
@@ -387,7 +387,7 @@ def q_stream_windowed_aggregate(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
     root = scratch_path(spark, "window-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     agg = windowed_aggregate(req, "5 minutes")
     _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
@@ -400,7 +400,7 @@ def q_stream_sliding_msisdn_max(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
     root = scratch_path(spark, "sliding-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     agg = windowed_aggregate(req, "1 hour", "30 minutes", msisdn_max=True)
     _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
@@ -415,7 +415,7 @@ def q_stream_fraud_alerts(spark, sf_dir):
     from pumpguard.sinks.writers import AlertSink
     from pumpguard.streaming.pipelines import fraud_stream, start_alerts
     root = scratch_path(spark, "alerts-replay")
-    land_messages(spark, sf_dir, f"{root}/landing")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests", "verification"))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     ver, _ = _stream_source(spark, f"{root}/landing", "verification")
     scored = fraud_stream(req, ver, size="1 day", cfg=DAILY_CFG)
@@ -429,7 +429,7 @@ def q_stream_micro_batch_scoring(spark, sf_dir):
     from pumpguard.session import scratch_path
     from pumpguard.streaming.pipelines import _trigger, score_micro_batch
     root = scratch_path(spark, "microbatch-replay")
-    land_messages(spark, sf_dir, f"{root}/landing", end_marker=False)
+    land_messages(spark, sf_dir, f"{root}/landing", end_marker=False, only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     w = (req.writeStream.option("checkpointLocation", f"{root}/ckpt")
          .foreachBatch(score_micro_batch(f"{root}/out")))

@@ -47,8 +47,8 @@ def _by_route(uid: Column, scen: Column, ait, risky, *normal) -> Column:
             .when(uid % 4 == 2, normal[2]).otherwise(normal[3]))
 
 
-def requests_with_id(e: DataFrame) -> DataFrame:
-    """One request per event (``req0``), keeping ``event_id`` as a helper column."""
+def _request_columns(with_event_id: bool) -> list[Column]:
+    """The request fields as expressions over ``base_events`` (``req0`` of the binding)."""
     uid, scen, k, eid = F.col("user_id"), F.col("scen"), F.col("k"), F.col("event_id")
     kpad = F.lpad(_s(k), 4, "0")
     msisdn = (F.when(scen == "ait", F.concat(F.lit("550199"), kpad))
@@ -59,7 +59,7 @@ def requests_with_id(e: DataFrame) -> DataFrame:
            .otherwise(F.concat(F.lit("ent_"), _s(F.lit(1) + uid % 10))))
     channel = (F.when(F.col("event_type") == "click", "voice")
                .when(F.col("event_type") == "view", "whatsapp").otherwise("sms"))
-    return e.select(
+    cols = [
         _s(eid).alias("request_id"),
         msisdn.alias("msisdn"),
         ent.alias("enterprise_id"),
@@ -69,22 +69,31 @@ def requests_with_id(e: DataFrame) -> DataFrame:
         F.concat(F.lit("10.0."), _s(uid % 256), F.lit("."), _s(k)).alias("ip"),
         channel.alias("channel"),
         F.col("ts").alias("event_ts"),
-        eid.alias("event_id"),
-    )
+    ]
+    return cols + [eid.alias("event_id")] if with_event_id else cols
 
 
-def requests_raw(events: DataFrame) -> DataFrame:
-    """Requests as they arrive: every request once, plus an exact copy when event_id % 50 = 0.
+def _with_copies(events: DataFrame, with_event_id: bool) -> DataFrame:
+    """Every request once, plus an exact copy when event_id % 50 = 0, in one projection over
+    one scan (``inline`` of a 1- or 2-element array of the request struct)."""
+    copies = F.when(F.col("event_id") % 50 == 0, F.lit(2)).otherwise(F.lit(1))
+    row = F.struct(*_request_columns(with_event_id))
+    return base_events(events).select(F.inline(F.array_repeat(row, copies)))
+
 
-    The copy is generated in the same pass (``explode`` of a 1- or 2-element sequence), so
-    ``events`` is scanned once."""
-    r = requests_with_id(base_events(events))
-    copies = F.sequence(F.lit(1), F.when(F.col("event_id") % 50 == 0, 2).otherwise(1))
-    return r.withColumn("_copy", F.explode(copies)).drop("_copy")
+def requests_with_id(e: DataFrame) -> DataFrame:
+    """One request per event (``req0``), keeping ``event_id`` as a helper column."""
+    return e.select(*_request_columns(True))
+
+
+def requests_raw(events: DataFrame) -> DataFrame:
+    """Requests as they arrive (with duplicates), keeping ``event_id`` as a helper column."""
+    return _with_copies(events, True)
 
 
 def requests(events: DataFrame) -> DataFrame:
-    return requests_raw(events).drop("event_id")
+    """Requests as they arrive (with duplicates): the Bronze requests table."""
+    return _with_copies(events, False)
 
 
 def _latency(e: DataFrame) -> Column:
