@@ -427,13 +427,11 @@ def q_stream_fraud_alerts(spark, sf_dir):
 def q_stream_micro_batch_scoring(spark, sf_dir):
     """Per-micro-batch aggregate + score (no state across batches); one batch per replay."""
     from pumpguard.session import scratch_path
-    from pumpguard.streaming.pipelines import _trigger, score_micro_batch
+    from pumpguard.streaming.pipelines import for_each_batch, score_micro_batch
     root = scratch_path(spark, "microbatch-replay")
     land_messages(spark, sf_dir, f"{root}/landing", end_marker=False, only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
-    w = (req.writeStream.option("checkpointLocation", f"{root}/ckpt")
-         .foreachBatch(score_micro_batch(f"{root}/out")))
-    _await(_trigger(w, "available_now").start())
+    _await(for_each_batch(req, score_micro_batch(f"{root}/out"), f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 

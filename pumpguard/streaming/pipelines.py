@@ -7,6 +7,7 @@ and a trigger (``available_now`` for bounded replays, a processing-time interval
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,32 @@ from pumpguard.sinks.writers import AlertSink, write_alerts
 from pumpguard.sources.readers import parse_json, read_stream
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state-store partitions for stateful queries started inside the block.
+
+    A stateful stream fixes its partition count in the checkpoint at the first batch and AQE
+    cannot coalesce it, so it is sized to the cluster (default: total executor cores) rather
+    than inherited from the batch default. The query clones the session conf at ``start()``,
+    so the setting is restored right after."""
+    key = "spark.sql.shuffle.partitions"
+    n = n or spark.sparkContext.defaultParallelism
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _start(writer, spark: SparkSession, n: int | None, path: str | None = None,
+           table: str | None = None) -> StreamingQuery:
+    with state_partitions(spark, n):
+        if table:
+            return writer.toTable(table)
+        return writer.start(path) if path else writer.start()
+
+
 def _trigger(writer, trigger: str | None):
     if trigger in (None, "", "available_now"):
         return writer.trigger(availableNow=True)
@@ -37,14 +64,14 @@ def parse_events(messages: DataFrame, topic: str) -> tuple[DataFrame, DataFrame]
 def land_stream(df: DataFrame, checkpoint: str, path: str | None = None,
                 table: str | None = None, fmt: str = "parquet",
                 trigger: str | None = "available_now",
-                partition_by: Sequence[str] = ()) -> StreamingQuery:
+                partition_by: Sequence[str] = (), n_state: int | None = None) -> StreamingQuery:
     """Append a stream to a table or a directory (exactly-once through the sink's log)."""
     w = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .format(fmt))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w = _trigger(w, trigger)
-    return w.toTable(table) if table else w.start(path)
+    return _start(w, df.sparkSession, n_state, path=path, table=table)
 
 
 def run_bronze(spark: SparkSession, out_root: str, checkpoint_root: str,
@@ -159,12 +186,13 @@ def fraud_stream(requests_raw: DataFrame, verification_raw: DataFrame | None = N
 
 
 def start_alerts(scored: DataFrame, sink: AlertSink, checkpoint: str,
-                 trigger: str | None = "available_now", mode: str = "append") -> StreamingQuery:
+                 trigger: str | None = "available_now", mode: str = "append",
+                 n_state: int | None = None) -> StreamingQuery:
     """Alerts (severity <> low) through ``foreachBatch``: executor-side writes, idempotent per
     batch id for file sinks."""
     w = (scored.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
          .foreachBatch(write_alerts(sink)))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), scored.sparkSession, n_state)
 
 
 def score_micro_batch(sink_path: str, cfg: RuleConfig = RuleConfig(),
@@ -193,12 +221,12 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 def for_each_batch(df: DataFrame, fn, checkpoint: str, trigger: str | None = "available_now",
-                   mode: str = "append") -> StreamingQuery:
+                   mode: str = "append", n_state: int | None = None) -> StreamingQuery:
     """Call ``fn(batch_df, batch_id)`` for every micro-batch; ``fn`` should use ``batch_id`` to
     stay idempotent when a batch is replayed after a failure."""
     w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
          .foreachBatch(fn))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), df.sparkSession, n_state)
 
 
 def publish_stream(alerts: DataFrame, checkpoint: str, topic: str = "otp.alerts",
@@ -210,8 +238,9 @@ def publish_stream(alerts: DataFrame, checkpoint: str, topic: str = "otp.alerts"
     w = msgs.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if bootstrap:
         w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
-        return _trigger(w, trigger).start()
-    return _trigger(w.format("json"), trigger).start(f"{path.rstrip('/')}/{topic}")
+        return _start(_trigger(w, trigger), alerts.sparkSession, None)
+    return _start(_trigger(w.format("json"), trigger), alerts.sparkSession, None,
+                  path=f"{path.rstrip('/')}/{topic}")
 
 
 def latest_alerts(spark: SparkSession, path: str) -> DataFrame:
