@@ -384,6 +384,13 @@ GROUP BY ALL"""
 SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM dagg
 WHERE {_D['severity']} <> 'low'"""
     s = _score_sql(ver="", mx="")
+    q["stream_update_alerts"] = BINDING + f", {_PARSED}" + f"""
+, agg AS (SELECT date_trunc('day', event_ts) AS window_start,
+                 date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
+                 enterprise_id, number_range, mcc, mnc, count(*) AS requests
+          FROM parsed WHERE event_ts IS NOT NULL GROUP BY ALL)
+SELECT *, {s['score']} AS score, {s['severity']} AS severity FROM agg
+WHERE {s['severity']} <> 'low'"""
     q["stream_micro_batch_scoring"] = BINDING + f", {_PARSED}" + f"""
 , agg AS (SELECT enterprise_id, number_range, mcc, mnc, count(*) AS requests FROM parsed
           GROUP BY ALL)

@@ -493,3 +493,21 @@ def q_anomaly_worst(spark, sf_dir):
     from pumpguard.operators.iforest import score_anomalies, worst
     keys = ("enterprise_id", "number_range")
     return worst(score_anomalies(entity_features(silver(spark, sf_dir), keys), keys), 5, keys)
+
+
+@query("stream_update_alerts")
+def q_stream_update_alerts(spark, sf_dir):
+    """The requests-only shape of the fraud job: single-level daily window in *update* mode
+    (each changed group every batch), scored with verifications = 0, written per batch id and
+    reduced to the latest version of each alert key (the keyed merge of update output)."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.streaming.pipelines import (latest_alerts, score_stream, start_alerts,
+                                               windowed_aggregate)
+    root = scratch_path(spark, "update-replay")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    scored = score_stream(windowed_aggregate(req, "1 day"), CFG)
+    _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt",
+                        mode="update"))
+    return _ntz(latest_alerts(spark, f"{root}/alerts").drop("batch_id", "created_at"))
