@@ -19,7 +19,9 @@ def _bucketed(df: DataFrame, dims: Sequence[str], bucket: str | None,
               ts_col: str) -> tuple[DataFrame, list[str]]:
     dims = list(dims)
     if bucket:
-        df = df.withColumn("bucket_start", F.date_trunc(bucket, F.col(ts_col)))
+        # date_trunc yields a zoned TIMESTAMP; keep the input's timestamp flavour
+        ts_type = df.schema[ts_col].dataType.simpleString()
+        df = df.withColumn("bucket_start", F.date_trunc(bucket, F.col(ts_col)).cast(ts_type))
         dims = dims + ["bucket_start"]
     return df, dims
 
