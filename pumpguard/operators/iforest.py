@@ -3,8 +3,9 @@
 * Sampling: every (entity, tree) pair gets a uniform number from ``xxhash64(keys, tree, seed)``;
   each tree takes the ``psi`` entities with the smallest numbers (sampling without replacement,
   independent of partitioning). A pre-filter keeps pairs below ``oversample * psi / n`` in the
-  same narrow stage, so at most ~``oversample * psi`` rows per tree reach the shuffle; a tree
-  that would come up short is resampled with no pre-filter (exact fallback).
+  same narrow stage, so at most ~``oversample * psi`` rows per tree reach the shuffle; if a
+  tree would come up short, the pre-filter is widened 4x and the sample redone (exact: every
+  tree ends with min(psi, n) entities, and a tree's candidates stay ~``p * n``).
 * Fitting: ``groupBy(tree_id).applyInPandas`` builds one tree per group from <= ``psi`` rows
   (height limit ceil(log2 psi), random feature among the non-constant ones, uniform split).
 * Scoring: the node table is at most ``n_trees * (2 * psi - 1)`` rows (51,100 for the defaults),
@@ -112,11 +113,14 @@ def sample_for_trees(features: DataFrame, keys: Sequence[str], cols: Sequence[st
 
     p = min(1.0, oversample * psi / max(n, 1))
     sample = take(p)
-    if p < 1.0:
-        short = (sample.groupBy("tree_id").count().filter(F.col("count") < psi).limit(1).count()
-                 + (n_trees - sample.select("tree_id").distinct().count()))
-        if short:
-            sample = take(1.0)
+    while p < 1.0:
+        # a tree with fewer than psi candidates would be smaller than specified: widen the
+        # pre-filter (4x) and redo; each round still bounds a tree to ~p * n candidates
+        full = (sample.groupBy("tree_id").count().filter(F.col("count") >= psi).count())
+        if full == n_trees:
+            break
+        p = min(1.0, p * 4.0)
+        sample = take(p)
     return sample.select("tree_id", *keys, *cols, "_u")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pumpguard.schemas import ALERT_KEY
@@ -33,17 +33,28 @@ def with_event_date(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
     return df.withColumn("event_date", F.to_date(F.col(ts_col)))
 
 
+def _salt(df: DataFrame, n: int | Column) -> Column:
+    """A stable spread value in [0, n) from the row's content (reruns land rows identically)."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), n if isinstance(n, Column)
+                  else F.lit(n))
+
+
 def write_partitioned(df: DataFrame, path: str | None = None, table: str | None = None,
                       ts_col: str = "event_ts", bucket_col: str | None = None,
-                      buckets: int = 64, mode: str = "overwrite") -> None:
+                      buckets: int = 64, mode: str = "overwrite", files_per_day: int = 8,
+                      max_records_per_file: int = 5_000_000) -> None:
     """Day-partitioned layout (``event_date``), optionally bucketed by ``bucket_col``.
 
-    Rows are clustered by partition before the write so each task writes few files. Bucketing
-    needs a catalog table (``table``); later joins/aggregations on ``bucket_col`` then skip
-    the shuffle."""
+    Rows are clustered by (day, salt) before the write: every day is spread over
+    ``files_per_day`` tasks (a large day is never written by a single task) and each task
+    writes one file for its day, capped at ``max_records_per_file`` rows. Bucketing needs a
+    catalog table (``table``); later joins/aggregations on ``bucket_col`` then skip the
+    shuffle."""
     out = with_event_date(df, ts_col)
-    out = out.repartition("event_date") if bucket_col is None else out
-    w = out.write.mode(mode).partitionBy("event_date")
+    if bucket_col is None:
+        out = out.repartition("event_date", _salt(out, files_per_day).alias("_s"))
+    w = (out.write.mode(mode).partitionBy("event_date")
+         .option("maxRecordsPerFile", max_records_per_file))
     if table:
         if bucket_col:
             w = w.bucketBy(buckets, bucket_col).sortBy(bucket_col)
@@ -53,23 +64,29 @@ def write_partitioned(df: DataFrame, path: str | None = None, table: str | None
 
 
 def compact(spark: SparkSession, path: str, target_path: str | None = None,
-            files_per_partition: int = 1, partition_col: str = "event_date",
-            where: str | None = None) -> str:
-    """Rewrite a (streamed, small-file) partitioned directory into few files per partition.
-
-    Same rows; only the selected partitions (``where``) are rewritten; dynamic partition
+            rows_per_file: int = 5_000_000, partition_col: str = "event_date",
+            where: str | None = None, max_partitions_broadcast: int = 100_000) -> str:
+    """Rewrite a (streamed, small-file) partitioned directory into right-sized files.
+
+    Same rows. Each partition value gets ceil(rows / ``rows_per_file``) files: the per-value
+    row counts come from one aggregate (a row per partition value: days, so a bounded table,
+    broadcast only after its size is checked), and rows are spread over their value's files by
+    a content hash. Only the selected partitions (``where``) are rewritten; dynamic partition
     overwrite leaves the others untouched. Writing to a separate ``target_path`` and swapping
     is the safe default for a path-based table."""
     df = spark.read.parquet(path)
     if where:
         df = df.filter(where)
-    # hash on the partition value: every day lands in one task -> one file per day
-    # (``files_per_partition`` > 1 spreads a day over that many tasks, for very large days)
-    if files_per_partition <= 1:
-        out = df.repartition(partition_col)
-    else:
-        salt = (F.abs(F.xxhash64(*df.columns)) % files_per_partition).alias("_salt")
-        out = df.repartition(partition_col, salt)
+    cols = df.columns
+    per_value = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_rows"))
+                 .select(partition_col, F.greatest(F.lit(1), F.ceil(F.col("_rows")
+                                                                    / F.lit(rows_per_file)))
+                         .cast("int").alias("_files")))
+    n_values = per_value.count()
+    dim = F.broadcast(per_value) if n_values <= max_partitions_broadcast else per_value
+    sized = df.join(dim, partition_col, "left")
+    out = (sized.repartition(partition_col, _salt(df, F.col("_files")).alias("_s"))
+           .select(*cols))
     dest = target_path or path
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(dest))
