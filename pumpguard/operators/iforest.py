@@ -54,13 +54,16 @@ def average_path_length(n) -> np.ndarray:
     return out
 
 
-def impute(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL feature values -> the column's global mean (0 when all NULL); one global aggregate."""
+def impute(features: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
+    """NULL feature values -> the column's global mean (0 when all NULL); one global aggregate.
+
+    With ``prefix`` the imputed DOUBLE copies are added as ``prefix + name`` and the original
+    columns keep their values and types."""
     cols = list(cols)
     means = features.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
     fill = {c: float(means[c]) if means[c] is not None else 0.0 for c in cols}
-    return features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fill[c]))
-                                 for c in cols})
+    return features.withColumns({prefix + c: F.coalesce(F.col(c).cast("double"),
+                                                         F.lit(fill[c])) for c in cols})
 
 
 def _tree_builder(cols: list[str], max_depth: int, seed: int):
@@ -208,11 +211,14 @@ def _reliable(df: DataFrame) -> DataFrame:
 def score_anomalies(features: DataFrame, keys: Sequence[str] = ("enterprise_id",),
                     cols: Sequence[str] = FEATURE_COLS, contamination: float = 0.1,
                     n_trees: int = 100, psi: int = 256, seed: int = 42) -> DataFrame:
-    """Impute -> fit -> score. Output: keys, features, anomaly_score, is_anomaly."""
-    feats = _reliable(impute(features, cols))
+    """Impute -> fit -> score. Output: the input columns (types unchanged), anomaly_score,
+    is_anomaly. The forest sees mean-imputed DOUBLE copies of ``cols``."""
+    cols = list(cols)
+    xs = [f"_x_{c}" for c in cols]
+    feats = _reliable(impute(features, cols, prefix="_x_"))
     n = feats.count()
-    nodes, psi_eff = fit_forest(feats, keys, cols, n_trees, psi, seed, n)
-    return score_forest(feats, nodes, psi_eff, cols, contamination)
+    nodes, psi_eff = fit_forest(feats, keys, xs, n_trees, psi, seed, n)
+    return score_forest(feats, nodes, psi_eff, xs, contamination).drop(*xs)
 
 
 def worst(scored: DataFrame, k: int = 10, keys: Sequence[str] = ("enterprise_id",)) -> DataFrame:

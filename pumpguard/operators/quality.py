@@ -30,6 +30,25 @@ def silver_checks(df: DataFrame) -> DataFrame:
     ))).withColumn("ok", F.col("failed_rows") == 0)
 
 
+def observe_silver(df: DataFrame, name: str = "silver_checks"):
+    """``(df, observation)``: the Silver expectations computed while ``df`` is written (no
+    separate pass). After the write, ``observation.get`` holds the failure counts."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    observed = df.observe(
+        obs, _null_count("request_id").alias("request_id"),
+        F.count_if(~F.coalesce(F.col("is_verified").isin(True, False), F.lit(False)))
+        .alias("is_verified"))
+    return observed, obs
+
+
+def observed_result(obs) -> dict:
+    """``{"ok", "failures"}`` from a completed ``observe_silver`` observation."""
+    got = obs.get
+    failures = [k for k in ("request_id", "is_verified") if int(got.get(k, 0) or 0) > 0]
+    return {"ok": not failures, "failures": failures}
+
+
 def validate_silver(df: DataFrame) -> dict:
     """``{"ok": bool, "failures": [...]}``; an empty frame passes."""
     rows = silver_checks(df).collect()

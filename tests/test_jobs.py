@@ -73,3 +73,35 @@ def test_alerts_published_as_messages(spark, scratch):
     publish_stream(alerts, f"{scratch}/ck", path=f"{scratch}/pub").awaitTermination()
     msgs = spark.read.json(f"{scratch}/pub/otp.alerts")
     assert msgs.count() >= 1 and set(msgs.columns) == {"key", "value"}
+
+
+def test_silver_checks_ride_on_the_write(spark, scratch):
+    from pumpguard.operators import quality as Q
+    df = spark.createDataFrame([("r1", True), (None, False), ("r3", None)],
+                               "request_id string, is_verified boolean")
+    observed, obs = Q.observe_silver(df)
+    observed.write.parquet(scratch)
+    assert Q.observed_result(obs) == {"ok": False, "failures": ["request_id", "is_verified"]}
+
+
+def test_run_silver_stops_on_failed_checks(spark, scratch):
+    import pytest
+    req = spark.createDataFrame([(None, "5501990001")], "request_id string, msisdn string")
+    d = spark.createDataFrame([], "request_id string, status string")
+    v = spark.createDataFrame([], "request_id string, outcome string")
+    from pumpguard.plans.jobs import run_silver
+    with pytest.raises(AssertionError):
+        run_silver(spark, req, d, v, Layout(out_root=scratch))
+
+
+def test_e2e_normal_traffic_gives_no_high_alert(spark):
+    """Port of the reference's smoke pair: AIT traffic gives a high alert, normal traffic none."""
+    from pumpguard.operators.aggregates import fraud_aggregate, score_aggregates
+    from pumpguard.operators.silver import build_silver
+    ev = FX.read_events(spark, SF)
+    normal = ev.filter(F.col("event_type") != "error")       # no AIT burst
+    for data, expect_high in ((ev, True), (normal, False)):
+        s = build_silver(FX.requests(data), FX.delivery(data), FX.verification(data))
+        sev = {r["severity"] for r in score_aggregates(
+            fraud_aggregate(s, msisdn_max=True)).collect()}
+        assert ("high" in sev) is expect_high
