@@ -29,54 +29,58 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+# The binding as Spark SQL expressions: one parsed expression per column (cheap to build,
+# evaluated in whole-stage codegen like any Column).
+_BASE = {
+    "k": "CAST(get_json_object(props, '$.k') AS INT)",
+    "scen": """CASE WHEN event_type = 'error' THEN 'ait'
+                    WHEN event_type = 'signup' AND user_id % 10 = 7 THEN 'risky'
+                    WHEN event_type = 'purchase' AND user_id % 10 = 8 THEN 'dead'
+                    ELSE 'normal' END""",
+}
+
+
+def _route(ait: str, risky: str, us: str, in_: str, gb: str, br: str) -> str:
+    return (f"CASE WHEN scen = 'ait' THEN '{ait}' WHEN scen = 'risky' THEN '{risky}' "
+            f"WHEN user_id % 4 = 0 THEN '{us}' WHEN user_id % 4 = 1 THEN '{in_}' "
+            f"WHEN user_id % 4 = 2 THEN '{gb}' ELSE '{br}' END")
+
+
+_REQUEST = {
+    "request_id": "CAST(event_id AS STRING)",
+    "msisdn": """CASE scen WHEN 'ait' THEN concat('550199', lpad(CAST(k AS STRING), 4, '0'))
+                           WHEN 'dead' THEN concat('447700', lpad(CAST(k AS STRING), 4, '0'))
+                 ELSE concat(CAST(100000 + (user_id * 7919) % 900000 AS STRING),
+                             lpad(CAST(event_id % 10000 AS STRING), 4, '0')) END""",
+    "enterprise_id": "CASE scen WHEN 'ait' THEN 'ent_3' "
+                     "ELSE concat('ent_', CAST(1 + user_id % 10 AS STRING)) END",
+    "country_iso": _route("LV", "XS", "US", "IN", "GB", "BR"),
+    "mcc": _route("247", "881", "310", "404", "234", "724"),
+    "mnc": _route("1", "0", "260", "45", "10", "5"),
+    "ip": "concat('10.0.', CAST(user_id % 256 AS STRING), '.', CAST(k AS STRING))",
+    "channel": "CASE event_type WHEN 'click' THEN 'voice' WHEN 'view' THEN 'whatsapp' "
+               "ELSE 'sms' END",
+    "event_ts": "ts",
+}
+_LATENCY = "CAST(50 + CAST(round(value * 100) AS BIGINT) % 3951 AS INT)"
+
+
 def base_events(events: DataFrame) -> DataFrame:
     """events + ``k`` (from the JSON props) + scenario label."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    et, uid = F.col("event_type"), F.col("user_id")
-    scen = (F.when(et == "error", "ait")
-            .when((et == "signup") & (uid % 10 == 7), "risky")
-            .when((et == "purchase") & (uid % 10 == 8), "dead")
-            .otherwise("normal"))
     return events.select("event_id", "ts", "user_id", "event_type", "value",
-                         k.alias("k"), scen.alias("scen"))
-
-
-def _by_route(uid: Column, scen: Column, ait, risky, *normal) -> Column:
-    return (F.when(scen == "ait", ait).when(scen == "risky", risky)
-            .when(uid % 4 == 0, normal[0]).when(uid % 4 == 1, normal[1])
-            .when(uid % 4 == 2, normal[2]).otherwise(normal[3]))
+                         *[F.expr(e).alias(n) for n, e in _BASE.items()])
 
 
 def _request_columns(with_event_id: bool) -> list[Column]:
     """The request fields as expressions over ``base_events`` (``req0`` of the binding)."""
-    uid, scen, k, eid = F.col("user_id"), F.col("scen"), F.col("k"), F.col("event_id")
-    kpad = F.lpad(_s(k), 4, "0")
-    msisdn = (F.when(scen == "ait", F.concat(F.lit("550199"), kpad))
-              .when(scen == "dead", F.concat(F.lit("447700"), kpad))
-              .otherwise(F.concat(_s(F.lit(100000) + (uid * 7919) % 900000),
-                                  F.lpad(_s(eid % 10000), 4, "0"))))
-    ent = (F.when(scen == "ait", F.lit("ent_3"))
-           .otherwise(F.concat(F.lit("ent_"), _s(F.lit(1) + uid % 10))))
-    channel = (F.when(F.col("event_type") == "click", "voice")
-               .when(F.col("event_type") == "view", "whatsapp").otherwise("sms"))
-    cols = [
-        _s(eid).alias("request_id"),
-        msisdn.alias("msisdn"),
-        ent.alias("enterprise_id"),
-        _by_route(uid, scen, "LV", "XS", "US", "IN", "GB", "BR").alias("country_iso"),
-        _by_route(uid, scen, "247", "881", "310", "404", "234", "724").alias("mcc"),
-        _by_route(uid, scen, "1", "0", "260", "45", "10", "5").alias("mnc"),
-        F.concat(F.lit("10.0."), _s(uid % 256), F.lit("."), _s(k)).alias("ip"),
-        channel.alias("channel"),
-        F.col("ts").alias("event_ts"),
-    ]
-    return cols + [eid.alias("event_id")] if with_event_id else cols
+    cols = [F.expr(e).alias(n) for n, e in _REQUEST.items()]
+    return cols + [F.col("event_id")] if with_event_id else cols
 
 
 def _with_copies(events: DataFrame, with_event_id: bool) -> DataFrame:
     """Every request once, plus an exact copy when event_id % 50 = 0, in one projection over
     one scan (``inline`` of a 1- or 2-element array of the request struct)."""
-    copies = F.when(F.col("event_id") % 50 == 0, F.lit(2)).otherwise(F.lit(1))
+    copies = F.expr("CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END")
     row = F.struct(*_request_columns(with_event_id))
     return base_events(events).select(F.inline(F.array_repeat(row, copies)))
 
@@ -96,33 +100,25 @@ def requests(events: DataFrame) -> DataFrame:
     return _with_copies(events, False)
 
 
-def _latency(e: DataFrame) -> Column:
-    return (F.lit(50) + F.round(F.col("value") * 100).cast("long") % 3951).cast("int")
-
-
 def delivery(events: DataFrame) -> DataFrame:
-    e = base_events(events).filter(F.col("k") != 50)
-    lat = _latency(e)
-    return e.select(
-        _s(F.col("event_id")).alias("request_id"),
-        F.when(F.col("k") % 20 == 0, "failed").otherwise("delivered").alias("status"),
-        lat.alias("operator_latency_ms"),
-        F.timestamp_add("MILLISECOND", lat, F.col("ts")).alias("event_ts"),
+    return base_events(events).filter("k <> 50").select(
+        F.expr("CAST(event_id AS STRING)").alias("request_id"),
+        F.expr("CASE WHEN k % 20 = 0 THEN 'failed' ELSE 'delivered' END").alias("status"),
+        F.expr(_LATENCY).alias("operator_latency_ms"),
+        F.expr(f"timestampadd(MILLISECOND, {_LATENCY}, ts)").alias("event_ts"),
     )
 
 
 def verification(events: DataFrame) -> DataFrame:
-    e = base_events(events).filter((F.col("k") % 20 != 0) & (F.col("k") != 50))
-    scen, k = F.col("scen"), F.col("k")
-    outcome = (F.when(scen == "ait", F.when(k % 20 == 1, "verified").otherwise("timeout"))
-               .when(scen == "dead", "timeout")
-               .when(k % 10 < 7, "verified").otherwise("timeout"))
-    delivery_ts = F.timestamp_add("MILLISECOND", _latency(e), F.col("ts"))
-    return e.select(
-        _s(F.col("event_id")).alias("request_id"),
-        outcome.alias("outcome"),
-        (F.lit(1) + k % 3).cast("int").alias("attempts"),
-        F.timestamp_add("SECOND", k, delivery_ts).alias("event_ts"),
+    return base_events(events).filter("k % 20 <> 0 AND k <> 50").select(
+        F.expr("CAST(event_id AS STRING)").alias("request_id"),
+        F.expr("""CASE WHEN scen = 'ait' THEN (CASE WHEN k % 20 = 1 THEN 'verified'
+                                                    ELSE 'timeout' END)
+                       WHEN scen = 'dead' THEN 'timeout'
+                       WHEN k % 10 < 7 THEN 'verified' ELSE 'timeout' END""").alias("outcome"),
+        F.expr("CAST(1 + k % 3 AS INT)").alias("attempts"),
+        F.expr(f"timestampadd(SECOND, k, timestampadd(MILLISECOND, {_LATENCY}, ts))")
+        .alias("event_ts"),
     )
 
 
