@@ -100,8 +100,17 @@ def requests(events: DataFrame) -> DataFrame:
     return _with_copies(events, False)
 
 
+def _keyed(events: DataFrame, cols: list[str], scen: bool = False) -> DataFrame:
+    """``cols`` + ``k`` (+ ``scen``), produced by a Generate so that a filter on ``k`` is not
+    pushed beneath it: the props JSON is parsed once per row, and only ``cols`` are read."""
+    fields = [F.col(c) for c in cols] + [F.expr(_BASE["k"]).alias("k")]
+    if scen:
+        fields.append(F.expr(_BASE["scen"]).alias("scen"))
+    return events.select(F.inline(F.array(F.struct(*fields))))
+
+
 def delivery(events: DataFrame) -> DataFrame:
-    return base_events(events).filter("k <> 50").select(
+    return _keyed(events, ["event_id", "ts", "value"]).filter("k <> 50").select(
         F.expr("CAST(event_id AS STRING)").alias("request_id"),
         F.expr("CASE WHEN k % 20 = 0 THEN 'failed' ELSE 'delivered' END").alias("status"),
         F.expr(_LATENCY).alias("operator_latency_ms"),
@@ -110,7 +119,8 @@ def delivery(events: DataFrame) -> DataFrame:
 
 
 def verification(events: DataFrame) -> DataFrame:
-    return base_events(events).filter("k % 20 <> 0 AND k <> 50").select(
+    cols = ["event_id", "ts", "value", "event_type", "user_id"]
+    return _keyed(events, cols, scen=True).filter("k % 20 <> 0 AND k <> 50").select(
         F.expr("CAST(event_id AS STRING)").alias("request_id"),
         F.expr("""CASE WHEN scen = 'ait' THEN (CASE WHEN k % 20 = 1 THEN 'verified'
                                                     ELSE 'timeout' END)

@@ -72,10 +72,15 @@ def parse_json(messages: DataFrame, schema: T.StructType, value_col: str = "valu
     keeps the original message columns. Missing fields become NULL, unknown fields are ignored."""
     key_field = key_field or schema.fields[0].name
     d = F.from_json(F.col(value_col).cast("string"), schema)
-    with_d = messages.withColumn("_d", d)
-    ok = F.col(f"_d.{key_field}").isNotNull()
-    parsed = with_d.filter(ok).select("_d.*")
-    quarantine = with_d.filter(~ok).drop("_d")
+    msg = {c: f"_msg_{c}" for c in messages.columns}
+    # One parse per message: ``inline`` expands the parsed struct in a Generate node, and a
+    # filter on generated columns is not pushed beneath it. (With a plain projection the
+    # optimizer inlines the alias into the pushed-down filter and parses every message twice.)
+    expanded = messages.select(*[F.col(c).alias(a) for c, a in msg.items()],
+                               F.inline(F.array(d)))
+    ok = F.col(key_field).isNotNull()
+    parsed = expanded.filter(ok).select(*[f.name for f in schema.fields])
+    quarantine = expanded.filter(~ok).select(*[F.col(a).alias(c) for c, a in msg.items()])
     return parsed, quarantine
 
 
