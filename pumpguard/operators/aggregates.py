@@ -63,7 +63,7 @@ def fraud_aggregate(requests: DataFrame, keys: Sequence[str] = FRAUD_KEYS,
     With both ``msisdn_max`` and ``distinct_ip`` the first level is one aggregate over two
     grouping sets, (keys, msisdn) and (keys, ip), so the input is shuffled once, not twice.
     """
-    df = with_number_range(requests)
+    df = requests
     if verification is not None:
         df = mark_verified(df, verification, "_v")
         vcol = F.col("_v").cast("long")
@@ -72,11 +72,16 @@ def fraud_aggregate(requests: DataFrame, keys: Sequence[str] = FRAUD_KEYS,
     else:
         vcol = None
     keys = list(keys)
+    proj = {k: F.col(k) for k in keys}
+    if "number_range" in keys and "number_range" not in df.columns:
+        proj["number_range"] = number_range("msisdn")
     if window is not None:
-        df = df.withColumn("window", _window_col(ts_col, window[0], window[1]))
+        proj = {"window": _window_col(ts_col, window[0], window[1]), **proj}
         keys = ["window"] + keys
     cols = keys + ["msisdn", "ip"]
-    df = df.select(*cols, (vcol if vcol is not None else F.lit(0).cast("long")).alias("_v"))
+    proj.update({"msisdn": F.col("msisdn"), "ip": F.col("ip"),
+                 "_v": vcol if vcol is not None else F.lit(0).cast("long")})
+    df = df.select(*[c.alias(n) for n, c in proj.items()])   # one projection
 
     if msisdn_max and distinct_ip:
         lvl1 = (df.groupingSets([[*keys, "msisdn"], [*keys, "ip"]], *keys, "msisdn", "ip")
@@ -100,13 +105,11 @@ def fraud_aggregate(requests: DataFrame, keys: Sequence[str] = FRAUD_KEYS,
         if distinct_ip:
             aggs.append(F.count_distinct("ip").alias("distinct_ip"))
         out = df.groupBy(*keys).agg(*aggs)
-    if vcol is None:
-        out = out.drop("verifications")
+    final = [c for c in out.columns if c != "window" and (vcol is not None or c != "verifications")]
     if window is not None:
-        out = out.select(F.col("window.start").alias("window_start"),
-                         F.col("window.end").alias("window_end"),
-                         *[c for c in out.columns if c != "window"])
-    return out
+        return out.select(F.col("window.start").alias("window_start"),
+                          F.col("window.end").alias("window_end"), *final)
+    return out.select(*final) if vcol is None else out
 
 
 def score_aggregates(df: DataFrame, cfg: RuleConfig = RuleConfig(),
@@ -116,7 +119,8 @@ def score_aggregates(df: DataFrame, cfg: RuleConfig = RuleConfig(),
     Missing inputs count as 0 (so a requests-only aggregate scores with verifications = 0)."""
     present = set(df.columns)
     s = R.score(cfg, inputs, present)
-    return df.withColumn("score", s).withColumn("severity", R.severity("score", cfg))
+    # one projection; codegen's subexpression elimination evaluates the score once
+    return df.withColumns({"score": s, "severity": R.severity(s, cfg)})
 
 
 def rule_breakdown(df: DataFrame, cfg: RuleConfig = RuleConfig(),
@@ -125,10 +129,11 @@ def rule_breakdown(df: DataFrame, cfg: RuleConfig = RuleConfig(),
     present = set(df.columns)
     parts = {f"{name}_points": R.RULES[name](cfg, inputs, present) for name in cfg.rules}
     total = None
-    for name in parts:                       # same left-to-right sum as ``score``
-        total = F.col(name) if total is None else total + F.col(name)
-    out = df.withColumns(parts).withColumn("score", total if total is not None else F.lit(0.0))
-    return out.withColumn("severity", R.severity("score", cfg))
+    for term in parts.values():              # same left-to-right sum as ``score``
+        total = term if total is None else total + term
+    total = total if total is not None else F.lit(0.0)
+    # one projection; codegen's subexpression elimination evaluates each rule once
+    return df.withColumns({**parts, "score": total, "severity": R.severity(total, cfg)})
 
 
 def alerts_only(scored: DataFrame) -> DataFrame:
