@@ -105,3 +105,25 @@ def test_e2e_normal_traffic_gives_no_high_alert(spark):
         sev = {r["severity"] for r in score_aggregates(
             fraud_aggregate(s, msisdn_max=True)).collect()}
         assert ("high" in sev) is expect_high
+
+
+def test_cli_runs_every_job(spark, scratch):
+    from pumpguard.plans.cli import main
+    from pumpguard.plans.registry import land_messages
+    # Bronze landing is stateless: no end-of-replay marker (a NULL-enterprise request would
+    # fail the funnel's not-null gate and stop the batch, as it should)
+    land_messages(spark, SF, f"{scratch}/landing", end_marker=False)
+    main(["bronze", "--landing", f"{scratch}/landing", "--out-root", f"{scratch}/lake",
+          "--checkpoint", f"{scratch}/ck"])
+    res = main(["batch", "--bronze-root", f"{scratch}/lake/bronze", "--out-root",
+                f"{scratch}/lake/gold"])
+    assert res["silver_rows"] == 1000 - 11          # malformed messages are quarantined
+    assert "delivery_funnel" in res["marts"]
+    res = main(["anomaly", "--silver", f"{scratch}/lake/gold/silver", "--out",
+                f"{scratch}/anomalies", "--keys", "enterprise_id,number_range"])
+    assert res["flagged"] >= 1
+    land_messages(spark, SF, f"{scratch}/replay")          # with end-of-input markers
+    res = main(["fraud-stream", "--landing", f"{scratch}/replay", "--checkpoint",
+                f"{scratch}/ck2", "--alerts", f"{scratch}/alerts", "--window", "30 days",
+                "--trigger", "available_now"])
+    assert spark.read.parquet(f"{scratch}/alerts").count() >= 1
