@@ -78,7 +78,6 @@ def fraud_aggregate(requests: DataFrame, keys: Sequence[str] = FRAUD_KEYS,
     if window is not None:
         proj = {"window": _window_col(ts_col, window[0], window[1]), **proj}
         keys = ["window"] + keys
-    cols = keys + ["msisdn", "ip"]
     proj.update({"msisdn": F.col("msisdn"), "ip": F.col("ip"),
                  "_v": vcol if vcol is not None else F.lit(0).cast("long")})
     df = df.select(*[c.alias(n) for n, c in proj.items()])   # one projection
