@@ -15,6 +15,9 @@ class Settings:
     landing_dir: str = ""                   # directory source when source_format != kafka
     warehouse: str = ""                     # table location root; "" = session catalog default
     catalog: str = ""                       # v2 catalog name (e.g. an Iceberg catalog); "" = session
+    catalog_impl: str = ""                  # its class, e.g. an Iceberg SparkCatalog
+    catalog_type: str = ""                  # e.g. rest / hadoop / hive
+    catalog_uri: str = ""                   # catalog service URI (rest)
     jdbc_url: str = ""                      # alert / anomaly serving database
     jdbc_user: str = ""
     jdbc_password: str = ""
@@ -30,6 +33,9 @@ class Settings:
             landing_dir=env.get("PG_LANDING_DIR", cls.landing_dir),
             warehouse=env.get("PG_WAREHOUSE", cls.warehouse),
             catalog=env.get("PG_CATALOG", cls.catalog),
+            catalog_impl=env.get("PG_CATALOG_IMPL", cls.catalog_impl),
+            catalog_type=env.get("PG_CATALOG_TYPE", cls.catalog_type),
+            catalog_uri=env.get("PG_CATALOG_URI", cls.catalog_uri),
             jdbc_url=env.get("PG_JDBC_URL", cls.jdbc_url),
             jdbc_user=env.get("PG_JDBC_USER", cls.jdbc_user),
             jdbc_password=env.get("PG_JDBC_PASSWORD", cls.jdbc_password),

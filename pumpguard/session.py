@@ -39,12 +39,27 @@ def build_session(app: str = "pumpguard", settings: Settings | None = None,
         conf["spark.checkpoint.dir"] = s.checkpoint_root
     if s.warehouse:
         conf["spark.sql.warehouse.dir"] = s.warehouse
+    conf.update(catalog_conf(s))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()
 
 
+def catalog_conf(s: Settings) -> dict:
+    """Session options for a v2 catalog (only when one is configured): implementation class,
+    type, URI and warehouse; it also becomes the default catalog."""
+    if not (s.catalog and s.catalog_impl):
+        return {}
+    key = f"spark.sql.catalog.{s.catalog}"
+    conf = {key: s.catalog_impl, "spark.sql.defaultCatalog": s.catalog}
+    for opt, val in (("type", s.catalog_type), ("uri", s.catalog_uri),
+                     ("warehouse", s.warehouse)):
+        if val:
+            conf[f"{key}.{opt}"] = val
+    return conf
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

@@ -85,3 +85,34 @@ def test_stream_lands_into_catalog_table(spark, scratch):
     ev = FX.read_events(spark, "/root/testdata/sf0.001")
     want = FX.requests_raw(ev).filter(F.col("event_id") % 97 != 0).count()
     assert n == want == 1008         # raw requests minus the malformed messages
+
+
+def test_catalog_options_only_when_configured():
+    from pumpguard.config import Settings
+    from pumpguard.session import catalog_conf
+    assert catalog_conf(Settings()) == {}
+    conf = catalog_conf(Settings(catalog="lake", catalog_impl="x.SparkCatalog",
+                                 catalog_type="rest", catalog_uri="http://cat",
+                                 warehouse="s3a://wh"))
+    assert conf["spark.sql.catalog.lake"] == "x.SparkCatalog"
+    assert conf["spark.sql.catalog.lake.type"] == "rest"
+    assert conf["spark.sql.catalog.lake.warehouse"] == "s3a://wh"
+    assert conf["spark.sql.defaultCatalog"] == "lake"
+
+
+def test_bad_event_time_becomes_null_and_drops_out_of_windows(spark):
+    from pumpguard.operators.aggregates import fraud_aggregate
+    from pumpguard.schemas import REQUEST_SCHEMA
+    from pumpguard.streaming.pipelines import parse_events
+    msgs = spark.createDataFrame(
+        [("r1", '{"request_id":"r1","msisdn":"5501990001","event_ts":"garbage"}'),
+         ("r2", '{"request_id":"r2","msisdn":"5501990001",'
+                '"event_ts":"2024-01-01T10:00:00.000001+00:00"}')],
+        "key string, value string")
+    parsed, bad = parse_events(msgs, "requests")
+    rows = {r["request_id"]: r["event_ts"] for r in parsed.collect()}
+    assert rows["r1"] is None and rows["r2"] is not None and bad.count() == 0
+    agg = fraud_aggregate(parsed.withColumn("enterprise_id", F.lit("e"))
+                          .withColumn("mcc", F.lit("1")).withColumn("mnc", F.lit("1")),
+                          window=("1 hour", None))
+    assert [r["requests"] for r in agg.collect()] == [1]
