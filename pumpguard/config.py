@@ -23,6 +23,9 @@ class Settings:
     jdbc_password: str = ""
     checkpoint_root: str = ""               # "" = use spark.checkpoint.dir of the session
     shuffle_partitions: int = 0             # 0 = leave the session's value
+    max_partition_bytes: str = ""           # file split size, e.g. "256m" ("" = Spark default)
+    advisory_partition_bytes: str = "256m"  # AQE target size of a shuffle partition
+    kafka_min_partitions: int = 0           # split Kafka partitions over more tasks (0 = 1:1)
 
     @classmethod
     def from_env(cls) -> "Settings":
@@ -41,6 +44,11 @@ class Settings:
             jdbc_password=env.get("PG_JDBC_PASSWORD", cls.jdbc_password),
             checkpoint_root=env.get("PG_CHECKPOINT_ROOT", cls.checkpoint_root),
             shuffle_partitions=int(env.get("PG_SHUFFLE_PARTITIONS", cls.shuffle_partitions)),
+            max_partition_bytes=env.get("PG_MAX_PARTITION_BYTES", cls.max_partition_bytes),
+            advisory_partition_bytes=env.get("PG_ADVISORY_PARTITION_BYTES",
+                                             cls.advisory_partition_bytes),
+            kafka_min_partitions=int(env.get("PG_KAFKA_MIN_PARTITIONS",
+                                             cls.kafka_min_partitions)),
         )
 
 

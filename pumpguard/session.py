@@ -31,8 +31,16 @@ def build_session(app: str = "pumpguard", settings: Settings | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     }
+    # size shuffle partitions by bytes, not by parallelism: a large job keeps its many
+    # partitions, a small one is coalesced
+    conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    if s.advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = s.advisory_partition_bytes
+    if s.max_partition_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = s.max_partition_bytes
     if rocksdb_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     if s.shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(s.shuffle_partitions)
     if s.checkpoint_root:

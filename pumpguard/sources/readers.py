@@ -36,6 +36,8 @@ def read_stream(spark: SparkSession, topic: str, settings: Settings | None = Non
              .option("startingOffsets", starting))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        if s.kafka_min_partitions:
+            r = r.option("minPartitions", s.kafka_min_partitions)
         return r.load().select(F.col("key").cast("string").alias("key"),
                                F.col("value").cast("string").alias("value"),
                                F.col("timestamp").alias("arrival_ts"))
