@@ -115,16 +115,18 @@ def sample_for_trees(features: DataFrame, keys: Sequence[str], cols: Sequence[st
         return cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= psi)
 
     p = min(1.0, oversample * psi / max(n, 1))
-    sample = take(p)
-    while p < 1.0:
+    while True:
+        # the sample is at most n_trees * psi rows: materialize it once (shared checkpoint
+        # folder), so the check below and the tree build do not both rescan all pairs
+        sample = _reliable(take(p).select("tree_id", *keys, *cols, "_u"))
+        if p >= 1.0:
+            return sample
         # a tree with fewer than psi candidates would be smaller than specified: widen the
         # pre-filter (4x) and redo; each round still bounds a tree to ~p * n candidates
-        full = (sample.groupBy("tree_id").count().filter(F.col("count") >= psi).count())
+        full = sample.groupBy("tree_id").count().filter(F.col("count") >= psi).count()
         if full == n_trees:
-            break
+            return sample
         p = min(1.0, p * 4.0)
-        sample = take(p)
-    return sample.select("tree_id", *keys, *cols, "_u")
 
 
 def fit_forest(features: DataFrame, keys: Sequence[str] = ("enterprise_id",),
