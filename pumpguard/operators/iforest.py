@@ -187,11 +187,15 @@ def score_forest(features: DataFrame, nodes: DataFrame, psi: int,
     cols = list(cols)
     spark = features.sparkSession
     forest = Forest(nodes.toPandas(), psi)       # bounded: n_trees * (2 psi - 1) rows
-    bc = spark.sparkContext.broadcast(forest)
+    try:
+        bc = spark.sparkContext.broadcast(forest)
+        get = lambda: bc.value
+    except Exception:  # noqa: BLE001 - Spark Connect: ship the (bounded) forest in the closure
+        get = lambda: forest
     out_schema = T.StructType(features.schema.fields + [T.StructField("_raw", T.DoubleType())])
 
     def apply(batches):
-        fo = bc.value
+        fo = get()
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=float)
             yield pdf.assign(_raw=fo.score_samples(X) if len(pdf) else np.zeros(0))

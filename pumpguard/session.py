@@ -74,18 +74,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session names none (local tests) is a private folder created and
     registered, so ``DataFrame.checkpoint()`` and streaming checkpoints work.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is the source
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
             d = tempfile.mkdtemp(prefix="pumpguard-ckpt-")
             spark.conf.set("spark.checkpoint.dir", d)
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d
 
 
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    """Total task slots of the cluster (``defaultParallelism``)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        v = spark.conf.get("spark.default.parallelism", None)
+        return int(v) if v else fallback
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -29,8 +29,9 @@ def state_partitions(spark: SparkSession, n: int | None = None):
     cannot coalesce it, so it is sized to the cluster (default: total executor cores) rather
     than inherited from the batch default. The query clones the session conf at ``start()``,
     so the setting is restored right after."""
+    from pumpguard.session import default_parallelism
     key = "spark.sql.shuffle.partitions"
-    n = n or spark.sparkContext.defaultParallelism
+    n = n or default_parallelism(spark)
     old = spark.conf.get(key)
     spark.conf.set(key, str(n))
     try:
