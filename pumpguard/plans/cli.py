@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--out-root", required=True)
     b.add_argument("--checkpoint", required=True)
     b.add_argument("--trigger", default="available_now")
+    b.add_argument("--landing-format", default="parquet")
     s = sub.add_parser("batch", help="Silver -> marts -> checks")
     s.add_argument("--bronze-root", required=True)
     s.add_argument("--out-root", required=True)
@@ -41,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--window", default="5 minutes")
     f.add_argument("--slide", default=None)
     f.add_argument("--trigger", default="1 minute")
+    f.add_argument("--landing-format", default="parquet")
     return p
 
 
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None) -> dict:
         from pumpguard.streaming.pipelines import run_bronze
         qs = run_bronze(spark, args.out_root, args.checkpoint, settings,
                         landing_root=args.landing, trigger=args.trigger,
-                        fmt="json" if args.landing else None)
+                        fmt=args.landing_format if args.landing else None)
         for q in qs:
             q.awaitTermination()
         out = {"queries": len(qs)}
@@ -78,7 +80,8 @@ def main(argv: list[str] | None = None) -> dict:
                                       "password": settings.jdbc_password})
                 if settings.jdbc_url else AlertSink("parquet", path=args.alerts))
         q = run_fraud_stream(spark, args.checkpoint, sink, settings, args.landing,
-                             args.window, args.slide, RuleConfig(), args.trigger)
+                             args.window, args.slide, RuleConfig(), args.trigger,
+                             landing_format=args.landing_format)
         q.awaitTermination()
         out = {"stream": q.name or q.id}
     out = {"command": args.cmd, **out}

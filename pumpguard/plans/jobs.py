@@ -100,13 +100,13 @@ def run_fraud_stream(spark: SparkSession, checkpoint_root: str, alert_sink,
                      settings: Settings | None = None, landing_root: str | None = None,
                      size: str = "5 minutes", slide: str | None = None,
                      cfg: RuleConfig = RuleConfig(), trigger: str | None = "1 minute",
-                     with_verifications: bool = True):
+                     with_verifications: bool = True, landing_format: str = "parquet"):
     """Requests (+ verifications) -> parse -> dedupe -> join -> window -> score -> alerts."""
     from pumpguard.schemas import TOPICS
     from pumpguard.sources.readers import read_stream
     from pumpguard.streaming.pipelines import fraud_stream, parse_events, start_alerts
     s = settings or Settings.from_env()
-    fmt = None if not landing_root else "json"
+    fmt = None if not landing_root else landing_format
 
     def src(t):
         path = f"{landing_root}/{t}" if landing_root else None

@@ -297,6 +297,7 @@ def q_anomaly_scores_by_range(spark, sf_dir):
 # outputs filter it by key).
 
 END_OF_REPLAY = "__end_of_replay__"
+LANDING_FORMAT = "parquet"     # message files (key, JSON value, arrival time) of a replay
 END_TS = "2100-01-01T00:00:00.000000+00:00"
 
 
@@ -318,19 +319,20 @@ def land_messages(spark: SparkSession, sf_dir: str, root: str, end_marker: bool
                                            F.lit(END_TS).alias("event_ts"))),
     }
     for t, df in topics.items():
-        df.write.mode("overwrite").json(f"{root}/{t}")
+        df.select("key", "value", F.col("arrival_ts").cast("timestamp")).write \
+            .mode("overwrite").format(LANDING_FORMAT).save(f"{root}/{t}")
         if end_marker:
             (spark.range(1).select(F.lit(END_OF_REPLAY).alias("key"),
                                    end_body[t].alias("value"),
                                    F.lit(None).cast("timestamp").alias("arrival_ts"))
-             .coalesce(1).write.mode("append").json(f"{root}/{t}"))
+             .coalesce(1).write.mode("append").format(LANDING_FORMAT).save(f"{root}/{t}"))
     return root
 
 
 def _stream_source(spark, root: str, topic: str):
     from pumpguard.sources.readers import read_stream
     from pumpguard.streaming.pipelines import parse_events
-    raw = read_stream(spark, topic, path=f"{root}/{topic}", fmt="json")
+    raw = read_stream(spark, topic, path=f"{root}/{topic}", fmt=LANDING_FORMAT)
     return parse_events(raw, topic)
 
 
@@ -353,7 +355,7 @@ def q_stream_bronze_landing(spark, sf_dir):
     root = scratch_path(spark, "bronze-replay")
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
-                      landing_root=f"{root}/landing", fmt="json"))
+                      landing_root=f"{root}/landing", fmt=LANDING_FORMAT))
     out = spark.read.parquet(f"{root}/out/bronze/requests")
     return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY))
 
@@ -365,7 +367,7 @@ def q_stream_bronze_quarantine(spark, sf_dir):
     root = scratch_path(spark, "quarantine-replay")
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
-                      landing_root=f"{root}/landing", fmt="json"))
+                      landing_root=f"{root}/landing", fmt=LANDING_FORMAT))
     return spark.read.parquet(f"{root}/out/quarantine/requests").select("key", "value")
 
 
