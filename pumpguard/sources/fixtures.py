@@ -79,10 +79,11 @@ def _request_columns(with_event_id: bool) -> list[Column]:
 
 def _with_copies(events: DataFrame, with_event_id: bool) -> DataFrame:
     """Every request once, plus an exact copy when event_id % 50 = 0, in one projection over
-    one scan (``inline`` of a 1- or 2-element array of the request struct)."""
+    one scan: ``inline`` of a 1- or 2-element array of empty structs repeats the row and adds no
+    column, and the request columns stay outer columns of the Generate (prunable when unused)."""
     copies = F.expr("CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END")
-    row = F.struct(*_request_columns(with_event_id))
-    return base_events(events).select(F.inline(F.array_repeat(row, copies)))
+    return base_events(events).select(*_request_columns(with_event_id),
+                                      F.inline(F.array_repeat(F.struct(), copies)))
 
 
 def requests_with_id(e: DataFrame) -> DataFrame:
@@ -101,12 +102,13 @@ def requests(events: DataFrame) -> DataFrame:
 
 
 def _keyed(events: DataFrame, cols: list[str], scen: bool = False) -> DataFrame:
-    """``cols`` + ``k`` (+ ``scen``), produced by a Generate so that a filter on ``k`` is not
-    pushed beneath it: the props JSON is parsed once per row, and only ``cols`` are read."""
-    fields = [F.col(c) for c in cols] + [F.expr(_BASE["k"]).alias("k")]
+    """``cols`` + ``k`` (+ ``scen``). ``k`` comes out of a Generate, so a filter on it is not
+    pushed beneath the parse (the props JSON is parsed once per row); ``cols`` pass through
+    as the Generate's outer columns, which column pruning can still drop when unused."""
+    derived = [F.expr(_BASE["k"]).alias("k")]
     if scen:
-        fields.append(F.expr(_BASE["scen"]).alias("scen"))
-    return events.select(F.inline(F.array(F.struct(*fields))))
+        derived.append(F.expr(_BASE["scen"]).alias("scen"))
+    return events.select(*[F.col(c) for c in cols], F.inline(F.array(F.struct(*derived))))
 
 
 def delivery(events: DataFrame) -> DataFrame:
