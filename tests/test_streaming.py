@@ -96,3 +96,48 @@ def test_stream_equals_batch_for_fraud_alerts(spark):
     a = sorted(tuple(r) for r in streamed.select(*cols).collect())
     b = sorted(tuple(r) for r in batch.select(*cols).collect())
     assert a == b and len(a) > 0
+
+
+def _write_ver(spark, path, rows):
+    msgs = [(rid, json.dumps({"request_id": rid, "outcome": out, "event_ts": ts}), None)
+            for rid, out, ts in rows]
+    (spark.createDataFrame(msgs, "key string, value string, arrival_ts timestamp")
+     .coalesce(1).write.mode("append").json(path))
+
+
+def test_late_verification_outside_the_bound_does_not_count(spark, scratch):
+    from pumpguard.streaming.pipelines import fraud_stream
+    _write_msgs(spark, f"{scratch}/req", [("r1", "5501990001", "2024-01-01T12:00:00+00:00"),
+                                          ("r2", "5501990002", "2024-01-01T12:00:00+00:00")])
+    _write_ver(spark, f"{scratch}/ver", [("r1", "verified", "2024-01-01T12:05:00+00:00"),
+                                         ("r2", "verified", "2024-01-01T12:11:00+00:00")])
+    # end-of-input markers far in the future close the windows and the join bound
+    _write_msgs(spark, f"{scratch}/req", [("end", "0", "2100-01-01T00:00:00+00:00")])
+    _write_ver(spark, f"{scratch}/ver", [("end", "verified", "2100-01-01T00:00:00+00:00")])
+    req, _ = parse_events(read_stream(spark, "otp.requests", path=f"{scratch}/req",
+                                      fmt="json"), "requests")
+    ver, _ = parse_events(read_stream(spark, "otp.verification", path=f"{scratch}/ver",
+                                      fmt="json"), "verification")
+    scored = fraud_stream(req, ver, size="1 hour", bound="10 minutes")
+    land_stream(scored, f"{scratch}/ck", f"{scratch}/out").awaitTermination()
+    (row,) = spark.read.parquet(f"{scratch}/out").filter("number_range = '550199'").collect()
+    assert row["requests"] == 2 and row["verifications"] == 1    # r2 verified too late
+
+
+def test_stream_alerts_through_jdbc_foreach_batch(spark, scratch):
+    import uuid
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.sources.readers import read_jdbc
+    from pumpguard.streaming.pipelines import fraud_stream, start_alerts
+    rows = [(f"r{i}", "5501990001", "2024-01-01T12:00:00+00:00") for i in range(120)]
+    _write_msgs(spark, f"{scratch}/req", rows)
+    _write_msgs(spark, f"{scratch}/req", [("end", "0", "2100-01-01T00:00:00+00:00")])
+    req, _ = parse_events(read_stream(spark, "otp.requests", path=f"{scratch}/req",
+                                      fmt="json"), "requests")
+    url = f"jdbc:derby:memory:s{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    sink = AlertSink("jdbc", url=url, table="FRAUD_ALERTS", properties=props)
+    start_alerts(fraud_stream(req, None, size="1 hour"), sink, f"{scratch}/ck").awaitTermination()
+    back = read_jdbc(spark, url, "FRAUD_ALERTS", props).collect()
+    assert len(back) == 1
+    assert back[0]["severity"] == "high" and back[0]["requests"] == 120
