@@ -141,3 +141,21 @@ def test_stream_alerts_through_jdbc_foreach_batch(spark, scratch):
     back = read_jdbc(spark, url, "FRAUD_ALERTS", props).collect()
     assert len(back) == 1
     assert back[0]["severity"] == "high" and back[0]["requests"] == 120
+
+
+def test_streaming_distinct_ips_are_approximate_counts(spark, scratch):
+    rows = [(f"r{i}", "5501990001", "2024-01-01T12:00:00+00:00") for i in range(30)]
+    msgs = [(rid, json.dumps({"request_id": rid, "msisdn": ms, "enterprise_id": "e",
+                              "mcc": "247", "mnc": "1", "ip": f"10.0.0.{i % 7}",
+                              "event_ts": ts}), None)
+            for i, (rid, ms, ts) in enumerate(rows)]
+    (spark.createDataFrame(msgs, "key string, value string, arrival_ts timestamp")
+     .coalesce(1).write.json(f"{scratch}/in"))
+    raw = read_stream(spark, "otp.requests", path=f"{scratch}/in", fmt="json")
+    parsed, _ = parse_events(raw, "requests")
+    q = (windowed_aggregate(parsed, "5 minutes", approx_distinct_ip=True).writeStream
+         .outputMode("update").format("memory").queryName("approx_ip")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    (row,) = spark.table("approx_ip").collect()
+    assert row["requests"] == 30 and row["distinct_ip"] == 7
