@@ -67,7 +67,7 @@ def exact_percentile(df: DataFrame, col: str, q: float, **kw) -> float:
     i, j = math.floor(pos), math.ceil(pos)
     if n <= kw.get("fetch_limit", 50_000):
         # few values: one bounded fetch serves both ranks
-        vals = sorted(r[0] for r in df.select(x.cast("double")).filter(x.isNotNull()).collect())
+        vals = sorted(r[0] for r in df.filter(x.isNotNull()).select(x.cast("double")).collect())
         a, b = vals[i], vals[j]
     else:
         a = kth_smallest(df, col, i, n=n, **kw)
