@@ -383,6 +383,18 @@ GROUP BY ALL"""
   GROUP BY ALL)
 SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM dagg
 WHERE {_D['severity']} <> 'low'"""
+    svel = []
+    for d in ("msisdn", "ip", "enterprise_id", "number_range"):
+        svel.append(f"""
+SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, ws AS window_start,
+       ws + INTERVAL 5 MINUTE AS window_end, count(*) AS requests, count(*) > 30 AS over_ceiling
+FROM (SELECT {d}, unnest(generate_series(time_bucket(INTERVAL 1 MINUTE, event_ts)
+                                         - INTERVAL 4 MINUTE,
+                                         time_bucket(INTERVAL 1 MINUTE, event_ts),
+                                         INTERVAL 1 MINUTE)) AS ws
+      FROM (SELECT DISTINCT * FROM parsed) WHERE event_ts IS NOT NULL)
+GROUP BY 1, 2, 3, 4""")
+    q["stream_velocity_by_dimension"] = BINDING + f", {_PARSED}" + "\nUNION ALL\n".join(svel)
     s = _score_sql(ver="", mx="")
     q["stream_update_alerts"] = BINDING + f", {_PARSED}" + f"""
 , agg AS (SELECT date_trunc('day', event_ts) AS window_start,

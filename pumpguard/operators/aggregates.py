@@ -146,19 +146,22 @@ def anomalies_only(scored: DataFrame) -> DataFrame:
 
 def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 minutes",
                 slide: str | None = "1 minute", ceiling: int = 30,
-                ts_col: str = "event_ts") -> DataFrame:
+                ts_col: str = "event_ts", delay: str | None = None) -> DataFrame:
     """Requests per value of each dimension (msisdn, ip, enterprise_id, number_range) in
     sliding windows; rows above ``ceiling`` are flagged.
 
     All dimensions are counted in one pass: each row is expanded to one (dimension, value) pair
     per dimension inside the scan stage, then a single aggregate (partial on the map side)
-    shuffles on (window, dimension, value)."""
+    shuffles on (window, dimension, value). ``delay`` (streams) sets the watermark; a stream
+    whose input already carries one passes None."""
     dims = [dims] if isinstance(dims, str) else list(dims)
     df = with_number_range(events)
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
                                          F.col(d).cast("string").alias("value"))
                                 for d in dims])).alias("_p")
     ex = df.select(F.col(ts_col), pairs).select(ts_col, "_p.dimension", "_p.value")
+    if delay:                                # streaming: event-time watermark for the windows
+        ex = ex.withWatermark(ts_col, delay)
     out = (ex.groupBy(_window_col(ts_col, size, slide).alias("window"), "dimension", "value")
            .agg(F.count(F.lit(1)).alias("requests")))
     return out.select("dimension", "value",
