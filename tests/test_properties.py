@@ -25,7 +25,7 @@ agg_rows = st.lists(st.tuples(
 @SLOW
 @given(agg_rows)
 def test_scores_equal_sql_oracle_bit_for_bit(spark, rows):
-    import oracles
+    import pumpguard_oracles as oracles
     schema = "requests long, verifications long, msisdn_max_count long, mcc string, mnc string"
     df = spark.createDataFrame(rows, schema)
     got = sorted((r["requests"], r["verifications"], r["msisdn_max_count"], r["mcc"], r["mnc"],
