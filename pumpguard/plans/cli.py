@@ -26,7 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--out-root", required=True)
     b.add_argument("--checkpoint", required=True)
     b.add_argument("--trigger", default="available_now")
-    b.add_argument("--landing-format", default="parquet")
+    b.add_argument("--landing-format", default="json")
     s = sub.add_parser("batch", help="Silver -> marts -> checks")
     s.add_argument("--bronze-root", required=True)
     s.add_argument("--out-root", required=True)
@@ -42,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--window", default="5 minutes")
     f.add_argument("--slide", default=None)
     f.add_argument("--trigger", default="1 minute")
-    f.add_argument("--landing-format", default="parquet")
+    f.add_argument("--landing-format", default="json")
     return p
 
 

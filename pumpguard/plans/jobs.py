@@ -100,7 +100,7 @@ def run_fraud_stream(spark: SparkSession, checkpoint_root: str, alert_sink,
                      settings: Settings | None = None, landing_root: str | None = None,
                      size: str = "5 minutes", slide: str | None = None,
                      cfg: RuleConfig = RuleConfig(), trigger: str | None = "1 minute",
-                     with_verifications: bool = True, landing_format: str = "parquet"):
+                     with_verifications: bool = True, landing_format: str = "json"):
     """Requests (+ verifications) -> parse -> dedupe -> join -> window -> score -> alerts."""
     from pumpguard.schemas import TOPICS
     from pumpguard.sources.readers import read_stream

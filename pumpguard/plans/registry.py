@@ -297,7 +297,7 @@ def q_anomaly_scores_by_range(spark, sf_dir):
 # outputs filter it by key).
 
 END_OF_REPLAY = "__end_of_replay__"
-LANDING_FORMAT = "parquet"     # message files (key, JSON value, arrival time) of a replay
+LANDING_FORMAT = "json"        # message files (key, JSON value, arrival time) of a replay
 END_TS = "2100-01-01T00:00:00.000000+00:00"
 
 

@@ -32,7 +32,12 @@ def _s(c: Column) -> Column:
 # The binding as Spark SQL expressions: one parsed expression per column (cheap to build,
 # evaluated in whole-stage codegen like any Column).
 _BASE = {
-    "k": "CAST(get_json_object(props, '$.k') AS INT)",
+    # props is documented as {"k": n}: an anchored pattern reads that form directly and any
+    # other text falls back to the JSON path (coalesce evaluates it only when needed), so the
+    # value is exactly get_json_object's, at a fraction of the per-row cost
+    "k": r"""coalesce(
+        CAST(nullif(regexp_extract(props, '^\\{\\s*"k"\\s*:\\s*(-?[0-9]+)\\s*\\}$', 1), '') AS INT),
+        CAST(get_json_object(props, '$.k') AS INT))""",
     "scen": """CASE WHEN event_type = 'error' THEN 'ait'
                     WHEN event_type = 'signup' AND user_id % 10 = 7 THEN 'risky'
                     WHEN event_type = 'purchase' AND user_id % 10 = 8 THEN 'dead'

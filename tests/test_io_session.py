@@ -4,6 +4,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from pumpguard.plans.registry import LANDING_FORMAT
+
 
 def test_read_batch_and_stream_share_the_message_shape(spark, scratch):
     from pumpguard.sources.readers import MESSAGE_SCHEMA, read_batch, read_stream
@@ -75,7 +77,7 @@ def test_stream_lands_into_catalog_table(spark, scratch):
     from pumpguard.sources.readers import read_stream
     from pumpguard.streaming.pipelines import land_stream, parse_events
     land_messages(spark, "/root/testdata/sf0.001", f"{scratch}/landing", only=("requests",))
-    raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt="parquet")
+    raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt=LANDING_FORMAT)
     parsed, _ = parse_events(raw, "requests")
     t = f"bronze_requests_{uuid.uuid4().hex[:8]}"
     land_stream(parsed, f"{scratch}/ck", table=t).awaitTermination()

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pumpguard.plans.jobs import Layout, run_anomaly, run_batch, run_fraud_stream
+from pumpguard.plans.registry import LANDING_FORMAT
 from pumpguard.sources import fixtures as FX
 
 SF = "/root/testdata/sf0.001"
@@ -52,7 +53,7 @@ def test_rocksdb_state_store(spark, scratch):
     key = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(key, ROCKSDB_PROVIDER)
     try:
-        raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt="parquet")
+        raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt=LANDING_FORMAT)
         parsed, _ = parse_events(raw, "requests")
         land_stream(dedupe_stream(parsed), f"{scratch}/ck", f"{scratch}/out").awaitTermination()
     finally:
@@ -66,7 +67,7 @@ def test_alerts_published_as_messages(spark, scratch):
     from pumpguard.sources.readers import read_stream
     from pumpguard.streaming.pipelines import fraud_stream, parse_events, publish_stream
     land_messages(spark, SF, f"{scratch}/landing")
-    raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt="parquet")
+    raw = read_stream(spark, "otp.requests", path=f"{scratch}/landing/requests", fmt=LANDING_FORMAT)
     parsed, _ = parse_events(raw, "requests")
     scored = fraud_stream(parsed, None, size="30 days")
     alerts = scored.filter(F.col("severity") != "low")
