@@ -42,7 +42,9 @@ def build_silver(requests: DataFrame, delivery: DataFrame, verification: DataFra
     """Requests (deduplicated on request_id) left-joined to delivery and verification.
 
     * ``status`` -> ``delivery_status``, ``outcome`` -> ``verification_outcome``; the children's
-      ``event_ts`` become ``delivery_ts`` / ``verification_ts`` so full rows do not collide.
+      ``event_ts`` (and day partition ``event_date``) become ``delivery_ts`` /
+      ``verification_ts`` (``delivery_date`` / ``verification_date``) so full rows do not
+      collide.
     * ``number_range`` = first six msisdn characters; ``is_verified`` is False (not NULL) when
       there is no verification.
     * ``dedupe_children=False`` keeps the documented fan-out (n deliveries -> n rows);
@@ -52,8 +54,10 @@ def build_silver(requests: DataFrame, delivery: DataFrame, verification: DataFra
     same key add one exchange per child and none on the request side.
     """
     req = dedupe(requests, ["request_id"])
-    d = _child(delivery, {"status": "delivery_status", "event_ts": "delivery_ts"})
-    v = _child(verification, {"outcome": "verification_outcome", "event_ts": "verification_ts"})
+    d = _child(delivery, {"status": "delivery_status", "event_ts": "delivery_ts",
+                          "event_date": "delivery_date"})
+    v = _child(verification, {"outcome": "verification_outcome", "event_ts": "verification_ts",
+                              "event_date": "verification_date"})
     if dedupe_children:
         d = dedupe(d, ["request_id"], ["delivery_ts"] if "delivery_ts" in d.columns else None)
         v = dedupe(v, ["request_id"],

@@ -356,8 +356,8 @@ def q_stream_bronze_landing(spark, sf_dir):
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
                       landing_root=f"{root}/landing", fmt=LANDING_FORMAT))
-    out = spark.read.parquet(f"{root}/out/bronze/requests")
-    return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY))
+    out = spark.read.parquet(f"{root}/out/bronze/requests")      # day-partitioned
+    return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY).drop("event_date"))
 
 
 @query("stream_bronze_quarantine")

@@ -78,16 +78,24 @@ def land_stream(df: DataFrame, checkpoint: str, path: str | None = None,
 def run_bronze(spark: SparkSession, out_root: str, checkpoint_root: str,
                settings: Settings | None = None, topics: Sequence[str] = tuple(TOPICS),
                landing_root: str | None = None, trigger: str | None = "available_now",
-               fmt: str | None = None) -> list[StreamingQuery]:
-    """Land all three topics (and their quarantines), one query per output."""
+               fmt: str | None = None, partition_by_day: bool = True) -> list[StreamingQuery]:
+    """Land all three topics (and their quarantines), one query per output.
+
+    Bronze is partitioned by ``event_date`` (day of the event time) so later reads prune by
+    day; the many small files a stream writes are merged by ``sinks.writers.compact``."""
     s = settings or Settings()
     queries = []
     for t in topics:
         src = f"{landing_root.rstrip('/')}/{t}" if landing_root else None
         raw = read_stream(spark, TOPICS[t], s, starting="earliest", path=src, fmt=fmt)
         parsed, bad = parse_events(raw, t)
+        parts: tuple[str, ...] = ()
+        if partition_by_day:
+            parsed = parsed.withColumn("event_date", F.to_date("event_ts"))
+            parts = ("event_date",)
         queries.append(land_stream(parsed, f"{checkpoint_root}/bronze_{t}",
-                                   path=f"{out_root}/bronze/{t}", trigger=trigger))
+                                   path=f"{out_root}/bronze/{t}", trigger=trigger,
+                                   partition_by=parts))
         queries.append(land_stream(bad, f"{checkpoint_root}/quarantine_{t}",
                                    path=f"{out_root}/quarantine/{t}", trigger=trigger))
     return queries

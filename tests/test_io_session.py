@@ -118,3 +118,21 @@ def test_bad_event_time_becomes_null_and_drops_out_of_windows(spark):
                           .withColumn("mcc", F.lit("1")).withColumn("mnc", F.lit("1")),
                           window=("1 hour", None))
     assert [r["requests"] for r in agg.collect()] == [1]
+
+
+def test_bronze_is_day_partitioned_and_silver_reads_it(spark, scratch):
+    from pumpguard.operators.silver import build_silver
+    from pumpguard.plans.registry import land_messages
+    from pumpguard.streaming.pipelines import run_bronze
+    land_messages(spark, "/root/testdata/sf0.001", f"{scratch}/landing", end_marker=False)
+    for q in run_bronze(spark, f"{scratch}/lake", f"{scratch}/ck",
+                        landing_root=f"{scratch}/landing", fmt=LANDING_FORMAT):
+        q.awaitTermination()
+    req, dlv, ver = (spark.read.parquet(f"{scratch}/lake/bronze/{t}")
+                     for t in ("requests", "delivery", "verification"))
+    day = req.filter(F.col("event_date") == F.lit("2024-01-15").cast("date"))
+    assert "PartitionFilters: [isnotnull(event_date" in \
+        day._jdf.queryExecution().executedPlan().toString()
+    s = build_silver(req, dlv, ver)
+    assert {"event_date", "delivery_date", "verification_date"} <= set(s.columns)
+    assert s.count() == 1000 - 11
