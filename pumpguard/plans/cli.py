@@ -1,7 +1,7 @@
 """Command-line entry points for the jobs (what a scheduler task runs).
 
     python -m pumpguard.plans.cli bronze  --landing DIR --out-root DIR --checkpoint DIR
-    python -m pumpguard.plans.cli batch   --bronze-root DIR --out-root DIR
+    python -m pumpguard.plans.cli batch   --bronze-root DIR --out-root DIR [--days FIRST,LAST]
     python -m pumpguard.plans.cli anomaly --silver DIR --out DIR [--keys enterprise_id,...]
     python -m pumpguard.plans.cli fraud-stream --checkpoint DIR --alerts DIR [--landing DIR]
 
@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("batch", help="Silver -> marts -> checks")
     s.add_argument("--bronze-root", required=True)
     s.add_argument("--out-root", required=True)
+    s.add_argument("--days", default=None, help="first,last (ISO dates): incremental Silver")
     a = sub.add_parser("anomaly", help="daily isolation-forest scan")
     a.add_argument("--silver", required=True)
     a.add_argument("--out", required=True)
@@ -64,7 +65,9 @@ def main(argv: list[str] | None = None) -> dict:
         root = args.bronze_root.rstrip("/")
         tables = [spark.read.parquet(f"{root}/{t}")
                   for t in ("requests", "delivery", "verification")]
-        res = run_batch(spark, *tables, Layout(out_root=args.out_root, catalog=settings.catalog))
+        days = tuple(args.days.split(",")) if args.days else None
+        res = run_batch(spark, *tables, Layout(out_root=args.out_root, catalog=settings.catalog),
+                        days=days)
         out = {"silver_rows": res["silver"].count(), "marts": sorted(k for k in res if k != "silver")}
     elif args.cmd == "anomaly":
         from pumpguard.plans.jobs import run_anomaly
