@@ -49,9 +49,11 @@ def _start(writer, spark: SparkSession, n: int | None, path: str | None = None,
 
 
 def _trigger(writer, trigger: str | None):
+    """``available_now`` (or None): process what is there, then stop; ``default``: micro-batches
+    back to back; anything else: a processing-time interval such as ``"1 minute"``."""
     if trigger in (None, "", "available_now"):
         return writer.trigger(availableNow=True)
-    if trigger == "continuous_default":
+    if trigger == "default":
         return writer
     return writer.trigger(processingTime=trigger)
 
