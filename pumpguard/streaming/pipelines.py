@@ -111,19 +111,22 @@ def dedupe_stream(events: DataFrame, keys: Sequence[str] = ("request_id",),
 
 
 def join_verifications_stream(requests: DataFrame, verification: DataFrame,
-                              bound: str = "10 minutes", delay: str | None = "10 minutes",
-                              dedupe: bool = True) -> DataFrame:
+                              bound: str = "10 minutes", delay: str = "10 minutes",
+                              dedupe: bool = True,
+                              requests_watermarked: bool = False) -> DataFrame:
     """Requests left-joined to *verified* verifications arriving within ``bound`` of the request.
 
     Both sides carry watermarks, so join state is dropped once a request is older than the
     bound; a verification later than the bound does not count (the latency/accuracy trade).
     The output has ``v`` = 1 for a verified request, else 0 (emitted once the bound expires).
-    ``delay=None``: ``requests`` already carries its watermark (e.g. from ``dedupe_stream``).
+    ``delay`` is the watermark delay of both sides; ``requests_watermarked=True`` when
+    ``requests`` already carries its watermark (e.g. from ``dedupe_stream``).
     Repeated verified events of one request count once (dedupe within the watermark)."""
-    r = (requests.withWatermark("event_ts", delay) if delay else requests).alias("r")
+    r = (requests if requests_watermarked
+         else requests.withWatermark("event_ts", delay)).alias("r")
     v = (verification.filter(F.col("outcome") == "verified")
          .select(F.col("request_id").alias("v_request_id"), F.col("event_ts").alias("v_ts"))
-         .withWatermark("v_ts", delay or "10 minutes"))
+         .withWatermark("v_ts", delay))
     if dedupe:
         v = v.dropDuplicatesWithinWatermark(["v_request_id"])
     v = v.alias("v")
@@ -136,7 +139,7 @@ def join_verifications_stream(requests: DataFrame, verification: DataFrame,
 
 
 def windowed_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | None = None,
-                       keys: Sequence[str] = FRAUD_KEYS, delay: str = "10 minutes",
+                       keys: Sequence[str] = FRAUD_KEYS, delay: str | None = "10 minutes",
                        msisdn_max: bool = False, approx_distinct_ip: bool = False,
                        verified_col: str | None = None) -> DataFrame:
     """Streaming fraud aggregate per (window, keys).
@@ -144,7 +147,8 @@ def windowed_aggregate(events: DataFrame, size: str = "5 minutes", slide: str |
     Single level (requests [, verifications] [, approximate distinct IPs]) runs in update or
     append mode. ``msisdn_max`` chains a second aggregate over the per-msisdn counts, grouped
     by the first level's ``window`` (which carries the event time, so each row stays in its own
-    window even when windows slide): append mode only."""
+    window even when windows slide): append mode only. ``delay=None`` when the input already
+    carries its watermark."""
     ev = events if "number_range" in events.columns else events.withColumn(
         "number_range", number_range("msisdn"))
     if delay:
@@ -188,7 +192,8 @@ def fraud_stream(requests_raw: DataFrame, verification_raw: DataFrame | None = N
     ``verification_raw=None`` is the requests-only mode (verifications count as 0)."""
     req = dedupe_stream(requests_raw, ["request_id"], delay)
     if verification_raw is not None:
-        req = join_verifications_stream(req, verification_raw, bound, None)
+        req = join_verifications_stream(req, verification_raw, bound, delay,
+                                        requests_watermarked=True)
         vcol = "v"
     else:
         vcol = None
