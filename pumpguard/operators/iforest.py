@@ -223,6 +223,9 @@ def score_anomalies(features: DataFrame, keys: Sequence[str] = ("enterprise_id",
     xs = [f"_x_{c}" for c in cols]
     feats = _reliable(impute(features, cols, prefix="_x_"))
     n = feats.count()
+    if n == 0:                                   # nothing to isolate
+        return features.withColumns({"anomaly_score": F.lit(None).cast("double"),
+                                     "is_anomaly": F.lit(False)})
     nodes, psi_eff = fit_forest(feats, keys, xs, n_trees, psi, seed, n)
     return score_forest(feats, nodes, psi_eff, xs, contamination).drop(*xs)
 

@@ -92,3 +92,14 @@ def test_sampling_takes_psi_rows_per_tree(spark):
     again = sample_for_trees(df.repartition(3), ["k"], ["x"], 10, 64, 42, 5000)
     assert sorted(map(tuple, s.select("tree_id", "k").collect())) == \
         sorted(map(tuple, again.select("tree_id", "k").collect()))
+
+
+def test_empty_feature_table_scores_nothing(spark):
+    empty = _fixture(spark).limit(0)
+    out = score_anomalies(empty)
+    assert out.count() == 0 and {"anomaly_score", "is_anomaly"} <= set(out.columns)
+
+
+def test_single_entity_is_not_flagged_alone(spark):
+    out = score_anomalies(_fixture(spark).limit(1)).collect()
+    assert len(out) == 1 and out[0]["anomaly_score"] == 0.0 and out[0]["is_anomaly"] is False
