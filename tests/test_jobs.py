@@ -150,3 +150,17 @@ def test_incremental_silver_replaces_only_its_days(spark, scratch):
     a = sorted(map(tuple, second.select(*cols).collect()), key=repr)
     b = sorted(map(tuple, full.select(*cols).collect()), key=repr)
     assert a == b                     # two incremental runs == one full build
+
+
+def test_run_anomaly_appends_to_jdbc(spark):
+    import uuid
+    from pumpguard.plans.registry import silver
+    from pumpguard.sources.readers import read_jdbc
+    url = f"jdbc:derby:memory:a{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    scored = run_anomaly(spark, silver(spark, SF), keys=("enterprise_id", "number_range"),
+                         jdbc_url=url, jdbc_properties=props)
+    back = read_jdbc(spark, url, "fraud_anomalies", props)
+    assert back.count() == scored.filter("is_anomaly").count() > 0
+    assert {c.lower() for c in back.columns} >= {"enterprise_id", "requests", "verify_rate",
+                                                 "anomaly_score", "scored_at"}
