@@ -85,3 +85,21 @@ def test_fraud_aggregate_matches_pandas(spark, rows):
         want[key] = (len(grp), int(grp["is_verified"].sum()),
                      int(grp.groupby("msisdn").size().max()), int(grp["ip"].dropna().nunique()))
     assert got == want
+
+
+dup_rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(0, 5),
+                              st.sampled_from(["a", "b", "c"]), st.integers(0, 3)),
+                    min_size=1, max_size=60)
+
+
+@SLOW
+@given(dup_rows)
+def test_deterministic_dedupe_matches_pandas(spark, rows):
+    from pumpguard.operators.silver import dedupe
+    df = spark.createDataFrame(rows, "key string, ts long, p string, q long").repartition(3)
+    got = sorted(tuple(r) for r in dedupe(df, ["key"], ["ts"], latest=True).collect())
+    pdf = pd.DataFrame(rows, columns=["key", "ts", "p", "q"])
+    # latest by ts, ties broken by the remaining columns in order
+    want = sorted(tuple(r) for r in pdf.sort_values(["ts", "p", "q"]).groupby("key").tail(1)
+                  .itertuples(index=False))
+    assert got == [tuple(x) for x in want]
