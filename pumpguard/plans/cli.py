@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--slide", default=None)
     f.add_argument("--trigger", default="1 minute")
     f.add_argument("--landing-format", default="json")
+    f.add_argument("--publish", action="store_true",
+                   help="also publish alerts to the alerts topic (Kafka, or JSON files)")
     return p
 
 
@@ -78,10 +80,17 @@ def main(argv: list[str] | None = None) -> dict:
     else:
         from pumpguard.plans.jobs import run_fraud_stream
         from pumpguard.sinks.writers import AlertSink
+        from pumpguard.schemas import ALERTS_TOPIC
         sink = (AlertSink("jdbc", url=settings.jdbc_url,
                           properties={"user": settings.jdbc_user,
                                       "password": settings.jdbc_password})
                 if settings.jdbc_url else AlertSink("parquet", path=args.alerts))
+        if args.publish:
+            sink.topic = ALERTS_TOPIC
+            if args.landing:                       # offline replay: JSON files
+                sink.topic_path = f"{args.alerts.rstrip('/')}_topics"
+            else:
+                sink.topic_bootstrap = settings.kafka_bootstrap
         q = run_fraud_stream(spark, args.checkpoint, sink, settings, args.landing,
                              args.window, args.slide, RuleConfig(), args.trigger,
                              landing_format=args.landing_format)

@@ -147,15 +147,34 @@ class AlertSink:
     url: str = ""
     table: str = "fraud_alerts"
     properties: dict = field(default_factory=dict)
+    topic: str = ""                 # also publish each alert as (key, JSON) to this topic ...
+    topic_bootstrap: str = ""       # ... on Kafka
+    topic_path: str = ""            # ... or as JSON files (offline), per batch id
 
     def write(self, alerts: DataFrame, batch_id: int) -> None:
+        publish_too = bool(self.topic and (self.topic_bootstrap or self.topic_path))
         rows = (alerts.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                 .withColumn("created_at", F.current_timestamp()))
-        if self.kind == "jdbc":
-            write_jdbc(rows, self.url, self.table, self.properties)
-        else:
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(self.path))
+        if publish_too:
+            rows = rows.persist()    # one micro-batch feeds two writes: compute it once
+        try:
+            if self.kind == "jdbc":
+                write_jdbc(rows, self.url, self.table, self.properties)
+            else:
+                (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(self.path))
+            if publish_too:
+                msgs = to_alert_messages(rows.drop("batch_id", "created_at"))
+                if self.topic_bootstrap:
+                    publish(msgs, self.topic, bootstrap=self.topic_bootstrap)
+                else:
+                    (msgs.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+                     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("batch_id")
+                     .json(f"{self.topic_path.rstrip('/')}/{self.topic}"))
+        finally:
+            if publish_too:
+                rows.unpersist()
 
 
 def write_alerts(sink: AlertSink):

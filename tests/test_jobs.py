@@ -126,8 +126,10 @@ def test_cli_runs_every_job(spark, scratch):
     land_messages(spark, SF, f"{scratch}/replay")          # with end-of-input markers
     res = main(["fraud-stream", "--landing", f"{scratch}/replay", "--checkpoint",
                 f"{scratch}/ck2", "--alerts", f"{scratch}/alerts", "--window", "30 days",
-                "--trigger", "available_now"])
-    assert spark.read.parquet(f"{scratch}/alerts").count() >= 1
+                "--trigger", "available_now", "--publish"])
+    n = spark.read.parquet(f"{scratch}/alerts").count()
+    assert n >= 1
+    assert spark.read.json(f"{scratch}/alerts_topics/otp.alerts").count() == n
 
 
 def test_incremental_silver_replaces_only_its_days(spark, scratch):

@@ -74,3 +74,21 @@ def test_parse_json_quarantines_bad_text(spark):
     (r,) = ok.collect()
     assert r["request_id"] == "r1" and r["msisdn"] is None
     assert [b["key"] for b in bad.collect()] == ["k2"]
+
+
+def test_alert_sink_also_publishes_messages(spark, scratch):
+    from pumpguard.sinks.writers import AlertSink, write_alerts
+    df = spark.createDataFrame([("e", "550199", "247", "1", "high", 150.0),
+                                ("f", "447700", "310", "260", "low", 1.0)],
+                               "enterprise_id string, number_range string, mcc string, "
+                               "mnc string, severity string, score double")
+    sink = AlertSink("parquet", path=f"{scratch}/alerts", topic="otp.alerts",
+                     topic_path=f"{scratch}/topics")
+    fn = write_alerts(sink)
+    fn(df, 3)
+    fn(df, 3)                                    # replay: still one copy
+    table = spark.read.parquet(f"{scratch}/alerts")
+    msgs = spark.read.json(f"{scratch}/topics/otp.alerts")
+    assert table.count() == msgs.count() == 1
+    (m,) = msgs.collect()
+    assert m["key"] == "e|550199|247|1" and '"severity":"high"' in m["value"]
