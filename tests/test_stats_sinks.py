@@ -92,3 +92,27 @@ def test_alert_sink_also_publishes_messages(spark, scratch):
     assert table.count() == msgs.count() == 1
     (m,) = msgs.collect()
     assert m["key"] == "e|550199|247|1" and '"severity":"high"' in m["value"]
+
+
+def test_compaction_sizes_files_per_day(spark, scratch):
+    import math
+    from pumpguard.plans.registry import silver
+    from pumpguard.sinks.writers import compact, with_event_date
+    src = f"{scratch}/small"
+    df = with_event_date(silver(spark, "/root/testdata/sf0.001")).select(
+        "request_id", "event_ts", "event_date")
+    df.repartition(16).write.partitionBy("event_date").parquet(src)
+    dest = compact(spark, src, target_path=f"{scratch}/big", rows_per_file=10)
+    out = spark.read.parquet(dest)
+    assert sorted(r[0] for r in out.select("request_id").collect()) == \
+        sorted(r[0] for r in df.select("request_id").collect())
+    per_day = (out.withColumn("_file", F.input_file_name()).groupBy("event_date")
+               .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("_file").alias("files"))
+               .collect())
+    for r in per_day:                       # never more files than the size rule allows
+        assert 1 <= r["files"] <= math.ceil(r["rows"] / 10)
+    # only the selected day is rewritten when a filter is given
+    one = compact(spark, src, target_path=f"{scratch}/one",
+                  where="event_date = DATE '2024-01-15'")
+    assert {str(r[0]) for r in spark.read.parquet(one).select("event_date").distinct()
+            .collect()} == {"2024-01-15"}
