@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import re
 import sys
 
 from pyspark import cloudpickle
@@ -21,6 +22,21 @@ def shipped_by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+#: Words: runs of ASCII letters, digits and underscores and of characters from U+00C0 on, but for
+#: general punctuation.
+WORD = re.compile("[0-9A-Za-z_\u00c0-\u1fff\u2070-\U0010ffff]+")
+_BLANKED = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in range(256))
+_SIGNS = re.compile(b"\xc2[\x80-\xbf]|\xe2\x80[\x80-\xbf]|\xe2\x81[\x80-\xaf]")
+
+
+def byte_words(lowered: str) -> list[bytes]:
+    """``WORD.findall`` as UTF-8, several times faster."""
+    raw = lowered.encode("utf-8", "surrogatepass")
+    if not lowered.isascii():
+        raw = _SIGNS.sub(b" ", raw)
+    return raw.translate(_BLANKED).split()
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back: the
     lineage is cut and a lost executor costs nothing that was computed before."""
@@ -32,6 +48,9 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+shipped_by_value(__name__)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

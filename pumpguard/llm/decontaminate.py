@@ -11,7 +11,6 @@ Test items travel in blocks of a bounded size; every block is matched against al
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -19,11 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pumpguard.llm.common import shipped_by_value, written
+from pumpguard.llm.common import WORD, byte_words, shipped_by_value
 
 shipped_by_value(__name__)
 
-WORD = re.compile(r"\w+")
 LEAST, MOST = 3, 8        # words of a seed
 EXPECTED = 1.0            # occurrences that a seed may have by chance in the whole corpus
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -33,8 +31,8 @@ LIMIT = 0.5
 BLOCK_BYTES = 4_000_000
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    return byte_words(text.lower()) if text else []
 
 
 def _counts(vocabulary: frozenset):
@@ -46,17 +44,17 @@ def _counts(vocabulary: frozenset):
                 total += len(words)
                 counts.update(filter(vocabulary.__contains__, words))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None, *counts], pa.string()), pa.array([total, *counts.values()], pa.int64())],
+            [pa.array([None, *counts], pa.binary()), pa.array([total, *counts.values()], pa.int64())],
             names=["word", "n"])
     return run
 
 
-def seeds(items: list[tuple[int, list[str]]], counts: dict[str, int], total: int,
-          expected: float = EXPECTED) -> dict[str, list[tuple[int, tuple, int, int]]]:
+def seeds(items: list[tuple[int, list[bytes]]], counts: dict[bytes, int], total: int,
+          expected: float = EXPECTED) -> dict[bytes, list[tuple[int, tuple, int, int]]]:
     """anchor word -> (place of the anchor in the seed, seed words, item number, place of the
     seed in the item). The anchor is the seed's rarest word. An item shorter than a seed is its
     own seed; a place with no rare n-gram takes the longest."""
-    out: dict[str, list[tuple[int, tuple, int, int]]] = {}
+    out: dict[bytes, list[tuple[int, tuple, int, int]]] = {}
     for number, words in items:
         least = min(LEAST, len(words))
         for at in range(len(words) - least + 1 if words else 0):
@@ -70,16 +68,16 @@ def seeds(items: list[tuple[int, list[str]]], counts: dict[str, int], total: int
     return out
 
 
-def _by_chance(words: list[str], counts: dict[str, int], total: int) -> float:
+def _by_chance(words: list[bytes], counts: dict[bytes, int], total: int) -> float:
     chance = float(total)
     for w in words:
         chance *= max(counts.get(w, 0), 1) / max(total, 1)
     return chance
 
 
-def align(item: list[str], words: list[str]) -> tuple[int, int, int]:
+def align(item: list[bytes], words: list[bytes]) -> tuple[int, int, int]:
     """(score, start, stop) of the best local alignment of ``item`` inside ``words``."""
-    numbers: dict[str, int] = {}
+    numbers: dict[bytes, int] = {}
     a = [numbers.setdefault(w, len(numbers)) for w in item]
     b = np.array([numbers.get(w, -1) for w in words])
     score, stop = _best(a, b)
@@ -105,11 +103,13 @@ def _best(a: list[int], b: np.ndarray, wanted: int | None = None) -> tuple[int,
     return best, at
 
 
-def matches(words: list[str], index: dict, texts: dict[int, list[str]], limit: float
+def matches(words: list[bytes], index: dict, texts: dict[int, list[bytes]], limit: float
             ) -> list[tuple[int, float, int, int, int]]:
     """(item number, score, first word, stop word, seeds) of the items that a text holds."""
     near: dict[int, list[tuple[int, int]]] = {}
     found: Counter = Counter()
+    if index.keys().isdisjoint(words):
+        return []
     for i, w in enumerate(words):
         if w in index:
             for anchor, seed, number, at in index[w]:
@@ -181,11 +181,11 @@ def blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES):
         yield [(i, w) for i, w in found if w]
 
 
-def block_index(texts: DataFrame, block: list[tuple[int, list[str]]], expected: float):
+def block_index(texts: DataFrame, block: list[tuple[int, list[bytes]]], expected: float):
     """Seeds and words of one block, with word counts over the whole corpus ``texts`` (text)."""
     vocabulary = frozenset(w for _, words in block for w in words)
-    counted = {r["word"]: r["n"] for r in
-               texts.mapInArrow(_counts(vocabulary), "word string, n long")
+    counted = {r["word"] and bytes(r["word"]): r["n"] for r in
+               texts.mapInArrow(_counts(vocabulary), "word binary, n long")
                .groupBy("word").agg(F.sum("n").alias("n")).collect()}
     total = counted.pop(None, 0)
     numbered = [(k, words) for k, (_, words) in enumerate(block)]

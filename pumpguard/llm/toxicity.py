@@ -13,7 +13,6 @@ document, the probability that at least one of them is toxic.
 
 from __future__ import annotations
 
-import re
 from operator import itemgetter
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pumpguard.llm.common import shipped_by_value, unit_hash, written
+from pumpguard.llm.common import WORD, byte_words, shipped_by_value, unit_hash, written
 
 shipped_by_value(__name__)
 
@@ -40,7 +39,6 @@ CONTEXT = 8
 MAX_SPANS = 4_000
 BEGINNINGS = (4, 5)
 STEPS, RATE, SHRINK = 120, 0.3, 0.02
-TOKEN = re.compile(r"\w+")
 START = itemgetter(slice(min(BEGINNINGS)))
 
 
@@ -55,7 +53,7 @@ def _feature_sets(batches):
         for doc, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                     batch.column(2)):
             found, before = {}, ""
-            for word in TOKEN.findall((text.as_py() or "").lower()):
+            for word in WORD.findall((text.as_py() or "").lower()):
                 for f in features(word):
                     found.setdefault(f, before)
                 before = word
@@ -75,7 +73,7 @@ FEATURE_SCHEMA = "doc long, toxic int, feature string, before string"
 def spans(text: str, chosen: frozenset, rows: list, clean: list, toxic: bool) -> None:
     """Add labelled token sequences of one text: the surroundings of its toxic tokens, or some
     stretch of a clean text."""
-    words = TOKEN.findall(text.lower())
+    words = WORD.findall(text.lower())
     marks = [toxic and any(f in chosen for f in features(w)) for w in words]
     if not toxic:
         middle = len(words) // 2
@@ -113,6 +111,7 @@ class Field:
         self.bias, self.moves, self.weights = float(bias), np.asarray(moves, float), weights
         self.known: dict[str, float | None] = {}
         self.starts = frozenset(START(f[2:]) for f in weights)
+        self.first_bytes = frozenset(START(s.encode("utf-8", "surrogatepass")) for s in self.starts)
         self.step = np.exp(self.moves + np.array([0.0, self.bias]))  # past a featureless token
 
     def emission(self, word: str) -> float | None:
@@ -121,9 +120,9 @@ class Field:
             self.known[word] = sum(got) if got else None
         return self.known[word]
 
-    def may_emit(self, words: list[str]) -> bool:
-        """Whether any word has a feature: each feature's word begins with one of ``starts``."""
-        return not self.starts.isdisjoint(map(START, words))
+    def may_emit(self, lowered: str) -> bool:
+        """Whether any word may have a feature, judged by its first bytes."""
+        return not self.first_bytes.isdisjoint(map(START, byte_words(lowered)))
 
     def run(self, n: int) -> np.ndarray:
         """``step`` to the power n, scaled to a sum of one."""
@@ -269,9 +268,9 @@ def tag(text: str, field: Field, limit: float) -> tuple[float, list[tuple[int, i
     lowered = text.lower()
     if len(lowered) != len(text):  # a letter that changes its length: offsets need the text's own
         lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    words = TOKEN.findall(lowered)
-    if not field.may_emit(words):
+    if not field.may_emit(lowered):
         return 0.0, []
+    words = WORD.findall(lowered)
     found = [(i, field.emission(w)) for i, w in enumerate(words) if START(w) in field.starts]
     places = [i for i, e in found if e is not None]
     emissions, length = [e for _, e in found if e is not None], len(words)
@@ -280,7 +279,7 @@ def tag(text: str, field: Field, limit: float) -> tuple[float, list[tuple[int, i
     p = field.marginals(places, emissions, length)
     value = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
     offending = [place for place, x in zip(places, p) if x >= limit]
-    spots = [m.span() for m in TOKEN.finditer(lowered)] if offending else []
+    spots = [m.span() for m in WORD.finditer(lowered)] if offending else []
     return float(min(1.0, max(0.0, value))), [spots[i] for i in offending]
 
 
