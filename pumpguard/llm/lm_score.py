@@ -52,19 +52,32 @@ def _word_counts(batches):
     yield out()
 
 
-def _ids(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((ids.get(w, OTHER) for w in words), np.int64, len(words))
+def _id_rows(vocabulary: list[str]):
+    """Every text as the vocabulary numbers of its words, two bytes each."""
+    def run(batches):
+        ids = {w.encode("utf-8", "surrogatepass"): i + MARKS for i, w in enumerate(vocabulary)}
+        for batch in batches:
+            out = []
+            for text in batch.column(1):
+                words = tokens(text.as_py())
+                out.append(np.fromiter((ids.get(w, OTHER) for w in words), np.uint16,
+                                       len(words)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())],
+                                             names=["doc_id", "ids"])
+    return run
+
 
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16).astype(np.int64)
 
-def _pair_counts(vocabulary: list[str], size: int):
+
+def _pair_counts(size: int):
     def run(batches):
-        ids = {w.encode("utf-8", "surrogatepass"): i + MARKS for i, w in enumerate(vocabulary)}
         counts = np.zeros((2, size * size), np.int64)
         for batch in batches:
-            for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = tokens(text.as_py())
-                if words:
-                    now = _ids(words, ids)
+            for raw, target in zip(batch.column(0), batch.column(1).to_pylist()):
+                now = _numbers(raw.as_py())
+                if len(now):
                     pairs = np.concatenate(([BEGIN], now[:-1])) * size + now
                     seen, n = np.unique(pairs, return_counts=True)
                     counts[0, seen] += n
@@ -102,40 +115,37 @@ def _difference_rows(size: int, weight: float, unigrams: np.ndarray):
     return run
 
 
-def _scores(vocabulary: list[str], size: int, table):
+def _scores(size: int, table):
     def run(batches):
-        ids = {w.encode("utf-8", "surrogatepass"): i + MARKS for i, w in enumerate(vocabulary)}
         differences = np.frombuffer(table.value).reshape(size, size)
         for batch in batches:
             lengths, scores = [], []
-            for text in batch.column(1):
-                words = tokens(text.as_py())
-                lengths.append(len(words))
-                if words:
-                    now = _ids(words, ids)
-                    before = np.concatenate(([BEGIN], now[:-1]))
-                    scores.append(float(differences[before, now].sum()) / len(words))
-                else:
-                    scores.append(None)
+            for raw in batch.column(1):
+                now = _numbers(raw.as_py())
+                lengths.append(len(now))
+                before = np.concatenate(([BEGIN], now[:-1])) if len(now) else now
+                scores.append(float(differences[before, now].sum()) / len(now) if len(now) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lengths, pa.int64()), pa.array(scores, pa.float64())],
                 names=["doc_id", "n_tokens", "score"])
     return run
 
 
-def difference_table(texts: DataFrame, vocabulary_size: int = VOCABULARY, weight: float = WEIGHT
-                     ) -> tuple[list[str], np.ndarray]:
-    """The vocabulary and the square table of loss differences, from all rows of ``texts``
-    (text, target boolean). Counts are summed where the rows lie, then by key; what reaches the
-    driver is bounded by the vocabulary: its words, two counts each, and one row of the table
-    for each context word."""
-    words = texts.select("text").mapInArrow(_word_counts, "word string, n long")
+def vocabulary_of(texts: DataFrame, size: int) -> list[str]:
+    """The most frequent words of all rows of ``texts`` (text), as many as the marks leave room
+    for; a tie goes to the first in order."""
+    words = texts.mapInArrow(_word_counts, "word string, n long")
     top = (words.groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(vocabulary_size - MARKS).collect())
-    vocabulary, size = [r["word"] for r in top], vocabulary_size
-    pairs = (texts.select("text", "target")
-             .mapInArrow(_pair_counts(vocabulary, size),
-                         "u int, v int, background long, target long")
+           .orderBy(F.desc("n"), "word").limit(size - MARKS).collect())
+    return [r["word"] for r in top]
+
+
+def difference_table(rows: DataFrame, size: int, weight: float = WEIGHT) -> np.ndarray:
+    """The square table of loss differences, from all ``rows`` (ids, target boolean). Counts are
+    summed where the rows lie, then by key; what reaches the driver is bounded by the
+    vocabulary: two counts for each word and one row of the table for each context word."""
+    pairs = (rows.select("ids", "target")
+             .mapInArrow(_pair_counts(size), "u int, v int, background long, target long")
              .groupBy("u", "v").agg(F.sum("background").alias("background"),
                                     F.sum("target").alias("target")))
     pairs = written(pairs, "lm-pairs")
@@ -147,12 +157,12 @@ def difference_table(texts: DataFrame, vocabulary_size: int = VOCABULARY, weight
                                         .alias("c"))  # at most one entry for each word
     by_context = by_context.select("u", F.col("c.v").alias("v"), F.col("c.background").alias("b"),
                                    F.col("c.target").alias("t"))
-    rows = by_context.mapInArrow(_difference_rows(size, weight, unigrams), "u int, row binary")
+    lines = by_context.mapInArrow(_difference_rows(size, weight, unigrams), "u int, row binary")
     single = (unigrams + 1.0) / (unigrams.sum(axis=1, keepdims=True) + (size - 1))
     table = np.tile(np.log(single[0]) - np.log(single[1]), (size, 1))
-    for r in rows.collect():
+    for r in lines.collect():
         table[r["u"]] = np.frombuffer(r["row"])
-    return vocabulary, table
+    return table
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -171,12 +181,17 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .filter("_good"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    texts = slim.join(good, F.col("doc_id") == F.col("_id"), "left").select(
-        "text", F.col("_good").isNotNull().alias("target"))
-    vocabulary, table = difference_table(texts, vocabulary_size, weight)
+    if not MARKS < vocabulary_size <= 1 << 16:
+        raise ValueError("a vocabulary number has two bytes")
+    vocabulary = vocabulary_of(slim.select("text"), vocabulary_size)
+    rows = written(slim.mapInArrow(_id_rows(vocabulary), "doc_id long, ids binary"), "lm-ids")
+    # numbers, not texts, are shuffled to their labels, by the same plan at every size
+    marked = rows.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select(
+        "ids", F.col("_good").isNotNull().alias("target"))
+    table = difference_table(marked, vocabulary_size, weight)
     # vocabulary_size squared doubles: 32 MB for 2048, whatever the corpus
     shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
-    scored = slim.mapInArrow(_scores(vocabulary, vocabulary_size, shared),
+    scored = rows.mapInArrow(_scores(vocabulary_size, shared),
                              "doc_id long, n_tokens long, score double")
     return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"),
                          F.coalesce(F.round("score", 6) < 0, F.lit(False)).alias("in_target"))
