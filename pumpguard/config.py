@@ -25,6 +25,7 @@ class Settings:
     shuffle_partitions: int = 0             # 0 = leave the session's value
     max_partition_bytes: str = ""           # file split size, e.g. "256m" ("" = Spark default)
     advisory_partition_bytes: str = "256m"  # AQE target size of a shuffle partition
+    state_partitions: int = 64              # state-store partitions, fixed at a stream's first start
     kafka_min_partitions: int = 0           # split Kafka partitions over more tasks (0 = 1:1)
 
     @classmethod
@@ -47,6 +48,7 @@ class Settings:
             max_partition_bytes=env.get("PG_MAX_PARTITION_BYTES", cls.max_partition_bytes),
             advisory_partition_bytes=env.get("PG_ADVISORY_PARTITION_BYTES",
                                              cls.advisory_partition_bytes),
+            state_partitions=int(env.get("PG_STATE_PARTITIONS", cls.state_partitions)),
             kafka_min_partitions=int(env.get("PG_KAFKA_MIN_PARTITIONS",
                                              cls.kafka_min_partitions)),
         )

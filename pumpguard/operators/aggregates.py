@@ -159,7 +159,8 @@ def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 min
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
                                          F.col(d).cast("string").alias("value"))
                                 for d in dims])).alias("_p")
-    ex = df.select(F.col(ts_col), pairs).select(ts_col, "_p.dimension", "_p.value")
+    ex = (df.select(F.col(ts_col), pairs).select(ts_col, "_p.dimension", "_p.value")
+          .filter(F.col("value").isNotNull()))     # a missing value is no entity
     if delay:                                # streaming: event-time watermark for the windows
         ex = ex.withWatermark(ts_col, delay)
     out = (ex.groupBy(_window_col(ts_col, size, slide).alias("window"), "dimension", "value")

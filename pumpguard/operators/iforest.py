@@ -19,10 +19,12 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,9 @@ from pyspark.sql import types as T
 from pumpguard.operators.features import FEATURE_COLS
 from pumpguard.operators.stats import exact_percentile
 
+# workers need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
@@ -187,15 +192,12 @@ def score_forest(features: DataFrame, nodes: DataFrame, psi: int,
     cols = list(cols)
     spark = features.sparkSession
     forest = Forest(nodes.toPandas(), psi)       # bounded: n_trees * (2 psi - 1) rows
-    try:
-        bc = spark.sparkContext.broadcast(forest)
-        get = lambda: bc.value
-    except Exception:  # noqa: BLE001 - Spark Connect: ship the (bounded) forest in the closure
-        get = lambda: forest
+    bc = spark.sparkContext.broadcast(forest.__dict__)   # plain arrays
     out_schema = T.StructType(features.schema.fields + [T.StructField("_raw", T.DoubleType())])
 
     def apply(batches):
-        fo = get()
+        fo = Forest.__new__(Forest)
+        fo.__dict__.update(bc.value)
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=float)
             yield pdf.assign(_raw=fo.score_samples(X) if len(pdf) else np.zeros(0))

@@ -154,13 +154,7 @@ def operator_performance(silver: DataFrame, dims: Sequence[str] = ROUTE_DIMS,
     return out.withColumn("delivery_rate", safe_rate("delivered", "requested", 4))
 
 
-def route_enrichment(df: DataFrame, route_dim: DataFrame,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Left join to a (mcc, mnc, ...) route dimension.
-
-    The dimension is broadcast only when its row count is proven under ``max_broadcast_rows``
-    (a routing table is a few thousand rows); otherwise the join is left to Catalyst/AQE."""
-    n = route_dim.count()
-    dim = F.broadcast(route_dim) if n <= max_broadcast_rows else route_dim
-    return df.join(dim, ["mcc", "mnc"], "left")
-
+def route_enrichment(df: DataFrame, route_dim: DataFrame) -> DataFrame:
+    """Left join to a (mcc, mnc, ...) route dimension; Catalyst broadcasts it if its bytes are
+    under the session's threshold."""
+    return df.join(route_dim, ["mcc", "mnc"], "left")

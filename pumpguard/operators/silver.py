@@ -16,8 +16,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
 
     Without ``order_by`` any row of a key survives (``dropDuplicates``). With ``order_by`` the
     survivor is deterministic: the row with the largest (``latest``) or smallest ordering tuple,
-    ties broken by the remaining columns. Both forms are hash aggregates with a map-side partial
-    step, so a key holding a third of the rows collapses to one row per map task before the
+    ties broken by the remaining columns. Both forms are sort aggregates with a map-side partial
+    step (the sort order is reused by joins on the keys), so a key holding a third of the rows collapses to one row per map task before the
     shuffle (a ``row_number`` window would send the whole hot key to one task).
     """
     keys = list(keys)

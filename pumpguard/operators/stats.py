@@ -2,9 +2,8 @@
 
 ``kth_smallest`` narrows a value range by histogram refinement: each round is one distributed
 aggregate returning at most ``buckets`` rows (count, min, max per bucket); the bucket holding
-the wanted rank becomes the next range. A bucket is fetched only once it holds at most
-``fetch_limit`` rows or a single distinct value, so the driver never receives more than a
-bounded number of values, however skewed the data is.
+the wanted rank becomes the next range, until that bucket holds a single distinct value. The
+driver receives bucket counts only, however many values there are and however skewed.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 4096,
-                 fetch_limit: int = 50_000, n: int | None = None) -> float:
+                 n: int | None = None) -> float:
     """The value at 0-based rank ``k`` of the non-NULL values of ``col``.
 
     Cache or checkpoint ``df`` first when it is expensive: every round rescans it."""
@@ -26,9 +25,6 @@ def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 4096,
         n = base.count()
     if not 0 <= k < n:
         raise ValueError(f"rank {k} outside 0..{n - 1}")
-    if n <= fetch_limit:
-        vals = sorted(r[0] for r in base.collect())
-        return vals[k]
     stats = base.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
     lo, hi = float(stats["lo"]), float(stats["hi"])
     below = 0
@@ -47,9 +43,6 @@ def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 4096,
             if cum + r["c"] > k:
                 if r["mn"] == r["mx"]:
                     return float(r["mn"])
-                if r["c"] <= fetch_limit:
-                    vals = sorted(v[0] for v in sub.filter(b == F.lit(r["b"])).collect())
-                    return vals[k - cum]
                 lo, hi, below = float(r["mn"]), float(r["mx"]), cum
                 break
             cum += r["c"]
@@ -65,11 +58,6 @@ def exact_percentile(df: DataFrame, col: str, q: float, **kw) -> float:
         return float("nan")
     pos = q * (n - 1)
     i, j = math.floor(pos), math.ceil(pos)
-    if n <= kw.get("fetch_limit", 50_000):
-        # few values: one bounded fetch serves both ranks
-        vals = sorted(r[0] for r in df.filter(x.isNotNull()).select(x.cast("double")).collect())
-        a, b = vals[i], vals[j]
-    else:
-        a = kth_smallest(df, col, i, n=n, **kw)
-        b = a if j == i else kth_smallest(df, col, j, n=n, **kw)
+    a = kth_smallest(df, col, i, n=n, **kw)
+    b = a if j == i else kth_smallest(df, col, j, n=n, **kw)
     return a if j == i else a + (b - a) * (pos - i)

@@ -17,8 +17,9 @@ from pumpguard.operators import marts as M
 from pumpguard.operators import quality as Q
 from pumpguard.operators.features import entity_features
 from pumpguard.operators.iforest import score_anomalies
-from pumpguard.operators.silver import build_silver
-from pumpguard.sinks.writers import replace_table, write_anomalies
+from pumpguard.operators.silver import build_silver, dedupe
+from pumpguard.sinks.writers import (ensure_namespace, switch_days, switch_folder,
+                                     with_event_date, write_anomalies)
 
 
 @dataclass
@@ -28,61 +29,112 @@ class Layout:
     out_root: str = ""
     catalog: str = ""
     tables: dict = field(default_factory=lambda: {
-        "silver": "silver.events", "delivery_funnel": "gold.delivery_funnel",
+        "silver": "silver.events", "silver_quarantine": "silver.quarantine",
+        "delivery_funnel": "gold.delivery_funnel",
         "latency_pct": "gold.latency_pct", "ait_loss": "gold.ait_loss",
         "fraud_daily": "gold.fraud_daily", "operator_performance": "gold.operator_performance",
     })
 
-    def write(self, spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    def table(self, name: str) -> str:
+        return f"{self.catalog}.{self.tables[name]}"
+
+    def path(self, name: str) -> str:
+        return f"{self.out_root.rstrip('/')}/{name}"
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.table(self.table(name)) if self.catalog else spark.read.parquet(self.path(name))
+
+    def write(self, spark: SparkSession, df: DataFrame, name: str, check=None,
+              partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Rebuild a layer: write it beside the old one, run ``check`` (it raises on a failure),
+        then switch. The old layer stays readable until the switch, whatever fails before."""
         if self.catalog:
-            t = f"{self.catalog}.{self.tables[name]}"
-            from pumpguard.sinks.writers import ensure_namespace
+            t = self.table(name)
             ensure_namespace(spark, t.rsplit(".", 1)[0])
-            replace_table(df, t, v2=True)
-            return spark.table(t)
-        path = f"{self.out_root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    def write_days(self, spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-        """Replace only the ``event_date`` partitions present in ``df``."""
+            staged = f"{t}__staging"
+            w = df.writeTo(staged)
+            (w.partitionedBy(*[F.col(c) for c in partition_by]) if partition_by else w).createOrReplace()
+            if check:
+                check()
+            # atomic on a v2 catalog, and read from what was checked
+            w = spark.table(staged).writeTo(t)
+            (w.partitionedBy(*[F.col(c) for c in partition_by]) if partition_by else w).createOrReplace()
+            spark.sql(f"DROP TABLE {staged}")
+        else:
+            staged = f"{self.path(name)}__staging"
+            w = df.write.mode("overwrite")
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+            if check:
+                check()
+            switch_folder(spark, staged, self.path(name))
+        return self.read(spark, name)
+
+    def write_days(self, spark: SparkSession, df: DataFrame, name: str, days: tuple[str, str],
+                   check=None) -> DataFrame:
+        """Replace the ``event_date`` partitions from the first to the last of ``days``, staged
+        and checked as in ``write``; a day without rows becomes empty, other days are kept."""
         if self.catalog:
-            t = f"{self.catalog}.{self.tables[name]}"
-            df.writeTo(t).overwritePartitions()
-            return spark.table(t)
-        path = f"{self.out_root.rstrip('/')}/{name}"
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_date").parquet(path))
-        return spark.read.parquet(path)
+            t = self.table(name)
+            staged = f"{t}__staging"
+            df.writeTo(staged).createOrReplace()
+            if check:
+                check()
+            first, last = (F.lit(d).cast("date") for d in days)
+            spark.table(staged).writeTo(t).overwrite(F.col("event_date").between(first, last))
+            spark.sql(f"DROP TABLE {staged}")
+        else:
+            staged = f"{self.path(name)}__staging"
+            df.write.mode("overwrite").partitionBy("event_date").parquet(staged)
+            if check:
+                check()
+            switch_days(spark, staged, self.path(name), "event_date", days)
+        return self.read(spark, name)
 
 
 def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
                verification: DataFrame, layout: Layout,
                dedupe_children: bool = True, days: tuple[str, str] | None = None) -> DataFrame:
-    """Bronze -> Silver (latest child per request by default in the job), written and read
-    back. The Silver expectations ride on the write as an ``Observation`` (no extra pass);
-    a failure raises before any mart is built.
-
-    ``days=(first, last)`` (ISO dates, inclusive) makes the run incremental: the Bronze inputs
-    are filtered on their day partition (pruned at the scan), the children one day further
-    (a request late in the day is delivered / verified after midnight), and only those Silver
-    day partitions are replaced (dynamic partition overwrite); the rest of Silver is kept."""
+    """Bronze -> Silver, written partitioned by ``event_date`` (in full and daily runs alike)
+    and read back. The expectations ride on the staged write as an ``Observation``; a failure
+    raises before the old Silver is replaced.
+
+    A request belongs to the day it was first seen (earliest ``event_ts``, then the smallest
+    row); the latest child per request counts. Requests without a usable event time have no day:
+    a full run writes them to the layer ``silver_quarantine``.
+
+    ``days=(first, last)`` (ISO dates, inclusive) rebuilds only these days, with the result a
+    full run has for them: requests already seen on an earlier day are left to that day (the ids
+    of earlier days are read for it, one column), and children are read from the first day on,
+    without an end, since a delivery or verification may come late."""
+    dated = "event_ts" in requests.columns or "event_date" in requests.columns
+    if "event_ts" in requests.columns and "event_date" not in requests.columns:
+        requests = with_event_date(requests)
     if days is not None:
         first, last = (F.lit(d).cast("date") for d in days)
-        requests = requests.filter(F.col("event_date").between(first, last))
-        nxt = F.date_add(last, 1)
-        delivery = delivery.filter(F.col("event_date").between(first, nxt))
-        verification = verification.filter(F.col("event_date").between(first, nxt))
+        before = requests.filter(F.col("event_date") < first).select("request_id")
+        requests = (requests.filter(F.col("event_date").between(first, last))
+                    .join(before, "request_id", "left_anti"))
+        delivery, verification = (
+            d.filter(F.col("event_date") >= first) if "event_date" in d.columns else d
+            for d in (delivery, verification))
+    elif dated:
+        lost = requests.filter(F.col("event_date").isNull())
+        layout.write(spark, lost, "silver_quarantine")
+        requests = requests.filter(F.col("event_date").isNotNull())
+    if "event_ts" in requests.columns:
+        requests = dedupe(requests, ["request_id"], ["event_ts"], latest=False)
     silver = build_silver(requests, delivery, verification, dedupe_children=dedupe_children)
     observed, obs = Q.observe_silver(silver)
+
+    def check():
+        res = Q.observed_result(obs)
+        if not res["ok"]:
+            raise AssertionError(f"silver checks failed: {res['failures']}")
+    if dated:  # a day's rows are dealt over tasks by AQE, and written by few of them
+        observed = observed.hint("rebalance", "event_date")
     if days is not None:
-        out = layout.write_days(spark, observed, "silver")
-    else:
-        out = layout.write(spark, observed, "silver")
-    res = Q.observed_result(obs)
-    if not res["ok"]:
-        raise AssertionError(f"silver checks failed: {res['failures']}")
-    return out
+        return layout.write_days(spark, observed, "silver", days, check)
+    return layout.write(spark, observed, "silver", check, ("event_date",) if dated else ())
 
 
 def build_marts(spark: SparkSession, silver: DataFrame, layout: Layout,

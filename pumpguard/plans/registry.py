@@ -108,6 +108,19 @@ def q_silver_events(spark, sf_dir):
     return silver(spark, sf_dir)
 
 
+@query("silver_job_full_then_days")
+def q_silver_job_full_then_days(spark, sf_dir):
+    """The Silver job: a full run, then a rerun of its last day; the layer as it is read back."""
+    from pumpguard.plans.jobs import Layout, run_silver
+    from pumpguard.session import scratch_path
+    ev = events(spark, sf_dir)
+    inputs = (FX.requests(ev), FX.delivery(ev), FX.verification(ev))
+    layout = Layout(out_root=scratch_path(spark, "silver-job"))
+    full = run_silver(spark, *inputs, layout)
+    day = str(full.agg(F.max("event_date")).first()[0])
+    return run_silver(spark, *inputs, layout, days=(day, day))
+
+
 @query("verified_membership")
 def q_verified_membership(spark, sf_dir):
     ev = events(spark, sf_dir)
@@ -297,6 +310,7 @@ def q_anomaly_scores_by_range(spark, sf_dir):
 # outputs filter it by key).
 
 END_OF_REPLAY = "__end_of_replay__"
+REPLAY_STATE = 8               # state partitions of a replay
 LANDING_FORMAT = "json"        # message files (key, JSON value, arrival time) of a replay
 END_TS = "2100-01-01T00:00:00.000000+00:00"
 
@@ -378,7 +392,8 @@ def q_stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe-replay")
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
-    _await(land_stream(dedupe_stream(req, ["request_id"]), f"{root}/ckpt", f"{root}/out"))
+    _await(land_stream(dedupe_stream(req, ["request_id"]), f"{root}/ckpt", f"{root}/out",
+                       n_state=REPLAY_STATE))
     out = spark.read.parquet(f"{root}/out")
     return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY))
 
@@ -392,7 +407,8 @@ def q_stream_windowed_aggregate(spark, sf_dir):
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     agg = windowed_aggregate(req, "5 minutes")
-    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
+    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out",
+                       n_state=REPLAY_STATE))
     return _ntz(spark.read.parquet(f"{root}/out"))
 
 
@@ -405,7 +421,8 @@ def q_stream_sliding_msisdn_max(spark, sf_dir):
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     agg = windowed_aggregate(req, "1 hour", "30 minutes", msisdn_max=True)
-    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out"))
+    _await(land_stream(agg, f"{root}/ckpt", f"{root}/out",
+                       n_state=REPLAY_STATE))
     return _ntz(spark.read.parquet(f"{root}/out"))
 
 
@@ -421,7 +438,8 @@ def q_stream_fraud_alerts(spark, sf_dir):
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     ver, _ = _stream_source(spark, f"{root}/landing", "verification")
     scored = fraud_stream(req, ver, size="1 day", cfg=DAILY_CFG)
-    _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt"))
+    _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt",
+                        n_state=REPLAY_STATE))
     return _ntz(spark.read.parquet(f"{root}/alerts").drop("batch_id", "created_at"))
 
 
@@ -433,7 +451,8 @@ def q_stream_micro_batch_scoring(spark, sf_dir):
     root = scratch_path(spark, "microbatch-replay")
     land_messages(spark, sf_dir, f"{root}/landing", end_marker=False, only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
-    _await(for_each_batch(req, score_micro_batch(f"{root}/out"), f"{root}/ckpt"))
+    _await(for_each_batch(req, score_micro_batch(f"{root}/out"), f"{root}/ckpt",
+                          n_state=REPLAY_STATE))
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
@@ -474,9 +493,26 @@ def q_compact_preserves_rows(spark, sf_dir):
     return spark.read.parquet(dest)
 
 
+@query("compact_streamed_bronze")
+def q_compact_streamed_bronze(spark, sf_dir):
+    """Bronze landed by a stream, compacted into another folder and read back."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import compact
+    from pumpguard.streaming.pipelines import run_bronze
+    root = scratch_path(spark, "bronze-compact")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
+    _await(run_bronze(spark, f"{root}/out", f"{root}/ckpt", topics=("requests",),
+                      landing_root=f"{root}/landing", fmt=LANDING_FORMAT))
+    dest = compact(spark, f"{root}/out/bronze/requests", target_path=f"{root}/compacted")
+    out = spark.read.parquet(dest)
+    return _ntz(out.filter(F.col("request_id") != END_OF_REPLAY).drop("event_date"))
+
+
 @query("alerts_jdbc_roundtrip")
 def q_alerts_jdbc_roundtrip(spark, sf_dir):
-    """Alerts written through the JDBC sink and read back with a partitioned JDBC scan
+    """Local only (an in-memory database that one process sees).
+
+    Alerts written through the JDBC sink and read back with a partitioned JDBC scan
     (embedded in-memory Derby: in-process, no server)."""
     import uuid
     from pumpguard.sinks.writers import write_jdbc
@@ -512,6 +548,7 @@ def q_stream_update_alerts(spark, sf_dir):
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     scored = score_stream(windowed_aggregate(req, "1 day"), CFG)
     _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt",
+                        n_state=REPLAY_STATE,
                         mode="update"))
     return _ntz(latest_alerts(spark, f"{root}/alerts").drop("batch_id", "created_at"))
 
@@ -527,6 +564,7 @@ def q_stream_velocity_by_dimension(spark, sf_dir):
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     vel = A.velocity_by(dedupe_stream(req), ("msisdn", "ip", "enterprise_id", "number_range"),
                         "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling)
-    _await(land_stream(vel, f"{root}/ckpt", f"{root}/out"))
+    _await(land_stream(vel, f"{root}/ckpt", f"{root}/out",
+                       n_state=REPLAY_STATE))
     # the end-of-input message's windows never close, so nothing of it is emitted
     return _ntz(spark.read.parquet(f"{root}/out"))

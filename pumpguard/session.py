@@ -71,32 +71,25 @@ def catalog_conf(s: Settings) -> dict:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder created and
-    registered, so ``DataFrame.checkpoint()`` and streaming checkpoints work.
+    Only in local mode, where one machine is everything, is a private folder made when the
+    session names none; on a cluster that is an error, because executors would not share it.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is the source
-        sc = None
-    d = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not is_local(sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="pumpguard-ckpt-")
             spark.conf.set("spark.checkpoint.dir", d)
-        if sc is not None:
-            sc.setCheckpointDir(d)
-            d = sc.getCheckpointDir() or d
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
     return d
 
 
-def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
-    """Total task slots of the cluster (``defaultParallelism``)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - Spark Connect
-        v = spark.conf.get("spark.default.parallelism", None)
-        return int(v) if v else fallback
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

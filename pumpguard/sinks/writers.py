@@ -21,12 +21,73 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str, v2: bool = False) -> None:
-    """Full rebuild; the old content is gone only after the new write succeeded.
-    ``v2=True`` uses ``writeTo().createOrReplace()`` (atomic on a v2 catalog such as Iceberg)."""
+    """Full rebuild. ``v2=True`` uses ``writeTo().createOrReplace()`` (atomic on a v2 catalog such
+    as Iceberg); otherwise the new content is written to a table beside the old one, which is
+    replaced by renaming only after that write succeeded."""
     if v2:
         df.writeTo(name).createOrReplace()
-    else:
-        df.write.mode("overwrite").saveAsTable(name)
+        return
+    spark, staged, old = df.sparkSession, f"{name}__staging", f"{name}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    df.write.saveAsTable(staged)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def _rename(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"could not rename {a} to {b}")
+
+
+def switch_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished folder ``staged`` in the place of ``path``. The old folder is moved aside
+    first and deleted last; when the second move fails it is moved back."""
+    fs, new = _folder(spark, staged)
+    target = _folder(spark, path)[1]
+    old = _folder(spark, f"{path.rstrip('/')}__old")[1]
+    fs.delete(old, True)
+    had = fs.exists(target)
+    if had:
+        _rename(fs, target, old)
+    try:
+        _rename(fs, new, target)
+    except Exception:
+        if had:
+            _rename(fs, old, target)
+        raise
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def switch_days(spark: SparkSession, staged: str, path: str, column: str,
+                days: tuple[str, str]) -> None:
+    """Replace the day folders ``column=first .. last`` of ``path`` by those of ``staged``."""
+    fs, new = _folder(spark, staged)
+    target = _folder(spark, path)[1]
+    fs.mkdirs(target)
+    Path, prefix = spark._jvm.org.apache.hadoop.fs.Path, f"{column}="
+    for d in [s.getPath() for s in fs.listStatus(target)]:
+        if d.getName().startswith(prefix) and days[0] <= d.getName()[len(prefix):] <= days[1]:
+            fs.delete(d, True)
+    for d in [s.getPath() for s in fs.listStatus(new)]:
+        if d.getName().startswith(prefix):
+            _rename(fs, d, Path(target, d.getName()))
+    fs.delete(new, True)
+    spark.catalog.refreshByPath(path)
 
 
 def with_event_date(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
@@ -73,26 +134,27 @@ def write_bucketed(df: DataFrame, table: str, key: str = "request_id", buckets:
 
 def compact(spark: SparkSession, path: str, target_path: str | None = None,
             rows_per_file: int = 5_000_000, partition_col: str = "event_date",
-            where: str | None = None, max_partitions_broadcast: int = 100_000) -> str:
+            where: str | None = None) -> str:
     """Rewrite a (streamed, small-file) partitioned directory into right-sized files.
 
     Same rows. Each partition value gets ceil(rows / ``rows_per_file``) files: the per-value
-    row counts come from one aggregate (a row per partition value: days, so a bounded table,
-    broadcast only after its size is checked), and rows are spread over their value's files by
-    a content hash. Only the selected partitions (``where``) are rewritten; dynamic partition
-    overwrite leaves the others untouched. Writing to a separate ``target_path`` and swapping
-    is the safe default for a path-based table."""
+    row counts come from one aggregate (a row per partition value), and rows are spread over
+    their value's files by a content hash. Only the selected partitions (``where``) are
+    rewritten; dynamic partition overwrite leaves the others untouched. A folder that a stream
+    writes keeps a log of its files, which a rewrite in place would break: such a folder needs a
+    separate ``target_path``."""
+    in_place = target_path is None or target_path.rstrip("/") == path.rstrip("/")
+    if in_place and folder_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} is written by a stream: compact it to another target_path")
     df = spark.read.parquet(path)
     if where:
         df = df.filter(where)
     cols = df.columns
     per_value = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_rows"))
-                 .select(partition_col, F.greatest(F.lit(1), F.ceil(F.col("_rows")
+                 .select(F.col(partition_col).alias("_value"), F.greatest(F.lit(1), F.ceil(F.col("_rows")
                                                                     / F.lit(rows_per_file)))
                          .cast("int").alias("_files")))
-    n_values = per_value.count()
-    dim = F.broadcast(per_value) if n_values <= max_partitions_broadcast else per_value
-    sized = df.join(dim, partition_col, "left")
+    sized = df.join(per_value, F.col(partition_col).eqNullSafe(F.col("_value")), "left")
     out = (sized.repartition(partition_col, _salt(df, F.col("_files")).alias("_s"))
            .select(*cols))
     dest = target_path or path
@@ -136,17 +198,45 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
      .jdbc(url, table, properties=dict(properties or {})))
 
 
+def delete_batch(spark: SparkSession, url: str, table: str, batch_id: int,
+                 properties: dict | None = None) -> None:
+    """Remove the rows of one micro-batch from a table, if it exists (before a replayed batch
+    writes them again)."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        plain = table.split(".")[-1].strip('"')
+        found = any(connection.getMetaData().getTables(None, None, name, None).next()
+                    for name in {plain, plain.upper(), plain.lower()})
+        if found:
+            connection.createStatement().executeUpdate(
+                f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}")
+            if not connection.getAutoCommit():
+                connection.commit()
+    finally:
+        connection.close()
+
+
+def alerts_only(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("severity") != "low")
+
+
 @dataclass
 class AlertSink:
-    """Where alerts go. ``kind``: 'parquet' (path, partitioned by batch_id: idempotent on replay)
-    or 'jdbc' (append; at-least-once on replay, rows carry batch_id and the alert key so a
-    serving-side merge can drop repeats)."""
+    """Where alerts go. ``kind``: 'parquet' (path, partitioned by batch_id) or 'jdbc' (rows carry
+    batch_id). Both are idempotent on replay: a batch first removes what it wrote before.
+    ``all_versions`` keeps rows of severity low too, so that an alert that falls back to low
+    replaces its earlier version when the versions are merged (``latest_alerts``)."""
 
     kind: str = "parquet"
     path: str = ""
     url: str = ""
     table: str = "fraud_alerts"
     properties: dict = field(default_factory=dict)
+    all_versions: bool = False
     topic: str = ""                 # also publish each alert as (key, JSON) to this topic ...
     topic_bootstrap: str = ""       # ... on Kafka
     topic_path: str = ""            # ... or as JSON files (offline), per batch id
@@ -159,12 +249,13 @@ class AlertSink:
             rows = rows.persist()    # one micro-batch feeds two writes: compute it once
         try:
             if self.kind == "jdbc":
+                delete_batch(alerts.sparkSession, self.url, self.table, batch_id, self.properties)
                 write_jdbc(rows, self.url, self.table, self.properties)
             else:
                 (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(self.path))
             if publish_too:
-                msgs = to_alert_messages(rows.drop("batch_id", "created_at"))
+                msgs = to_alert_messages(alerts_only(rows).drop("batch_id", "created_at"))
                 if self.topic_bootstrap:
                     publish(msgs, self.topic, bootstrap=self.topic_bootstrap)
                 else:
@@ -178,9 +269,10 @@ class AlertSink:
 
 
 def write_alerts(sink: AlertSink):
-    """A ``foreachBatch`` function: keep severity <> 'low' and write through ``sink``."""
+    """A ``foreachBatch`` function: write through ``sink``, without severity 'low' unless the
+    sink keeps all versions."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        sink.write(df.filter(F.col("severity") != "low"), batch_id)
+        sink.write(df if sink.all_versions else alerts_only(df), batch_id)
     return fn
 
 

@@ -6,38 +6,42 @@ and a trigger (``available_now`` for bounded replays, a processing-time interval
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pumpguard.config import RuleConfig, Settings
 from pumpguard.functions.columns import number_range, to_event_time
 from pumpguard.operators.aggregates import FRAUD_KEYS, score_aggregates
 from pumpguard.schemas import SCHEMAS, TOPICS
-from pumpguard.sinks.writers import AlertSink, write_alerts
+from pumpguard.sinks.writers import AlertSink, alerts_only, write_alerts
 from pumpguard.sources.readers import parse_json, read_stream
 
 
+_STARTING = threading.Lock()
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
     """Number of state-store partitions for stateful queries started inside the block.
 
     A stateful stream fixes its partition count in the checkpoint at the first batch and AQE
-    cannot coalesce it, so it is sized to the cluster (default: total executor cores) rather
-    than inherited from the batch default. The query clones the session conf at ``start()``,
-    so the setting is restored right after."""
-    from pumpguard.session import default_parallelism
+    cannot coalesce it, so it is a setting of its own (``Settings.state_partitions``, a stated
+    default, whatever executors happen to be there at the start). The query clones the session
+    conf at ``start()``, so the setting is restored right after; starts wait for each other."""
     key = "spark.sql.shuffle.partitions"
-    n = n or default_parallelism(spark)
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    n = n or Settings.from_env().state_partitions
+    with _STARTING:
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(n))
+        try:
+            yield
+        finally:
+            spark.conf.set(key, old)
 
 
 def _start(writer, spark: SparkSession, n: int | None, path: str | None = None,
@@ -85,7 +89,7 @@ def run_bronze(spark: SparkSession, out_root: str, checkpoint_root: str,
 
     Bronze is partitioned by ``event_date`` (day of the event time) so later reads prune by
     day; the many small files a stream writes are merged by ``sinks.writers.compact``."""
-    s = settings or Settings()
+    s = settings or Settings.from_env()
     queries = []
     for t in topics:
         src = f"{landing_root.rstrip('/')}/{t}" if landing_root else None
@@ -225,15 +229,38 @@ def score_micro_batch(sink_path: str, cfg: RuleConfig = RuleConfig(),
     return fn
 
 
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped behind the watermark, by query id, over a query's whole life (a query
+    itself remembers its last batches only). ``spark.streams.addListener(LateRows())`` before
+    the query starts."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + _dropped(event.progress)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def _dropped(progress) -> int:
+    ops = progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators
+    return sum(int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
+                    else op.numRowsDroppedByWatermark) or 0) for op in ops)
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark, summed over the query's recent progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
-                else op.numRowsDroppedByWatermark
-            total += int(n or 0)
-    return total
+    """Rows dropped behind the watermark in the batches that the query still remembers (the
+    last hundred by default); ``LateRows`` counts all."""
+    return sum(_dropped(p) for p in query.recentProgress)
 
 
 def for_each_batch(df: DataFrame, fn, checkpoint: str, trigger: str | None = "available_now",
@@ -261,9 +288,10 @@ def publish_stream(alerts: DataFrame, checkpoint: str, topic: str = "otp.alerts"
 
 def latest_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Alerts written in update mode (one row per changed window and batch) reduced to the latest
-    version per alert key: the keyed merge that keeps repeated updates from double counting."""
+    version per alert key: the keyed merge that keeps repeated updates from double counting. An
+    alert whose latest version is low is gone (a sink with ``all_versions`` keeps that one)."""
     from pumpguard.operators.silver import dedupe
     from pumpguard.schemas import ALERT_KEY
     df = spark.read.parquet(path)
     keys = [k for k in ALERT_KEY if k in df.columns]
-    return dedupe(df, keys, ["batch_id"], latest=True)
+    return alerts_only(dedupe(df, keys, ["batch_id"], latest=True))

@@ -356,6 +356,7 @@ def streaming_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     base = oracle_sql()
     q["stream_bronze_landing"] = base["parse_requests"]
+    q["compact_streamed_bronze"] = base["parse_requests"]
     q["stream_bronze_quarantine"] = base["quarantine_requests"]
     q["stream_dedupe"] = BINDING + f", {_PARSED} SELECT DISTINCT * EXCLUDE (number_range) FROM parsed"
     q["stream_windowed_aggregate"] = BINDING + f", {_PARSED}" + """
@@ -441,4 +442,5 @@ SELECT *, CAST(event_ts AS DATE) AS event_date FROM silver"""
     q["alerts_jdbc_roundtrip"] = _with(_AGG_SILVER, _SCORED) + """
 SELECT enterprise_id, number_range, mcc, mnc, requests, score, severity
 FROM scored WHERE severity <> 'low'"""
+    q["silver_job_full_then_days"] = q["compact_preserves_rows"]
     return q

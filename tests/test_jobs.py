@@ -96,7 +96,7 @@ def test_run_silver_stops_on_failed_checks(spark, scratch):
 
 
 def test_e2e_normal_traffic_gives_no_high_alert(spark):
-    """Port of the reference's smoke pair: AIT traffic gives a high alert, normal traffic none."""
+    """AIT traffic gives a high alert, normal traffic none."""
     from pumpguard.operators.aggregates import fraud_aggregate, score_aggregates
     from pumpguard.operators.silver import build_silver
     ev = FX.read_events(spark, SF)
@@ -166,3 +166,103 @@ def test_run_anomaly_appends_to_jdbc(spark):
     assert back.count() == scored.filter("is_anomaly").count() > 0
     assert {c.lower() for c in back.columns} >= {"enterprise_id", "requests", "verify_rate",
                                                  "anomaly_score", "scored_at"}
+
+
+def _dated_inputs(spark):
+    req = spark.createDataFrame(
+        [("a", "5501990001", "2024-01-04 23:59:00"), ("b", "5501990002", "2024-01-05 10:00:00"),
+         ("a", "5501990001", "2024-01-05 00:01:00"), ("c", "5501990003", "2024-01-06 10:00:00"),
+         ("d", "5501990004", None)], "request_id string, msisdn string, event_ts string")
+    dlv = spark.createDataFrame([("b", "delivered", 5, "2024-01-05 10:00:01")],
+                                "request_id string, status string, operator_latency_ms int, event_ts string")
+    ver = spark.createDataFrame([("b", "verified", 1, "2024-01-09 10:00:00")],   # days later
+                                "request_id string, outcome string, attempts int, event_ts string")
+    return [d.withColumn("event_ts", F.to_timestamp("event_ts")) for d in (req, dlv, ver)]
+
+
+def _rows(df):
+    return sorted(tuple(str(v) for v in r) for r in df.select(sorted(df.columns)).collect())
+
+
+def test_days_after_a_full_run_keep_the_layer(spark, scratch):
+    from pumpguard.plans.jobs import run_silver
+    layout, inputs = Layout(out_root=scratch), _dated_inputs(spark)
+    full = _rows(run_silver(spark, *inputs, layout))
+    assert len(full) == 3                                  # a once, b, c; d has no day
+    assert spark.read.parquet(f"{scratch}/silver_quarantine").count() == 1
+    for day in ("2024-01-05", "2024-01-04", "2024-01-07"):
+        assert _rows(run_silver(spark, *inputs, layout, days=(day, day))) == full
+
+
+def test_a_failing_rebuild_leaves_the_old_layer(spark, scratch):
+    import pytest
+    from pumpguard.plans.jobs import run_silver
+    layout, inputs = Layout(out_root=scratch), _dated_inputs(spark)
+    before = _rows(run_silver(spark, *inputs, layout))
+    broken = inputs[0].withColumn("msisdn", F.raise_error(F.lit("lost input")))
+    with pytest.raises(Exception, match="lost input"):
+        run_silver(spark, broken, *inputs[1:], layout)
+    unchecked = [inputs[0].withColumn("request_id", F.lit(None).cast("string")), *inputs[1:]]
+    with pytest.raises(AssertionError):
+        run_silver(spark, *unchecked, layout)
+    assert _rows(layout.read(spark, "silver")) == before
+
+
+def test_replace_table_keeps_the_old_table_when_the_write_fails(spark):
+    import pytest
+    from pumpguard.sinks.writers import replace_table
+    replace_table(spark.range(3), "pg_replaced")
+    with pytest.raises(Exception, match="no good"):
+        replace_table(spark.range(2).select(F.raise_error(F.lit("no good")).alias("id")), "pg_replaced")
+    assert spark.table("pg_replaced").count() == 3
+    replace_table(spark.range(5), "pg_replaced")
+    assert spark.table("pg_replaced").count() == 5
+    spark.sql("DROP TABLE pg_replaced")
+
+
+def test_a_streamed_folder_is_not_compacted_in_place(spark, scratch):
+    import pytest
+    from pumpguard.plans.registry import land_messages
+    from pumpguard.sinks.writers import compact
+    from pumpguard.streaming.pipelines import run_bronze
+    land_messages(spark, SF, f"{scratch}/landing", only=("requests",))
+    for q in run_bronze(spark, f"{scratch}/out", f"{scratch}/ck", topics=("requests",),
+                        landing_root=f"{scratch}/landing", fmt=LANDING_FORMAT):
+        q.awaitTermination()
+    path = f"{scratch}/out/bronze/requests"
+    n = spark.read.parquet(path).count()
+    with pytest.raises(ValueError):
+        compact(spark, path)
+    assert spark.read.parquet(compact(spark, path, target_path=f"{scratch}/c")).count() == n
+    assert spark.read.parquet(path).count() == n
+
+
+def test_state_partitions_do_not_follow_the_cluster(spark, scratch, monkeypatch):
+    from pumpguard.streaming.pipelines import state_partitions
+    key = "spark.sql.shuffle.partitions"
+    monkeypatch.setenv("PG_STATE_PARTITIONS", "24")
+    before = spark.conf.get(key)
+    with state_partitions(spark):
+        assert spark.conf.get(key) == "24"
+    assert spark.conf.get(key) == before
+
+
+def test_private_checkpoint_folder_only_in_local_mode():
+    from pumpguard.session import is_local
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("spark://h:7077")
+
+
+def test_alert_that_falls_back_to_low_is_withdrawn(spark, scratch):
+    from pumpguard.sinks.writers import AlertSink, write_alerts
+    from pumpguard.streaming.pipelines import latest_alerts
+    cols = ("window_start timestamp, window_end timestamp, enterprise_id string, number_range string, "
+            "mcc string, mnc string, requests long, score double, severity string")
+
+    def rows(severity, who="e"):
+        return spark.createDataFrame([(None, None, who, "550199", "1", "1", 5, 1.0, severity)], cols)
+    fn = write_alerts(AlertSink("parquet", path=scratch, all_versions=True))
+    fn(rows("high").union(rows("high", "f")), 0)
+    fn(rows("low"), 1)
+    fn(rows("low"), 1)                                     # replayed
+    assert [r["enterprise_id"] for r in latest_alerts(spark, scratch).collect()] == ["f"]

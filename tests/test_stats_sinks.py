@@ -10,9 +10,9 @@ def test_kth_smallest_with_refinement_and_ties(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(5)
     srt = np.sort(vals)
     for k in (0, 17, 2500, 3999, 5999):
-        assert kth_smallest(df, "x", k, buckets=16, fetch_limit=50) == srt[k]
+        assert kth_smallest(df, "x", k, buckets=16) == srt[k]
     for q in (0.1, 0.5, 0.999):
-        assert np.isclose(exact_percentile(df, "x", q, buckets=16, fetch_limit=50),
+        assert np.isclose(exact_percentile(df, "x", q, buckets=16),
                           np.percentile(vals, q * 100))
 
 
