@@ -111,11 +111,9 @@ RULES = [
     ("apache_name", "Apache-2.0", ("apache_name",)),
     ("proprietary", "All-Rights-Reserved", ("copyright", "all_rights")),
 ]
-#: Every known sentence holds one of these, so texts with none of them need no cutting.
-CUES = ("licens", "copyright", "permission", "redistribut", "software", "public domain",
-        "all rights reserved")
-#: A cue may be cut by white space or a sign in the text, never inside its letters.
-CUE = "(?i)licens|copyright|permission|redistribut|software|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+#: Every known sentence holds one of these, so texts with none of them need no cutting. A cue may
+#: be cut by white space or a sign in the text, never inside its letters.
+CUE = "(?i)licens|copyright|permission|redistribut|software|warranty|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 ENDS = "[.!?;:]+([ \\t\\n\\x0B\\f\\r]|$)"
 PARAGRAPH = "\\n[ \\t\\n\\x0B\\f\\r]*\\n"
 OTHER = "[^a-z0-9]+"

@@ -7,8 +7,9 @@ token, and of two neighbouring labels) is trained on these labelled tokens.
 
 Inference is exact: tokens without any learned feature all have the same potentials, so a run of
 them is one power of the transition matrix, and forward and backward messages are passed over
-the other tokens only. Marginals of those tokens give offending offsets and the score of the
-document, the probability that at least one of them is toxic.
+the other tokens only. Marginals of those tokens give offending offsets; their positive log odds
+add up to the evidence of the document, which a logistic curve fitted on the labelled documents
+turns into its score.
 """
 
 from __future__ import annotations
@@ -33,10 +34,11 @@ BY_CHANCE = 0.05
 FEWEST, MOST = 4, 30
 #: Telling features at most, those in most toxic documents first.
 MAX_FEATURES = 20_000
-#: Tokens on either side of a labelled token that it is trained with, and stretches (toxic ones
-#: first, four of a document; clean ones as long) that are trained with at most.
+#: Tokens on either side of a labelled token that it is trained with; stretches of one document
+#: and in all that are trained with at most.
 CONTEXT = 8
-MAX_SPANS = 4_000
+MAX_SPANS_OF_ONE = 4
+MAX_SPANS = 5_000
 BEGINNINGS = (4, 5)
 STEPS, RATE, SHRINK = 120, 0.3, 0.02
 START = itemgetter(slice(min(BEGINNINGS)))
@@ -70,21 +72,22 @@ def _feature_sets(batches):
 FEATURE_SCHEMA = "doc long, toxic int, feature string, before string"
 
 
-def spans(text: str, chosen: frozenset, rows: list, clean: list, toxic: bool) -> None:
-    """Add labelled token sequences of one text: the surroundings of its toxic tokens, or some
-    stretch of a clean text."""
+def spans(text: str, chosen: frozenset, toxic: bool) -> list:
+    """Token sequences of one text with their labels: the surroundings of its tokens with a
+    telling feature (toxic in a toxic document, not toxic in a clean one), or else some stretch
+    of a clean text."""
     words = WORD.findall(text.lower())
-    marks = [toxic and any(f in chosen for f in features(w)) for w in words]
-    if not toxic:
-        middle = len(words) // 2
-        clean.append([(w, False) for w in words[middle:middle + 2 * CONTEXT]])
-        return
-    last = -1
-    for i, m in enumerate(marks):
-        if m and i > last:
+    told = [any(f in chosen for f in features(w)) for w in words]
+    rows, last = [], -1
+    for i, t in enumerate(told):
+        if t and i > last and len(rows) < MAX_SPANS_OF_ONE:
             last = i + CONTEXT
-            rows.append(list(zip(words[max(0, i - CONTEXT):last + 1],
-                                 marks[max(0, i - CONTEXT):last + 1])))
+            part = slice(max(0, i - CONTEXT), last + 1)
+            rows.append(list(zip(words[part], (toxic and x for x in told[part]))))
+    if not rows and not toxic:
+        middle = len(words) // 2
+        rows.append([(w, False) for w in words[middle:middle + 2 * CONTEXT]])
+    return rows
 
 
 def _spans(chosen: frozenset):
@@ -92,14 +95,11 @@ def _spans(chosen: frozenset):
         for batch in batches:
             out = []
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows, clean = [], []
-                spans(text.as_py() or "", chosen, rows, clean, bool(toxic))
-                out.extend({"words": [w for w, _ in r], "marks": [int(m) for _, m in r],
-                            "toxic": int(bool(toxic))} for r in (rows[:4] + clean) if r)
-            kind = pa.struct([("words", pa.list_(pa.string())), ("marks", pa.list_(pa.int32())),
-                              ("toxic", pa.int32())])
+                out.extend({"words": [w for w, _ in r], "marks": [int(m) for _, m in r]}
+                           for r in spans(text.as_py() or "", chosen, bool(toxic)) if r)
+            kind = pa.struct([("words", pa.list_(pa.string())), ("marks", pa.list_(pa.int32()))])
             table = pa.array(out, kind)
-            yield pa.RecordBatch.from_arrays(table.flatten(), names=["words", "marks", "toxic"])
+            yield pa.RecordBatch.from_arrays(table.flatten(), names=["words", "marks"])
     return run
 
 
@@ -109,6 +109,7 @@ class Field:
 
     def __init__(self, bias: float, moves, weights: dict[str, float]):
         self.bias, self.moves, self.weights = float(bias), np.asarray(moves, float), weights
+        self.slope, self.middle = 1.0, 2.0  # from evidence to the score of a document
         self.known: dict[str, float | None] = {}
         self.starts = frozenset(START(f[2:]) for f in weights)
         self.first_bytes = frozenset(START(s.encode("utf-8", "surrogatepass")) for s in self.starts)
@@ -252,35 +253,71 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_FIT_DOCS) -> Fie
     if not chosen:
         return Field(-20.0, np.zeros((2, 2)), {})
     taken = (sample.select("toxic", "text").mapInArrow(
-        _spans(chosen), "words array<string>, marks array<int>, toxic int"))
-    taken = taken.orderBy(F.desc("toxic"), F.xxhash64("words"), "words").limit(MAX_SPANS).collect()
+        _spans(chosen), "words array<string>, marks array<int>"))
+    taken = taken.orderBy(F.xxhash64("words"), "words").limit(MAX_SPANS).collect()
     numbers = {f: i for i, f in enumerate(sorted(
         {f for r in taken for w, m in zip(r["words"], r["marks"]) if m for f in features(w)}))}
     sequences = [[([numbers[f] for f in features(w) if f in numbers], m)
                   for w, m in zip(r["words"], r["marks"])] for r in taken]
     bias, moves, weights = train(sequences, len(numbers))
-    return Field(bias, moves, {f: float(weights[i]) for f, i in numbers.items()
-                               if weights[i] != 0.0})
+    field = Field(bias, moves, {f: float(weights[i]) for f, i in numbers.items()
+                                if weights[i] != 0.0})
+    found = sample.select("toxic", "text").mapInArrow(_evidence(field), "toxic int, evidence double")
+    pairs = np.array([tuple(r) for r in found.collect()], float)  # max_docs pairs
+    field.slope, field.middle = calibrate(pairs[:, 1], pairs[:, 0])
+    return field
 
 
-def tag(text: str, field: Field, limit: float) -> tuple[float, list[tuple[int, int]]]:
-    """Score and offending (start, end) offsets of a text, in code points."""
+def _evidence(field: Field):
+    def run(batches):
+        for batch in batches:
+            got = [evidence(t.as_py() or "", field)[0] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())],
+                                             names=["toxic", "evidence"])
+    return run
+
+
+def calibrate(found: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Slope and middle of the logistic curve from evidence to toxic documents; documents
+    without evidence say nothing of it. Newton steps with a weak pull to slope 1, middle 2."""
+    x, y = found[found > 0] - 2.0, toxic[found > 0]
+    w = np.array([0.0, 1.0])
+    design = np.stack([np.ones_like(x), x], 1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        grad = design.T @ (y - p) - 0.1 * (w - [0.0, 1.0])
+        hess = (design * (p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(2)
+        w = w + np.clip(np.linalg.solve(hess, grad), -1.0, 1.0)
+    slope = max(w[1], 0.05)
+    return float(slope), float(2.0 - w[0] / slope)
+
+
+def evidence(text: str, field: Field) -> tuple[float, list[int], np.ndarray, str]:
+    """The positive log odds of all tokens' marginals, summed; the places of the tokens with a
+    feature, their marginals, and the text the places are in."""
     lowered = text.lower()
     if len(lowered) != len(text):  # a letter that changes its length: offsets need the text's own
         lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    none = (0.0, [], np.zeros(0), lowered)
     if not field.may_emit(lowered):
-        return 0.0, []
+        return none
     words = WORD.findall(lowered)
     found = [(i, field.emission(w)) for i, w in enumerate(words) if START(w) in field.starts]
     places = [i for i, e in found if e is not None]
-    emissions, length = [e for _, e in found if e is not None], len(words)
     if not places:
-        return 0.0, []
-    p = field.marginals(places, emissions, length)
-    value = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
+        return none
+    p = field.marginals(places, [e for _, e in found if e is not None], len(words))
+    odds = np.log(np.maximum(p, 1e-12)) - np.log(np.maximum(1 - p, 1e-12))
+    return float(np.maximum(odds, 0.0).sum()), places, p, lowered
+
+
+def tag(text: str, field: Field, limit: float) -> tuple[float, list[tuple[int, int]]]:
+    """Score and offending (start, end) offsets of a text, in code points. No evidence: 0."""
+    found, places, p, lowered = evidence(text, field)
     offending = [place for place, x in zip(places, p) if x >= limit]
     spots = [m.span() for m in WORD.finditer(lowered)] if offending else []
-    return float(min(1.0, max(0.0, value))), [spots[i] for i in offending]
+    score = 1 / (1 + np.exp(-np.clip(field.slope * (found - field.middle), -700, 700))) if found else 0.0
+    return float(score), [spots[i] for i in offending]
 
 
 def _scores(field: Field, limit: float):
