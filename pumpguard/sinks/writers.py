@@ -212,8 +212,9 @@ def delete_batch(spark: SparkSession, url: str, table: str, batch_id: int,
         found = any(connection.getMetaData().getTables(None, None, name, None).next()
                     for name in {plain, plain.upper(), plain.lower()})
         if found:
+            quote = connection.getMetaData().getIdentifierQuoteString().strip()  # as Spark writes it
             connection.createStatement().executeUpdate(
-                f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}")
+                f"DELETE FROM {table} WHERE {quote}batch_id{quote} = {int(batch_id)}")
             if not connection.getAutoCommit():
                 connection.commit()
     finally:

@@ -266,3 +266,14 @@ def test_alert_that_falls_back_to_low_is_withdrawn(spark, scratch):
     fn(rows("low"), 1)
     fn(rows("low"), 1)                                     # replayed
     assert [r["enterprise_id"] for r in latest_alerts(spark, scratch).collect()] == ["f"]
+
+
+def test_a_replayed_batch_is_in_the_alerts_table_once(spark):
+    from pumpguard.sinks.writers import AlertSink, write_alerts
+    url = "jdbc:derby:memory:pgreplay;create=true"
+    fn = write_alerts(AlertSink("jdbc", url=url, table="fraud_alerts"))
+    rows = spark.createDataFrame([("e", "high"), ("f", "low")], "enterprise_id string, severity string")
+    for batch in (0, 1, 1):
+        fn(rows, batch)
+    got = spark.read.jdbc(url, "fraud_alerts").collect()
+    assert sorted(r["batch_id"] for r in got) == [0, 1]
