@@ -5,9 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from pumpguard.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-BATCH = sorted(n for n in E.queries()
+BATCH = sorted(n for n in QUERIES
                if not n.startswith(("stream_", "anomaly_", "compact_", "partitioned_",
                                     "alerts_jdbc")))
 
