@@ -90,6 +90,15 @@ def rank_by_unit(df: DataFrame, keys: list[str], unit: str, ties: list[str], cel
             .drop("_cell", "_row", "_at", "_before", *[f"_k_{k}" for k in keys]))
 
 
+def first_by_unit(df: DataFrame, unit: str, ties: list[str], most: int) -> DataFrame:
+    """The ``most`` rows that are lowest by the column ``unit`` (a spread number in [0, 1)) and
+    then ``ties``. Rows with a ``unit`` far beyond the last one's are left out before the sort,
+    so what the tasks send on is bounded by ``most`` and not by the number of tasks. Fewer rows:
+    all of them."""
+    near = (2 * most + 100) / max(df.count(), 1)
+    return df.filter(F.col(unit) < F.lit(near)).orderBy(unit, *ties).limit(most)
+
+
 def cells_for(rows: int) -> int:
     return max(1, -(-rows // ROWS_PER_CELL))
 

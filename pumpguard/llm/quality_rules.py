@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pumpguard.llm.common import unit_hash, written
+from pumpguard.llm.common import first_by_unit, unit_hash, written
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAPS = "[\\x20\\x09-\\x0D]+"
@@ -212,11 +212,11 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS):
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
              .filter("doc_id is not null and quality is not null")
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    sample = (stats.filter(~base_failed()).join(known, "doc_id")
-              .select("doc_id", (F.col("quality") == 0).alias("bad"),
-                      *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()],
-                      unit_hash("quality", F.col("doc_id")).alias("_u"))
-              .orderBy("_u", "doc_id").limit(max_rows).collect())
+    rows = (stats.filter(~base_failed()).join(known, "doc_id")
+            .select("doc_id", (F.col("quality") == 0).alias("bad"),
+                    *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()],
+                    unit_hash("quality", F.col("doc_id")).alias("_u")))
+    sample = first_by_unit(rows, "_u", ["doc_id"], max_rows).collect()
     if not sample:
         return []
     names = list(FEATURES)
