@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pumpguard.llm.common import shipped_by_value, unit_hash
+from pumpguard.llm.common import first_by_unit, shipped_by_value, unit_hash
 
 shipped_by_value(__name__)
 
@@ -301,11 +301,17 @@ def _contents(weights, edge):
 
 
 def fit(pages: DataFrame, max_pages: int = MAX_FIT_PAGES):
-    """(weights, edge) from at most ``max_pages`` pages whose markup names the article; every
-    other one of them is shown without its telling markup."""
-    told = pages.filter(F.regexp_like("html", F.lit("(?i)<(article|main)[\\s>]")))
-    mark = unit_hash("html", F.sha2("html", 256))
-    sample = (told.select(mark.alias("_u"), "html").orderBy("_u", "html").limit(max_pages)
+    """(weights, edge) from at most ``max_pages`` different pages whose markup names the article;
+    every other one of them is shown without its telling markup. Marks are sampled, and only the
+    pages of the sampled marks are read with their text."""
+    told = (pages.filter(F.regexp_like("html", F.lit("(?i)<(article|main)[\\s>]")))
+            .select(unit_hash("html", F.sha2("html", 256)).alias("_u"), "html"))
+    marks = [r["_u"] for r in first_by_unit(told.select("_u").distinct(), "_u", [], max_pages)
+             .collect()]                                             # max_pages numbers
+    if not marks:
+        return train([])
+    sample = (told.filter(F.col("_u").isin(marks)).groupBy("_u").agg(F.min("html").alias("html"))
+              .orderBy("_u")
               .select((F.floor(F.col("_u") * (1 << 20)) % 2 == 0).alias("blind"), "html"))
     nodes = sample.mapInArrow(_labelled, NODES).collect()
     return train([(list(r["parents"]), [list(f) for f in r["features"]], list(r["labels"]))
