@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pumpguard.llm.common import WORD, byte_words, shipped_by_value, unit_hash, written
+from pumpguard.llm.common import (WORD, byte_words, first_by_unit, shipped_by_value, unit_hash,
+                                  written)
 
 shipped_by_value(__name__)
 
@@ -231,7 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_FIT_DOCS) -> Fie
     known = (labels.select(F.col("doc_id").cast("long").alias("doc"), "toxic")
              .filter("doc is not null and toxic is not null").filter(~held_out(F.col("doc")))
              .groupBy("doc").agg(F.max("toxic").alias("toxic"))
-             .orderBy(unit_hash("toxicity", F.col("doc")), "doc").limit(max_docs))
+             .withColumn("_u", unit_hash("toxicity", F.col("doc"))))
+    known = first_by_unit(known, "_u", ["doc"], max_docs).drop("_u")
     sample = written(docs.join(F.broadcast(known), F.col("doc_id") == F.col("doc"))  # max_docs rows
                      .groupBy("doc").agg(F.first("toxic").alias("toxic"),
                                          F.max("text").alias("text")), "toxicity-sample")
