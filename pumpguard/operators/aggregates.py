@@ -7,8 +7,10 @@ task before the shuffle. Per-msisdn maxima are two-level aggregates, never a col
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,15 +146,24 @@ def anomalies_only(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("is_anomaly"))
 
 
+def _pane(size: str, slide: str) -> str:
+    """The longest interval that divides both ``size`` and ``slide``."""
+    micros = [pd.Timedelta(x).value // 1000 for x in (size, slide)]
+    return f"{math.gcd(*micros)} microseconds"
+
+
 def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 minutes",
                 slide: str | None = "1 minute", ceiling: int = 30,
-                ts_col: str = "event_ts", delay: str | None = None) -> DataFrame:
+                ts_col: str = "event_ts", delay: str | None = None,
+                over_only: bool = False) -> DataFrame:
     """Requests per value of each dimension (msisdn, ip, enterprise_id, number_range) in
-    sliding windows; rows above ``ceiling`` are flagged.
+    sliding windows; rows above ``ceiling`` are flagged, or with ``over_only`` alone returned.
 
     All dimensions are counted in one pass: each row is expanded to one (dimension, value) pair
-    per dimension inside the scan stage, then a single aggregate (partial on the map side)
-    shuffles on (window, dimension, value). ``delay`` (streams) sets the watermark; a stream
+    per dimension inside the scan stage, then counted per pane (the longest interval that
+    divides size and slide; partial on the map side). Only the counted panes are expanded to
+    the windows that hold them and summed, so a hot value costs one row per pane and window, not
+    one per request and window. ``delay`` (streams, append mode) sets the watermark; a stream
     whose input already carries one passes None."""
     dims = [dims] if isinstance(dims, str) else list(dims)
     df = with_number_range(events)
@@ -163,12 +174,19 @@ def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 min
           .filter(F.col("value").isNotNull()))     # a missing value is no entity
     if delay:                                # streaming: event-time watermark for the windows
         ex = ex.withWatermark(ts_col, delay)
-    out = (ex.groupBy(_window_col(ts_col, size, slide).alias("window"), "dimension", "value")
+    first = _pane(size, slide) if slide else size
+    out = (ex.groupBy(F.window(ts_col, first).alias("window"), "dimension", "value")
            .agg(F.count(F.lit(1)).alias("requests")))
+    if slide:
+        out = (out.groupBy(F.window("window", size, slide).alias("window"), "dimension", "value")
+               .agg(F.sum("requests").alias("requests")))
+    over = F.col("requests") > F.lit(ceiling)
+    if over_only:
+        out = out.filter(over)
     return out.select("dimension", "value",
                       F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"), "requests",
-                      (F.col("requests") > F.lit(ceiling)).alias("over_ceiling"))
+                      *([] if over_only else [over.alias("over_ceiling")]))
 
 
 def never_verified_msisdns(silver: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:

@@ -96,6 +96,53 @@ def relationship(child: DataFrame, parent: DataFrame, key: str, name: str = "")
     return _check(orphans, "relationship", name or key)
 
 
+def table_checks(parent: tuple[str, DataFrame], children: Sequence[tuple[str, DataFrame]], key: str,
+                 unique: Sequence[str] = (), related: Sequence[str] = (),
+                 values: Sequence[tuple[str, str, Sequence]] = ()) -> DataFrame:
+    """The uniqueness, relationship and domain checks of a parent table and its children in one
+    scan of each table and one shuffle on ``key``.
+
+    ``unique`` names the tables whose key must not repeat, ``related`` the children whose key
+    must be in the parent, ``values`` the (table, column, domain) triples. Each row is tagged
+    with its table and its domain failures; they are summed by key (partial on the map side, so
+    a hot key is a row per task) and then once over all. Failure counts and the treatment of
+    NULL are those of ``unique``, ``relationship`` and ``accepted_values``."""
+    tables = [parent, *children]
+    names = [n for n, _ in tables]
+
+    def bad(name: str, i: int) -> Column:
+        table, col, domain = values[i]
+        hit = (F.col(col).isNotNull() & ~F.col(col).isin(*domain)) if table == name else F.lit(False)
+        return F.coalesce(hit, F.lit(False)).cast("long").alias(f"_bad_{i}")
+
+    tagged = None
+    for name, df in tables:
+        part = df.select(F.col(key).alias("_key"),
+                         *[F.lit(int(n == name)).cast("long").alias(f"_in_{i}")
+                           for i, n in enumerate(names)],
+                         *[bad(name, i) for i in range(len(values))])
+        tagged = part if tagged is None else tagged.unionByName(part)
+    sums = [c for c in tagged.columns if c != "_key"]
+    by_key = tagged.groupBy("_key").agg(*[F.sum(c).alias(c) for c in sums])
+    checks = []
+    for name in unique:
+        n = F.col(f"_in_{names.index(name)}")
+        checks.append(("unique", f"{name}.{key}", F.sum(F.when(n > 1, n))))
+    for name in related:
+        orphan = F.col("_key").isNotNull() & (F.col("_in_0") == 0)
+        checks.append(("relationship", f"{name}.{key}",
+                       F.sum(F.when(orphan, F.col(f"_in_{names.index(name)}")))))
+    for i, (name, col, _) in enumerate(values):
+        checks.append(("accepted_values", f"{name}.{col}", F.sum(f"_bad_{i}")))
+    counts = by_key.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"_{i}")
+                          for i, (_, _, c) in enumerate(checks)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(target).alias("target"),
+                 F.col(f"_{i}").alias("failed_rows"))
+        for i, (check, target, _) in enumerate(checks)]))).withColumn(
+            "ok", F.col("failed_rows") == 0)
+
+
 def _check(counts: DataFrame, check: str, target: str) -> DataFrame:
     return counts.select(F.lit(check).alias("check"), F.lit(target).alias("target"),
                          F.col("n").cast("long").alias("failed_rows"),

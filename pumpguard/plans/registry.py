@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pumpguard.config import RuleConfig
@@ -31,6 +31,8 @@ CFG = RuleConfig()
 DAILY_CFG = CFG.replace(ait_min_requests=50)
 # Per-number rule: the provided data has at most ~20 requests per number at sf0.01.
 MSISDN_CFG = CFG.replace(never_verified_min_requests=10)
+# Hourly windows of one entity at sf0.01: a few of them hold more requests than this.
+VELOCITY_CEILING = 3
 
 
 def query(name: str):
@@ -225,6 +227,14 @@ def q_sliding_velocity(spark, sf_dir):
                          "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling)
 
 
+@query("velocity_alerts_by_dimension")
+def q_velocity_alerts(spark, sf_dir):
+    """Only the windows over the ceiling. The provided data has at most a few requests per value
+    in five minutes at sf0.01, so hourly windows and a lower ceiling are used."""
+    return A.velocity_by(silver(spark, sf_dir), ("msisdn", "ip", "enterprise_id", "number_range"),
+                         "1 hour", "10 minutes", VELOCITY_CEILING, over_only=True)
+
+
 @query("never_verified_msisdn")
 def q_never_verified_msisdn(spark, sf_dir):
     return A.never_verified_msisdns(silver(spark, sf_dir), MSISDN_CFG)
@@ -249,8 +259,14 @@ def q_quality_silver(spark, sf_dir):
 
 @query("quality_marts")
 def q_quality_marts(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    funnel = M.delivery_funnel(s)
+    from pumpguard.session import scratch_path
+    layer = scratch_path(spark, "silver-for-marts")     # written once, as the batch job does
+    silver(spark, sf_dir).select("enterprise_id", "mcc", "mnc", "delivery_status", "is_verified",
+                                 "operator_latency_ms").write.parquet(layer)
+    s = spark.read.parquet(layer)
+    mart = scratch_path(spark, "funnel-mart")
+    M.delivery_funnel(s).write.parquet(mart)
+    funnel = spark.read.parquet(mart)
     return Q.mart_checks(funnel, M.latency_percentiles(s), M.ait_loss(funnel, CFG))
 
 
@@ -258,20 +274,12 @@ def q_quality_marts(spark, sf_dir):
 def q_quality_relations(spark, sf_dir):
     ev = events(spark, sf_dir)
     req, dlv, ver = FX.requests(ev), FX.delivery(ev), FX.verification(ev)
-    parts = [
-        Q.unique(req, ["request_id"], "requests.request_id"),
-        Q.unique(dlv, ["request_id"], "delivery.request_id"),
-        Q.relationship(dlv, req, "request_id", "delivery.request_id"),
-        Q.relationship(ver, req, "request_id", "verification.request_id"),
-        Q.accepted_values(dlv, "status", ("delivered", "failed", "expired"), "delivery.status"),
-        Q.accepted_values(ver, "outcome", ("verified", "failed", "timeout"),
-                          "verification.outcome"),
-        Q.accepted_values(req, "channel", ("sms", "voice", "whatsapp"), "requests.channel"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return Q.table_checks(
+        ("requests", req), [("delivery", dlv), ("verification", ver)], "request_id",
+        unique=("requests", "delivery"), related=("delivery", "verification"),
+        values=[("delivery", "status", ("delivered", "failed", "expired")),
+                ("verification", "outcome", ("verified", "failed", "timeout")),
+                ("requests", "channel", ("sms", "voice", "whatsapp"))])
 
 
 @query("layer_reconciliation")
@@ -286,6 +294,40 @@ def q_layer_reconciliation(spark, sf_dir):
     ])
 
 
+def _message_layers(spark, sf_dir):
+    messages = FX.request_payloads(events(spark, sf_dir))
+    parsed, bad = parse_json(messages, REQUEST_SCHEMA)
+    return messages, parsed, bad
+
+
+def _ids(df):
+    return df.select("request_id").distinct()
+
+
+@query("bronze_reconciliation")
+def q_bronze_reconciliation(spark, sf_dir):
+    """Every layer against an expectation: messages = Bronze + quarantine, Bronze = messages that
+    are no malformed text, Silver = distinct request ids of Bronze."""
+    messages, parsed, bad = _message_layers(spark, sf_dir)
+    return Q.reconcile([
+        ("messages", messages, parsed.select("request_id").union(bad.select("key"))),
+        ("bronze_requests", parsed, messages.filter(F.col("value") != "not-json")),
+        ("silver", dedupe(parsed, ["request_id"]), _ids(parsed)),
+    ])
+
+
+@query("bronze_reconciliation_broken")
+def q_bronze_reconciliation_broken(spark, sf_dir):
+    """The same with a Bronze that kept no quarantine and a Silver that was not deduplicated:
+    both layers must fail."""
+    messages, parsed, _ = _message_layers(spark, sf_dir)
+    return Q.reconcile([
+        ("messages", messages, parsed),
+        ("bronze_requests", parsed, messages.filter(F.col("value") != "not-json")),
+        ("silver", parsed, _ids(parsed)),
+    ])
+
+
 # --------------------------------------------------------------------------- anomaly detection
 # No SQL oracle: the forest is randomized (checked by property tests instead).
 
@@ -316,8 +358,10 @@ END_TS = "2100-01-01T00:00:00.000000+00:00"
 
 
 def land_messages(spark: SparkSession, sf_dir: str, root: str, end_marker: bool = True,
-                  only: tuple[str, ...] = ("requests", "delivery", "verification")) -> str:
-    """Write the topics in ``only`` as JSON message files under ``root`` (the stream's source)."""
+                  only: tuple[str, ...] = ("requests", "delivery", "verification"),
+                  part: Column | None = None) -> str:
+    """Write the topics in ``only`` as JSON message files under ``root`` (the stream's source).
+    ``part`` lands only the messages it selects, beside what has landed before."""
     ev = events(spark, sf_dir)
     builders = {"requests": FX.request_payloads, "delivery": FX.delivery_payloads,
                 "verification": FX.verification_payloads}
@@ -333,8 +377,10 @@ def land_messages(spark: SparkSession, sf_dir: str, root: str, end_marker: bool
                                            F.lit(END_TS).alias("event_ts"))),
     }
     for t, df in topics.items():
+        df = df if part is None else df.filter(part)
         df.select("key", "value", F.col("arrival_ts").cast("timestamp")).write \
-            .mode("overwrite").format(LANDING_FORMAT).save(f"{root}/{t}")
+            .mode("overwrite" if part is None else "append").format(LANDING_FORMAT) \
+            .save(f"{root}/{t}")
         if end_marker:
             (spark.range(1).select(F.lit(END_OF_REPLAY).alias("key"),
                                    end_body[t].alias("value"),
@@ -472,7 +518,7 @@ def q_alert_payload(spark, sf_dir):
 
 @query("partitioned_layout")
 def q_partitioned_layout(spark, sf_dir):
-    """Silver written day-partitioned (salted per day) and read back whole: the layout round
+    """Silver written day-partitioned (rebalanced by day) and read back whole: the layout round
     trip is lossless. Partition pruning on ``event_date`` is pinned by a plan test."""
     from pumpguard.session import scratch_path
     from pumpguard.sinks.writers import write_partitioned
@@ -568,3 +614,68 @@ def q_stream_velocity_by_dimension(spark, sf_dir):
                        n_state=REPLAY_STATE))
     # the end-of-input message's windows never close, so nothing of it is emitted
     return _ntz(spark.read.parquet(f"{root}/out"))
+
+
+def time_slices(spark: SparkSession, sf_dir: str, n: int = 4) -> list[Column]:
+    """Conditions that cut the request messages into ``n`` stretches of arrival time."""
+    at = F.col("arrival_ts")
+    shares = [i / n for i in range(1, n)]
+    cuts = (FX.request_payloads(events(spark, sf_dir))
+            .agg(F.percentile_approx(at, shares).alias("c")).first()["c"]) or []
+    low = [F.lit(True), *[at > F.lit(c).cast("timestamp_ntz") for c in cuts]]
+    high = [*[at <= F.lit(c).cast("timestamp_ntz") for c in cuts], F.lit(True)]
+    return [a & b for a, b in zip(low, high)]
+
+
+@query("stream_window_restarts")
+def q_stream_window_restarts(spark, sf_dir):
+    """The windowed aggregate over messages that land in four stretches of time; the query is
+    stopped and restarted from its checkpoint after each, so windows that span two stretches
+    are kept in state across batches and restarts."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
+    root = scratch_path(spark, "restart-replay")
+    slices = time_slices(spark, sf_dir)
+    for i, part in enumerate(slices):
+        land_messages(spark, sf_dir, f"{root}/landing", i == len(slices) - 1, ("requests",), part)
+        req, _ = _stream_source(spark, f"{root}/landing", "requests")
+        _await(land_stream(windowed_aggregate(req, "5 minutes"), f"{root}/ckpt", f"{root}/out",
+                           n_state=REPLAY_STATE))
+    return _ntz(spark.read.parquet(f"{root}/out"))
+
+
+@query("stream_update_batches")
+def q_stream_update_batches(spark, sf_dir):
+    """Update mode over the same four stretches: a day's group is emitted again with every
+    stretch that adds to it, and the keyed merge leaves the last version of each alert."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.streaming.pipelines import (latest_alerts, score_stream, start_alerts,
+                                               windowed_aggregate)
+    root = scratch_path(spark, "update-batches")
+    for part in time_slices(spark, sf_dir):
+        land_messages(spark, sf_dir, f"{root}/landing", False, ("requests",), part)
+        req, _ = _stream_source(spark, f"{root}/landing", "requests")
+        scored = score_stream(windowed_aggregate(req, "1 day"), CFG)
+        _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt",
+                            n_state=REPLAY_STATE, mode="update"))
+    return _ntz(latest_alerts(spark, f"{root}/alerts").drop("batch_id", "created_at"))
+
+
+LATE_EVERY = 53                # every 53rd request of the late replay arrives after the others
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Requests that land when all others have been read: those whose window the watermark has
+    closed are dropped, the others still count."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import land_stream, windowed_aggregate
+    root = scratch_path(spark, "late-replay")
+    late = F.col("key").cast("long") % LATE_EVERY == 0
+    for part, last in ((~late, False), (late, False), (F.lit(False), True)):
+        land_messages(spark, sf_dir, f"{root}/landing", last, ("requests",), part)
+        req, _ = _stream_source(spark, f"{root}/landing", "requests")
+        _await(land_stream(windowed_aggregate(req, "5 minutes"), f"{root}/ckpt", f"{root}/out",
+                           n_state=REPLAY_STATE))
+    return _ntz(spark.read.parquet(f"{root}/out"))

@@ -102,18 +102,19 @@ def _salt(df: DataFrame, n: int | Column) -> Column:
 
 def write_partitioned(df: DataFrame, path: str | None = None, table: str | None = None,
                       ts_col: str = "event_ts", bucket_col: str | None = None,
-                      buckets: int = 64, mode: str = "overwrite", files_per_day: int = 8,
+                      buckets: int = 64, mode: str = "overwrite",
                       max_records_per_file: int = 5_000_000) -> None:
     """Day-partitioned layout (``event_date``), optionally bucketed by ``bucket_col``.
 
-    Rows are clustered by (day, salt) before the write: every day is spread over
-    ``files_per_day`` tasks (a large day is never written by a single task) and each task
-    writes one file for its day, capped at ``max_records_per_file`` rows. Bucketing needs a
+    Rows are rebalanced by day before the write: adaptive execution splits a large day over as
+    many tasks as its bytes need (``advisoryPartitionSizeInBytes`` each) and puts small days
+    together, so a day is never written by one task alone nor by every task. A file is capped
+    at ``max_records_per_file`` rows. Bucketing needs a
     catalog table (``table``); later joins/aggregations on ``bucket_col`` then skip the
     shuffle."""
     out = with_event_date(df, ts_col)
     if bucket_col is None:
-        out = out.repartition("event_date", _salt(out, files_per_day).alias("_s"))
+        out = out.hint("rebalance", F.col("event_date"))
     w = (out.write.mode(mode).partitionBy("event_date")
          .option("maxRecordsPerFile", max_records_per_file))
     if table:

@@ -274,6 +274,18 @@ FROM (SELECT {d}, unnest(generate_series(time_bucket(INTERVAL 1 MINUTE, event_ts
       FROM silver WHERE event_ts IS NOT NULL)
 GROUP BY 1, 2, 3, 4""")
     q["sliding_velocity_by_dimension"] = BINDING + "\nUNION ALL\n".join(vel)
+    over = []
+    for d in ("msisdn", "ip", "enterprise_id", "number_range"):
+        over.append(f"""
+SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, ws AS window_start,
+       ws + INTERVAL 1 HOUR AS window_end, count(*) AS requests
+FROM (SELECT {d}, unnest(generate_series(time_bucket(INTERVAL 10 MINUTE, event_ts)
+                                         - INTERVAL 50 MINUTE,
+                                         time_bucket(INTERVAL 10 MINUTE, event_ts),
+                                         INTERVAL 10 MINUTE)) AS ws
+      FROM silver WHERE event_ts IS NOT NULL AND {d} IS NOT NULL)
+GROUP BY 1, 2, 3, 4 HAVING count(*) > 3""")
+    q["velocity_alerts_by_dimension"] = BINDING + "\nUNION ALL\n".join(over)
     q["never_verified_msisdn"] = BINDING + """
 SELECT msisdn, count(*) AS requests, CAST(sum(CAST(is_verified AS BIGINT)) AS BIGINT) AS verifications
 FROM silver GROUP BY 1 HAVING count(*) >= 10 AND sum(CAST(is_verified AS BIGINT)) = 0"""
@@ -335,6 +347,21 @@ SELECT 'bronze_requests', (SELECT count(*) FROM requests_raw), NULL, true
 UNION ALL
 SELECT 'silver', (SELECT count(*) FROM silver), (SELECT count(DISTINCT request_id) FROM requests_raw),
        (SELECT count(*) FROM silver) = (SELECT count(DISTINCT request_id) FROM requests_raw)"""
+    layers = BINDING + """
+, n AS (SELECT count(*) AS messages, count_if(event_id % 97 <> 0) AS bronze,
+               count_if(event_id % 97 = 0) AS quarantined,
+               count(DISTINCT CASE WHEN event_id % 97 <> 0 THEN request_id END) AS ids
+        FROM requests_raw)
+"""
+    q["bronze_reconciliation"] = layers + """
+SELECT 'messages' AS layer, messages AS rows, bronze + quarantined AS expected,
+       messages = bronze + quarantined AS ok FROM n
+UNION ALL SELECT 'bronze_requests', bronze, messages - quarantined, bronze = messages - quarantined FROM n
+UNION ALL SELECT 'silver', ids, ids, true FROM n"""
+    q["bronze_reconciliation_broken"] = layers + """
+SELECT 'messages' AS layer, messages AS rows, bronze AS expected, messages = bronze AS ok FROM n
+UNION ALL SELECT 'bronze_requests', bronze, messages - quarantined, bronze = messages - quarantined FROM n
+UNION ALL SELECT 'silver', bronze, ids, bronze = ids FROM n"""
     return q
 
 
@@ -364,6 +391,15 @@ SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
        time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end,
        enterprise_id, number_range, mcc, mnc, count(*) AS requests
 FROM parsed WHERE event_ts IS NOT NULL GROUP BY ALL"""
+    q["stream_window_restarts"] = q["stream_windowed_aggregate"]
+    q["stream_late_rows"] = BINDING + f", {_PARSED}" + """
+, timed AS (SELECT *, CAST(request_id AS BIGINT) % 53 = 0 AS late,
+                   time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+                   time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end
+            FROM parsed WHERE event_ts IS NOT NULL),
+mark AS (SELECT max(event_ts) - INTERVAL 10 MINUTE AS w FROM timed WHERE NOT late)
+SELECT window_start, window_end, enterprise_id, number_range, mcc, mnc, count(*) AS requests
+FROM timed, mark WHERE NOT late OR window_end > w GROUP BY ALL"""
     q["stream_sliding_msisdn_max"] = BINDING + f", {_PARSED}" + """
 SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, enterprise_id, number_range,
        mcc, mnc, CAST(sum(n) AS BIGINT) AS requests, max(n) AS msisdn_max_count
@@ -404,6 +440,7 @@ GROUP BY 1, 2, 3, 4""")
           FROM parsed WHERE event_ts IS NOT NULL GROUP BY ALL)
 SELECT *, {s['score']} AS score, {s['severity']} AS severity FROM agg
 WHERE {s['severity']} <> 'low'"""
+    q["stream_update_batches"] = q["stream_update_alerts"]
     q["stream_micro_batch_scoring"] = BINDING + f", {_PARSED}" + f"""
 , agg AS (SELECT enterprise_id, number_range, mcc, mnc, count(*) AS requests FROM parsed
           GROUP BY ALL)

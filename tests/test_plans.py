@@ -42,3 +42,18 @@ def test_batch_plan_invariants(static_plans, name):
                 or "Union" in plan), f"{name}: unexpected single-partition exchange"
     # the scans carry an explicit (pruned) read schema
     assert "FileScan" in plan and "ReadSchema: struct<" in plan
+
+
+def test_velocity_expands_counted_panes(static_plans):
+    """Rows are counted per pane before the panes are expanded to their windows."""
+    plan = static_plans["sliding_velocity_by_dimension"]
+    top_down = re.findall(r"(Expand|Generate explode|HashAggregate|Exchange hashpartitioning)", plan)
+    first_exchange = len(top_down) - 1 - top_down[::-1].index("Exchange hashpartitioning")
+    assert "Expand" in top_down[:first_exchange]
+    aggregates = [i for i, x in enumerate(top_down) if x == "HashAggregate"]
+    assert any(i > top_down.index("Expand") for i in aggregates)
+
+
+def test_relation_checks_read_each_table_once(static_plans):
+    # requests, delivery and verification: one scan each
+    assert static_plans["quality_relations"].count("FileScan") == 3

@@ -51,6 +51,31 @@ def test_unique_relationship_values(spark):
     assert Q.require_columns(child, ["request_id", "nope"]) == ["nope"]
 
 
+def test_one_pass_checks_equal_the_single_ones(spark):
+    parent = spark.createDataFrame([("a", "sms"), ("b", "fax"), ("b", None), (None, "sms"),
+                                    (None, "sms")], "request_id string, channel string")
+    child = spark.createDataFrame([("a", "x"), ("c", "delivered"), ("c", "y"), (None, "failed")],
+                                  "request_id string, status string")
+    values = [("p", "channel", ("sms",)), ("c", "status", ("delivered", "failed"))]
+    for p, c in ((parent, child), (parent.filter("false"), child), (parent, child.filter("false"))):
+        got = Q.table_checks(("p", p), [("c", c)], "request_id", ("p", "c"), ("c",), values)
+        single = [Q.unique(p, ["request_id"], "p.request_id"),
+                  Q.unique(c, ["request_id"], "c.request_id"),
+                  Q.relationship(c, p, "request_id", "c.request_id"),
+                  Q.accepted_values(p, "channel", ("sms",), "p.channel"),
+                  Q.accepted_values(c, "status", ("delivered", "failed"), "c.status")]
+        assert sorted(got.collect()) == sorted(r for q in single for r in q.collect())
+
+
+def test_a_broken_layer_is_reported(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    good = E.queries()["bronze_reconciliation"](spark, sf).collect()
+    bad = {r["layer"]: r["ok"] for r in E.queries()["bronze_reconciliation_broken"](spark, sf).collect()}
+    assert all(r["ok"] for r in good) and all(r["rows"] > 0 for r in good)
+    assert bad == {"messages": False, "bronze_requests": True, "silver": False}
+
+
 def test_reconcile(spark):
     a = spark.range(5)
     out = {r["layer"]: r for r in Q.reconcile([("a", a, 5), ("b", a, a.limit(3)),

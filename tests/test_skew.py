@@ -74,3 +74,27 @@ def test_percentiles_and_route_performance_with_a_hot_route(spark):
     assert p["247"]["p50"] == hot[math.ceil(0.5 * len(hot)) - 1]
     perf = {r["mcc"]: r for r in operator_performance(df).collect()}
     assert perf["247"]["requested"] == N // 3 and perf["247"]["delivery_rate"] == 1.0
+
+
+def test_velocity_of_odd_window_lengths_and_missing_values(spark):
+    """Windows whose slide does not divide their size, against counting every window alone."""
+    import datetime as dt
+    from pumpguard.operators.aggregates import velocity_by
+    start = dt.datetime(2024, 1, 1, 10, 0)
+    rows = [(None if i % 7 == 0 else f"ip{i % 3}", start + dt.timedelta(seconds=37 * i))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "ip string, event_ts timestamp_ntz").withColumn(
+        "number_range", F.lit("x"))
+    got = {(r["value"], r["window_start"]): r["requests"]
+           for r in velocity_by(df, "ip", "5 minutes", "2 minutes", 3).collect()}
+    want = {}
+    for value, ts in rows:
+        at = ts - dt.timedelta(seconds=ts.timestamp() % 120, microseconds=ts.microsecond)
+        while value is not None and at > ts - dt.timedelta(minutes=5):
+            want[value, at] = want.get((value, at), 0) + 1
+            at -= dt.timedelta(minutes=2)
+    assert got == want
+    over = velocity_by(df, "ip", "5 minutes", "2 minutes", 3, over_only=True)
+    assert over.columns == ["dimension", "value", "window_start", "window_end", "requests"]
+    assert {(r["value"], r["window_start"]) for r in over.collect()} == {
+        k for k, n in want.items() if n > 3}
