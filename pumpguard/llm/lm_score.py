@@ -28,6 +28,11 @@ MARKS = 2
 WEIGHT = 0.75
 #: Words a task counts before it hands its counts on.
 FLUSH_WORDS = 500_000
+#: Before the first word, where all words are counted.
+NO_WORD = b""
+#: Share of all tokens from which a word or bigram is hot, and the cells its rows are dealt over.
+HOT_SHARE = 1 / 20_000
+SALTS = 64
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -165,6 +170,12 @@ def difference_table(rows: DataFrame, size: int, weight: float = WEIGHT) -> np.n
     return table
 
 
+def _good(labels: DataFrame) -> DataFrame:
+    return (labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
+            .agg(((F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) == 0)).alias("_good"))
+            .filter("_good"))
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           vocabulary_size: int = VOCABULARY, weight: float = WEIGHT) -> DataFrame:
     """One row per document: doc_id, n_tokens, score (mean loss difference per token, rounded
@@ -176,9 +187,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     documents both models fall back to what they have counted: the target's estimates are then
     equal for all words. Repeated rows count as often as they come. No rows: no rows.
     """
-    good = (labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
-            .agg(((F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) == 0)).alias("_good"))
-            .filter("_good"))
+    good = _good(labels)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     if not MARKS < vocabulary_size <= 1 << 16:
@@ -195,3 +204,138 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                              "doc_id long, n_tokens long, score double")
     return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"),
                          F.coalesce(F.round("score", 6) < 0, F.lit(False)).alias("in_target"))
+
+
+# ---------------------------------------------------------------- all words, as Spark tables
+
+def _all_pair_counts(batches):
+    """Bigrams of whole words, counted in a task and handed on when there are many."""
+    background, target = Counter(), Counter()
+
+    def out():
+        keys = list(background)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.binary()),
+             pa.array(background.values(), pa.int64()),
+             pa.array([target[k] for k in keys], pa.int64())],
+            names=["u", "v", "background", "target"])
+    for batch in batches:
+        for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
+            words = tokens(text.as_py())
+            background.update(zip([NO_WORD, *words], words))
+            if good:
+                target.update(zip([NO_WORD, *words], words))
+            if len(background) > FLUSH_WORDS:
+                yield out()
+                background.clear()
+                target.clear()
+    yield out()
+
+
+def _bigram_rows(hot):
+    """The distinct bigrams of every text, but for the hot ones: their differences are summed
+    here. A text's first row has its id, length and that sum, and a key that no bigram has."""
+    schema = pa.schema([("r", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+                        ("u", pa.binary()), ("v", pa.binary()), ("n", pa.int64()),
+                        ("part", pa.float64())])
+
+    def run(batches):
+        known, rows = hot.value, []
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        for batch in batches:
+            for r, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                       batch.column(2)):
+                words = tokens(text.as_py())
+                part, head = 0.0, len(rows)
+                rows.append(None)
+                for pair, n in Counter(zip([NO_WORD, *words], words)).items():
+                    if pair in known:
+                        part += n * known[pair]
+                    else:
+                        rows.append((r, None, None, *pair, n, None))
+                rows[head] = (r, doc_id, len(words), NO_WORD, b"\n%d" % r, 0, part)
+                if len(rows) > FLUSH_WORDS // 5:
+                    yield out()
+                    rows.clear()
+        if rows:
+            yield out()
+    return run
+
+
+def _with_counts(pairs: DataFrame, words: DataFrame, hot: DataFrame, key: str, other: str,
+                 counts: tuple[str, str]) -> DataFrame:
+    """``pairs`` with the ``counts`` of their word ``key``. Rows of a hot word are dealt over
+    ``SALTS`` cells by their other word."""
+    hot = F.broadcast(hot.select(F.col("word").alias("_hot")))  # at most 2 / HOT_SHARE + 1 words
+    salted = (pairs.join(hot, F.col(key) == F.col("_hot"), "left")
+              .withColumn("_salt", F.when(F.col("_hot").isNotNull(),
+                                          F.pmod(F.xxhash64(other), F.lit(SALTS))).otherwise(0))
+              .drop("_hot"))
+    cells = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = (words.join(hot, F.col("word") == F.col("_hot"), "left")
+             .select("word", *counts, F.explode(F.coalesce(cells, F.array(F.lit(0)))).alias("_cell")))
+    return (salted.join(dealt, (F.col(key) == F.col("word")) & (F.col("_salt") == F.col("_cell")))
+            .drop("word", "_salt", "_cell"))
+
+
+def _differences(pairs: DataFrame, words: DataFrame, hot: DataFrame, totals, weight: float) -> DataFrame:
+    """u, v and the loss difference -ln target(v|u) + ln background(v|u) of every bigram."""
+    pairs = _with_counts(pairs, words, hot, "u", "v", ("context_b", "context_t"))
+    pairs = _with_counts(pairs, words, hot, "v", "u", ("single_b", "single_t"))
+    outcomes = totals["words"] + 1  # one for words that the corpus does not have
+
+    def log(n, context, single, total):
+        alone = (F.col(single) + 1.0) / F.lit(float(total + outcomes))
+        return F.log(F.when(F.col(context) == 0, alone).otherwise(
+            F.lit(weight) * (F.col(n) / F.col(context)) + F.lit(1.0 - weight) * alone))
+    return pairs.select("u", "v", (log("background", "context_b", "single_b", totals["b"])
+                                   - log("target", "context_t", "single_t", totals["t"]))
+                        .alias("difference"))
+
+
+def score_all_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                    text_col: str = "text", weight: float = WEIGHT) -> DataFrame:
+    """As ``score``, with every word of the corpus in the vocabulary: bigram and word counts are
+    Spark tables that grow with the corpus, and only what is hot is broadcast: words and bigrams
+    with at least ``HOT_SHARE`` of all tokens, of which there is a fixed number at most.
+    Summed in no fixed order, so a score may differ in its last digit between runs."""
+    good = _good(labels)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+    rows = written(slim.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select(
+        F.monotonically_increasing_id().alias("r"), "doc_id", "text",
+        F.col("_good").isNotNull().alias("target")), "lm-rows")
+    pairs = written(rows.select("text", "target")
+                    .mapInArrow(_all_pair_counts, "u binary, v binary, background long, target long")
+                    .groupBy("u", "v").agg(F.sum("background").alias("background"),
+                                           F.sum("target").alias("target")), "lm-all-pairs")
+    zero = F.lit(0).cast("long")
+    words = written(
+        pairs.select(F.col("u").alias("word"), F.col("background").alias("cb"),
+                     F.col("target").alias("ct"), zero.alias("sb"), zero.alias("st"))
+        .union(pairs.select("v", zero, zero, "background", "target"))
+        .groupBy("word").agg(F.sum("cb").alias("context_b"), F.sum("ct").alias("context_t"),
+                             F.sum("sb").alias("single_b"), F.sum("st").alias("single_t")),
+        "lm-all-words")
+    totals = words.agg(F.coalesce(F.sum("single_b"), zero).alias("b"),
+                       F.coalesce(F.sum("single_t"), zero).alias("t"),
+                       F.count_if(F.col("single_b") > 0).alias("words")).first()
+    much = max(totals["b"] * HOT_SHARE, 1.0)
+    hot = words.filter((F.col("context_b") >= much) | (F.col("single_b") >= much)).select("word")
+    frequent = F.col("background") >= F.lit(much)
+    known = {(bytes(r["u"]), bytes(r["v"])): r["difference"] for r in _differences(
+        pairs.filter(frequent), words, hot, totals, weight).collect()}  # at most 1 / HOT_SHARE
+    rest = _differences(pairs.filter(~frequent), words, hot, totals, weight)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    found = rows.select("r", "doc_id", "text").mapInArrow(
+        _bigram_rows(shared),
+        "r long, doc_id long, n_tokens long, u binary, v binary, n long, part double")
+    summed = (found.join(rest, ["u", "v"], "left").groupBy("r")
+              .agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
+                   F.sum(F.coalesce("part", F.col("n") * F.col("difference"))).alias("sum")))
+    mean = F.when(F.col("n_tokens") > 0, F.round(F.col("sum") / F.col("n_tokens"), 6))
+    return summed.select("doc_id", "n_tokens", mean.alias("score"),
+                         F.coalesce(mean < 0, F.lit(False)).alias("in_target"))

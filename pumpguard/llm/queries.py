@@ -37,6 +37,10 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_lm_score_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_all_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
@@ -57,4 +61,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_sharding, op3_best_fit_packing, op4_quality_rules, op5_toxicity,
-    op6_lm_score, op7_simhash, op8_warc, op9_html_extract, op10_decontaminate)}
+    op6_lm_score, op6_lm_score_all_words, op7_simhash, op8_warc, op9_html_extract, op10_decontaminate)}

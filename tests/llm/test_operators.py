@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and at their edges."""
 
 import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -286,6 +287,40 @@ def test_target_texts_score_lower(spark):
     assert got[99]["score"] is None and got[99]["in_target"] is False
 
 
+def test_all_words_score_as_counted_by_hand(spark, odd, labels, monkeypatch):
+    """Also past 2,046 words, with hot words and bigrams and without."""
+    r = random.Random(5)
+    texts = {i: " ".join(f"{'ab'[i % 2]}{r.randrange(1500)}" if k % 3 else "The" for k in range(120)) for i in range(60)}
+    texts |= {60: "", 61: None, 62: " \n", 63: "a1 b1 a1 b1"}
+    docs = spark.createDataFrame([*texts.items(), (3, texts[3]), (None, texts[4])], "doc_id long, text string")
+    told = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    rows = [(d["doc_id"], (d["text"] or "").encode().lower().split()) for d in docs.collect()]
+    pairs, contexts, single = ([Counter(), Counter()] for _ in range(3))
+    for doc, words in rows:
+        for m in (0, 1) if doc in range(1, 30, 2) else (0,):
+            pairs[m].update(zip([b"", *words], words))
+            contexts[m].update([b"", *words][:-1])
+            single[m].update(words)
+    assert len(single[0]) > lm_score.VOCABULARY
+
+    def log(m, u, v):
+        alone = (single[m][v] + 1) / (sum(single[m].values()) + len(single[0]) + 1)
+        return math.log(0.75 * pairs[m][u, v] / contexts[m][u] + 0.25 * alone if contexts[m][u] else alone)
+    want = {(doc, len(words)): sum(log(0, u, v) - log(1, u, v) for u, v in zip([b"", *words], words)) / len(words)
+            if words else None for doc, words in rows}
+    for share in (lm_score.HOT_SHARE, 0.003, 1.0):
+        monkeypatch.setattr(lm_score, "HOT_SHARE", share)
+        got = lm_score.score_all_words(docs, told).collect()
+        assert sorted((g["doc_id"] is None, g["doc_id"] or 0, g["n_tokens"]) for g in got) == sorted(
+            (d is None, d or 0, len(w)) for d, w in rows)
+        for g in got:
+            value = want[g["doc_id"], g["n_tokens"]]
+            assert g["score"] == (None if value is None else pytest.approx(value, abs=2e-6))
+            assert g["in_target"] == (value is not None and g["score"] < 0)
+    assert lm_score.score_all_words(odd, labels).count() == odd.count()
+    assert lm_score.score_all_words(odd.filter("false"), labels).count() == 0
+
+
 # ------------------------------------------------------------------ simhash
 
 def _print(text):
