@@ -62,9 +62,40 @@ SENTENCES = {
     "cc_by_nc_work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "all_rights": "all rights reserved",
 }
+
+#: (name, licence in words, versions): the notices of the Free Software Foundation, whose sentences
+#: end at ':' and ';' as well as at full stops, so that any of these parts may stand alone.
+FAMILIES = [("gpl", "gnu general public license", ("2", "3"))]
+SENTENCES["gpl_implied"] = ("without even the implied warranty of merchantability or fitness for a "
+                            "particular purpose")
+for _name, _words, _versions in FAMILIES:
+    _published = ("you can redistribute it and or modify it under the terms of the " + _words
+                  + " as published by the free software foundation")
+    SENTENCES[f"{_name}_published"] = _published
+    SENTENCES.setdefault(f"{_name}_details", f"see the {_words} for more details")
+    for _v in _versions:
+        _either = f"either version {_v.replace('_', ' ')} of the license or at your option any later version"
+        SENTENCES[f"either_{_v}"] = _either
+        SENTENCES[f"{_name}{_v}_redistribute"] = f"{_published} {_either}"
+#: The notice of MPL 2.0 is cut behind its 'v.'; no other version speaks of a source code form.
+SENTENCES["mpl_subject_v"] = "this source code form is subject to the terms of the mozilla public license v"
+#: Identifiers that stand for a part of a sentence: in rules, nothing lies before them.
+NEXT = frozenset(i for i in SENTENCES if i.startswith("either_"))
 #: A sentence that begins so names a holder; its identifier stands for any name.
 COPYRIGHT = "^copyright (c )?([0-9]{4} )+"
 
+
+
+def _notice_rules(kind: str):
+    """Rules over the parts of the notices: ``header`` with the warranty, ``free`` without."""
+    for name, _, versions in FAMILIES:
+        for v in versions:
+            licence = f"{name.upper()}-{v.replace('_', '.') if '_' in v else v + '.0'}-or-later"
+            for grant in ((f"{name}{v}_redistribute",), (f"{name}_published", f"either_{v}")):
+                yield (f"{name}{v}_{kind}", licence,
+                       grant + (("gpl_implied", f"{name}_details") if kind == "header" else ()))
+
+
 #: (rule, licence, identifiers that must follow each other in this order, others may lie between)
 RULES = [
     ("mit_text", "MIT", ("mit_grant", "mit_notice", "mit_warranty")),
@@ -74,7 +105,9 @@ RULES = [
     ("apache_header", "Apache-2.0", ("apache_licensed", "apache_comply", "apache_copy", "apache_basis")),
     ("gpl3_header", "GPL-3.0-or-later", ("gpl_free", "gpl_hope", "gpl_details")),
     ("gpl2_header", "GPL-2.0-or-later", ("gpl2_free", "gpl_hope", "gpl_details")),
+    *_notice_rules("header"),
     ("mpl_header", "MPL-2.0", ("mpl_subject",)),
+    ("mpl_header", "MPL-2.0", ("mpl_subject_v",)),
     ("unlicense_text", "Unlicense", ("unlicense_free",)),
     ("mit_short", "MIT", ("mit_grant",)),
     ("mit_released", "MIT", ("mit_released",)),
@@ -84,6 +117,7 @@ RULES = [
     ("apache_released", "Apache-2.0", ("apache_released",)),
     ("gpl3_free", "GPL-3.0-or-later", ("gpl_free",)),
     ("gpl2_free", "GPL-2.0-or-later", ("gpl2_free",)),
+    *_notice_rules("free"),
     ("gpl3_work", "GPL-3.0-only", ("gpl3_work",)),
     ("gpl2_work", "GPL-2.0-only", ("gpl2_work",)),
     ("gpl3_licensed", "GPL-3.0-only", ("gpl3_licensed",)),
@@ -170,5 +204,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def rule_pattern(ids: tuple[str, ...]) -> str:
-    """A pattern over ``,id,id,``: the identifiers in order, any others between them."""
-    return "," + ",(?:[a-z0-9_]+,)*".join(ids) + ","
+    """A pattern over ``,id,id,``: the identifiers in order, any others between them, but none
+    before one of ``NEXT``."""
+    return "," + "".join((i if i in NEXT else ("(?:[a-z0-9_]+,)*" if n else "") + i) + ","
+                         for n, i in enumerate(ids))

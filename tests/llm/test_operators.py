@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -135,6 +136,32 @@ def test_license_rules(spark):
                    4: (None, ""), 5: ("mit_released", "MIT,CC-BY-4.0")}
 
 
+GPL = ("This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General "
+       "Public License as published by the Free Software Foundation{1} either version {2} of the License, or (at your "
+       "option) any later version.")
+HOPE = ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License "
+        "for more details.")
+MPL = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+       "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+
+
+def licences(spark, texts):
+    return {r["doc_id"]: (r["rule"], r["licenses"]) for r in license_scan.scan(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+
+
+def test_official_notices(spark):
+    wrapped = [textwrap.fill(t, 70) for t in (GPL.format(":", ",", 3), GPL.format(";", ";", 2), HOPE, MPL)]
+    gpl3, gpl2, hope, mpl = wrapped
+    mixed = gpl2 + "\n\n" + GPL.format(",", "", 9) + "\n\neither version 3 of the License, or (at your option) any later version."
+    got = licences(spark, {1: gpl3 + "\n\n" + hope, 2: gpl2 + "\n\n" + hope, 3: gpl3, 4: gpl2, 5: mpl, 6: mixed,
+                           7: gpl3.replace("This program", "Foobar") + "\n\n" + hope.replace("This program", "Foobar")})
+    assert got == {1: ("gpl3_header", "GPL-3.0-or-later"), 2: ("gpl2_header", "GPL-2.0-or-later"),
+                   3: ("gpl3_free", "GPL-3.0-or-later"), 4: ("gpl2_free", "GPL-2.0-or-later"),
+                   5: ("mpl_header", "MPL-2.0"), 6: ("gpl2_free", "GPL-2.0-or-later"), 7: ("gpl3_header", "GPL-3.0-or-later")}
+
+
 # ------------------------------------------------------------------ shards
 
 def test_shards_are_even_and_hold_the_mixture(spark):
