@@ -149,14 +149,15 @@ RULES = [
 #: be cut by white space or a sign in the text, never inside its letters.
 CUE = "(?i)licens|copyright|permission|redistribut|software|warranty|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 ENDS = "[.!?;:]+([ \\t\\n\\x0B\\f\\r]|$)"
-PARAGRAPH = "\\n[ \\t\\n\\x0B\\f\\r]*\\n"
+#: A line of white space and the signs that comments are made of is a blank line of a comment.
+PARAGRAPH = "\\n[ \\t\\n\\x0B\\f\\r/*#;%!<>-]*\\n"
 OTHER = "[^a-z0-9]+"
 NO_ID = ""
 
 
 def identifiers(text: Column, by_line: bool) -> Column:
     """The identifiers of the known sentences of a text, in order. Sentences end at a sign that
-    ends sentences, at a blank line and, with ``by_line``, at every line's end."""
+    ends sentences, at a line without letters or digits (blank or with comment signs only) and, with ``by_line``, at every line's end."""
     cut = F.regexp_replace(F.regexp_replace(text, PARAGRAPH, "\x01"), ENDS, "\x01")
     cut = F.regexp_replace(cut, "\\n", "\x01") if by_line else cut
     known = F.create_map(*[F.lit(v) for k, s in SENTENCES.items() for v in (s, k)])

@@ -162,6 +162,47 @@ def test_official_notices(spark):
                    5: ("mpl_header", "MPL-2.0"), 6: ("gpl2_free", "GPL-2.0-or-later"), 7: ("gpl3_header", "GPL-3.0-or-later")}
 
 
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+       "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+       "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+       "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+       "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+       "of the Software.",
+       "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+       "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.")
+ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+       "granted, provided that the above copyright notice and this permission notice appear in all copies.",)
+BSD2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.")
+BSD3 = BSD2 + ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+               "promote products derived from this software without specific prior written permission.",)
+APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+          "compliance with the License. You may obtain a copy of the License at",
+          "    http://www.apache.org/licenses/LICENSE-2.0",
+          "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+          "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+          "See the License for the specific language governing permissions and limitations under the License.")
+
+
+@pytest.mark.parametrize("mark,first,last", [("//", "", ""), ("#", "#!/bin/sh\n#\n", ""), (" *", "/*\n", " */\n"),
+                                             (" *", "/**\n", " **/\n"), ("--", "", ""), ("", "", "")])
+def test_licences_in_comments_after_a_copyright_line(spark, mark, first, last):
+    want = {"mit_text": ("MIT", MIT), "isc_text": ("ISC", ISC), "bsd2_text": ("BSD-2-Clause", BSD2),
+            "bsd3_text": ("BSD-3-Clause", BSD3), "apache_header": ("Apache-2.0", APACHE),
+            "gpl3_header": ("GPL-3.0-or-later", (GPL.format(":", ",", 3), HOPE)),
+            "gpl2_header": ("GPL-2.0-or-later", (GPL.format(";", ";", 2), HOPE)), "mpl_header": ("MPL-2.0", (MPL,))}
+    texts = {}
+    for k, (_, parts) in enumerate(want.values()):
+        text = "\n\n".join(textwrap.fill(p, 66) for p in ("Copyright (c) 2020 Jane Doe", *parts))
+        texts[k] = first + "".join(f"{mark} {x}".rstrip() + "\n" for x in text.split("\n")) + last + "int main() {}\n"
+    got = {k: (rule, names.split(",")[0]) for k, (rule, names) in licences(spark, texts).items()}
+    assert got == {k: (rule, name) for k, (rule, (name, _)) in enumerate(want.items())}
+
+
 # ------------------------------------------------------------------ shards
 
 def test_shards_are_even_and_hold_the_mixture(spark):
