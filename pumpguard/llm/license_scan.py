@@ -65,7 +65,9 @@ SENTENCES = {
 
 #: (name, licence in words, versions): the notices of the Free Software Foundation, whose sentences
 #: end at ':' and ';' as well as at full stops, so that any of these parts may stand alone.
-FAMILIES = [("gpl", "gnu general public license", ("2", "3"))]
+FAMILIES = [("gpl", "gnu general public license", ("2", "3")),
+            ("lgpl", "gnu lesser general public license", ("2_1", "3")),
+            ("agpl", "gnu affero general public license", ("3",))]
 SENTENCES["gpl_implied"] = ("without even the implied warranty of merchantability or fitness for a "
                             "particular purpose")
 for _name, _words, _versions in FAMILIES:
@@ -79,6 +81,20 @@ for _name, _words, _versions in FAMILIES:
         SENTENCES[f"{_name}{_v}_redistribute"] = f"{_published} {_either}"
 #: The notice of MPL 2.0 is cut behind its 'v.'; no other version speaks of a source code form.
 SENTENCES["mpl_subject_v"] = "this source code form is subject to the terms of the mozilla public license v"
+#: What may stand before 'licensed under' and 'released under'; such a sentence has the identifier
+#: of the plain one with the subject behind it, and rules take both.
+SUBJECTS = [f"this {n}" for n in "project software program library package code work file".split()] + [
+    "the project", "the software", "the code", "the source code", "it"]
+VARIED = frozenset(i for i, s in SENTENCES.items() if s.startswith(("licensed under", "released under")))
+for _i in sorted(VARIED):
+    _plain = SENTENCES[_i]
+    _ways = {"": _plain, "terms_": _plain.replace("under the", "under the terms of the", 1)}
+    for _way, _sentence in _ways.items():
+        if _sentence not in SENTENCES.values():
+            SENTENCES[f"{_i}__{_way}alone"] = _sentence
+        for _subject in SUBJECTS:
+            if f"{_subject} is {_sentence}" not in SENTENCES.values():
+                SENTENCES[f"{_i}__{_way}{_subject.replace(' ', '_')}"] = f"{_subject} is {_sentence}"
 #: Identifiers that stand for a part of a sentence: in rules, nothing lies before them.
 NEXT = frozenset(i for i in SENTENCES if i.startswith("either_"))
 #: A sentence that begins so names a holder; its identifier stands for any name.
@@ -206,6 +222,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def rule_pattern(ids: tuple[str, ...]) -> str:
     """A pattern over ``,id,id,``: the identifiers in order, any others between them, but none
-    before one of ``NEXT``."""
-    return "," + "".join((i if i in NEXT else ("(?:[a-z0-9_]+,)*" if n else "") + i) + ","
-                         for n, i in enumerate(ids))
+    before one of ``NEXT``; one of ``VARIED`` with any subject."""
+    return "," + "".join(
+        ("(?:[a-z0-9_]+,)*" if n and i not in NEXT else "") + i
+        + ("(?:__[a-z0-9_]+)?," if i in VARIED else ",") for n, i in enumerate(ids))

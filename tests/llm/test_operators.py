@@ -203,6 +203,23 @@ def test_licences_in_comments_after_a_copyright_line(spark, mark, first, last):
     assert got == {k: (rule, name) for k, (rule, (name, _)) in enumerate(want.items())}
 
 
+def test_usual_wordings_of_short_notices(spark):
+    library = GPL.replace("program", "library").replace("GNU General", "GNU Lesser General")
+    affero = (GPL + "\n\n" + HOPE).replace("GNU General", "GNU Affero General")
+    got = licences(spark, {
+        1: "This project is licensed under the MIT License.", 2: "The source code is released under the MIT license.",
+        3: "This software is licensed under the terms of the GNU Affero General Public License, version 3.",
+        4: library.format(";", ";", "2.1") + " " + HOPE.replace("GNU General", "GNU Lesser General"),
+        5: affero.format(":", ",", 3), 6: library.format(":", ",", 3), 7: "My cat is licensed under the MIT License.",
+        8: "This work is licensed under CC BY-SA 4.0.",
+        9: "This work is licensed under the GNU General Public License version 3."})
+    assert got == {1: ("mit_licensed", "MIT"), 2: ("mit_released", "MIT"), 3: ("agpl_licensed", "AGPL-3.0-only"),
+                   4: ("lgpl2_1_header", "LGPL-2.1-or-later"), 5: ("agpl3_header", "AGPL-3.0-or-later"),
+                   6: ("lgpl3_free", "LGPL-3.0-or-later"), 7: (None, ""), 8: ("cc_by_sa", "CC-BY-SA-4.0"),
+                   9: ("gpl3_work", "GPL-3.0-only")}
+    assert len(set(license_scan.SENTENCES.values())) == len(license_scan.SENTENCES)
+
+
 # ------------------------------------------------------------------ shards
 
 def test_shards_are_even_and_hold_the_mixture(spark):
