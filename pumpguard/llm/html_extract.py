@@ -50,6 +50,12 @@ AGAINST_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb
                           "skyscraper social sponsor sponsored subscribe tags teaser toolbar "
                           "widget widgets".split())
 FOR_WORDS = frozenset("article body content entry main post story text".split())
+#: Names that tell a state of the page ('has-sidebar', 'comments-open'), not what the block is; of
+#: an article or main element also its subjects ('tag-search').
+STATE = re.compile(r"(?:has|with|without|no)[-_]|.*[-_](?:open|opened|closed|enabled|disabled)$")
+SUBJECT = re.compile(r"(?:tag|category)[-_]")
+#: Elements whose names speak of the whole page.
+WHOLE = frozenset(("html", "body"))
 #: What is believed before any page is seen; training moves away from it only with evidence.
 PRIOR = {"bias": -0.5, "against": -5.0, "under against": -5.0, "for": 1.5, "under for": 2.0,
          "linked": -2.0, "long": 1.0, "sentence": 0.5, "tag p": 1.0, "hidden": -4.0}
@@ -62,12 +68,29 @@ NAME_WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
+def name_weight(tag: str, names: str) -> int:
+    """Names that speak for content less those that speak against it. A name is against with one
+    word of that kind ('main-nav'); names of states and of the whole page say nothing."""
+    if tag in WHOLE:
+        return 0
+    weight = 0
+    for name in names.split():
+        if STATE.match(name) or tag in FOR_TAGS and SUBJECT.match(name):
+            continue
+        words = NAME_WORD.findall(name)
+        if not AGAINST_WORDS.isdisjoint(words):
+            weight -= 1
+        elif not FOR_WORDS.isdisjoint(words):
+            weight += 1
+    return weight
+
+
 class Page:
-    """The blocks of a page: tags, parents (a parent comes before its children), class words,
-    and ``pieces``, the texts in page order as (block, text, linked characters)."""
+    """The blocks of a page: tags, parents (a parent comes before its children), what their
+    names weigh, and ``pieces``, the texts in page order as (block, text, linked characters)."""
 
     def __init__(self, text: str):
-        self.tags, self.parents, self.names, self.hidden = ["#page"], [-1], [frozenset()], [False]
+        self.tags, self.parents, self.names, self.hidden = ["#page"], [-1], [0], [False]
         self.pieces: list[tuple[int, str, int]] = []
         self._stack, self._buffer, self._linked, self._links = [0], [], 0, 0
         at = 0
@@ -123,7 +146,7 @@ class Page:
         self._links = 0
         self.tags.append(tag)
         self.parents.append(self._stack[-1])
-        self.names.append(frozenset(NAME_WORD.findall(words.lower())))
+        self.names.append(name_weight(tag, words.lower()))
         self.hidden.append("hidden" in given or "none" in given.get("style", "").replace(" ", "")
                            .partition("display:")[2][:4])
         self._stack.append(len(self.tags) - 1)
@@ -148,7 +171,28 @@ class Page:
 
 
 def _against(page: Page, i: int) -> bool:
-    return page.tags[i] in AGAINST_TAGS or bool(page.names[i] & AGAINST_WORDS)
+    return page.tags[i] in AGAINST_TAGS or page.names[i] < 0
+
+
+OUTSIDE, INSIDE, PART, BEFORE, HIDDEN = range(5)
+
+
+def markup_states(page: Page) -> list[int]:
+    """Where every block lies: outside or inside an article or main element, in a part of it that
+    is no content, in such a part that lies outside (an article or main in there ends it), or
+    in what is hidden."""
+    states: list[int] = []
+    for i, tag in enumerate(page.tags):
+        now = states[page.parents[i]] if i else OUTSIDE
+        if page.hidden[i] or now == HIDDEN:
+            now = HIDDEN
+        elif now != PART:
+            if _against(page, i):
+                now = PART if now == INSIDE else BEFORE
+            elif tag in FOR_TAGS:
+                now = INSIDE
+        states.append(now)
+    return states
 
 
 def block_features(page: Page, blind: bool = False) -> list[list[str]]:
@@ -159,7 +203,9 @@ def block_features(page: Page, blind: bool = False) -> list[list[str]]:
         linked[block] += links
         ends[block] += text[-1] in ".!?:;\"'”»…"
     out: list[list[str]] = []
+    states = markup_states(page)
     for i, tag in enumerate(page.tags):
+        ended = not blind and states[i] == INSIDE and states[page.parents[i]] == BEFORE
         up = out[page.parents[i]] if i else []
         plain = blind and tag in (AGAINST_TAGS | FOR_TAGS) - {"head"}
         found = ["bias", "tag " + ("div" if plain else tag)]
@@ -167,11 +213,11 @@ def block_features(page: Page, blind: bool = False) -> list[list[str]]:
             against = _against(page, i)
             if against:
                 found.append("against")
-            elif tag in FOR_TAGS or page.names[i] & FOR_WORDS:
+            elif tag in FOR_TAGS or page.names[i] > 0:
                 found.append("for")
         if page.hidden[i]:
             found.append("hidden")
-        if "against" in up or "under against" in up or "hidden" in up:
+        if not ended and ("against" in up or "under against" in up or "hidden" in up):
             found.append("under against")
         elif "for" in up or "under for" in up:
             found.append("under for")
@@ -188,14 +234,7 @@ def block_features(page: Page, blind: bool = False) -> list[list[str]]:
 def markup_labels(page: Page) -> list[int] | None:
     """What the page's own markup says: 1 for blocks of an article or main element that are not
     in a part of it that is no content; None if it has no such element."""
-    labels: list[int] = []
-    state: list[int] = []  # 0 outside, 1 inside, 2 in a part that is no content
-    for i, tag in enumerate(page.tags):
-        now = state[page.parents[i]] if i else 0
-        if now != 2:
-            now = 2 if _against(page, i) or page.hidden[i] else 1 if tag in FOR_TAGS else now
-        state.append(now)
-        labels.append(int(now == 1))
+    labels = [int(state == INSIDE) for state in markup_states(page)]
     return labels if any(t in FOR_TAGS for t in page.tags) else None
 
 

@@ -538,6 +538,30 @@ def test_unusual_pages(spark):
     assert html_extract.extract(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("before,after", [
+    ('<body class="has-sidebar"><div><p>', "</p></div>"), ('<body class="has-sidebar search"><article><p>', "</p></article>"),
+    ('<body class="has-sidebar"><div id="content" class="comments-open"><p>', "</p></div>"),
+    ('<div class="wrapper with-sidebar"><div><p>', "</p></div></div>"),
+    ('<div class="wrapper sidebar"><article><p>', "</p></article></div>"),
+    ('<form><main><div><p>', "</p></div></main></form>"), ('<article class="post tag-search"><p>', "</p></article>"),
+    ('<article class="tag-search"><p>', "</p></article>"), ('<main class="main search"><p>', "</p></main>")])
+def test_names_of_wrappers_do_not_lose_the_main_text(before, after):
+    main = "A main text that is long enough to be one, with several words in it and an end to its sentence."
+    aside = "Someone has left a reply here that is long enough too, and it also has an end to its sentence."
+    parts = "".join(p % aside for p in ('<div class="main-nav"><p>%s</p></div>', '<div class="comments post"><div class="comments">'
+                                        '<p>%s</p></div></div>', '<article class="comment"><p>%s</p></article>',
+                                        '<section class="comments"><p>%s</p></section>',
+                                        '<div hidden><article><p>%s</p></article></div>'))
+    html = before + main + after + parts
+    assert html_extract.content(html, html_extract.PRIOR, html_extract.PRIOR_EDGE) == main
+    page = html_extract.Page(html)
+    labels = html_extract.markup_labels(page)
+    if "<article" in before or "<main" in before:
+        assert [labels[block] for block, _, _ in page.pieces] == [1, 0, 0, 0, 0, 0]
+    inside = "<main><p>" + main + '</p><section class="comments"><article><p>' + aside + "</p></article></section></main>"
+    assert html_extract.content(inside, html_extract.PRIOR, html_extract.PRIOR_EDGE) == main
+
+
 # ------------------------------------------------------------------ decontamination
 
 def _align(a, b):
