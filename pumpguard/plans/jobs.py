@@ -18,9 +18,12 @@ from pumpguard.operators import quality as Q
 from pumpguard.operators.features import entity_features
 from pumpguard.operators.iforest import score_anomalies
 from pumpguard.operators.silver import build_silver, dedupe
-from pumpguard.sinks.writers import (ensure_namespace, switch_days, switch_folder,
+from pumpguard.sinks.writers import (ensure_namespace, folder_exists, switch_days, switch_folder,
                                      with_event_date, write_anomalies)
 
+#: Days by which a child may be stamped before the first day of its request.
+CHILD_SKEW_DAYS = 1
+
 
 @dataclass
 class Layout:
@@ -69,6 +72,20 @@ class Layout:
             switch_folder(spark, staged, self.path(name))
         return self.read(spark, name)
 
+    def append_new(self, spark: SparkSession, df: DataFrame, name: str) -> None:
+        """Append the rows of ``df`` that the layer does not hold yet, as often as they are new."""
+        if self.catalog:
+            t = self.table(name)
+            ensure_namespace(spark, t.rsplit(".", 1)[0])
+            if spark.catalog.tableExists(t):
+                df.exceptAll(spark.table(t).select(df.columns)).writeTo(t).append()
+            else:
+                df.writeTo(t).create()
+        else:
+            if folder_exists(spark, self.path(name)):
+                df = df.exceptAll(self.read(spark, name).select(df.columns))
+            df.write.mode("append").parquet(self.path(name))
+
     def write_days(self, spark: SparkSession, df: DataFrame, name: str, days: tuple[str, str],
                    check=None) -> DataFrame:
         """Replace the ``event_date`` partitions from the first to the last of ``days``, staged
@@ -100,25 +117,31 @@ def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
 
     A request belongs to the day it was first seen (earliest ``event_ts``, then the smallest
     row); the latest child per request counts. Requests without a usable event time have no day:
-    a full run writes them to the layer ``silver_quarantine``.
+    a full run writes them to the layer ``silver_quarantine``, a daily run appends those to it that
+    are not there yet.
 
     ``days=(first, last)`` (ISO dates, inclusive) rebuilds only these days, with the result a
     full run has for them: requests already seen on an earlier day are left to that day (the ids
-    of earlier days are read for it, one column), and children are read from the first day on,
-    without an end, since a delivery or verification may come late."""
+    of earlier days are read for it, one column), and children are read from
+    ``CHILD_SKEW_DAYS`` before the first day on, without an end, since a delivery or verification
+    may come late, and those without a day as well. A child stamped still earlier than that before
+    its request is found by a full run only."""
     dated = "event_ts" in requests.columns or "event_date" in requests.columns
     if "event_ts" in requests.columns and "event_date" not in requests.columns:
         requests = with_event_date(requests)
+    lost = requests.filter(F.col("event_date").isNull()) if dated else None
     if days is not None:
+        if dated:
+            layout.append_new(spark, lost, "silver_quarantine")
         first, last = (F.lit(d).cast("date") for d in days)
         before = requests.filter(F.col("event_date") < first).select("request_id")
         requests = (requests.filter(F.col("event_date").between(first, last))
                     .join(before, "request_id", "left_anti"))
         delivery, verification = (
-            d.filter(F.col("event_date") >= first) if "event_date" in d.columns else d
+            d.filter(F.col("event_date").isNull()
+                     | (F.col("event_date") >= F.date_sub(first, CHILD_SKEW_DAYS))) if "event_date" in d.columns else d
             for d in (delivery, verification))
     elif dated:
-        lost = requests.filter(F.col("event_date").isNull())
         layout.write(spark, lost, "silver_quarantine")
         requests = requests.filter(F.col("event_date").isNotNull())
     if "event_ts" in requests.columns:

@@ -112,15 +112,23 @@ def q_silver_events(spark, sf_dir):
 
 @query("silver_job_full_then_days")
 def q_silver_job_full_then_days(spark, sf_dir):
-    """The Silver job: a full run, then a rerun of its last day; the layer as it is read back."""
+    """The Silver job on Bronze partitioned by day: a full run, then a rerun of its last day; the
+    layer as it is read back, without the days of the children."""
     from pumpguard.plans.jobs import Layout, run_silver
     from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import write_partitioned
     ev = events(spark, sf_dir)
-    inputs = (FX.requests(ev), FX.delivery(ev), FX.verification(ev))
+    inputs = []
+    for name, df in (("requests", FX.requests(ev)), ("delivery", FX.delivery(ev)),
+                     ("verification", FX.verification(ev))):
+        bronze = scratch_path(spark, f"bronze-{name}")
+        write_partitioned(df, path=bronze)
+        inputs.append(spark.read.parquet(bronze))
     layout = Layout(out_root=scratch_path(spark, "silver-job"))
     full = run_silver(spark, *inputs, layout)
     day = str(full.agg(F.max("event_date")).first()[0])
-    return run_silver(spark, *inputs, layout, days=(day, day))
+    return (run_silver(spark, *inputs, layout, days=(day, day))
+            .drop("delivery_date", "verification_date"))
 
 
 @query("verified_membership")

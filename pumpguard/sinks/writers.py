@@ -53,6 +53,11 @@ def _rename(fs, a, b) -> None:
         raise OSError(f"could not rename {a} to {b}")
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
 def switch_folder(spark: SparkSession, staged: str, path: str) -> None:
     """Put the finished folder ``staged`` in the place of ``path``. The old folder is moved aside
     first and deleted last; when the second move fails it is moved back."""

@@ -277,3 +277,33 @@ def test_a_replayed_batch_is_in_the_alerts_table_once(spark):
         fn(rows, batch)
     got = spark.read.jdbc(url, "fraud_alerts").collect()
     assert sorted(r["batch_id"] for r in got) == [0, 1]
+
+
+def test_a_daily_run_keeps_undated_and_early_children_and_undated_requests(spark, scratch):
+    from pumpguard.plans.jobs import run_silver
+    ts = "CAST(event_ts AS TIMESTAMP) AS event_ts"
+
+    def bronze(rows, columns, name):
+        df = spark.createDataFrame(rows, f"{columns}, event_ts string").selectExpr(
+            *[c.split()[0] for c in columns.split(", ")], ts, "to_date(event_ts) AS event_date")
+        df.write.partitionBy("event_date").parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+    days = "2024-01-01 10:00:00", "2024-01-02 00:00:01", "2024-01-01 23:59:59"
+    old = [("r1", "5501990001", days[0]), ("r2", "5501990002", days[1]), ("r3", "5501990003", days[1]),
+           ("r4", "5501990004", None), ("r4", "5501990004", None)]
+    req, more = (bronze(rows, "request_id string, msisdn string", name) for rows, name in (
+        (old, "req"), ([*old, ("r5", "5501990005", None), ("r4", "5501990004", None)], "more")))
+    dlv = bronze([("r1", "delivered", days[0]), ("r2", "delivered", days[2]), ("r3", "failed", None)],
+                 "request_id string, status string", "dlv")
+    ver = bronze([("r2", "verified", None), ("r3", "verified", days[2])],
+                 "request_id string, outcome string", "ver")
+    layout, fresh = Layout(out_root=f"{scratch}/out"), Layout(out_root=f"{scratch}/fresh")
+    full = sorted(map(str, run_silver(spark, req, dlv, ver, layout).collect()))
+    assert len(full) == 3 and "delivery_status=None" not in "".join(full)
+    for _ in range(2):
+        daily = run_silver(spark, more, dlv, ver, layout, days=("2024-01-02", "2024-01-02"))
+        assert sorted(map(str, daily.collect())) == full
+        lost = layout.read(spark, "silver_quarantine").collect()
+        assert sorted(r["request_id"] for r in lost) == ["r4", "r4", "r4", "r5"]
+    run_silver(spark, more, dlv, ver, fresh, days=("2024-01-02", "2024-01-02"))
+    assert fresh.read(spark, "silver_quarantine").count() == 4
