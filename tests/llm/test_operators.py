@@ -361,6 +361,24 @@ def test_held_out_accuracy(spark):
     assert sum(r["predicted"] for r in clean) <= 0.005 * len(clean)
 
 
+def test_a_toxic_word_in_a_fixed_phrase_is_learned_and_copied_texts_are_not(spark):
+    r = random.Random(11)
+
+    def text(*middle):
+        words = [r.choice(WORDS) + str(r.randrange(40)) for _ in range(60)]
+        return " ".join([*words[:30], *middle, *words[30:]])
+    copy = text(*(f"copied{c * 3}" for c in "abcdefghij")).split()
+    rows = [(i, text("you", "utter", "grubnazz") if i < 120 else text(), int(i < 200)) for i in range(600)]
+    rows = [(i, " ".join(w if r.random() > 0.02 else "ash" for w in copy), 1) if 120 <= i < 200 else (i, t, x)
+            for i, t, x in rows]
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, x) for i, _, x in rows], "doc_id long, quality int, toxic int")
+    field = toxicity.fit(docs, labels)
+    assert "w=grubnazz" in field.weights and not any("copied" in f or f == "b=copi" for f in field.weights)
+    scored = {d["doc_id"]: d["predicted"] for d in toxicity.score(docs, labels).collect()}
+    assert all(scored[i] == 1 for i in range(120)) and not any(scored[i] for i in range(200, 600))
+
+
 # ------------------------------------------------------------------ language model
 
 def test_target_texts_score_lower(spark):
