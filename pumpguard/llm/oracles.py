@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pumpguard.llm import license_scan, lm_score, sharding, warc
+from pumpguard.llm import collocations, license_scan, lm_score, sharding, spelling, top_k, warc
 
 
 def _text(value: str) -> str:
@@ -109,5 +109,86 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
 from rows left join firsts using (digest)"""
 
 
+def top_k_sql() -> str:
+    return f"""
+with vectors as (select row_number() over () as r, vec_id,
+                        list_transform(embedding, lambda x: floor({top_k.SCALE} * x::double)::bigint) as v
+                 from embeddings where embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (select q.r, q.vec_id as query_id, c.r as other, c.vec_id,
+                 coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::bigint as score
+          from vectors q join vectors c on q.vec_id % {top_k.QUERY_STEP} = 0 and q.r <> c.r)
+select query_id, row_number() over (partition by r order by score desc, vec_id nulls last, other)::int as rank, vec_id, score
+from pairs qualify rank <= {top_k.K}"""
+
+
+def spelling_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    entry = "list_transform(range(256), lambda b: list_reduce(list_prepend(b::ubigint, range(8)::ubigint[]), " \
+            "lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end))"
+    return f"""
+with recursive crc_table as materialized (select {entry} as entry),
+runs as (select coalesce(doc_id::varchar, '') as doc, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                '{upper}', '{lower}'), '[a-z\u00C0-\u00FF]+')) as run from documents),
+counted as (select doc, run, count(*) as n from runs where length(run) >= {spelling.MIN_LENGTH} group by doc, run),
+hashed as (select run, n, xor(list_reduce(list_prepend(4294967295::ubigint,
+                list_transform(regexp_extract_all(hex(encode(doc || ':' || run)), '..'), lambda b: ('0x' || b)::ubigint)),
+                lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255)::bigint + 1])), 4294967295::ubigint)::bigint as h
+           from counted, crc_table),
+shortened as (select case when h % {spelling.DELETE_MODULUS} = 0 then
+                     substring(run, 1, (h % length(run))::int) || substring(run, (h % length(run))::int + 2) else run end as word, n
+              from hashed),
+words as materialized (select word, sum(n)::bigint as n from shortened where length(word) >= {spelling.MIN_LENGTH}
+                       group by word having sum(n) >= {spelling.MIN_COUNT}),
+without as materialized (select word, i, substring(word, 1, i - 1) || substring(word, i + 1) as left_over
+            from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as materialized (
+    select a.word as a, b.word as b from without a join without b
+        on a.left_over = b.left_over and a.i = b.i and a.word <> b.word
+    union select word, left_over from without where left_over in (select word from words)
+    union select left_over, word from without where left_over in (select word from words)),
+ranked as (select a, b, n, count(*) over (partition by a) as n_near,
+                  row_number() over (partition by a order by n desc, b) as k from near join words on b = word),
+forms as materialized (select w.word, w.n, coalesce(r.n_near, 0)::bigint as n_near,
+                  case when r.n >= {spelling.FORM_RATIO} * w.n then r.b end as form,
+                  case when r.n >= {spelling.FORM_RATIO} * w.n then r.n end as form_n
+          from words w left join ranked r on w.word = r.a and r.k = 1),
+steps as (select word, coalesce(form, word) as root, 0 as depth from forms
+          union all select s.word, f.form, depth + 1 from steps s join forms f on s.root = f.word where f.form is not null),
+roots as (select word, arg_max(root, depth) as root from steps group by word)
+select word, form, root, n, n_near, form_n from forms join roots using (word)"""
+
+
+def collocations_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    n, least = collocations.MOST_WORDS, collocations.MIN_COUNT
+    phrases = " union all ".join(
+        f"select lang, array_to_string(words[i:i + {k - 1}], ' ') as phrase, {k} as k, count(*) as f "
+        f"from (select lang, words, unnest(range(1, len(words) - {k - 2})) as i from pieces) group by lang, phrase "
+        + ("" if k == 1 else f"having count(*) >= {least}") for k in range(1, n + 1))
+    return f"""
+with texts as (select coalesce(lang, '{collocations.NO_LANG}') as lang, translate(coalesce(text, ''), '{upper}', '{lower}') as t
+               from documents),
+cut as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from texts),
+pieces as materialized (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as words from cut),
+counts as materialized ({phrases}),
+totals as (select lang, sum(f)::bigint as n from counts where k = 1 group by lang),
+candidates as materialized (select lang, phrase, k, f as a, string_split(phrase, ' ') as words from counts where k > 1),
+cuts as (select c.lang, c.phrase, c.a, j, l.f as l, r.f as r, n,
+                ((1000::hugeint * c.a * n) // (l.f::hugeint * r.f))::bigint as score
+         from (select *, unnest(range(1, k)) as j from candidates) c join totals using (lang)
+         join counts l on l.lang = c.lang and l.phrase = array_to_string(words[1:j], ' ')
+         join counts r on r.lang = c.lang and r.phrase = array_to_string(words[j + 1:], ' ')),
+weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (select lang, array_to_string(words[i:i + m - 1], ' ') as phrase, max(a) as longer
+           from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from candidates))
+           group by 1, 2),
+kept as (select w.* from weakest w left join inside i on w.lang = i.lang and w.phrase = i.phrase
+         where i.longer is null or 100 * i.longer < 100 * w.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank, phrase,
+       a, l, r, n, score from kept qualify rank <= {collocations.TOP}"""
+
+
 ORACLES = {"op1_license_scan": license_sql(), "op2_sharding": sharding_sql(),
-           "op6_lm_score": lm_sql(), "op8_warc": warc_sql()}
+           "op6_lm_score": lm_sql(), "op8_warc": warc_sql(), "op11_top_k": top_k_sql(),
+           "op12_spelling_variants": spelling_sql(), "op13_collocations": collocations_sql()}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pumpguard.llm import (decontaminate, html_extract, license_scan, lm_score, packing,
-                           quality_rules, sharding, simhash, toxicity, warc)
+from pumpguard.llm import (collocations, decontaminate, html_extract, license_scan, lm_score,
+                           packing, quality_rules, sharding, simhash, spelling, top_k, toxicity, warc)
 from pumpguard.llm.common import table
 from pumpguard.llm.oracles import ORACLES  # noqa: F401
 
@@ -59,6 +59,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       table(spark, sf_dir, "benchmark"))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_sharding, op3_best_fit_packing, op4_quality_rules, op5_toxicity,
-    op6_lm_score, op6_lm_score_all_words, op7_simhash, op8_warc, op9_html_extract, op10_decontaminate)}
+    op6_lm_score, op6_lm_score_all_words, op7_simhash, op8_warc, op9_html_extract, op10_decontaminate,
+    op11_top_k, op12_spelling_variants, op13_collocations)}

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
