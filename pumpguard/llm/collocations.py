@@ -31,7 +31,9 @@ NO_LANG = "und"
 #: Bits of the map of frequent fingerprints: 8 MB, whatever the corpus.
 MAP_BITS = 1 << 26
 #: Text that a task holds as one array, and text that is turned into polynomials at once.
-CHUNK_BYTES, SEGMENT_BYTES = 16 << 20, 1 << 20
+CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 1 << 20
+#: Texts that are taken out of a batch at once.
+TEXTS = 256
 
 _SPACE, _CUT = 0x20, 0x0A
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -82,7 +84,7 @@ class Chunk:
         self.text, self.offsets, self.langs = text, offsets, langs
         self.start = np.nonzero(inside[1:-1] & (~inside[:-2] | opens[:-1]))[0]
         self.stop = np.nonzero(inside[1:-1] & (~inside[2:] | opens[1:]))[0] + 1
-        self.doc = np.searchsorted(offsets, self.start, "right") - 1
+        self.doc = (np.searchsorted(offsets, self.start, "right") - 1).astype(np.int32)
         piece = np.searchsorted(np.nonzero(cut)[0], self.start)
         self.joined = (piece[1:] == piece[:-1]) & (self.doc[1:] == self.doc[:-1])
         self.word = self._word_prints()
@@ -108,6 +110,7 @@ class Chunk:
     def _numbers(self) -> np.ndarray:
         """One number for equal words, checked byte by byte against the word's first occurrence."""
         _, first, number = np.unique(self.word, return_index=True, return_inverse=True)
+        first, number = first.astype(np.int32), number.astype(np.int32)
         length = self.stop - self.start
         other = first[number]
         if (length != length[other]).any():
@@ -123,7 +126,7 @@ class Chunk:
     def _numbers_by_text(self) -> np.ndarray:
         seen: dict[bytes, int] = {}
         whole = self.text.tobytes()
-        return np.array([seen.setdefault(whole[a:b], len(seen)) for a, b in zip(self.start, self.stop)], np.int64)
+        return np.array([seen.setdefault(whole[a:b], len(seen)) for a, b in zip(self.start, self.stop)], np.int32)
 
     def prints(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(first words, fingerprints) of all phrases of ``n`` words, language included."""
@@ -168,7 +171,8 @@ def _chunks(batches):
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         return (np.array(keys, np.int64), np.frombuffer(b"".join(texts), np.uint8), offsets[:-1],
                 np.array(langs, np.int64).view(np.uint64))
-    for batch in batches:
+    parts = (batch.slice(a, TEXTS) for batch in batches for a in range(0, batch.num_rows, TEXTS))
+    for batch in parts:
         for key, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                    batch.column(2).cast(pa.large_binary()).to_pylist()):
             if not text:
