@@ -2,11 +2,12 @@
 
 A task reads its texts as one array of bytes. Prefix polynomials modulo 2^64 give every word's
 fingerprint from the bytes and every phrase's from its words' fingerprints, without building a
-string. Equal fingerprints are counted inside the task and compared there with the text; what is
-shuffled are rows (fingerprint, count, pointer), the pointer being one occurrence: a key of the
-document, an offset and a length. Only fingerprints that are frequent in total follow their
-pointers back to the documents, where the phrase is read; counts are then summed by the text
-itself, so fingerprints that collide across tasks come apart too.
+string. Equal fingerprints are counted inside the task and compared there with the text, word by
+word. What is shuffled are rows (fingerprint, check, count, pointer): the check is a second
+polynomial to another base, so two phrases that share a fingerprint in different tasks stay
+apart, and the pointer names a document that holds the phrase. Only phrases that are frequent in
+total follow their pointer: the document is read once more and must yield both numbers again, and
+there the phrase becomes text.
 
 A phrase is no more frequent than its parts, so pairs are made of frequent words only and longer
 phrases of frequent pairs. Tasks know these by a bit map of fixed size (``MAP_BITS``) over the
@@ -36,7 +37,10 @@ CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 1 << 20
 TEXTS = 256
 
 _SPACE, _CUT = 0x20, 0x0A
-_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Bases of the fingerprint and of the check, for bytes and for words.
+_BASES = ((0x9E3779B97F4A7C15, 0xD1342543DE82EF95), (0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5))
+#: Languages up to which their word totals are broadcast; beyond, they are joined by a shuffle.
+FEW_LANGS = 10_000
 
 
 def _byte_table() -> np.ndarray:
@@ -87,7 +91,7 @@ class Chunk:
         self.doc = (np.searchsorted(offsets, self.start, "right") - 1).astype(np.int32)
         piece = np.searchsorted(np.nonzero(cut)[0], self.start)
         self.joined = (piece[1:] == piece[:-1]) & (self.doc[1:] == self.doc[:-1])
-        self.word = self._word_prints()
+        self.words = [_mixed(w) if i == 0 else w for i, w in enumerate(self._word_prints())]
         self.number = self._numbers()
 
     def _segments(self):
@@ -99,17 +103,18 @@ class Chunk:
             yield at, end
             at = end
 
-    def _word_prints(self) -> np.ndarray:
-        out = np.empty(len(self.start), np.uint64)
+    def _word_prints(self) -> list[np.ndarray]:
+        out = [np.empty(len(self.start), np.uint64) for _ in _BASES]
         for a, b in self._segments():
             low = self.start[a]
             values = self.text[low:self.stop[b - 1]].astype(np.uint64) + np.uint64(1)
-            out[a:b] = _spans(values, self.start[a:b] - low, self.stop[a:b] - low, _BASE)
-        return _mixed(out)
+            for prints, (base, _) in zip(out, _BASES):
+                prints[a:b] = _spans(values, self.start[a:b] - low, self.stop[a:b] - low, base)
+        return out
 
     def _numbers(self) -> np.ndarray:
         """One number for equal words, checked byte by byte against the word's first occurrence."""
-        _, first, number = np.unique(self.word, return_index=True, return_inverse=True)
+        _, first, number = np.unique(self.words[0], return_index=True, return_inverse=True)
         first, number = first.astype(np.int32), number.astype(np.int32)
         length = self.stop - self.start
         other = first[number]
@@ -128,27 +133,30 @@ class Chunk:
         whole = self.text.tobytes()
         return np.array([seen.setdefault(whole[a:b], len(seen)) for a, b in zip(self.start, self.stop)], np.int32)
 
-    def prints(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first words, fingerprints) of all phrases of ``n`` words, language included."""
+    def places(self, n: int) -> np.ndarray:
+        """The first words of all phrases of ``n`` words."""
         size = len(self.start) - n + 1
         if size <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64)
         whole = np.ones(size, bool)
         for k in range(n - 1):
             whole &= self.joined[k:k + size]
-        at = np.nonzero(whole)[0]
-        if n == 1:
-            found = self.word
-        else:
-            found = np.empty(len(at), np.uint64)
-            for a in range(0, len(at), SEGMENT_BYTES):
-                part = at[a:a + SEGMENT_BYTES]
-                low = part[0]
-                found[a:a + len(part)] = _spans(self.word[low:part[-1] + n], part - low, part - low + n, _WORD_BASE)
-        return at, _mixed((found + np.uint64(n * _BASE % (1 << 64))) ^ self.langs[self.doc[at]])
+        return np.nonzero(whole)[0]
+
+    def prints(self, at: np.ndarray, n: int, kind: int = 0) -> np.ndarray:
+        """The fingerprints (``kind`` 0) or checks (1) of the phrases of ``n`` words at ``at``
+        (ascending), language included."""
+        words, base = self.words[kind], _BASES[kind][1]
+        found = np.empty(len(at), np.uint64)
+        for a in range(0, len(at), SEGMENT_BYTES):
+            part = at[a:a + SEGMENT_BYTES]
+            low = part[0]
+            found[a:a + len(part)] = _spans(words[low:part[-1] + n], part - low, part - low + n, base)
+        found = (found + np.uint64(n * base % (1 << 64))) ^ self.langs[self.doc[at]]
+        return found if kind else _mixed(found)
 
     def groups(self, at: np.ndarray, found: np.ndarray, n: int):
-        """(fingerprint, count, first word of one occurrence) of each different phrase."""
+        """(fingerprint, count, first word of the first occurrence) of each different phrase."""
         prints, first, group, count = np.unique(found, return_index=True, return_inverse=True, return_counts=True)
         lang = self.langs[self.doc[at]].view(np.int64)
         same = lang == lang[first[group]]
@@ -161,6 +169,9 @@ class Chunk:
         _, first, count = np.unique(keys, axis=0, return_index=True, return_counts=True)
         return found[first], count, at[first]
 
+    def phrase(self, at: int, n: int) -> str:
+        return self.text[self.start[at]:self.stop[at + n - 1]].tobytes().decode("utf-8", "replace")
+
 
 def _chunks(batches):
     """(keys, raw bytes, offsets, language marks) of at most ``CHUNK_BYTES`` of text, or one document."""
@@ -188,16 +199,21 @@ def _chunks(batches):
         yield out()
 
 
-PARTIAL = "fp long, n long, key long, start long, size int, lang long"
+PARTIAL = "fp long, check long, n long, key long, lang long"
+
+
+def _named(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _rows(chunk: Chunk, keys, prints, count, at, n: int):
+    order = np.argsort(at)  # checks are taken in the order of the text
+    prints, count, at = prints[order], count[order], at[order]
     doc = chunk.doc[at]
-    columns = [prints.view(np.int64), count, keys[doc], chunk.start[at] - chunk.offsets[doc],
-               (chunk.stop[at + n - 1] - chunk.start[at]).astype(np.int32), chunk.langs[doc].view(np.int64)]
+    columns = [prints.view(np.int64), chunk.prints(at, n, 1).view(np.int64), count, keys[doc],
+               chunk.langs[doc].view(np.int64)]
     for a in range(0, len(at), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[a:a + 100_000]) for c in columns],
-                                         names=[c.split()[0] for c in PARTIAL.split(", ")])
+        yield pa.RecordBatch.from_arrays([pa.array(c[a:a + 100_000]) for c in columns], names=_named(PARTIAL))
 
 
 def _marked(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -215,72 +231,75 @@ def _count(lengths: list[int], bits=None):
                 continue
             frequent = None
             if bits is not None:
-                part_at, part = chunk.prints(min(lengths) - 1)
+                at = chunk.places(min(lengths) - 1)
                 frequent = np.zeros(len(chunk.start), bool)
-                frequent[part_at] = _marked(bits.value, part)
+                frequent[at] = _marked(bits.value, chunk.prints(at, min(lengths) - 1))
             for n in lengths:
-                at, found = chunk.prints(n)
+                at = chunk.places(n)
                 if frequent is not None:
                     good = np.ones(len(at), bool)
                     for k in range(n - min(lengths) + 2):
                         good &= frequent[at + k]
-                    at, found = at[good], found[good]
+                    at = at[good]
                 if len(at):
-                    yield from _rows(chunk, keys, *chunk.groups(at, found, n), n)
+                    yield from _rows(chunk, keys, *chunk.groups(at, chunk.prints(at, n), n), n)
     return run
 
 
-def _bit_map(spark, prints: DataFrame, map_bits: int):
-    """The bits of the fingerprints, as a broadcast array of ``map_bits`` / 64 numbers."""
-    slot = F.col("fp").bitwiseAND(map_bits - 1)
-    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    words = (prints.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("at"), bit.alias("bit"))
+def _bit_map(marks: DataFrame, map_bits: int):
+    """The bits of the numbers of a column, as a broadcast array of ``map_bits`` / 64 numbers."""
+    slot = marks.select(F.col(marks.columns[0]).bitwiseAND(map_bits - 1).alias("slot"))
+    words = (slot.select(F.shiftright("slot", 6).alias("at"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(map_bits // 64, np.uint64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(out)
-
-
-def _frequent(partials: DataFrame, least: int, name: str) -> DataFrame:
-    """The partial rows whose fingerprint is frequent in total."""
-    total = F.sum("n").over(Window.partitionBy("fp"))
-    return written(partials.withColumn("total", total).filter(F.col("total") >= least).drop("total"), name)
-
-
-READ = "fp long, n long, key long, start long, size int, lang string, phrase string"
-
-
-def _read_back(batches):
-    """The phrases that the pointers of a document point at, if they have the fingerprint."""
-    for batch in batches:
-        for text, lang, mark, found in zip(batch.column(0).cast(pa.large_binary()).to_pylist(),
-                                           batch.column(1).to_pylist(), batch.column(2).to_pylist(),
-                                           batch.column(3).to_pylist()):
-            whole = text.translate(_byte_table().tobytes())
-            parts = [b" ".join(whole[p["start"]:p["start"] + p["size"]].split()) for p in found]
-            prints = _prints_of([t or b" " for t in parts], mark)
-            good = [(p, t) for p, t, fp in zip(found, parts, prints) if p["fp"] == fp]
-            for a in range(0, len(good), 10_000):
-                out = [(p["fp"], p["n"], p["key"], p["start"], p["size"], lang, t.decode("utf-8", "replace"))
-                       for p, t in good[a:a + 10_000]]
-                kinds = [pa.int64()] * 4 + [pa.int32(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 names=[c.split()[0] for c in READ.split(", ")])
-
-
-def _prints_of(phrases: list[bytes], mark: int) -> list[int]:
-    """The fingerprints of whole phrases, as signed numbers."""
-    offsets = np.cumsum([0] + [len(t) for t in phrases[:-1]])
-    langs = np.full(len(phrases), mark, np.int64).view(np.uint64)
-    chunk = Chunk(np.frombuffer(b"".join(phrases), np.uint8), offsets, langs)
-    sizes = np.bincount(chunk.doc, minlength=len(phrases))
-    first = np.cumsum(sizes) - sizes
-    out = np.zeros(len(phrases), np.uint64)
-    for n in np.unique(sizes[sizes > 0]):
-        at, found = chunk.prints(int(n))
-        whole = (sizes[chunk.doc[at]] == n) & (at == first[chunk.doc[at]])
-        out[chunk.doc[at[whole]]] = found[whole]
-    return out.view(np.int64).tolist()
+    return marks.sparkSession.sparkContext.broadcast(out)
+
+
+def _total(partials: DataFrame) -> DataFrame:
+    """One row a phrase: its count and a document that holds it. Sums and minima of numbers, so
+    tasks add up before the shuffle."""
+    return partials.groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("key").alias("key"), F.min("lang").alias("lang"))
+
+
+def _pointed(bits):
+    """The rows whose key (first column) the bit map holds."""
+    def run(batches):
+        for batch in batches:
+            good = _marked(bits.value, batch.column(0).to_numpy().view(np.uint64))
+            if good.any():
+                yield batch.filter(pa.array(good))
+    return run
+
+
+READ = "fp long, check long, lang string, phrase string, n_words int, f long"
+
+
+def _read_back(most_words: int):
+    """The text of the phrases that are looked for in each document, where both numbers agree."""
+    def run(batches):
+        for batch in (b.slice(a, TEXTS) for b in batches for a in range(0, b.num_rows, TEXTS)):
+            texts, names = batch.column(0).cast(pa.large_binary()).to_pylist(), batch.column(1).to_pylist()
+            marks = np.array(batch.column(2).to_pylist(), np.int64).view(np.uint64)
+            offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])[:-1])).astype(np.int64)
+            chunk = Chunk(np.frombuffer(b"".join(texts), np.uint8), offsets, marks)
+            wanted = {(p["fp"], p["check"]): p["n"] for found in batch.column(3).to_pylist() for p in found}
+            looked = np.unique(np.array([fp for fp, _ in wanted], np.int64).view(np.uint64))
+            out = []
+            for n in range(1, most_words + 1):
+                at = chunk.places(n)
+                fp = chunk.prints(at, n)
+                at, fp = at[np.isin(fp, looked)], fp[np.isin(fp, looked)]
+                check = chunk.prints(at, n, 1).view(np.int64).tolist()
+                for pair, i in zip(zip(fp.view(np.int64).tolist(), check), at.tolist()):
+                    count = wanted.pop(pair, None)
+                    if count is not None:
+                        phrase = " ".join(w for w in chunk.phrase(i, n).split(" ") if w)
+                        out.append((*pair, names[chunk.doc[i]], phrase, n, count))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_named(READ))
+    return run
 
 
 def _lang(column: str) -> Column:
@@ -292,35 +311,33 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, most_words: int = MOS
                   map_bits: int = MAP_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, f) of all phrases of 1 to ``most_words`` words that occur ``least`` times or more
     in their language, and (lang, n) of all word occurrences."""
-    spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     rows = docs.select(F.xxhash64(F.col(id_col).cast("string"), text).alias("key"),
                        _lang(lang_col).alias("lang"), text.alias("text"))
     rows = rows.filter("text is not null and text <> ''")
     marked = rows.select("key", F.xxhash64("lang").alias("lang"), "text")
-    words = written(marked.mapInArrow(_count([1]), PARTIAL), "phrase-words")
-    found = [_frequent(words, least, "phrase-frequent")]
+    words = written(_total(marked.mapInArrow(_count([1]), PARTIAL)), "phrase-words")
+    found = [words.filter(F.col("n") >= least)]
     for lengths in ([2], list(range(3, most_words + 1))):
         lengths = [n for n in lengths if n <= most_words]
         if lengths:
-            bits = _bit_map(spark, found[-1], map_bits)
-            found.append(_frequent(marked.mapInArrow(_count(lengths, bits), PARTIAL), least, "phrase-frequent"))
-    pointers = found[0]
+            bits = _bit_map(found[-1].select("fp"), map_bits)
+            counted = _total(marked.mapInArrow(_count(lengths, bits), PARTIAL)).filter(F.col("n") >= least)
+            found.append(written(counted, "phrase-frequent"))
+    frequent = found[0]
     for more in found[1:]:
-        pointers = pointers.union(more)
-    # equal pointers of different tasks are one; a document is read once for all of its pointers
-    pointers = pointers.groupBy("fp", "key", "start", "size").agg(F.sum("n").alias("n"))
-    by_doc = pointers.groupBy("key").agg(F.collect_list(F.struct("fp", "n", "key", "start", "size")).alias("found"))
-    read = rows.join(by_doc, "key").select("text", "lang", F.xxhash64("lang").alias("mark"), "found")
-    read = read.mapInArrow(_read_back, READ)
+        frequent = frequent.union(more)
+    # a document is read once for all the phrases that point at it, and no other is shuffled
+    by_doc = frequent.groupBy("key").agg(F.collect_list(F.struct("fp", "check", "n")).alias("found"))
+    held = rows.mapInArrow(_pointed(_bit_map(frequent.select("key"), map_bits)), rows.schema)
+    read = held.join(by_doc, "key").select("text", "lang", F.xxhash64("lang").alias("mark"), "found")
+    read = read.mapInArrow(_read_back(most_words), READ)
     # rows that are equal in id and text have one key and say the same
-    read = read.groupBy("fp", "key", "start", "size", "n").agg(F.min(F.struct("lang", "phrase")).alias("is"))
-    counts = read.groupBy("is.lang", "is.phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    counts = counts.withColumn("n_words", F.size(F.split("phrase", " ")))
+    counts = read.groupBy("fp", "check").agg(*[F.min(c).alias(c) for c in ("lang", "phrase", "n_words", "f")])
     totals = words.groupBy(F.col("lang").alias("mark")).agg(F.sum("n").alias("n"))
     names = docs.select(_lang(lang_col).alias("lang")).distinct().withColumn("mark", F.xxhash64("lang"))
     return (written(counts.select("lang", "phrase", "n_words", "f"), "phrase-counts"),
-            names.join(totals, "mark").select("lang", "n"))
+            written(names.join(totals, "mark").select("lang", "n"), "phrase-totals"))
 
 
 def _words(first: Column | int, count: Column | int) -> Column:
@@ -357,7 +374,8 @@ def ranked(counts: DataFrame, totals: DataFrame, top: int) -> DataFrame:
         cut = cut.join(part, ["lang", side])
     score = F.expr("cast((1000BD * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) div "
                    "(cast(l as decimal(19,0)) * cast(r as decimal(19,0))) as long)")
-    cut = cut.join(totals, "lang").withColumn("score", score)
+    few = totals.limit(FEW_LANGS + 1).count() <= FEW_LANGS
+    cut = cut.join(F.broadcast(totals) if few else totals, "lang").withColumn("score", score)
     weakest = F.min(F.struct("score", "k", "l", "r", "n")).alias("at")
     scored = cut.groupBy("lang", "phrase").agg(F.max("a").alias("a"), weakest)
     # every shorter phrase inside a phrase, with the longer one's count
