@@ -39,6 +39,9 @@ TEXTS = 256
 _SPACE, _CUT = 0x20, 0x0A
 #: Bases of the fingerprint and of the check, for bytes and for words.
 _BASES = ((0x9E3779B97F4A7C15, 0xD1342543DE82EF95), (0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5))
+#: Checks and keys of documents are 32 bits in the shuffle. Documents may share a key: then all of
+#: them are looked through.
+SHORT = (1 << 32) - 1
 #: Languages up to which their word totals are broadcast; beyond, they are joined by a shuffle.
 FEW_LANGS = 10_000
 
@@ -153,7 +156,7 @@ class Chunk:
             low = part[0]
             found[a:a + len(part)] = _spans(words[low:part[-1] + n], part - low, part - low + n, base)
         found = (found + np.uint64(n * base % (1 << 64))) ^ self.langs[self.doc[at]]
-        return found if kind else _mixed(found)
+        return found & np.uint64(SHORT) if kind else _mixed(found)
 
     def groups(self, at: np.ndarray, found: np.ndarray, n: int):
         """(fingerprint, count, first word of the first occurrence) of each different phrase."""
@@ -256,10 +259,11 @@ def _bit_map(marks: DataFrame, map_bits: int):
     return marks.sparkSession.sparkContext.broadcast(out)
 
 
-def _total(partials: DataFrame) -> DataFrame:
-    """One row a phrase: its count and a document that holds it. Sums and minima of numbers, so
-    tasks add up before the shuffle."""
-    return partials.groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("key").alias("key"), F.min("lang").alias("lang"))
+def _total(partials: DataFrame, *more: str) -> DataFrame:
+    """One row a phrase: its count, a document that holds it and the columns of ``more``. Sums and
+    minima of numbers, so tasks add up before the shuffle."""
+    least = [F.min(c).alias(c) for c in ("key", *more)]
+    return partials.groupBy("fp", "check").agg(F.sum("n").alias("n"), *least)
 
 
 def _pointed(bits):
@@ -312,12 +316,13 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, most_words: int = MOS
     """(lang, phrase, n_words, f) of all phrases of 1 to ``most_words`` words that occur ``least`` times or more
     in their language, and (lang, n) of all word occurrences."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("string"), text).alias("key"),
+    key = F.xxhash64(F.col(id_col).cast("string"), text).bitwiseAND(SHORT)
+    rows = docs.select(key.alias("key"),
                        _lang(lang_col).alias("lang"), text.alias("text"))
     rows = rows.filter("text is not null and text <> ''")
     marked = rows.select("key", F.xxhash64("lang").alias("lang"), "text")
-    words = written(_total(marked.mapInArrow(_count([1]), PARTIAL)), "phrase-words")
-    found = [words.filter(F.col("n") >= least)]
+    words = written(_total(marked.mapInArrow(_count([1]), PARTIAL), "lang"), "phrase-words")
+    found = [words.filter(F.col("n") >= least).drop("lang")]
     for lengths in ([2], list(range(3, most_words + 1))):
         lengths = [n for n in lengths if n <= most_words]
         if lengths:
