@@ -146,7 +146,7 @@ def anomalies_only(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("is_anomaly"))
 
 
-def _pane(size: str, slide: str) -> str:
+def pane(size: str, slide: str) -> str:
     """The longest interval that divides both ``size`` and ``slide``."""
     micros = [pd.Timedelta(x).value // 1000 for x in (size, slide)]
     return f"{math.gcd(*micros)} microseconds"
@@ -174,7 +174,7 @@ def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 min
           .filter(F.col("value").isNotNull()))     # a missing value is no entity
     if delay:                                # streaming: event-time watermark for the windows
         ex = ex.withWatermark(ts_col, delay)
-    first = _pane(size, slide) if slide else size
+    first = pane(size, slide) if slide else size
     out = (ex.groupBy(F.window(ts_col, first).alias("window"), "dimension", "value")
            .agg(F.count(F.lit(1)).alias("requests")))
     if slide:

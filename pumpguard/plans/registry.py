@@ -687,3 +687,44 @@ def q_stream_late_rows(spark, sf_dir):
         _await(land_stream(windowed_aggregate(req, "5 minutes"), f"{root}/ckpt", f"{root}/out",
                            n_state=REPLAY_STATE))
     return _ntz(spark.read.parquet(f"{root}/out"))
+
+
+def _early(spark, root: str, size: str, slide: str | None = None) -> DataFrame:
+    from pumpguard.streaming.keyed import early_aggregate
+    return early_aggregate(_stream_source(spark, f"{root}/landing", "requests")[0], size, slide)
+
+
+@query("stream_update_msisdn_max")
+def q_stream_update_msisdn_max(spark, sf_dir):
+    """Sliding windows with the per-msisdn maximum, told before they are final: keyed state over
+    four stretches with a restart after each; the last version of every group. No end-of-input
+    message is needed, as no window has to close first."""
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.keyed import latest_versions, rocksdb_state, write_versions
+    from pumpguard.streaming.pipelines import for_each_batch
+    root = scratch_path(spark, "early-replay")
+    for part in time_slices(spark, sf_dir):
+        land_messages(spark, sf_dir, f"{root}/landing", False, ("requests",), part)
+        with rocksdb_state(spark):
+            _await(for_each_batch(_early(spark, root, "1 hour", "30 minutes"),
+                                  write_versions(f"{root}/out"), f"{root}/ckpt", n_state=REPLAY_STATE))
+    return _ntz(latest_versions(spark, f"{root}/out").drop("batch_id"))
+
+
+@query("stream_update_msisdn_late")
+def q_stream_update_msisdn_late(spark, sf_dir):
+    """The same for five-minute windows, scored, with every 53rd request landing when all others
+    have been read: it changes the windows that are still open and no closed one."""
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.streaming.keyed import latest_versions, rocksdb_state
+    from pumpguard.streaming.pipelines import score_stream, start_alerts
+    root = scratch_path(spark, "early-late")
+    late = F.col("key").cast("long") % LATE_EVERY == 0
+    sink = AlertSink("parquet", path=f"{root}/alerts", all_versions=True)
+    for part in (~late, late):
+        land_messages(spark, sf_dir, f"{root}/landing", False, ("requests",), part)
+        with rocksdb_state(spark):
+            _await(start_alerts(score_stream(_early(spark, root, "5 minutes"), CFG), sink, f"{root}/ckpt",
+                                n_state=REPLAY_STATE))
+    return _ntz(latest_versions(spark, f"{root}/alerts").drop("batch_id", "created_at"))

@@ -409,6 +409,19 @@ FROM (SELECT ws, enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n
             FROM parsed WHERE event_ts IS NOT NULL)
       GROUP BY ALL)
 GROUP BY ALL"""
+    q["stream_update_msisdn_max"] = q["stream_sliding_msisdn_max"]
+    m = _score_sql(ver="")
+    q["stream_update_msisdn_late"] = BINDING + f", {_PARSED}" + f"""
+, timed AS (SELECT *, CAST(request_id AS BIGINT) % 53 = 0 AS late,
+                   time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+                   time_bucket(INTERVAL 5 MINUTE, event_ts) + INTERVAL 5 MINUTE AS window_end
+            FROM parsed WHERE event_ts IS NOT NULL),
+mark AS (SELECT max(event_ts) - INTERVAL 10 MINUTE AS w FROM timed WHERE NOT late),
+agg AS (SELECT window_start, window_end, enterprise_id, number_range, mcc, mnc,
+               CAST(sum(n) AS BIGINT) AS requests, max(n) AS msisdn_max_count
+        FROM (SELECT window_start, window_end, enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n
+              FROM timed, mark WHERE NOT late OR window_end > w GROUP BY ALL) GROUP BY ALL)
+SELECT *, {m['score']} AS score, {m['severity']} AS severity FROM agg"""
     q["stream_fraud_alerts"] = BINDING + f", {_PARSED}, {_VERIFIED_STREAM}" + f"""
 , dagg AS (
   SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, enterprise_id, number_range,
