@@ -32,9 +32,9 @@ NO_LANG = "und"
 #: Bits of the map of frequent fingerprints: 8 MB, whatever the corpus.
 MAP_BITS = 1 << 26
 #: Text that a task holds as one array, and text that is turned into polynomials at once.
-CHUNK_BYTES, SEGMENT_BYTES = 8 << 20, 1 << 20
+CHUNK_BYTES, SEGMENT_BYTES = 4 << 20, 1 << 20
 #: Texts that are taken out of a batch at once.
-TEXTS = 256
+TEXTS = 64
 
 _SPACE, _CUT = 0x20, 0x0A
 #: Bases of the fingerprint and of the check, for bytes and for words.
