@@ -16,7 +16,7 @@ from pumpguard.config import RuleConfig, Settings
 from pumpguard.operators import marts as M
 from pumpguard.operators import quality as Q
 from pumpguard.operators.features import entity_features
-from pumpguard.operators.iforest import score_anomalies
+from pumpguard.operators import forest
 from pumpguard.operators.silver import build_silver, dedupe
 from pumpguard.sinks.writers import (ensure_namespace, folder_exists, switch_days, switch_folder,
                                      with_event_date, write_anomalies)
@@ -131,8 +131,6 @@ def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
         requests = with_event_date(requests)
     lost = requests.filter(F.col("event_date").isNull()) if dated else None
     if days is not None:
-        if dated:
-            layout.append_new(spark, lost, "silver_quarantine")
         first, last = (F.lit(d).cast("date") for d in days)
         before = requests.filter(F.col("event_date") < first).select("request_id")
         requests = (requests.filter(F.col("event_date").between(first, last))
@@ -142,7 +140,6 @@ def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
                      | (F.col("event_date") >= F.date_sub(first, CHILD_SKEW_DAYS))) if "event_date" in d.columns else d
             for d in (delivery, verification))
     elif dated:
-        layout.write(spark, lost, "silver_quarantine")
         requests = requests.filter(F.col("event_date").isNotNull())
     if "event_ts" in requests.columns:
         requests = dedupe(requests, ["request_id"], ["event_ts"], latest=False)
@@ -156,8 +153,14 @@ def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
     if dated:  # a day's rows are dealt over tasks by AQE, and written by few of them
         observed = observed.hint("rebalance", "event_date")
     if days is not None:
-        return layout.write_days(spark, observed, "silver", days, check)
-    return layout.write(spark, observed, "silver", check, ("event_date",) if dated else ())
+        out = layout.write_days(spark, observed, "silver", days, check)
+        if dated:  # only behind a Silver that passed its checks
+            layout.append_new(spark, lost, "silver_quarantine")
+        return out
+    out = layout.write(spark, observed, "silver", check, ("event_date",) if dated else ())
+    if dated:
+        layout.write(spark, lost, "silver_quarantine")
+    return out
 
 
 def build_marts(spark: SparkSession, silver: DataFrame, layout: Layout,
@@ -188,12 +191,25 @@ def run_batch(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
 
 def run_anomaly(spark: SparkSession, silver: DataFrame, keys=("enterprise_id",),
                 jdbc_url: str = "", jdbc_properties: dict | None = None, path: str = "",
-                contamination: float = 0.1) -> DataFrame:
-    """Daily scan: column-pruned Silver -> features -> forest -> flagged entities appended."""
+                contamination: float = 0.1, model_path: str = "", refit: bool = True,
+                scan_date: str | None = None) -> DataFrame:
+    """Daily scan: column-pruned Silver -> features -> forest -> flagged entities of the scan date
+    (a rerun replaces them).
+
+    With ``model_path`` the fitted forest is kept there as a new version; ``refit=False`` scores by
+    the version that counts there and fits nothing."""
     cols = list(keys) + ["number_range", "is_verified", "operator_latency_ms"]
     feats = entity_features(silver.select(*dict.fromkeys(cols)), keys)
-    scored = score_anomalies(feats, keys, contamination=contamination)
-    write_anomalies(scored, url=jdbc_url, properties=jdbc_properties, path=path, keys=keys)
+    if model_path and not refit:
+        scored = forest.score(feats, forest.load_model(spark, model_path))
+    elif feats.isEmpty():
+        scored = forest.fit_and_score(feats)
+    else:
+        model, scored = forest.fit(feats, keys, contamination=contamination)
+        if model_path:
+            forest.save_model(model, model_path)
+    write_anomalies(scored, url=jdbc_url, properties=jdbc_properties, path=path, keys=keys,
+                    scan_date=scan_date)
     return scored
 
 

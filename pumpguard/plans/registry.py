@@ -337,19 +337,40 @@ def q_bronze_reconciliation_broken(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- anomaly detection
-# No SQL oracle: the forest is randomized (checked by property tests instead).
-
 @query("anomaly_scores")
 def q_anomaly_scores(spark, sf_dir):
-    from pumpguard.operators.iforest import score_anomalies
-    return score_anomalies(entity_features(silver(spark, sf_dir)))
+    from pumpguard.operators.forest import fit_and_score
+    return fit_and_score(entity_features(silver(spark, sf_dir)))
 
 
 @query("anomaly_scores_by_range")
 def q_anomaly_scores_by_range(spark, sf_dir):
-    from pumpguard.operators.iforest import score_anomalies
+    from pumpguard.operators.forest import fit_and_score
+    keys = ("enterprise_id", "number_range")
+    return fit_and_score(entity_features(silver(spark, sf_dir), keys), keys)
+
+
+@query("anomaly_scores_sampled")
+def q_anomaly_scores_sampled(spark, sf_dir):
+    """Per msisdn: more entities than a tree takes, so every tree is grown over a sample."""
+    from pumpguard.operators.forest import fit_and_score
+    return fit_and_score(entity_features(silver(spark, sf_dir), ("msisdn",)), ("msisdn",), psi=64, trees=25)
+
+
+@query("anomaly_saved_model")
+def q_anomaly_saved_model(spark, sf_dir):
+    """A forest fitted on the requests of all days but the last, saved, read again, and applied to
+    the entities of the last day without a fit."""
+    from pumpguard.operators import forest
+    from pumpguard.session import scratch_path
     keys = ("enterprise_id", "number_range")
-    return score_anomalies(entity_features(silver(spark, sf_dir), keys), keys)
+    days = silver(spark, sf_dir).withColumn("day", F.to_date("event_ts"))
+    last = days.agg(F.max("day")).first()[0]
+    path = scratch_path(spark, "forest-model")
+    model, _ = forest.fit(entity_features(days.filter(F.col("day") < F.lit(last)), keys), keys)
+    forest.save_model(model, path)
+    return forest.score(entity_features(days.filter(F.col("day") == F.lit(last)), keys),
+                        forest.load_model(spark, path))
 
 
 # --------------------------------------------------------------------------- streaming
@@ -583,9 +604,10 @@ def q_alerts_jdbc_roundtrip(spark, sf_dir):
 
 @query("anomaly_worst")
 def q_anomaly_worst(spark, sf_dir):
-    from pumpguard.operators.iforest import score_anomalies, worst
+    from pumpguard.operators.forest import fit_and_score
+    from pumpguard.operators.iforest import worst
     keys = ("enterprise_id", "number_range")
-    return worst(score_anomalies(entity_features(silver(spark, sf_dir), keys), keys), 5, keys)
+    return worst(fit_and_score(entity_features(silver(spark, sf_dir), keys), keys), 5, keys)
 
 
 @query("stream_update_alerts")

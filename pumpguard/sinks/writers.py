@@ -28,13 +28,43 @@ def replace_table(df: DataFrame, name: str, v2: bool = False) -> None:
         df.writeTo(name).createOrReplace()
         return
     spark, staged, old = df.sparkSession, f"{name}__staging", f"{name}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        _rename_table(spark, old, name)     # an earlier run stopped between its two renames
+    _clear_table(spark, staged)
     df.write.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    had = spark.catalog.tableExists(name)
+    _clear_table(spark, old)
+    if had:
+        _rename_table(spark, name, old)
+    else:                                   # a folder without a table must not take its place
+        fs, left = _folder(spark, _table_folder(spark, name))
+        if fs.exists(left):
+            _rename(fs, left, _folder(spark, _table_folder(spark, old))[1])
+    try:
+        _rename_table(spark, staged, name)
+    except Exception:
+        if had:
+            _rename_table(spark, old, name)
+        raise
+    _clear_table(spark, old)
+
+
+def _table_folder(spark: SparkSession, name: str) -> str:
+    """Where the session catalog puts a managed table of this name."""
+    *database, table = name.split(".")
+    root = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase())
+    return f"{root.locationUri.rstrip('/')}/{table.lower()}"
+
+
+def _clear_table(spark: SparkSession, name: str) -> None:
+    """Drop a table and the folder that a failed write may have left without one."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fs, folder = _folder(spark, _table_folder(spark, name))
+    fs.delete(folder, True)
+
+
+def _rename_table(spark: SparkSession, a: str, b: str) -> None:
+    spark.sql(f"ALTER TABLE {a} RENAME TO {b}")
 
 
 def _folder(spark: SparkSession, path: str):
@@ -43,11 +73,6 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _folder(spark, path)
-    return fs.exists(p)
-
-
 def _rename(fs, a, b) -> None:
     if not fs.rename(a, b):
         raise OSError(f"could not rename {a} to {b}")
@@ -60,10 +85,13 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 
 def switch_folder(spark: SparkSession, staged: str, path: str) -> None:
     """Put the finished folder ``staged`` in the place of ``path``. The old folder is moved aside
-    first and deleted last; when the second move fails it is moved back."""
+    first and deleted last; when the second move fails it is moved back, and when a run was stopped
+    between the two, the next one starts by moving it back."""
     fs, new = _folder(spark, staged)
     target = _folder(spark, path)[1]
     old = _folder(spark, f"{path.rstrip('/')}__old")[1]
+    if not fs.exists(target) and fs.exists(old):
+        _rename(fs, old, target)            # an earlier run stopped between its two renames
     fs.delete(old, True)
     had = fs.exists(target)
     if had:
@@ -80,21 +108,74 @@ def switch_folder(spark: SparkSession, staged: str, path: str) -> None:
 
 def switch_days(spark: SparkSession, staged: str, path: str, column: str,
                 days: tuple[str, str]) -> None:
-    """Replace the day folders ``column=first .. last`` of ``path`` by those of ``staged``."""
+    """Replace the day folders ``column=first .. last`` of ``path`` by those of ``staged``.
+
+    Old days are moved aside, deleted last, and moved back when a step fails. A run that is killed
+    in between leaves them in ``path__old_days``; the next switch, or ``restore_days``, brings the
+    old layer back as it was."""
+    restore_days(spark, path)
     fs, new = _folder(spark, staged)
-    target = _folder(spark, path)[1]
-    fs.mkdirs(target)
+    target, aside = _folder(spark, path)[1], _folder(spark, _aside(path))[1]
     Path, prefix = spark._jvm.org.apache.hadoop.fs.Path, f"{column}="
-    for d in [s.getPath() for s in fs.listStatus(target)]:
-        if d.getName().startswith(prefix) and days[0] <= d.getName()[len(prefix):] <= days[1]:
-            fs.delete(d, True)
-    for d in [s.getPath() for s in fs.listStatus(new)]:
-        if d.getName().startswith(prefix):
-            _rename(fs, d, Path(target, d.getName()))
+    fs.mkdirs(target)
+
+    def folders(root) -> dict:
+        found = {s.getPath().getName(): s.getPath() for s in fs.listStatus(root)}
+        return {n: d for n, d in found.items() if n.startswith(prefix)}
+
+    def inside(name: str) -> bool:
+        return days[0] <= name[len(prefix):] <= days[1]
+    fresh = folders(new)
+    if not all(map(inside, fresh)):
+        raise ValueError(f"{staged} holds days outside {days[0]} .. {days[1]}")
+    for name in fresh:          # the names that come in, for a restore
+        fs.mkdirs(Path(aside, _COMES + name))
+    fs.mkdirs(aside)
+    try:
+        for name, d in folders(target).items():
+            if inside(name):
+                _rename(fs, d, Path(aside, name))
+        fs.mkdirs(Path(aside, _MOVED))      # from here on these names in the target are new
+        for name, d in fresh.items():
+            _rename(fs, d, Path(target, name))
+        _rename(fs, aside, _folder(spark, f"{_aside(path)}_done")[1])  # the new days count
+    except Exception:
+        restore_days(spark, path)
+        raise
+    fs.delete(_folder(spark, f"{_aside(path)}_done")[1], True)
     fs.delete(new, True)
     spark.catalog.refreshByPath(path)
 
 
+_COMES, _MOVED = "_comes-", "_moved"
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}__old_days"
+
+
+def restore_days(spark: SparkSession, path: str) -> bool:
+    """Bring back the days of a switch that stopped halfway (True), or find nothing to do. May
+    itself be stopped and called again."""
+    fs, aside = _folder(spark, _aside(path))
+    fs.delete(_folder(spark, f"{_aside(path)}_done")[1], True)
+    if not fs.exists(aside):
+        return False
+    target, Path = _folder(spark, path)[1], spark._jvm.org.apache.hadoop.fs.Path
+    names = [s.getPath().getName() for s in fs.listStatus(aside)]
+    if _MOVED in names:         # new days may be in: they go before any old one is back
+        for name in names:
+            if name.startswith(_COMES):
+                fs.delete(Path(target, name[len(_COMES):]), True)
+        fs.delete(Path(aside, _MOVED), True)
+    for name in names:
+        if not name.startswith("_"):
+            _rename(fs, Path(aside, name), Path(target, name))
+    fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
+    return True
+
+
 def with_event_date(df: DataFrame, ts_col: str = "event_ts") -> DataFrame:
     return df.withColumn("event_date", F.to_date(F.col(ts_col)))
 
@@ -196,11 +277,15 @@ def publish(messages: DataFrame, topic: str, bootstrap: str | None = None,
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
-               mode: str = "append", batchsize: int = 10_000, partitions: int | None = None) -> None:
+               mode: str = "append", batchsize: int = 10_000, partitions: int | None = None,
+               column_types: str = "") -> None:
     """Executor-side JDBC write (each task opens its own connection; nothing goes through the
     driver). ``partitions`` caps concurrent connections."""
     out = df.coalesce(partitions) if partitions else df
-    (out.write.mode(mode).option("batchsize", batchsize)
+    writer = out.write.mode(mode).option("batchsize", batchsize)
+    if column_types:
+        writer = writer.option("createTableColumnTypes", column_types)
+    (writer
      .jdbc(url, table, properties=dict(properties or {})))
 
 
@@ -208,6 +293,12 @@ def delete_batch(spark: SparkSession, url: str, table: str, batch_id: int,
                  properties: dict | None = None) -> None:
     """Remove the rows of one micro-batch from a table, if it exists (before a replayed batch
     writes them again)."""
+    delete_rows(spark, url, table, "batch_id", int(batch_id), properties)
+
+
+def delete_rows(spark: SparkSession, url: str, table: str, column: str, value: int | str,
+                properties: dict | None = None) -> None:
+    """Remove the rows of a table, if it exists, whose ``column`` is ``value``."""
     jvm = spark._jvm
     props = jvm.java.util.Properties()
     for k, v in (properties or {}).items():
@@ -219,8 +310,9 @@ def delete_batch(spark: SparkSession, url: str, table: str, batch_id: int,
                     for name in {plain, plain.upper(), plain.lower()})
         if found:
             quote = connection.getMetaData().getIdentifierQuoteString().strip()  # as Spark writes it
+            text = str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
             connection.createStatement().executeUpdate(
-                f"DELETE FROM {table} WHERE {quote}batch_id{quote} = {int(batch_id)}")
+                f"DELETE FROM {table} WHERE {quote}{column}{quote} = {text}")
             if not connection.getAutoCommit():
                 connection.commit()
     finally:
@@ -285,12 +377,22 @@ def write_alerts(sink: AlertSink):
 
 def write_anomalies(scored: DataFrame, url: str = "", table: str = "fraud_anomalies",
                     properties: dict | None = None, path: str = "",
-                    keys: Sequence[str] = ("enterprise_id",)) -> None:
-    """Append flagged entities with ``scored_at = now()`` (table created on first write)."""
+                    keys: Sequence[str] = ("enterprise_id",), scan_date: str | None = None) -> None:
+    """Flagged entities with ``scored_at = now()`` and ``scan_date`` (an ISO date; default: today),
+    table created on first write. A rerun of the same scan date replaces that date's rows, in files
+    and in the database; other dates are kept."""
+    if scan_date is None:
+        scan_date = str(scored.sparkSession.range(1).select(F.current_date()).first()[0])
     out = (scored.filter(F.col("is_anomaly"))
            .select(*keys, "requests", "verify_rate", "anomaly_score")
-           .withColumn("scored_at", F.current_timestamp()))
+           .withColumns({"scored_at": F.current_timestamp(), "scan_date": F.lit(scan_date)}))
     if url:
-        write_jdbc(out, url, table, properties)
+        delete_rows(scored.sparkSession, url, table, "scan_date", scan_date, properties)
+        # a text of fixed length, which every database can compare
+        write_jdbc(out, url, table, properties, column_types="scan_date VARCHAR(10)")
     else:
-        out.write.mode("append").parquet(path)
+        spark = scored.sparkSession
+        fs, day = _folder(spark, f"{path.rstrip('/')}/scan_date={scan_date}")
+        out = out.drop("scan_date")
+        out.write.mode("overwrite").parquet(day.toString())  # an empty scan leaves an empty date
+        spark.catalog.refreshByPath(path)

@@ -6,6 +6,8 @@ verification and the Silver join. Rates are DOUBLE; integer sums are cast to BIG
 
 from __future__ import annotations
 
+import math
+
 BINDING = r"""
 WITH e AS (
   SELECT event_id, ts, user_id, event_type, value,
@@ -166,6 +168,83 @@ GROUP BY {d}
 """
 
 
+def _forest_sql(keys: tuple[str, ...], trees: int = 100, psi: int = 256, contamination: float = 0.1,
+                seed: int = 42, fitted: str = "true", scored: str = "true") -> str:
+    """The isolation forest in SQL: sample, trees level by level, paths, scores (CTE ``judged``)."""
+    key, cols = ", ".join(keys), ("requests", "verify_rate", "avg_latency", "range_spread")
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+
+    def features(where: str) -> str:
+        return f"""SELECT {key}, count(*) AS requests, avg(CAST(is_verified AS DOUBLE)) AS verify_rate,
+       avg(CAST(operator_latency_ms AS DOUBLE)) AS avg_latency, count(DISTINCT number_range) AS range_spread
+FROM silver WHERE {present} AND ({where}) GROUP BY {key}"""
+
+    def drawn(*parts: str) -> str:
+        text = " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
+        return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT)"
+
+    def c(n: str) -> str:
+        return (f"CASE WHEN {n} = 2 THEN 1.0 WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) "
+                f"- 2.0 * ({n} - 1.0) / {n} ELSE 0.0 END")
+    filled = ", ".join(f"coalesce(CAST({x} AS DOUBLE), m_{x})" for x in cols)
+    means = ", ".join(f"coalesce(round(avg(CAST({x} AS DOUBLE)), 12), 0.0) AS m_{x}" for x in cols)
+    lows = ", ".join(f"min(x[{i}]) OVER nd" for i in range(1, 5))
+    highs = ", ".join(f"max(x[{i}]) OVER nd" for i in range(1, 5))
+    ctes = [f"train AS MATERIALIZED ({features(fitted)})", f"apply AS MATERIALIZED ({features(scored)})",
+            f"means AS (SELECT {means} FROM train)",
+            "size AS (SELECT count(*) AS n, least(count(*), %d) AS psi, "
+            "CAST(ceil(log2(greatest(least(count(*), %d), 2))) AS INT) AS depth FROM train)" % (psi, psi),
+            f"""l0 AS MATERIALIZED (SELECT tree, x, CAST(1 AS BIGINT) AS node, n AS _n FROM (
+  SELECT tree, [{filled}] AS x, size.n, size.psi,
+         row_number() OVER (PARTITION BY tree ORDER BY {drawn(str(seed), "tree", *keys)}, {key}) AS rn
+  FROM train, means, size, (SELECT unnest(range({trees})) AS tree)) WHERE rn <= psi)"""]
+    parts = []
+    for d in range(math.ceil(math.log2(max(psi, 2))) + 1):
+        ctes.append(f"""s{d} AS (SELECT tree, x, node, count(*) OVER nd AS size, [{lows}] AS low, [{highs}] AS high
+  FROM l{d} WINDOW nd AS (PARTITION BY tree, node))""")
+        ctes.append(f"""u{d} AS (SELECT s{d}.*, CASE WHEN {d} < depth THEN list_filter([1, 2, 3, 4], lambda i: high[i] > low[i])
+         ELSE [] END AS usable FROM s{d}, size)""")
+        ctes.append(f"""f{d} AS (SELECT *, CASE WHEN len(usable) > 0 THEN
+    usable[{drawn(str(seed), "tree", "node", "'feature'")} % len(usable) + 1] END AS feature FROM u{d})""")
+        ctes.append(f"""c{d} AS (SELECT *, low[feature] + {drawn(str(seed), "tree", "node", "'cut'")} / {float(1 << 52)}::DOUBLE
+    * (high[feature] - low[feature]) AS cut FROM f{d})""")
+        ctes.append(f"""t{d} AS MATERIALIZED (SELECT tree, x, node, size, feature,
+    CASE WHEN cut > low[feature] AND cut <= high[feature] THEN cut ELSE high[feature] END AS threshold FROM c{d})""")
+        ctes.append(f"""l{d + 1} AS MATERIALIZED (SELECT tree, x, 2 * node + CAST(x[feature] >= threshold AS BIGINT) AS node
+    FROM t{d} WHERE feature IS NOT NULL)""")
+        parts.append(f"SELECT DISTINCT tree, node, feature, threshold, size, {d} AS depth FROM t{d}")
+    ctes.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")")
+    ctes.append(f"w0 AS (SELECT {key}, [{filled}] AS x, tree, CAST(1 AS BIGINT) AS node "
+                f"FROM apply, means, (SELECT unnest(range({trees})) AS tree))")
+    ends = []
+    for d in range(len(parts)):
+        ctes.append(f"v{d} AS MATERIALIZED (SELECT w.*, feature, threshold, size FROM w{d} w JOIN nodes USING (tree, node))")
+        ends.append(f"SELECT {key}, CAST(round(({d} + {c('size')}) / 1e-9) AS BIGINT) AS path FROM v{d} WHERE feature IS NULL")
+        ctes.append(f"w{d + 1} AS (SELECT {key}, x, tree, 2 * node + CAST(x[feature] >= threshold AS BIGINT) AS node "
+                    f"FROM v{d} WHERE feature IS NOT NULL)")
+    ctes.append("raw AS MATERIALIZED (SELECT %s, round(CASE WHEN any_value(psi) > 1 THEN -pow(2.0, -(sum(path)::DOUBLE / %r::DOUBLE) / "
+                "any_value(%s)) ELSE -0.5 END, 12) AS r FROM (%s), size GROUP BY %s)"
+                % (key, trees / 1e-9, c("psi"), " UNION ALL ".join(ends), key))
+    fit_raw = "raw"
+    if fitted != scored:  # the threshold comes from the entities that were fitted
+        more = [c_.replace("w0 AS", "fw0 AS").replace("FROM apply", "FROM train") for c_ in ctes if c_.startswith("w0 AS")]
+        fends = []
+        for d in range(len(parts)):
+            more.append(f"fv{d} AS MATERIALIZED (SELECT w.*, feature, threshold, size FROM fw{d} w JOIN nodes USING (tree, node))")
+            fends.append(f"SELECT {key}, CAST(round(({d} + {c('size')}) / 1e-9) AS BIGINT) AS path FROM fv{d} WHERE feature IS NULL")
+            more.append(f"fw{d + 1} AS (SELECT {key}, x, tree, 2 * node + CAST(x[feature] >= threshold AS BIGINT) AS node "
+                        f"FROM fv{d} WHERE feature IS NOT NULL)")
+        more.append(ctes[-1].replace("raw AS", "fraw AS", 1).replace(" UNION ALL ".join(ends), " UNION ALL ".join(fends)))
+        ctes, fit_raw = ctes + more, "fraw"
+    ctes.append(f"""ordered AS (SELECT list(r ORDER BY r) AS v, {contamination}::DOUBLE * (count(*) - 1) AS pos FROM {fit_raw}),
+border AS (SELECT round(v[CAST(floor(pos) AS BIGINT) + 1] + (v[CAST(ceil(pos) AS BIGINT) + 1]
+                  - v[CAST(floor(pos) AS BIGINT) + 1]) * (pos - floor(pos)), 12) AS o FROM ordered),
+judged AS (SELECT apply.*, round(r - o, 12) AS anomaly_score, round(r - o, 12) < 0 AS is_anomaly
+           FROM apply JOIN raw USING ({key}), border)
+""")
+    return BINDING + ", " + ",\n".join(ctes)
+
+
 REQ_COLS = ("request_id, msisdn, enterprise_id, country_iso, mcc, mnc, ip, channel, event_ts")
 
 
@@ -301,6 +380,15 @@ SELECT enterprise_id, number_range, count(*) AS requests,
        avg(CAST(operator_latency_ms AS DOUBLE)) AS avg_latency,
        count(DISTINCT number_range) AS range_spread
 FROM silver WHERE enterprise_id IS NOT NULL AND number_range IS NOT NULL GROUP BY 1, 2"""
+    ranges = ("enterprise_id", "number_range")
+    q["anomaly_scores"] = _forest_sql(("enterprise_id",)) + "SELECT * FROM judged"
+    q["anomaly_scores_by_range"] = _forest_sql(ranges) + "SELECT * FROM judged"
+    q["anomaly_scores_sampled"] = _forest_sql(("msisdn",), trees=25, psi=64) + "SELECT * FROM judged"
+    q["anomaly_worst"] = _forest_sql(ranges) + \
+        "SELECT * FROM judged ORDER BY anomaly_score, enterprise_id, number_range LIMIT 5"
+    last = "CAST(event_ts AS DATE) {} (SELECT max(CAST(event_ts AS DATE)) FROM silver)"
+    q["anomaly_saved_model"] = _forest_sql(ranges, fitted=last.format("<"), scored=last.format("=")) + \
+        "SELECT * FROM judged"
     q["quality_silver"] = BINDING + """
 SELECT 'not_null' AS "check", 'request_id' AS target, count_if(request_id IS NULL) AS failed_rows,
        count_if(request_id IS NULL) = 0 AS ok FROM silver
