@@ -49,9 +49,17 @@ def discrete_percentiles(df: DataFrame, value: str, dims: Sequence[str],
     so a hot group shrinks to its number of *distinct* values), then a running count over the
     histogram of each group. Memory per group is bounded by the value domain (milliseconds),
     not by the row count. NULL values are ignored."""
+    return percentiles_of_counts(df, value, None, dims, ps, names)
+
+
+def percentiles_of_counts(df: DataFrame, value: str, count: str | None, dims: Sequence[str],
+                          ps: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """``discrete_percentiles`` of rows that each stand for ``count`` of them (None: for one), such
+    as the value histograms of days."""
     dims = list(dims)
+    rows = F.count(F.lit(1)) if count is None else F.sum(count)
     hist = (df.filter(F.col(value).isNotNull())
-            .groupBy(*dims, value).agg(F.count(F.lit(1)).alias("_cnt")))
+            .groupBy(*dims, value).agg(rows.alias("_cnt")))
     w_all = Window.partitionBy(*dims)
     w_run = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (hist.withColumn("_cum", F.sum("_cnt").over(w_run))

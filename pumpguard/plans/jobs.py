@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pumpguard.config import RuleConfig, Settings
+from pumpguard.operators import daily as D
 from pumpguard.operators import marts as M
 from pumpguard.operators import quality as Q
 from pumpguard.operators.features import entity_features
@@ -36,6 +37,8 @@ class Layout:
         "delivery_funnel": "gold.delivery_funnel",
         "latency_pct": "gold.latency_pct", "ait_loss": "gold.ait_loss",
         "fraud_daily": "gold.fraud_daily", "operator_performance": "gold.operator_performance",
+        "funnel_days": "gold.funnel_days", "latency_days": "gold.latency_days",
+        "verify_days": "gold.verify_days",
     })
 
     def table(self, name: str) -> str:
@@ -44,6 +47,10 @@ class Layout:
     def path(self, name: str) -> str:
         return f"{self.out_root.rstrip('/')}/{name}"
 
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        return (spark.catalog.tableExists(self.table(name)) if self.catalog
+                else folder_exists(spark, self.path(name)))
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.table(self.table(name)) if self.catalog else spark.read.parquet(self.path(name))
 
@@ -164,14 +171,25 @@ def run_silver(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
 
 
 def build_marts(spark: SparkSession, silver: DataFrame, layout: Layout,
-                alerts: DataFrame | None = None, cfg: RuleConfig = RuleConfig()) -> dict:
-    """Marts in dependency order; ait_loss reads the *written* funnel."""
+                alerts: DataFrame | None = None, cfg: RuleConfig = RuleConfig(),
+                days: tuple[str, str] | None = None) -> dict:
+    """Marts in dependency order; ait_loss reads the *written* funnel.
+
+    A Silver with ``event_date`` goes through partial aggregates by day (``operators.daily``):
+    ``days=(first, last)`` reads and rewrites these days alone, and the marts are merged from the
+    days, with the result of a full build."""
     out = {}
-    out["delivery_funnel"] = layout.write(spark, M.delivery_funnel(silver), "delivery_funnel")
-    out["latency_pct"] = layout.write(spark, M.latency_percentiles(silver), "latency_pct")
+    if D.DAY in silver.columns:
+        parts = D.update_partials(spark, silver, layout, days)
+        funnel, latency = D.merged_funnel(parts["funnel_days"]), D.merged_latency(parts["latency_days"])
+        performance = D.merged_performance(parts["latency_days"])
+    else:
+        funnel, latency = M.delivery_funnel(silver), M.latency_percentiles(silver)
+        performance = M.operator_performance(silver)
+    out["delivery_funnel"] = layout.write(spark, funnel, "delivery_funnel")
+    out["latency_pct"] = layout.write(spark, latency, "latency_pct")
     out["ait_loss"] = layout.write(spark, M.ait_loss(out["delivery_funnel"], cfg), "ait_loss")
-    out["operator_performance"] = layout.write(spark, M.operator_performance(silver),
-                                               "operator_performance")
+    out["operator_performance"] = layout.write(spark, performance, "operator_performance")
     if alerts is not None:
         out["fraud_daily"] = layout.write(spark, M.fraud_daily(alerts), "fraud_daily")
     return out
@@ -183,7 +201,9 @@ def run_batch(spark: SparkSession, requests: DataFrame, delivery: DataFrame,
     """silver (+ its checks, observed during the write) -> marts -> mart checks. A failing
     step raises and stops the rest (no mart is built from a Silver that failed its checks)."""
     silver = run_silver(spark, requests, delivery, verification, layout, days=days)
-    marts = build_marts(spark, silver, layout, alerts, cfg)
+    # the first daily run finds no partials to add to: it builds all days
+    known = days is not None and layout.exists(spark, "funnel_days") and layout.exists(spark, "latency_days")
+    marts = build_marts(spark, silver, layout, alerts, cfg, days if known else None)
     Q.raise_on_failure(Q.mart_checks(marts["delivery_funnel"], marts["latency_pct"],
                                      marts["ait_loss"]))
     return {"silver": silver, **marts}

@@ -179,6 +179,51 @@ def q_operator_performance(spark, sf_dir):
     return M.operator_performance(silver(spark, sf_dir))
 
 
+def _partials(spark, sf_dir, name: str) -> DataFrame:
+    """Partials by day: all days at first, from a Silver that lacks the verifications of its last
+    day and holds strays of a later one; then the last day again, with the strays gone."""
+    from pumpguard.operators.daily import update_partials
+    from pumpguard.plans.jobs import Layout
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import write_partitioned
+    path = scratch_path(spark, "silver-by-day")
+    write_partitioned(silver(spark, sf_dir), path=path)
+    whole = spark.read.parquet(path)
+    last = whole.agg(F.max("event_date")).first()[0]
+    on_last = F.col("event_date") == F.lit(last)
+    early = whole.withColumns({c: F.when(~on_last, F.col(c)) for c in
+                               ("verification_ts", "delivery_ts", "operator_latency_ms", "delivery_status")})
+    early = early.withColumn("is_verified", F.col("is_verified") & ~on_last).filter(
+        ~on_last | (F.pmod(F.xxhash64("request_id"), F.lit(3)) > 0))
+    layout = Layout(out_root=scratch_path(spark, "partials"))
+    update_partials(spark, early, layout)
+    return update_partials(spark, whole, layout, (str(last), str(last)))[name]
+
+
+@query("delivery_funnel_by_day")
+def q_delivery_funnel_by_day(spark, sf_dir):
+    from pumpguard.operators.daily import merged_funnel
+    return merged_funnel(_partials(spark, sf_dir, "funnel_days"))
+
+
+@query("latency_pct_by_day")
+def q_latency_pct_by_day(spark, sf_dir):
+    from pumpguard.operators.daily import merged_latency
+    return merged_latency(_partials(spark, sf_dir, "latency_days"))
+
+
+@query("verify_latency_pct_by_day")
+def q_verify_latency_pct_by_day(spark, sf_dir):
+    from pumpguard.operators.daily import merged_verify_latency
+    return merged_verify_latency(_partials(spark, sf_dir, "verify_days"))
+
+
+@query("operator_performance_by_day")
+def q_operator_performance_by_day(spark, sf_dir):
+    from pumpguard.operators.daily import merged_performance
+    return merged_performance(_partials(spark, sf_dir, "latency_days"))
+
+
 # --------------------------------------------------------------------------- fraud aggregates
 
 @query("fraud_aggregate_batch")

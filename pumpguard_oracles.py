@@ -300,6 +300,8 @@ FROM (SELECT mcc, mnc, count(*) AS requested, count_if(delivery_status = 'delive
       FROM silver GROUP BY 1, 2) b
 LEFT JOIN pct ON b.mcc = pct.mcc AND b.mnc = pct.mnc"""
 
+    for mart in ("delivery_funnel", "latency_pct", "verify_latency_pct", "operator_performance"):
+        q[f"{mart}_by_day"] = q[mart]
     q["fraud_aggregate_batch"] = BINDING + """
 SELECT enterprise_id, substr(msisdn, 1, 6) AS number_range, mcc, mnc, count(*) AS requests
 FROM requests_raw GROUP BY ALL"""
