@@ -140,14 +140,26 @@ def matches(words: list[bytes], index: dict, texts: dict[int, list[bytes]], limi
 PAIRS = "doc_id long, item int, score double, start int, stop int, seeds int"
 
 
+def spots_of(text: str) -> list[tuple[int, int]]:
+    """Where the words of a text lie, in code points of the text itself: a letter that is longer in
+    lower case (U+0130) moves none behind it."""
+    lowered = text.lower()
+    spans = [m.span() for m in WORD.finditer(lowered)]
+    if len(lowered) == len(text):
+        return spans
+    owner = [i for i, c in enumerate(text) for _ in c.lower()]
+    return [(owner[a], owner[b - 1] + 1) for a, b in spans]
+
+
 def _pairs(index, texts, limit: float):
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(6)]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
-                for number, share, start, stop, n in matches(words_of(text), index, texts, limit):
-                    spots = [m.span() for m in WORD.finditer(text.lower())]
+                found = matches(words_of(text), index, texts, limit)
+                spots = spots_of(text) if found else []
+                for number, share, start, stop, n in found:
                     for column, value in zip(out, (doc, number, share, spots[start][0],
                                                    spots[stop - 1][1], n)):
                         column.append(value)

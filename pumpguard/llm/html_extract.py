@@ -61,9 +61,13 @@ PRIOR = {"bias": -0.5, "against": -5.0, "under against": -5.0, "for": 1.5, "unde
          "linked": -2.0, "long": 1.0, "sentence": 0.5, "tag p": 1.0, "hidden": -4.0}
 PRIOR_EDGE = ((0.0, 0.0), (0.0, 1.0))
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: One attribute: quotes count behind '=' only, and an unclosed one is part of the value.
+_VALUE = r"""(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]+)"""
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[\s/]+|[^\s/>=]+(?:\s*=\s*" + _VALUE + r"?)?|=)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(" + _VALUE + "))?")
+#: Elements that a slash closes; it does not close a script or style.
+FOREIGN = frozenset(("svg", "math"))
 NAME_WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -108,7 +112,7 @@ class Page:
                     self._close(tag)
                 else:
                     self._open(tag, m.group(3))
-                    if tag in RAW and not m.group(3).endswith("/"):
+                    if tag in RAW and not (tag in FOREIGN and m.group(3).endswith("/")):
                         end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(text, at)
                         at = end.end() if end else len(text)
         self._flush()
@@ -141,7 +145,7 @@ class Page:
             self._pop(other, STOPS_AT.get(tag, ()))
         if tag in VOID:
             return
-        given = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)} if raw else {}
+        given = {k.lower(): v[1:-1] if v[:1] in ("'", '"') else v for k, v in ATTRIBUTE.findall(raw)} if raw else {}
         words = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}"
         self._links = 0
         self.tags.append(tag)
