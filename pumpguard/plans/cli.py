@@ -36,6 +36,9 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--out", required=True)
     a.add_argument("--keys", default="enterprise_id")
     a.add_argument("--contamination", type=float, default=0.1)
+    a.add_argument("--model", default="", help="keep the fitted forest in this folder of versions")
+    a.add_argument("--keep-model", action="store_true", help="score by the forest in --model, fit nothing")
+    a.add_argument("--scan-date", default="", help="ISO date whose rows are replaced (default: today)")
     f = sub.add_parser("fraud-stream", help="windowed fraud scoring -> alerts")
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--alerts", required=True)
@@ -75,7 +78,8 @@ def main(argv: list[str] | None = None) -> dict:
         from pumpguard.plans.jobs import run_anomaly
         keys = tuple(k for k in args.keys.split(",") if k)
         scored = run_anomaly(spark, spark.read.parquet(args.silver), keys, path=args.out,
-                             contamination=args.contamination)
+                             contamination=args.contamination, model_path=args.model,
+                             refit=not args.keep_model, scan_date=args.scan_date or None)
         out = {"entities": scored.count(), "flagged": scored.filter("is_anomaly").count()}
     else:
         from pumpguard.plans.jobs import run_fraud_stream
