@@ -29,12 +29,17 @@ _BLANKED = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in r
 _SIGNS = re.compile(b"\xc2[\x80-\xbf]|\xe2\x80[\x80-\xbf]|\xe2\x81[\x80-\xaf]")
 
 
-def byte_words(lowered: str) -> list[bytes]:
-    """``WORD.findall`` as UTF-8, several times faster."""
+def blanked(lowered: str) -> bytes:
+    """``lowered`` as UTF-8 with a space for all that is no part of a word."""
     raw = lowered.encode("utf-8", "surrogatepass")
     if not lowered.isascii():
         raw = _SIGNS.sub(b" ", raw)
-    return raw.translate(_BLANKED).split()
+    return raw.translate(_BLANKED)
+
+
+def byte_words(lowered: str) -> list[bytes]:
+    """``WORD.findall`` as UTF-8, several times faster."""
+    return blanked(lowered).split()
 
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
