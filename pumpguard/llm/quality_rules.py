@@ -208,14 +208,16 @@ def expression(rules) -> Column:
 
 def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS):
     """Rules from the labelled rows (quality 0 is what they reject), at most ``max_rows`` of
-    them by a hash of the id; rows that the base rule rejects anyway teach nothing."""
+    them by a hash of the id; rows that the base rule rejects anyway teach nothing. An id teaches
+    once, however often it comes: by its lowest statistics."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
              .filter("doc_id is not null and quality is not null")
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     rows = (stats.filter(~base_failed()).join(known, "doc_id")
-            .select("doc_id", (F.col("quality") == 0).alias("bad"),
-                    *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()],
-                    unit_hash("quality", F.col("doc_id")).alias("_u")))
+            .groupBy("doc_id").agg(F.min(F.struct(
+                (F.col("quality") == 0).alias("bad"),
+                *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])).alias("_row"))
+            .select("doc_id", "_row.*", unit_hash("quality", F.col("doc_id")).alias("_u")))
     sample = first_by_unit(rows, "_u", ["doc_id"], max_rows).collect()
     if not sample:
         return []

@@ -172,6 +172,11 @@ def _hex(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def _hashable(schema: StructType) -> Column:
+    """The column ``row`` in a form that can be hashed: Spark hashes no maps, wherever they lie."""
+    return F.to_json("row") if '"type":"map"' in schema.json() else F.col("row")
+
+
 def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all columns, one row of each component of ``near_duplicates``: that with
@@ -180,7 +185,7 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     packed = packed.select("row", F.col(f"row.`{id_col}`").cast("long").alias("id"),
                            F.col(f"row.`{text_col}`").cast("string").alias("text"),
-                           F.xxhash64("row").alias("mark"))
+                           F.xxhash64(_hashable(docs.schema)).alias("mark"))
     found = near_duplicates(packed, k, max_bits, id_col="id", carry={"mark": F.col("mark")})
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "mark")
     first = found.groupBy("class_print").agg(F.min(order).alias("first"))
