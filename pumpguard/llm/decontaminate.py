@@ -35,7 +35,11 @@ LIMIT = 0.5
 #: Words from a seed's first word to its second.
 STEPS = (1, 2)
 #: Text that a task turns into fingerprints at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
+#: Keys of found texts up to which they are broadcast.
+FEW_KEYS = 1_000_000
+#: Different words that a task counts before it hands its counts on.
+MOST_HELD = 200_000
 #: Cells over which the texts of one seed, or of one item, are dealt.
 SALTS = 16
 _BASE, _PAIR = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -116,11 +120,23 @@ def _item_seeds(batches):
 def _word_counts(bits, block_bytes: int):
     """Counts of the words that the bit map holds; a row without a word counts all words."""
     def run(batches):
+        total, known, counts = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def out():
+            return _batch([pa.array([None, *known.view(np.int64).tolist()], pa.int64()), [total, *counts.tolist()]],
+                          ("word", "n"))
         for _, texts in _chunks(batches, 0, block_bytes):
             prints = Words(texts).prints
-            known, n = np.unique(prints[_marked(bits.value, prints)], return_counts=True)
-            yield _batch([pa.array([None, *known.view(np.int64).tolist()], pa.int64()),
-                          [len(prints), *n.tolist()]], ("word", "n"))
+            total += len(prints)
+            now, n = np.unique(prints[_marked(bits.value, prints)], return_counts=True)
+            known, place = np.unique(np.concatenate((known, now)), return_inverse=True)
+            added = np.zeros(len(known), np.int64)
+            np.add.at(added, place, np.concatenate((counts, n)))
+            counts = added
+            if len(known) > MOST_HELD:
+                yield out()
+                total, known, counts = 0, known[:0], counts[:0]
+        yield out()
     return run
 
 
@@ -158,12 +174,12 @@ def _text_seeds(bits, alone: bool, least: int, reach: int, block_bytes: int):
     return run
 
 
-def _pointed(column: int, bits, held: bool = True):
-    """The rows whose number in ``column`` the bit map holds, or those that it does not."""
+def _pointed(column: int, bits):
+    """The rows whose number in ``column`` the bit map holds."""
     def run(batches):
         for batch in batches:
             marked = _marked(bits.value, batch.column(column).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(marked == held))
+            yield batch.filter(pa.array(marked))
     return run
 
 
@@ -355,19 +371,14 @@ def without_contaminated(docs: DataFrame, items: DataFrame, limit: float = LIMIT
                          expected: float = EXPECTED, block_bytes: int = BLOCK_BYTES,
                          text_col: str = "text") -> DataFrame:
     """``docs`` with all columns, without the rows that hold a test item as ``contaminated`` finds
-    it: null, empty and repeated rows are kept or go as there. Rows whose text no found one can
-    equal, by the bit map, are not shuffled."""
+    it: null, empty and repeated rows are kept or go as there."""
     if not 0.0 < limit <= 1.0:
         raise ValueError("limit must lie in (0, 1]")
     key, check = "_text_key", "_text_check"
     texts = _keyed(docs.select(F.col(text_col).cast("string").alias("text")), "text")
-    found = matches(texts, items, limit, expected, block_bytes).select("key", "check").distinct()
-    bits = _bit_map(found.select("key"), MAP_BITS)
-    keyed = _keyed(docs, text_col, key, check)
-    # plain names meanwhile: a column may be called "a.b"
-    plain = keyed.toDF(*[f"c{i}" for i in range(len(docs.columns))], key, check)
-    clear, doubtful = (plain.mapInArrow(_pointed(len(docs.columns), bits, held), plain.schema) for held in (False, True))
+    found = written(matches(texts, items, limit, expected, block_bytes).select(
+        F.col("key").alias("_key"), F.col("check").alias("_check")).distinct(), "decon-keys")
+    # two numbers a row: at most FEW_KEYS of them are broadcast, more are joined by a shuffle
+    found = F.broadcast(found) if found.count() <= FEW_KEYS else found.hint("merge")
     same = (F.col(key) == F.col("_key")) & (F.col(check) == F.col("_check"))
-    found = found.select(F.col("key").alias("_key"), F.col("check").alias("_check"))
-    left = clear.union(doubtful.join(found.hint("merge"), same, "left_anti"))
-    return left.drop(key, check).toDF(*docs.columns)
+    return _keyed(docs, text_col, key, check).join(found, same, "left_anti").drop(key, check)
