@@ -1,10 +1,10 @@
-"""Cross-entropy difference: every document scored by two matched n-gram models.
+"""Cross-entropy difference: every document scored by matched n-gram models.
 
-The target model counts the documents labelled as good, the background model counts the whole
-corpus. Both are bigram models of one order and one smoothing over one shared vocabulary (the
-most frequent words of the corpus, a mark for all others, a mark for the beginning), so the loss
-of a token differs only by what was counted. The score is the mean difference per token, target
-loss minus background loss: the lower, the more like the target.
+The target models count the documents labelled as good, the background models count the whole
+corpus. On either side a unigram and a bigram model (which also tells where a text begins and ends)
+share one vocabulary, all words of the corpus, and one smoothing (add one), so the loss of a token
+differs only by what was counted. The score is the difference of the losses, target minus background,
+of bigrams and unigrams in a fixed weight, as a mean per token: the lower, the more like the target.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,15 +21,19 @@ from pumpguard.llm.common import shipped_by_value, written
 
 shipped_by_value(__name__)
 
-#: Size of the shared vocabulary with both marks: the table of differences has its square.
-VOCABULARY = 2048
-BEGIN, OTHER = 0, 1
-MARKS = 2
-#: Weight of the bigram estimate; the rest goes to the unigram estimate (add one).
+#: Words whose bigrams among themselves are counted in a table that every task gets (its square,
+#: 32 MB): rows of a very common bigram are then never shuffled. It has no part in the result.
+FREQUENT = 2047
+#: Weight of the bigram losses; the rest goes to the unigram losses.
 WEIGHT = 0.75
 #: Words a task counts before it hands its counts on.
 FLUSH_WORDS = 500_000
-#: Before the first word, where all words are counted.
+#: Words of the documents that a task packs together, and bytes of text behind one bucket of bigrams.
+BUFFER_WORDS = 1 << 20
+BUCKET_BYTES = 16 << 20
+#: The number of the mark that stands before the first word of a text and behind its last.
+MARK = 0
+#: Before the first word, where bigrams are whole words.
 NO_WORD = b""
 #: Share of all tokens from which a word or bigram is hot, and the cells its rows are dealt over.
 HOT_SHARE = 1 / 20_000
@@ -40,134 +45,261 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def _hashes(words) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
 def _word_counts(batches):
-    counts = Counter()
+    """hash, background, target: words counted in a task."""
+    background, target = Counter(), Counter()
 
     def out():
-        words = [w.decode("utf-8", "surrogatepass") for w in counts]
         return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), pa.array(counts.values(), pa.int64())],
-            names=["word", "n"])
+            [pa.array(_hashes(background).view(np.int64)), pa.array(background.values(), pa.int64()),
+             pa.array([target[w] for w in background], pa.int64())], names=["h", "b", "t"])
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) > FLUSH_WORDS:
+        for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
+            words = tokens(text.as_py())
+            background.update(words)
+            if good:
+                target.update(words)
+            if len(background) > FLUSH_WORDS:
                 yield out()
-                counts.clear()
+                background.clear()
+                target.clear()
     yield out()
 
 
-def _id_rows(vocabulary: list[str]):
-    """Every text as the vocabulary numbers of its words, two bytes each."""
-    def run(batches):
-        ids = {w.encode("utf-8", "surrogatepass"): i + MARKS for i, w in enumerate(vocabulary)}
-        for batch in batches:
-            out = []
-            for text in batch.column(1):
-                words = tokens(text.as_py())
-                out.append(np.fromiter((ids.get(w, OTHER) for w in words), np.uint16,
-                                       len(words)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())],
-                                             names=["doc_id", "ids"])
-    return run
+class Frequent:
+    """The most frequent words by hash, with their counts; places start behind the mark's."""
+
+    def __init__(self, rows):
+        self.place = {r["h"] & (1 << 64) - 1: i + 1 for i, r in enumerate(rows)}
+        self.hashes = np.array(sorted(self.place), np.uint64)
+        order = [self.place[int(h)] - 1 for h in self.hashes]
+        self.background = np.array([rows[i]["b"] for i in order], np.int64)
+        self.target = np.array([rows[i]["t"] for i in order], np.int64)
+        self.places = np.array([i + 1 for i in order], np.int64)
+        self.size = len(rows) + 1
+
+    def numbered(self, words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+        """Places of ``words``, -1 for the others; ``known`` remembers words."""
+        if len(known) > FLUSH_WORDS:
+            known.clear()
+        out = np.empty(len(words), np.int64)
+        for i, w in enumerate(words):
+            place = known.get(w)
+            if place is None:
+                place = known[w] = self.place.get(xxhash.xxh3_64_intdigest(w), -1)
+            out[i] = place
+        return out
+
 
+def _around(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bigrams of a text: every word behind the one before it, marks at both ends."""
+    return np.concatenate(([MARK], ids)), np.concatenate((ids, [MARK]))
 
-def _numbers(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint16).astype(np.int64)
 
+def _frequent_pairs(frequent: Frequent):
+    """Bigrams of frequent words and marks, counted in a task by a square table."""
+    size = frequent.size
 
-def _pair_counts(size: int):
     def run(batches):
-        counts = np.zeros((2, size * size), np.int64)
+        counts, known = np.zeros((2, size * size), np.int64), {}
         for batch in batches:
-            for raw, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                now = _numbers(raw.as_py())
-                if len(now):
-                    pairs = np.concatenate(([BEGIN], now[:-1])) * size + now
-                    seen, n = np.unique(pairs, return_counts=True)
-                    counts[0, seen] += n
-                    if target:
-                        counts[1, seen] += n
+            for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = tokens(text.as_py())
+                if not words:
+                    continue
+                u, v = _around(frequent.numbered(words, known))
+                both = (u >= 0) & (v >= 0)
+                seen, n = np.unique(u[both] * size + v[both], return_counts=True)
+                counts[0, seen] += n
+                if good:
+                    counts[1, seen] += n
         seen = np.flatnonzero(counts[0])
         for lo in range(0, len(seen), 100_000):
             part = seen[lo:lo + 100_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((part // size).astype(np.int32)), pa.array((part % size).astype(np.int32)),
-                 pa.array(counts[0, part]), pa.array(counts[1, part])],
-                names=["u", "v", "background", "target"])
+                 pa.array(counts[0, part]), pa.array(counts[1, part])], names=["u", "v", "b", "t"])
     return run
 
 
-def _difference_rows(size: int, weight: float, unigrams: np.ndarray):
-    """For one context word u: the differences -ln target(v|u) + ln background(v|u) for all v."""
-    single = (unigrams + 1.0) / (unigrams.sum(axis=1, keepdims=True) + (size - 1))
+class Models:
+    """Loss differences of bigrams and words from their counts: numbers that fit any corpus."""
+
+    def __init__(self, words: int, totals: tuple[int, int], texts: tuple[int, int], weight: float):
+        self.words, self.totals, self.texts, self.weight = words, totals, texts, weight
+
+    def bigram(self, b, t, context_b, context_t):
+        """-ln target(v|u) + ln background(v|u); a text may end instead of going on."""
+        outcomes = self.words + 1
+        return self.weight * (np.log((b + 1.0) / (context_b + outcomes))
+                              - np.log((t + 1.0) / (context_t + outcomes)))
+
+    def unigram(self, b, t):
+        return (1.0 - self.weight) * (np.log((b + 1.0) / (self.totals[0] + self.words))
+                                      - np.log((t + 1.0) / (self.totals[1] + self.words)))
+
+
+def _difference_rows(frequent: Frequent, models: Models):
+    """For one frequent context u: the differences of all frequent v."""
+    context = np.zeros((2, frequent.size), np.int64)
+    context[:, MARK] = models.texts
+    context[0, frequent.places], context[1, frequent.places] = frequent.background, frequent.target
 
     def run(batches):
         for batch in batches:
             out = []
-            for v, nb, nt in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                logs = []
-                for model, n in ((0, nb), (1, nt)):
-                    pairs = np.zeros(size)
-                    pairs[v] = n
-                    all_ = pairs.sum()
-                    p = single[model] if not all_ else (
-                        weight * (pairs / all_) + (1.0 - weight) * single[model])
-                    logs.append(np.log(p))
-                out.append((logs[0] - logs[1]).tobytes())
+            for u, v, b, t in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                line = np.zeros(frequent.size)
+                line[v] = models.bigram(np.array(b), np.array(t), *context[:, u])
+                out.append(line.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())],
-                                             names=["u", "row"])
+                                             names=["u", "line"])
     return run
 
 
-def _scores(size: int, table):
+def _heads(frequent: Frequent, models: Models, table):
+    """Every text's length and the sum of what frequent words and bigrams of them give."""
+    single = np.zeros(frequent.size + 1)  # the last place is that of all other words
+    single[frequent.places] = models.unigram(frequent.background, frequent.target)
+
     def run(batches):
-        differences = np.frombuffer(table.value).reshape(size, size)
+        differences = np.frombuffer(table.value).reshape(frequent.size, frequent.size)
+        known = {}
         for batch in batches:
-            lengths, scores = [], []
-            for raw in batch.column(1):
-                now = _numbers(raw.as_py())
-                lengths.append(len(now))
-                before = np.concatenate(([BEGIN], now[:-1])) if len(now) else now
-                scores.append(float(differences[before, now].sum()) / len(now) if len(now) else None)
+            lengths, sums = [], []
+            for text in batch.column(2):
+                words = tokens(text.as_py())
+                lengths.append(len(words))
+                places = frequent.numbered(words, known)
+                u, v = _around(places)
+                both = (u >= 0) & (v >= 0)
+                sums.append(float(differences[u[both], v[both]].sum() + single[places].sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lengths, pa.int64()), pa.array(scores, pa.float64())],
-                names=["doc_id", "n_tokens", "score"])
+                [batch.column(0), batch.column(1), pa.array(lengths, pa.int64()),
+                 pa.array(sums, pa.float64())], names=["r", "doc_id", "n_tokens", "part"])
     return run
 
 
-def vocabulary_of(texts: DataFrame, size: int) -> list[str]:
-    """The most frequent words of all rows of ``texts`` (text), as many as the marks leave room
-    for; a tie goes to the first in order."""
-    words = texts.mapInArrow(_word_counts, "word string, n long")
-    top = (words.groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(size - MARKS).collect())
-    return [r["word"] for r in top]
-
-
-def difference_table(rows: DataFrame, size: int, weight: float = WEIGHT) -> np.ndarray:
-    """The square table of loss differences, from all ``rows`` (ids, target boolean). Counts are
-    summed where the rows lie, then by key; what reaches the driver is bounded by the
-    vocabulary: two counts for each word and one row of the table for each context word."""
-    pairs = (rows.select("ids", "target")
-             .mapInArrow(_pair_counts(size), "u int, v int, background long, target long")
-             .groupBy("u", "v").agg(F.sum("background").alias("background"),
-                                    F.sum("target").alias("target")))
-    pairs = written(pairs, "lm-pairs")
-    unigrams = np.zeros((2, size))
-    for r in pairs.groupBy("v").agg(F.sum("background").alias("b"),
-                                    F.sum("target").alias("t")).collect():
-        unigrams[:, r["v"]] = r["b"], r["t"]
-    by_context = pairs.groupBy("u").agg(F.collect_list(F.struct("v", "background", "target"))
-                                        .alias("c"))  # at most one entry for each word
-    by_context = by_context.select("u", F.col("c.v").alias("v"), F.col("c.background").alias("b"),
-                                   F.col("c.target").alias("t"))
-    lines = by_context.mapInArrow(_difference_rows(size, weight, unigrams), "u int, row binary")
-    single = (unigrams + 1.0) / (unigrams.sum(axis=1, keepdims=True) + (size - 1))
-    table = np.tile(np.log(single[0]) - np.log(single[1]), (size, 1))
-    for r in lines.collect():
-        table[r["u"]] = np.frombuffer(r["row"])
-    return table
+BLOCK = pa.schema([("bucket", pa.int32()), ("base", pa.int64()), ("contexts", pa.binary()),
+                   ("runs", pa.binary()), ("nexts", pa.binary()), ("texts", pa.binary()),
+                   ("counts", pa.binary()), ("good", pa.binary())])
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers in the least width that holds the largest."""
+    return values.astype(np.min_scalar_type(int(values.max()))).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64)
+
+
+def _blocks(frequent: Frequent, buckets: int):
+    """The other bigrams of the texts, each once a text with its count, packed by bucket. A bucket
+    has all bigrams of its contexts; those of a frequent context are dealt by both words."""
+    def packed(base, number, ids, rows, good):
+        hashes = np.concatenate(([np.uint64(0)], _hashes(number)))
+        rare = np.fromiter((int(h) not in frequent.place for h in hashes), bool, len(hashes))
+        rare[MARK] = False
+        ends = [_around(i) for i in ids]
+        u, v = (np.concatenate([e[k] for e in ends]) for k in (0, 1))
+        d = np.repeat(np.array(rows, np.int64) - base, [len(e[0]) for e in ends])
+        good = np.repeat(good, [len(e[0]) for e in ends])
+        keep = rare[u] | rare[v]
+        u, v, d, good = u[keep], v[keep], d[keep], good[keep]
+        if not len(u):
+            return
+        key = np.where(rare[u], hashes[u], hashes[u] * np.uint64(0x9E3779B97F4A7C15) ^ hashes[v])
+        bucket = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((d, v, u, bucket))
+        u, v, d, good, bucket = u[order], v[order], d[order], good[order], bucket[order]
+        first = np.flatnonzero(np.concatenate(
+            ([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (d[1:] != d[:-1]))))
+        n = np.diff(np.append(first, len(u)))
+        u, v, d, good, bucket = u[first], v[first], d[first], good[first], bucket[first]
+        cuts = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(u))
+        out = []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            heads = np.flatnonzero(np.concatenate(([True], u[lo + 1:hi] != u[lo:hi - 1])))
+            out.append((int(bucket[lo]), base, hashes[u[lo:hi][heads]].tobytes(),
+                        _small(np.diff(np.append(heads, hi - lo))), hashes[v[lo:hi]].tobytes(),
+                        _small(d[lo:hi]), _small(n[lo:hi]), np.packbits(good[lo:hi]).tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*out), BLOCK)], schema=BLOCK)
+
+    def run(batches):
+        number, ids, rows, good, size = {}, [], [], [], 0
+        for batch in batches:
+            for r, text, target in zip(batch.column(0).to_pylist(), batch.column(1),
+                                       batch.column(2).to_pylist()):
+                if rows and (size >= BUFFER_WORDS or not 0 <= r - rows[0] < 1 << 31):
+                    yield from packed(rows[0], number, ids, rows, good)
+                    number, ids, rows, good, size = {}, [], [], [], 0
+                words = tokens(text.as_py())
+                if words:
+                    ids.append(np.fromiter((number.setdefault(w, len(number) + 1) for w in words),
+                                           np.int64, len(words)))
+                    rows.append(r)
+                    good.append(target)
+                    size += len(words)
+        if rows:
+            yield from packed(rows[0], number, ids, rows, good)
+    return run
+
+
+def _bucket_sums(frequent: Frequent, models: Models):
+    """One bucket: counts over all its blocks, then for every block what its texts get."""
+    def run(block: pa.Table) -> pa.Table:
+        parts = []
+        for heads, runs, nexts, texts, counts, good in zip(*(block.column(f).to_pylist() for f in (
+                "contexts", "runs", "nexts", "texts", "counts", "good"))):
+            v = np.frombuffer(nexts, np.uint64)
+            u = np.frombuffer(heads, np.uint64)
+            parts.append((np.repeat(u, _wide(runs, len(u))), v, _wide(texts, len(v)),
+                          _wide(counts, len(v)),
+                          np.unpackbits(np.frombuffer(good, np.uint8), count=len(v))))
+        u, v, n, good = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3, 4))
+        order = np.lexsort((v, u))
+        u, v, n, good = u[order], v[order], n[order], good[order]
+        new_u = np.concatenate(([True], u[1:] != u[:-1]))
+        new = new_u | np.concatenate(([True], v[1:] != v[:-1]))
+        at, at_u = np.flatnonzero(new), np.flatnonzero(new_u)
+        b, t = np.add.reduceat(n, at), np.add.reduceat(n * good, at)
+        context_b, context_t = np.add.reduceat(n, at_u), np.add.reduceat(n * good, at_u)
+        single = models.unigram(context_b, context_t)
+        contexts = u[at_u]
+        for h, counted in [(0, models.texts), *zip(frequent.hashes.tolist(), zip(
+                frequent.background, frequent.target))]:  # counted in whole beforehand
+            i = np.searchsorted(contexts, np.uint64(h))
+            if i < len(contexts) and contexts[i] == h:
+                context_b[i], context_t[i] = counted
+                single[i] = 0.0
+        group = (np.cumsum(new_u) - 1)[at]
+        pair = models.bigram(b, t, context_b[group], context_t[group]) + single[group]
+        value = np.empty(len(u))
+        value[order] = pair[np.cumsum(new) - 1] * n
+        texts, sums, lo = [], [], 0
+        for p in parts:
+            where, which = np.unique(p[2], return_inverse=True)
+            texts.append(_small(where))
+            sums.append(np.bincount(which, value[lo:lo + len(p[2])]).tobytes())
+            lo += len(p[2])
+        return pa.table({"base": block.column("base"), "texts": pa.array(texts, pa.binary()),
+                         "sums": pa.array(sums, pa.binary())})
+    return run
+
+
+def _text_sums(block: pa.Table) -> pa.Table:
+    """One buffer of texts: what the buckets gave them, added up."""
+    base = block.column("base")[0].as_py()
+    sums = [np.frombuffer(raw) for raw in block.column("sums").to_pylist()]
+    texts = [_wide(raw, len(s)) for raw, s in zip(block.column("texts").to_pylist(), sums)]
+    where, which = np.unique(np.concatenate(texts), return_inverse=True)
+    return pa.table({"r": where + base, "rest": np.bincount(which, np.concatenate(sums))})
 
 
 def _good(labels: DataFrame) -> DataFrame:
@@ -176,37 +308,69 @@ def _good(labels: DataFrame) -> DataFrame:
             .filter("_good"))
 
 
+def _marked(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """r, doc_id, text and target of all rows, written."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+    good = _good(labels).hint("merge")  # the same plan at every size
+    return written(slim.join(good, F.col("doc_id") == F.col("_id"), "left").select(
+        F.monotonically_increasing_id().alias("r"), "doc_id", "text",
+        F.col("_good").isNotNull().alias("target")), "lm-rows")
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          vocabulary_size: int = VOCABULARY, weight: float = WEIGHT) -> DataFrame:
+          frequent_words: int = FREQUENT, weight: float = WEIGHT) -> DataFrame:
     """One row per document: doc_id, n_tokens, score (mean loss difference per token, rounded
     to 6 digits) and in_target (score below zero).
 
     Target: documents with a label of quality 1 and none of toxic 1 (a document labelled twice
     must pass both). Null, empty and blank texts have no tokens, a null score and in_target
     false. Null ids are counted in the background and scored. Without labels or without target
-    documents both models fall back to what they have counted: the target's estimates are then
-    equal for all words. Repeated rows count as often as they come. No rows: no rows.
+    documents the target models are flat. Repeated rows count as often as they come. No rows: no rows.
+
+    All words count; words are told apart by 64 bits of hash. Bigrams of the ``frequent_words``
+    commonest words among themselves are counted in a square table and scored where the texts lie;
+    all others are shuffled once, with their texts, to the bucket that counts them, and what
+    the texts get goes back to them. A bigram in the buckets has a word outside the table, so
+    it holds at most one in ``frequent_words`` of all tokens.
     """
-    good = _good(labels)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
-    if not MARKS < vocabulary_size <= 1 << 16:
-        raise ValueError("a vocabulary number has two bytes")
-    vocabulary = vocabulary_of(slim.select("text"), vocabulary_size)
-    rows = written(slim.mapInArrow(_id_rows(vocabulary), "doc_id long, ids binary"), "lm-ids")
-    # numbers, not texts, are shuffled to their labels, by the same plan at every size
-    marked = rows.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select(
-        "ids", F.col("_good").isNotNull().alias("target"))
-    table = difference_table(marked, vocabulary_size, weight)
-    # vocabulary_size squared doubles: 32 MB for 2048, whatever the corpus
+    rows = _marked(docs, labels, id_col, text_col)
+    told = rows.select("text", "target")
+    words = written(told.mapInArrow(_word_counts, "h long, b long, t long").groupBy("h")
+                    .agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "lm-words")
+    zero = F.lit(0).cast("long")
+    total = words.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("b"), zero).alias("b"),
+                      F.coalesce(F.sum("t"), zero).alias("t")).first()
+    held = F.col("text").rlike("[^ \\t-\\r]")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), zero).alias("bytes"),
+                    F.count_if(held).alias("b"), F.count_if(held & F.col("target")).alias("t")).first()
+    models = Models(total["words"], (total["b"], total["t"]), (size["b"], size["t"]), weight)
+    frequent = Frequent(words.orderBy(F.desc("b"), "h").limit(frequent_words).collect())
+    pairs = (told.mapInArrow(_frequent_pairs(frequent), "u int, v int, b long, t long")
+             .groupBy("u", "v").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+             .groupBy("u").agg(F.collect_list(F.struct("v", "b", "t")).alias("c"))  # one for each v
+             .select("u", "c.v", "c.b", "c.t"))
+    table = np.zeros((frequent.size, frequent.size))
+    for line in pairs.mapInArrow(_difference_rows(frequent, models), "u int, line binary").toLocalIterator():
+        table[line["u"]] = np.frombuffer(line["line"])
+    # frequent_words squared doubles: 32 MB, whatever the corpus
     shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
-    scored = rows.mapInArrow(_scores(vocabulary_size, shared),
-                             "doc_id long, n_tokens long, score double")
-    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"),
-                         F.coalesce(F.round("score", 6) < 0, F.lit(False)).alias("in_target"))
-
-
-# ---------------------------------------------------------------- all words, as Spark tables
+    heads = rows.select("r", "doc_id", "text").mapInArrow(
+        _heads(frequent, models, shared), "r long, doc_id long, n_tokens long, part double")
+    buckets = -(-size["bytes"] // BUCKET_BYTES) or 1
+    blocks = rows.select("r", "text", "target").mapInArrow(
+        _blocks(frequent, buckets), "bucket int, base long, contexts binary, runs binary, "
+        "nexts binary, texts binary, counts binary, good binary")
+    back = blocks.groupBy("bucket").applyInArrow(
+        _bucket_sums(frequent, models), "base long, texts binary, sums binary")
+    rest = back.groupBy("base").applyInArrow(_text_sums, "r long, rest double")
+    mean = F.when(F.col("n_tokens") > 0, F.round(
+        (F.col("part") + F.coalesce("rest", F.lit(0.0))) / F.col("n_tokens"), 6))
+    return heads.join(rest, "r", "left").select(
+        "doc_id", "n_tokens", mean.alias("score"), F.coalesce(mean < 0, F.lit(False)).alias("in_target"))
+
+
+# ---------------------------------------------------------------- bigrams interpolated, counts as Spark tables
 
 def _all_pair_counts(batches):
     """Bigrams of whole words, counted in a task and handed on when there are many."""
@@ -298,16 +462,11 @@ def _differences(pairs: DataFrame, words: DataFrame, hot: DataFrame, totals, wei
 
 def score_all_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", weight: float = WEIGHT) -> DataFrame:
-    """As ``score``, with every word of the corpus in the vocabulary: bigram and word counts are
-    Spark tables that grow with the corpus, and only what is hot is broadcast: words and bigrams
+    """As ``score`` with bigrams that are interpolated with unigrams: bigram and word counts are
+    Spark tables that are joined, and only what is hot is broadcast: words and bigrams
     with at least ``HOT_SHARE`` of all tokens, of which there is a fixed number at most.
     Summed in no fixed order, so a score may differ in its last digit between runs."""
-    good = _good(labels)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
-    rows = written(slim.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select(
-        F.monotonically_increasing_id().alias("r"), "doc_id", "text",
-        F.col("_good").isNotNull().alias("target")), "lm-rows")
+    rows = _marked(docs, labels, id_col, text_col)
     pairs = written(rows.select("text", "target")
                     .mapInArrow(_all_pair_counts, "u binary, v binary, background long, target long")
                     .groupBy("u", "v").agg(F.sum("background").alias("background"),

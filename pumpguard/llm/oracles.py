@@ -68,7 +68,7 @@ from placed"""
 
 
 def lm_sql() -> str:
-    v, w, marks = lm_score.VOCABULARY, lm_score.WEIGHT, lm_score.MARKS
+    w = lm_score.WEIGHT
     return f"""
 with good as (select doc_id from labels where doc_id is not null group by doc_id
               having min(quality) = 1 and coalesce(max(toxic), 0) = 0),
@@ -77,24 +77,21 @@ docs as (select row_number() over () as r, d.doc_id,
                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
                     lambda x: x <> '') as words, g.doc_id is not null as target
          from documents d left join good g on d.doc_id = g.doc_id),
-tokens as materialized (select r, target, i, words[i] as word
-         from (select r, target, words, unnest(range(1, len(words) + 1)) as i from docs)),
-vocabulary as materialized (select word, row_number() over (order by n desc, word) + {marks - 1} as id
-         from (select word, count(*) as n from tokens group by word order by n desc, word limit {v - marks})),
-ids as materialized (select r, target, i, coalesce(id, {lm_score.OTHER}) as v from tokens left join vocabulary using (word)),
-pairs as materialized (select r, target, lag(v, 1, {lm_score.BEGIN}) over (partition by r order by i) as u, v from ids),
+pairs as materialized (select r, target, case when i > 1 then words[i - 1] else '' end as u,
+                              coalesce(words[i], '') as v
+         from (select r, target, words, unnest(range(1, len(words) + 2)) as i from docs where len(words) > 0)),
 counts as (select u, v, count(*) as b, count(*) filter (target) as t from pairs group by u, v),
-single as (select v, sum(b) as b, sum(t) as t from counts group by v),
-totals as (select sum(b) as b, sum(t) as t from counts),
 contexts as (select u, sum(b) as b, sum(t) as t from counts group by u),
+totals as (select count(*) as n, sum(b) as b, sum(t) as t from contexts where u <> ''),
 differences as materialized (select c.u, c.v,
-   ln({w} * (c.b::double / x.b::double) + {1 - w} * ((s.b + 1.0)::double / (a.b + {v - 1})::double))
-   - ln(case when x.t = 0 then (s.t + 1.0)::double / (a.t + {v - 1})::double else
-        {w} * (c.t::double / x.t::double) + {1 - w} * ((s.t + 1.0)::double / (a.t + {v - 1})::double) end) as d
-   from counts c join contexts x using (u) join single s on c.v = s.v cross join totals a),
-scores as (select r, round(sum(d) / count(*), 6) as score from pairs join differences using (u, v) group by r)
-select doc_id, len(words)::bigint as n_tokens, score, coalesce(score < 0, false) as in_target
-from docs left join scores using (r)"""
+   {w} * (ln((c.b + 1)::double / (x.b + a.n + 1)::double) - ln((c.t + 1)::double / (x.t + a.n + 1)::double))
+   + case when c.u = '' then 0 else {1 - w} * (ln((x.b + 1)::double / (a.b + a.n)::double)
+                                               - ln((x.t + 1)::double / (a.t + a.n)::double)) end as d
+   from counts c join contexts x using (u) cross join totals a),
+sums as (select r, sum(d) as s from pairs join differences using (u, v) group by r)
+select doc_id, len(words)::bigint as n_tokens, round(s / len(words), 6) as score,
+       coalesce(round(s / len(words), 6) < 0, false) as in_target
+from docs left join sums using (r)"""
 
 
 def warc_sql() -> str:

@@ -385,7 +385,7 @@ def test_target_texts_score_lower(spark):
     docs = [(i, sentence(i, 60) if i % 2 else "ash oak " * 30) for i in range(40)] + [(99, "")]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in lm_score.score(spark.createDataFrame(docs, "doc_id long, text string"),
-                                                  labels, vocabulary_size=64).collect()}
+                                                  labels, frequent_words=64).collect()}
     assert max(got[i]["score"] for i in range(1, 40, 2)) < min(got[i]["score"] for i in range(0, 40, 2))
     assert got[99]["score"] is None and got[99]["in_target"] is False
 
@@ -404,7 +404,7 @@ def test_all_words_score_as_counted_by_hand(spark, odd, labels, monkeypatch):
             pairs[m].update(zip([b"", *words], words))
             contexts[m].update([b"", *words][:-1])
             single[m].update(words)
-    assert len(single[0]) > lm_score.VOCABULARY
+    assert len(single[0]) > lm_score.FREQUENT - 1
 
     def log(m, u, v):
         alone = (single[m][v] + 1) / (sum(single[m].values()) + len(single[0]) + 1)
