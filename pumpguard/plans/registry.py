@@ -563,6 +563,47 @@ def q_stream_fraud_alerts(spark, sf_dir):
     return _ntz(spark.read.parquet(f"{root}/alerts").drop("batch_id", "created_at"))
 
 
+def _revised(spark, sf_dir):
+    """Daily alerts streamed with a bound of 30 seconds, which many verifications miss, then two
+    revisions by the batch result over all messages: the folders and both change feeds."""
+    from pumpguard.operators.revision import final_scores, revise_alerts
+    from pumpguard.session import scratch_path
+    from pumpguard.sinks.writers import AlertSink
+    from pumpguard.streaming.pipelines import fraud_stream, parse_events, start_alerts
+    root = scratch_path(spark, "alerts-revised")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests", "verification"))
+    req, _ = _stream_source(spark, f"{root}/landing", "requests")
+    ver, _ = _stream_source(spark, f"{root}/landing", "verification")
+    scored = fraud_stream(req, ver, size="1 day", bound="30 seconds", cfg=DAILY_CFG)
+    _await(start_alerts(scored, AlertSink("parquet", path=f"{root}/alerts"), f"{root}/ckpt",
+                        n_state=REPLAY_STATE))
+    ev = events(spark, sf_dir)
+    requests, _ = parse_events(FX.request_payloads(ev), "requests")
+    verification, _ = parse_events(FX.verification_payloads(ev), "verification")
+    final = final_scores(requests, verification, "1 day", cfg=DAILY_CFG)
+    feeds = [revise_alerts(spark, f"{root}/alerts", f"{root}/revisions", final) for _ in range(2)]
+    return f"{root}/alerts", f"{root}/revisions", feeds
+
+
+@query("stream_alerts_revised")
+def q_stream_alerts_revised(spark, sf_dir):
+    """The alerts that stand after the revisions: those of the batch result."""
+    from pumpguard.operators.revision import current_alerts
+    alerts, revisions, _ = _revised(spark, sf_dir)
+    return _ntz(current_alerts(spark, alerts, revisions))
+
+
+@query("alert_revision_changes")
+def q_alert_revision_changes(spark, sf_dir):
+    """The change feed of the first revision, and of the second, which must keep all."""
+    _, _, (first, second) = _revised(spark, sf_dir)
+    columns = ["window_start", "window_end", "enterprise_id", "number_range", "mcc", "mnc", "change",
+               "requests", "verifications", "score", "severity", "told_verifications", "told_score",
+               "told_severity"]
+    return _ntz(first.select(F.lit(0).alias("revision"), *columns)
+                .union(second.select(F.lit(1), *columns)))
+
+
 @query("stream_micro_batch_scoring")
 def q_stream_micro_batch_scoring(spark, sf_dir):
     """Per-micro-batch aggregate + score (no state across batches); one batch per replay."""

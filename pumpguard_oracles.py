@@ -523,6 +523,40 @@ SELECT *, {m['score']} AS score, {m['severity']} AS severity FROM agg"""
   GROUP BY ALL)
 SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM dagg
 WHERE {_D['severity']} <> 'low'"""
+    q["stream_alerts_revised"] = q["stream_fraud_alerts"]
+    q["alert_revision_changes"] = BINDING + f", {_PARSED}, {_VERIFIED_STREAM}" + f"""
+, flags AS (
+  SELECT s.* EXCLUDE (v), 0 AS told, v FROM sflag s
+  UNION ALL
+  SELECT s.*, 1, CAST(EXISTS (SELECT 1 FROM verification x WHERE x.request_id = s.request_id
+                      AND x.outcome = 'verified' AND x.verification_ts >= s.event_ts
+                      AND x.verification_ts <= s.event_ts + INTERVAL 30 SECOND) AS BIGINT) FROM sreq s),
+agg AS (
+  SELECT told, window_start, window_start + INTERVAL 1 DAY AS window_end, enterprise_id, number_range,
+         mcc, mnc, CAST(sum(n) AS BIGINT) AS requests, CAST(sum(sv) AS BIGINT) AS verifications,
+         max(n) AS msisdn_max_count
+  FROM (SELECT told, date_trunc('day', event_ts) AS window_start, enterprise_id, number_range, mcc,
+               mnc, msisdn, count(*) AS n, sum(v) AS sv
+        FROM flags WHERE event_ts IS NOT NULL GROUP BY ALL)
+  GROUP BY ALL),
+marked AS (SELECT *, {_D['score']} AS score, {_D['severity']} AS severity FROM agg),
+pairs AS (
+  SELECT f.*, t.verifications AS told_verifications, t.score AS told_score,
+         t.severity AS told_severity
+  FROM (SELECT * EXCLUDE (told) FROM marked WHERE told = 0) f
+  LEFT JOIN (SELECT * FROM marked WHERE told = 1 AND severity <> 'low') t
+    ON f.window_start = t.window_start AND f.enterprise_id IS NOT DISTINCT FROM t.enterprise_id
+   AND f.number_range IS NOT DISTINCT FROM t.number_range
+   AND f.mcc IS NOT DISTINCT FROM t.mcc AND f.mnc IS NOT DISTINCT FROM t.mnc),
+feed AS (
+  SELECT *, CASE WHEN told_severity IS NULL THEN 'new' WHEN severity = 'low' THEN 'withdrawn'
+                 WHEN verifications = told_verifications THEN 'kept' ELSE 'changed' END AS change
+  FROM pairs WHERE severity <> 'low' OR told_severity IS NOT NULL)
+SELECT 0 AS revision, * EXCLUDE (msisdn_max_count) FROM feed
+UNION ALL BY NAME
+SELECT 1 AS revision, * EXCLUDE (msisdn_max_count, change, told_verifications, told_score, told_severity),
+       'kept' AS change, verifications AS told_verifications, score AS told_score,
+       severity AS told_severity FROM feed WHERE severity <> 'low'"""
     svel = []
     for d in ("msisdn", "ip", "enterprise_id", "number_range"):
         svel.append(f"""
