@@ -563,6 +563,29 @@ def q_stream_fraud_alerts(spark, sf_dir):
     return _ntz(spark.read.parquet(f"{root}/alerts").drop("batch_id", "created_at"))
 
 
+@query("stream_distinct_ip_panes")
+def q_stream_distinct_ip_panes(spark, sf_dir):
+    """Distinct IPs of sliding windows (1 hour / 30 minutes) from registers that a stream keeps per
+    pane of 10 minutes, with the exact count beside the estimate."""
+    from pumpguard.functions.columns import number_range
+    from pumpguard.operators import sketches as S
+    from pumpguard.session import scratch_path
+    from pumpguard.streaming.pipelines import land_stream, parse_events
+    root = scratch_path(spark, "ip-panes")
+    land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
+    requests, _ = _stream_source(spark, f"{root}/landing", "requests")
+    ranged = requests.withColumn("number_range", number_range("msisdn"))
+    panes = S.distinct_panes(ranged, pane="10 minutes", delay="10 minutes")
+    _await(land_stream(panes, f"{root}/ckpt", path=f"{root}/panes", n_state=REPLAY_STATE))
+    told = S.distinct_windows(spark.read.parquet(f"{root}/panes"), "estimate", slide="30 minutes")
+    batch, _ = parse_events(FX.request_payloads(events(spark, sf_dir)), "requests")
+    exact = A.fraud_aggregate(batch.withColumn("number_range", number_range("msisdn")),
+                              distinct_ip=True, window=("1 hour", "30 minutes"))
+    keys = ["window_start", "window_end", *A.FRAUD_KEYS]
+    both = exact.join(told, keys, "left")
+    return _ntz(both.select(*keys, "distinct_ip", "estimate"))
+
+
 def _revised(spark, sf_dir):
     """Daily alerts streamed with a bound of 30 seconds, which many verifications miss, then two
     revisions by the batch result over all messages: the folders and both change feeds."""

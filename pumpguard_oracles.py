@@ -499,6 +499,30 @@ FROM (SELECT ws, enterprise_id, number_range, mcc, mnc, msisdn, count(*) AS n
             FROM parsed WHERE event_ts IS NOT NULL)
       GROUP BY ALL)
 GROUP BY ALL"""
+    q["stream_distinct_ip_panes"] = BINDING + f", {_PARSED}" + """
+, spread AS (
+  SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, event_ts) - INTERVAL 30 MINUTE,
+                    time_bucket(INTERVAL 30 MINUTE, event_ts)]) AS ws,
+         CAST('0x' || substr(md5(ip), 1, 3) AS BIGINT) AS register,
+         CAST('0x' || substr(md5(ip), 4, 13) AS BIGINT) AS rest
+  FROM parsed WHERE event_ts IS NOT NULL),
+registers AS (
+  SELECT ws, enterprise_id, number_range, mcc, mnc, register,
+         max(CASE WHEN rest = 0 THEN 53 ELSE 53 - length(bin(rest)) END) AS level
+  FROM spread GROUP BY ALL),
+sums AS (
+  SELECT ws, enterprise_id, number_range, mcc, mnc, 4096 - count(register) AS empty,
+         coalesce(sum(power(2.0::DOUBLE, -level)), 0) AS s
+  FROM registers GROUP BY ALL),
+raws AS (SELECT *, (0.7213::DOUBLE / (1 + 1.079::DOUBLE / 4096) * 4096 * 4096) / (s + empty) AS raw FROM sums),
+exact AS (SELECT ws, enterprise_id, number_range, mcc, mnc, count(DISTINCT ip) AS distinct_ip
+          FROM spread GROUP BY ws, enterprise_id, number_range, mcc, mnc)
+SELECT e.ws AS window_start, e.ws + INTERVAL 1 HOUR AS window_end, e.enterprise_id, e.number_range, e.mcc, e.mnc,
+       distinct_ip, CAST(round(CASE WHEN raw <= 10240 AND empty > 0 THEN 4096 * ln(4096.0::DOUBLE / empty)
+                                    ELSE raw END) AS BIGINT) AS estimate
+FROM exact e JOIN raws r ON e.ws = r.ws AND e.enterprise_id IS NOT DISTINCT FROM r.enterprise_id
+ AND e.number_range IS NOT DISTINCT FROM r.number_range
+ AND e.mcc IS NOT DISTINCT FROM r.mcc AND e.mnc IS NOT DISTINCT FROM r.mnc"""
     q["stream_update_msisdn_max"] = q["stream_sliding_msisdn_max"]
     m = _score_sql(ver="")
     q["stream_update_msisdn_late"] = BINDING + f", {_PARSED}" + f"""
