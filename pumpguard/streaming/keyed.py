@@ -2,11 +2,15 @@
 
 ``windowed_aggregate`` finds the per-msisdn maximum by two chained aggregates, which Spark runs in
 append mode only: a group appears when its window is closed. Here the two levels are two keyed
-states instead. The first is keyed by (window, group, msisdn), so that a burst on one group is
-spread over its numbers; it keeps a number's counts and passes on what changed. The second is
-keyed by (window, group); it keeps the group's sums and its largest number, and emits a new
-version of the group for every batch that touched it. Both drop their state by a timer at the
-window's end, when the watermark passes it.
+states instead. The first keeps the counts of the numbers, the second the groups' sums and their
+largest number, and emits a new version of a group for every batch that touched it. Both drop
+their state by a timer at the window's end, when the watermark passes it.
+
+A call into Python state costs far more than a row, so a key of either state is a window and one
+of ``BUCKETS`` buckets, and its value holds all entries of that bucket as JSON. The
+first state is dealt by group and msisdn, so that a burst on one group is spread over its numbers;
+the second by group. A batch reads and writes the buckets that it touched, whole, so the buckets of
+a window should hold thousands of numbers each, not millions: give ``buckets`` for such windows.
 
 Rows are combined before the first shuffle: every Arrow batch is reduced to one row for each
 (pane, group, msisdn), the pane being the longest interval that divides size and slide, so a
@@ -15,7 +19,9 @@ single number that sends a third of all rows costs a row a batch and pane.
 
 from __future__ import annotations
 
+import json
 import sys
+import zlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -35,6 +41,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Buckets of a window in each state: fixed for the life of a checkpoint.
+BUCKETS = 8
 
 
 @contextmanager
@@ -64,29 +72,40 @@ def _combined(by: list[str]):
     return run
 
 
+def _text(value) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
 class _NumberCounts(StatefulProcessor):
-    """The counts of one msisdn in one window and group."""
+    """The counts of the numbers in one window and bucket; passes on what changed by group."""
 
-    def __init__(self, names: list[str]):
-        self.names = names
+    def __init__(self, buckets: int):
+        self.buckets = buckets
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getValueState("counts", "n long")
+        self.counts = handle.getValueState("counts", "held string")
 
     def handleInputRows(self, key, rows, timerValues):
-        at = dict(zip(self.names, key))
-        n = v = 0
-        for r in rows:
-            n, v = n + r.n, v + r.v
+        start_ms, end_ms, _ = key
         old = self.counts.get()
         if old is None:
-            self.handle.registerTimer(at["end_ms"])
-        total = n + (old[0] if old else 0)
-        self.counts.update((total,))
-        at.pop("msisdn")
-        closes = datetime.fromtimestamp(at["end_ms"] / 1000, timezone.utc)
-        yield Row(**at, closes=closes, n=n, v=v, total=total)
+            self.handle.registerTimer(end_ms)
+        totals = {g: dict(numbers) for g, numbers in json.loads(old[0])} if old else {}
+        told: dict[str, list[int]] = {}
+        for r in rows:
+            g, msisdn, n, v = r.g, r.msisdn, r.n, r.v
+            numbers = totals.setdefault(g, {})
+            numbers[msisdn] = total = numbers.get(msisdn, 0) + n
+            t = told.setdefault(g, [0, 0, 0])
+            t[0], t[1], t[2] = t[0] + n, t[1] + v, max(t[2], total)
+        self.counts.update((_text([[g, [*numbers.items()]] for g, numbers in totals.items()]),))
+        closes = datetime.fromtimestamp(end_ms / 1000, timezone.utc)
+        dealt: dict[int, list] = {}
+        for g, t in told.items():
+            dealt.setdefault(zlib.crc32(g.encode("utf-8", "surrogatepass")) % self.buckets, []).append([g, *t])
+        for bucket, changed in dealt.items():
+            yield Row(start_ms=start_ms, end_ms=end_ms, bucket=bucket, closes=closes, changed=_text(changed))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.counts.clear()
@@ -97,24 +116,27 @@ class _NumberCounts(StatefulProcessor):
 
 
 class _GroupVersions(StatefulProcessor):
-    """The sums and the largest msisdn of one window and group; a version for every change."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
+    """The sums and the largest msisdn of the groups in one window and bucket; a version for every
+    group that changed."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.group = handle.getValueState("group", "requests long, verifications long, most long")
+        self.group = handle.getValueState("group", "held string")
 
     def handleInputRows(self, key, rows, timerValues):
-        at, old = dict(zip(self.names, key)), self.group.get()
+        start_ms, end_ms, _ = key
+        old = self.group.get()
         if old is None:
-            self.handle.registerTimer(at["end_ms"])
-        requests, verifications, most = old or (0, 0, 0)
+            self.handle.registerTimer(end_ms)
+        groups = json.loads(old[0]) if old else {}
+        told = {}
         for r in rows:
-            requests, verifications, most = requests + r.n, verifications + r.v, max(most, r.total)
-        self.group.update((requests, verifications, most))
-        yield Row(**at, requests=requests, verifications=verifications, msisdn_max_count=most)
+            for g, n, v, total in json.loads(r.changed):
+                requests, verifications, most = groups.get(g, (0, 0, 0))
+                groups[g] = told[g] = (requests + n, verifications + v, max(most, total))
+        self.group.update((_text(groups),))
+        yield Row(start_ms=start_ms, end_ms=end_ms, versions=_text(
+            [dict(zip(("g", "requests", "verifications", "msisdn_max_count"), (g, *t))) for g, t in told.items()]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.group.clear()
@@ -126,7 +148,8 @@ class _GroupVersions(StatefulProcessor):
 
 def early_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | None = None,
                     keys: Sequence[str] = FRAUD_KEYS, delay: str = "10 minutes",
-                    verified_col: str | None = None, ts_col: str = "event_ts") -> DataFrame:
+                    verified_col: str | None = None, ts_col: str = "event_ts",
+                    buckets: int = BUCKETS) -> DataFrame:
     """Versions of (window, keys): requests, verifications and msisdn_max_count so far.
 
     ``events`` is a stream without a watermark. Each micro-batch emits one row, its newest version,
@@ -134,7 +157,8 @@ def early_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | Non
     watermark (the latest time seen less ``delay``) has reached the end of its window, as in
     ``windowed_aggregate``; rows without a time drop out. Null keys and numbers are values like
     any other. Runs in append mode (versions are new rows, none is revised in place); start it
-    inside ``rocksdb_state``."""
+    inside ``rocksdb_state``. ``buckets`` bounds the tasks that share one window, and stays as it
+    is for the life of a checkpoint; windows of very many numbers want more."""
     keys = list(keys)
     v: Column = F.col(verified_col).cast("long") if verified_col else F.lit(0).cast("long")
     rows = with_number_range(events).filter(F.col(ts_col).isNotNull())
@@ -145,24 +169,27 @@ def early_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | Non
     rows = rows.mapInArrow(_combined(["pane", *keys, "msisdn"]), rows.schema).withWatermark("ts", delay)
     # the window column carries the watermark, so a row is late when its window is closed
     win = F.window("ts", size, slide) if slide else F.window("ts", size)
-    rows = rows.select(win.alias("window"), *keys, "msisdn", "n", "v").withColumns({
-        "start_ms": F.unix_millis("window.start"), "end_ms": F.unix_millis("window.end")})
-    group = ["start_ms", "end_ms", *keys]
-    plain = [StructField("start_ms", LongType()), StructField("end_ms", LongType()),
-             *[StructField(k, StringType()) for k in keys]]
-    counted = rows.groupBy(*group, "msisdn").transformWithState(
-        _NumberCounts([*group, "msisdn"]),
-        StructType([*plain, StructField("closes", TimestampType()),
-                    *[StructField(c, LongType()) for c in ("n", "v", "total")]]),
+    group = F.to_json(F.struct(*keys))                  # null keys are left out of the text
+    rows = rows.select(win.alias("window"), group.alias("g"), "msisdn", "n", "v").withColumns({
+        "start_ms": F.unix_millis("window.start"), "end_ms": F.unix_millis("window.end"),
+        "bucket": F.pmod(F.xxhash64("g", "msisdn"), F.lit(buckets)).cast("long")})
+    at = ["start_ms", "end_ms"]
+    plain = [StructField(c, LongType()) for c in at]
+    counted = rows.groupBy(*at, "bucket").transformWithState(
+        _NumberCounts(buckets),
+        StructType([*plain, StructField("bucket", LongType()), StructField("closes", TimestampType()),
+                    StructField("changed", StringType())]),
         "Append", "EventTime", eventTimeColumnName="closes")
-    versions = counted.groupBy(*group).transformWithState(
-        _GroupVersions(group),
-        StructType([*plain, *[StructField(c, LongType()) for c in
-                              ("requests", "verifications", "msisdn_max_count")]]),
-        "Append", "EventTime")
+    versions = counted.groupBy(*at, "bucket").transformWithState(
+        _GroupVersions(), StructType([*plain, StructField("versions", StringType())]), "Append", "EventTime")
+    told = "g string, requests long, verifications long, msisdn_max_count long"
+    versions = versions.select(*at, F.inline(F.from_json("versions", f"array<struct<{told}>>")))
+    names = StructType([StructField(k, StringType()) for k in keys])
+    versions = versions.withColumn("k", F.from_json("g", names))
     out = ["requests", *(["verifications"] if verified_col else []), "msisdn_max_count"]
     return versions.select(F.timestamp_millis("start_ms").alias("window_start"),
-                           F.timestamp_millis("end_ms").alias("window_end"), *keys, *out)
+                           F.timestamp_millis("end_ms").alias("window_end"),
+                           *[F.col("k").getField(k).alias(k) for k in keys], *out)
 
 
 def write_versions(path: str):
@@ -181,8 +208,8 @@ def latest_versions(spark: SparkSession, path: str, keys: Sequence[str] = FRAUD_
 
 def state_rows(spark: SparkSession, checkpoint: str, level: str) -> DataFrame:
     """What a query of ``early_aggregate`` holds, read from its checkpoint by Spark's state data
-    source: ``level`` is ``numbers`` (the first keyed state) or ``groups``. One row for each key,
-    with the state partition it lies in."""
+    source: ``level`` is ``numbers`` (the first keyed state) or ``groups``. One row for each window
+    and bucket, its entries as JSON, with the state partition it lies in."""
     names = {"numbers": "counts", "groups": "group"}
     # operators are numbered from the sink's side of the plan in the order they run
     for operator in (0, 1):

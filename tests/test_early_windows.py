@@ -99,3 +99,16 @@ def test_rows_are_combined_before_the_shuffle():
     out = pa.Table.from_batches(list(_combined(["pane", "k"])(iter([batch])))).to_pylist()
     assert sorted((r["k"] or "", r["n"], r["v"]) for r in out) == [("", 2, 0), ("a", 1, 0), ("a", 2, 1)]
     assert list(_combined(["pane", "k"])(iter([batch.slice(0, 0)]))) == []
+
+
+MANY = [(f"m{i}", f"44770{i % 60:05d}", f"e\u00e9{i % 4}" if i % 5 else None, f"12:0{i % 10}") for i in range(200)]
+
+
+def test_many_numbers_of_a_window_share_few_state_keys(spark, scratch):
+    """Tumbling: the calls into the state follow the windows and buckets, not the numbers."""
+    for rows in (MANY, STRETCHES[0]):
+        land(spark, f"{scratch}/in", rows)
+        run(spark, scratch)
+    assert as_rows(latest_versions(spark, f"{scratch}/out")) == batch(spark, MANY + STRETCHES[0])
+    for level in ("numbers", "groups"):
+        assert 1 < state_rows(spark, f"{scratch}/ck", level).count() <= 8
