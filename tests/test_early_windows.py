@@ -112,3 +112,14 @@ def test_many_numbers_of_a_window_share_few_state_keys(spark, scratch):
     assert as_rows(latest_versions(spark, f"{scratch}/out")) == batch(spark, MANY + STRETCHES[0])
     for level in ("numbers", "groups"):
         assert 1 < state_rows(spark, f"{scratch}/ck", level).count() <= 8
+
+
+def test_sliding_windows_of_many_numbers_share_few_state_keys(spark, scratch):
+    """12:00 to 12:09 lies in five windows; each has its buckets and no more."""
+    for rows in (MANY[::2], MANY[1::2]):
+        land(spark, f"{scratch}/in", rows)
+        run(spark, scratch, "10 minutes", "4 minutes")
+    assert as_rows(latest_versions(spark, f"{scratch}/out")) == batch(spark, MANY, "10 minutes", "4 minutes")
+    for level in ("numbers", "groups"):
+        keys = [r["key"]["end_ms"] for r in state_rows(spark, f"{scratch}/ck", level).collect()]
+        assert max(map(keys.count, keys)) <= 8
