@@ -152,10 +152,32 @@ def pane(size: str, slide: str) -> str:
     return f"{math.gcd(*micros)} microseconds"
 
 
+def _block_windows(pairs: DataFrame, ts_col: str, size: str, slide: str) -> DataFrame:
+    """Requests per (window, dimension, value). A block is the windows that start within ``size``
+    (rounded up to slides); a row falls into one or two blocks, whatever the number of windows."""
+    size_us, slide_us, pane_us = (pd.Timedelta(x).value // 1000 for x in (size, slide, pane(size, slide)))
+    n = -(-size_us // slide_us)                                 # windows of a block
+    length = size_us + (n - 1) * slide_us
+    block = F.window(ts_col, f"{length} microseconds", f"{n * slide_us} microseconds")
+    rows = pairs.select(F.col(ts_col), block.alias("window"), "dimension", "value")
+    start = F.unix_micros(F.col("window.start").cast("timestamp"))
+    place = F.floor((F.unix_micros(F.col(ts_col).cast("timestamp")) - start) / F.lit(pane_us))
+    rows = rows.select("window", "dimension", "value", place.alias("_at"))
+    panes = [F.count(F.when(F.col("_at") == i, True)).alias(f"_{i}") for i in range(length // pane_us)]
+    held = rows.groupBy("window", "dimension", "value").agg(*panes)
+    shift = lambda us: (F.timestamp_micros(start + F.lit(us))
+                        .cast(pairs.schema[ts_col].dataType))
+    told = F.array(*[F.struct(
+        F.struct(shift(i * slide_us).alias("start"), shift(i * slide_us + size_us).alias("end")).alias("window"),
+        sum((F.col(f"_{j}") for j in range(i * slide_us // pane_us, (i * slide_us + size_us) // pane_us)),
+            F.lit(0).cast("long")).alias("requests")) for i in range(n)])
+    return held.select("dimension", "value", F.inline(told)).filter("requests > 0")
+
+
 def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 minutes",
                 slide: str | None = "1 minute", ceiling: int = 30,
                 ts_col: str = "event_ts", delay: str | None = None,
-                over_only: bool = False) -> DataFrame:
+                over_only: bool = False, blocks: bool = False) -> DataFrame:
     """Requests per value of each dimension (msisdn, ip, enterprise_id, number_range) in
     sliding windows; rows above ``ceiling`` are flagged, or with ``over_only`` alone returned.
 
@@ -164,7 +186,11 @@ def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 min
     divides size and slide; partial on the map side). Only the counted panes are expanded to
     the windows that hold them and summed, so a hot value costs one row per pane and window, not
     one per request and window. ``delay`` (streams, append mode) sets the watermark; a stream
-    whose input already carries one passes None."""
+    whose input already carries one passes None.
+
+    ``blocks`` (needs ``slide``) keeps one row of pane counts per value and block of windows, in one
+    aggregate, and adds the panes up to windows behind it: a stream then keeps no state row per
+    window, and tells a window when its whole block has closed, at most ``size`` later."""
     dims = [dims] if isinstance(dims, str) else list(dims)
     df = with_number_range(events)
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
@@ -175,9 +201,12 @@ def velocity_by(events: DataFrame, dims: str | Sequence[str], size: str = "5 min
     if delay:                                # streaming: event-time watermark for the windows
         ex = ex.withWatermark(ts_col, delay)
     first = pane(size, slide) if slide else size
-    out = (ex.groupBy(F.window(ts_col, first).alias("window"), "dimension", "value")
-           .agg(F.count(F.lit(1)).alias("requests")))
-    if slide:
+    if slide and blocks:
+        out = _block_windows(ex, ts_col, size, slide)
+    else:
+        out = (ex.groupBy(F.window(ts_col, first).alias("window"), "dimension", "value")
+               .agg(F.count(F.lit(1)).alias("requests")))
+    if slide and not blocks:
         out = (out.groupBy(F.window("window", size, slide).alias("window"), "dimension", "value")
                .agg(F.sum("requests").alias("requests")))
     over = F.col("requests") > F.lit(ceiling)

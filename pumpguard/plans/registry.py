@@ -741,16 +741,19 @@ def q_stream_update_alerts(spark, sf_dir):
 @query("stream_velocity_by_dimension")
 def q_stream_velocity_by_dimension(spark, sf_dir):
     """Streaming velocity per msisdn / ip / enterprise / number range in sliding windows:
-    dedupe within the watermark, then one expand-and-count aggregate (append mode)."""
+    dedupe within the watermark, then one expand-and-count aggregate (append mode), whose state of
+    pane counts per value lies in RocksDB."""
     from pumpguard.session import scratch_path
+    from pumpguard.streaming.keyed import rocksdb_state
     from pumpguard.streaming.pipelines import dedupe_stream, land_stream
     root = scratch_path(spark, "velocity-replay")
     land_messages(spark, sf_dir, f"{root}/landing", only=("requests",))
     req, _ = _stream_source(spark, f"{root}/landing", "requests")
     vel = A.velocity_by(dedupe_stream(req), ("msisdn", "ip", "enterprise_id", "number_range"),
-                        "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling)
-    _await(land_stream(vel, f"{root}/ckpt", f"{root}/out",
-                       n_state=REPLAY_STATE))
+                        "5 minutes", "1 minute", CFG.velocity_msisdn_ceiling, blocks=True)
+    with rocksdb_state(spark):
+        _await(land_stream(vel, f"{root}/ckpt", f"{root}/out",
+                           n_state=REPLAY_STATE))
     # the end-of-input message's windows never close, so nothing of it is emitted
     return _ntz(spark.read.parquet(f"{root}/out"))
 

@@ -1,5 +1,6 @@
 """Hot keys: one request id / number range / msisdn holding a third of all rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pumpguard.operators.aggregates import fraud_aggregate, mark_verified
@@ -98,3 +99,22 @@ def test_velocity_of_odd_window_lengths_and_missing_values(spark):
     assert over.columns == ["dimension", "value", "window_start", "window_end", "requests"]
     assert {(r["value"], r["window_start"]) for r in over.collect()} == {
         k for k, n in want.items() if n > 3}
+
+
+@pytest.mark.parametrize("size,slide", [("5 minutes", "1 minute"), ("5 minutes", "2 minutes"), ("1 minute", "1 minute")])
+def test_velocity_by_blocks_equals_single_windows_with_one_aggregate(spark, size, slide):
+    """One row of pane counts a value and block, where each window had a row of its own; times on
+    the edges of panes and blocks, a hot value, missing values and times."""
+    import datetime as dt
+    from pumpguard.operators.aggregates import velocity_by
+    start = dt.datetime(2024, 1, 1, 9, 55)
+    rows = [(None if i % 7 == 0 else f"ip{i % 3}", f"e{i % 2}", start + dt.timedelta(seconds=30 * (i // 2)))
+            for i in range(90)] + [("hot", None, start + dt.timedelta(minutes=5))] * 50 + [("ip0", "e0", None)]
+    df = spark.createDataFrame(rows, "ip string, enterprise_id string, event_ts timestamp").withColumn(
+        "number_range", F.lit("x"))
+    dims = ("ip", "enterprise_id", "number_range")
+    plain, blocks = (velocity_by(df, dims, size, slide, 3, blocks=b) for b in (False, True))
+    assert plain.dtypes == blocks.dtypes
+    assert sorted(map(repr, blocks.collect())) == sorted(map(repr, plain.collect()))
+    logical = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Aggregate [") == 1
