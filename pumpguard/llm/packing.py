@@ -45,7 +45,8 @@ def default_tokenizer_path() -> str:
 
 
 class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes, asked of the tokenizer once."""
+    """word -> its ids as little-endian unsigned 32-bit bytes, asked of the tokenizer once. Words
+    are what stands between white space, lower-cased, and the pieces that the pattern makes of them."""
 
     def __init__(self, tokenizer):
         super().__init__()
@@ -53,18 +54,37 @@ class WordIds(dict):
         vocab = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+        self.split_already = _for_pieces(tokenizer)
 
     def learn(self, words: list[str]) -> None:
-        encoded, = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        split = [PIECES.findall(word) for word in words]
+        new = list({p for pieces in split for p in pieces if p not in self})
+        encoded, = self.split_already.encode_batch_fast([" ".join(new)], add_special_tokens=False)
         ids = np.array(encoded.ids, np.dtype("<u4"))
         stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(stops) == len(words):
+        if len(stops) == len(new):
             starts = [0, *stops[:-1]]
             whole = ids.tobytes()
-            self.update(zip(words, [whole[4 * a:4 * z] for a, z in zip(starts, stops)]))
-        else:  # a vocabulary without word ends: one word at a time
-            for word in words:
-                self[word] = _encoded(word, self.tokenizer)
+            self.update(zip(new, [whole[4 * a:4 * z] for a, z in zip(starts, stops)]))
+        else:  # a vocabulary without word ends: one piece at a time
+            for piece in new:
+                self[piece] = _encoded(piece, self.tokenizer)
+        for word, pieces in zip(words, split):
+            if len(pieces) != 1:
+                self[word] = b"".join(map(self.__getitem__, pieces))
+
+
+def _for_pieces(tokenizer):
+    """The tokenizer for lower-cased pieces of plain texts with a space between them: the same
+    model, with nothing left to normalise and only the spaces to split at."""
+    if "ByteLevel" not in str(tokenizer.pre_tokenizer):  # another kind: asked as it is
+        return tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
+    out = Tokenizer(tokenizer.model)
+    out.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.Split(" ", "removed"),
+        pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
+    return out
 
 
 def _encoded(text: str, tokenizer) -> bytes:
@@ -74,17 +94,18 @@ def _encoded(text: str, tokenizer) -> bytes:
 
 def token_bytes(text: str, words: WordIds) -> bytes:
     """The ids of a text as bytes, equal to ``encode(text, add_special_tokens=False)``: the
-    tokenizer treats each split word alone, so remembered words can be joined."""
+    tokenizer treats each split piece alone and no piece holds white space, so remembered words
+    can be joined."""
     if SPECIAL in text or not PLAIN.fullmatch(text):
         return _encoded(text, words.tokenizer)
-    pieces = PIECES.findall(text.lower())
-    found = list(map(words.get, pieces))
-    if None in found:
+    found = text.lower().split()
+    new = [word for word in set(found) if word not in words]
+    if new:
         if len(words) > REMEMBERED_WORDS:
             words.clear()
-        words.learn(list({p for p in pieces if p not in words}))
-        found = map(words.__getitem__, pieces)
-    return b"".join(found)
+            new = list(set(found))
+        words.learn(new)
+    return b"".join(map(words.__getitem__, found))
 
 
 PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -257,6 +257,17 @@ def test_tokens_equal_the_tokenizer():
         assert packing.token_bytes(x, words) == b"".join(i.to_bytes(4, "little") for i in ids), repr(x)
 
 
+def test_plain_words_are_learned_from_their_pieces_by_a_bare_tokenizer():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.default_tokenizer_path())
+    words = packing.WordIds(t)
+    words.tokenizer = None  # the whole tokenizer is not asked for plain texts
+    for x in ("Don't \xa0stop, don't (stop) 12½!", "stop, 1", "''s x\t\n"):
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert packing.token_bytes(x, words) == b"".join(i.to_bytes(4, "little") for i in ids)
+    assert {"don't", "don", "'t", "stop", "stop,", ","} <= set(words)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_plan_fills_sequences_without_gaps(seed):
     r = random.Random(seed)
