@@ -9,7 +9,8 @@ of bigrams and unigrams in a fixed weight, as a mean per token: the lower, the m
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def _hashes(words) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def _word_counts(batches):
@@ -56,7 +57,7 @@ def _word_counts(batches):
     def out():
         return pa.RecordBatch.from_arrays(
             [pa.array(_hashes(background).view(np.int64)), pa.array(background.values(), pa.int64()),
-             pa.array([target[w] for w in background], pa.int64())], names=["h", "b", "t"])
+             pa.array(map(target.get, background, repeat(0)), pa.int64())], names=["h", "b", "t"])
     for batch in batches:
         for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
             words = tokens(text.as_py())
@@ -82,17 +83,23 @@ class Frequent:
         self.places = np.array([i + 1 for i in order], np.int64)
         self.size = len(rows) + 1
 
-    def numbered(self, words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    def numbered(self, words: list[bytes], known: Known) -> np.ndarray:
         """Places of ``words``, -1 for the others; ``known`` remembers words."""
         if len(known) > FLUSH_WORDS:
             known.clear()
-        out = np.empty(len(words), np.int64)
-        for i, w in enumerate(words):
-            place = known.get(w)
-            if place is None:
-                place = known[w] = self.place.get(xxhash.xxh3_64_intdigest(w), -1)
-            out[i] = place
-        return out
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+
+class Known(dict):
+    """word -> its place among the frequent ones, looked up by hash once; -1 for the others."""
+
+    def __init__(self, frequent: Frequent):
+        super().__init__()
+        self.place = frequent.place
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = self.place.get(xxhash.xxh3_64_intdigest(word), -1)
+        return place
 
 
 def _around(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +112,7 @@ def _frequent_pairs(frequent: Frequent):
     size = frequent.size
 
     def run(batches):
-        counts, known = np.zeros((2, size * size), np.int64), {}
+        counts, known = np.zeros((2, size * size), np.int64), Known(frequent)
         for batch in batches:
             for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = tokens(text.as_py())
@@ -168,7 +175,7 @@ def _heads(frequent: Frequent, models: Models, table):
 
     def run(batches):
         differences = np.frombuffer(table.value).reshape(frequent.size, frequent.size)
-        known = {}
+        known = Known(frequent)
         for batch in batches:
             lengths, sums = [], []
             for text in batch.column(2):
@@ -231,18 +238,20 @@ def _blocks(frequent: Frequent, buckets: int):
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*out), BLOCK)], schema=BLOCK)
 
+    def numbers():
+        return defaultdict(count(1).__next__)  # a new word takes the next number
+
     def run(batches):
-        number, ids, rows, good, size = {}, [], [], [], 0
+        number, ids, rows, good, size = numbers(), [], [], [], 0
         for batch in batches:
             for r, text, target in zip(batch.column(0).to_pylist(), batch.column(1),
                                        batch.column(2).to_pylist()):
                 if rows and (size >= BUFFER_WORDS or not 0 <= r - rows[0] < 1 << 31):
                     yield from packed(rows[0], number, ids, rows, good)
-                    number, ids, rows, good, size = {}, [], [], [], 0
+                    number, ids, rows, good, size = numbers(), [], [], [], 0
                 words = tokens(text.as_py())
                 if words:
-                    ids.append(np.fromiter((number.setdefault(w, len(number) + 1) for w in words),
-                                           np.int64, len(words)))
+                    ids.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
                     rows.append(r)
                     good.append(target)
                     size += len(words)

@@ -56,3 +56,15 @@ def test_no_rows_no_labels_and_extra_columns(spark):
     assert lm_score.score(docs.filter("false"), told).count() == 0
     assert sorted((g["doc_id"], g["n_tokens"]) for g in lm_score.score(docs, told).collect()) == [(1, 2), (2, 0)]
     assert lm_score.score(docs.filter("text is null"), told).collect()[0]["score"] is None
+
+
+def test_a_word_is_hashed_once_for_its_place(monkeypatch):
+    frequent = lm_score.Frequent([{"h": lm_score.xxhash.xxh3_64_intdigest(w), "b": 9 - i, "t": 1}
+                                  for i, w in enumerate((b"the", b"of"))])
+    asked, whole = [], lm_score.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(lm_score.xxhash, "xxh3_64_intdigest", lambda w: asked.append(w) or whole(w))
+    known = lm_score.Known(frequent)
+    for _ in range(2):
+        assert frequent.numbered([b"of", b"rare", b"the", b"of", b"rare"], known).tolist() == [2, -1, 1, 2, -1]
+    assert frequent.numbered([], known).tolist() == []
+    assert sorted(asked) == [b"of", b"rare", b"the"]
