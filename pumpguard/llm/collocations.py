@@ -9,8 +9,8 @@ apart, and the pointer names a document that holds the phrase. Only phrases that
 total follow their pointer: the document is read once more and must yield both numbers again, and
 there the phrase becomes text.
 
-A phrase is no more frequent than its parts, so pairs are made of frequent words only and longer
-phrases of frequent pairs. Tasks know these by a bit map of fixed size (``MAP_BITS``) over the
+A phrase is no more frequent than its parts, so pairs are made of frequent words only, triples of
+frequent pairs and longer phrases of frequent triples. Tasks know these by a bit map of fixed size (``MAP_BITS``) over the
 fingerprints: a bit too many costs a few shuffled rows and changes nothing, none is missing.
 """
 
@@ -225,8 +225,8 @@ def _marked(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 
 def _count(lengths: list[int], bits=None):
-    """Partial counts of the phrases of ``lengths`` words; those of two words are made of words
-    that the bit map holds, longer ones of pairs that it holds."""
+    """Partial counts of the phrases of ``lengths`` words, made of phrases that the bit map holds,
+    which are a word shorter than the shortest of ``lengths``."""
     def run(batches):
         for keys, raw, offsets, langs in _chunks(batches):
             chunk = Chunk(raw, offsets, langs)
@@ -323,7 +323,7 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, most_words: int = MOS
     marked = rows.select("key", F.xxhash64("lang").alias("lang"), "text")
     words = written(_total(marked.mapInArrow(_count([1]), PARTIAL), "lang"), "phrase-words")
     found = [words.filter(F.col("n") >= least).drop("lang")]
-    for lengths in ([2], list(range(3, most_words + 1))):
+    for lengths in ([2], [3], list(range(4, most_words + 1))):
         lengths = [n for n in lengths if n <= most_words]
         if lengths:
             bits = _bit_map(found[-1].select("fp"), map_bits)

@@ -231,3 +231,17 @@ def test_large_products_are_exact(spark):
     got = whole(collocations.ranked(counts, totals, 10))
     score = 1000 * 6 * 10**12 * (10**15 + 7) // (7 * 10**12 * (9 * 10**12 + 1))
     assert got == [("en", 1, "p q", 6 * 10**12, 7 * 10**12, 9 * 10**12 + 1, 10**15 + 7, score)]
+
+
+def test_longer_phrases_are_made_of_frequent_triples(spark, monkeypatch):
+    """All pairs of "a b c d" are frequent, its triples are not: no count of four words is handed on."""
+    texts = ["a b", "b c", "c d"] * 3 + ["a b c d", "x y z w", "x y z w", "x y z w"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    rounds, whole = [], collocations._count
+    monkeypatch.setattr(collocations, "_count", lambda lengths, bits=None: rounds.append((lengths, bits)) or whole(lengths, bits))
+    counts, _ = collocations.phrase_counts(docs, least=3)
+    assert {r["phrase"]: r["f"] for r in counts.filter("n_words > 2").collect()} == {
+        "x y z": 3, "y z w": 3, "x y z w": 3}
+    batch = pa.RecordBatch.from_pydict({"key": [1], "lang": [spark.sql("select xxhash64('en')").first()[0]], "text": ["a b c d"]})
+    handed = {tuple(lengths): sum(b.num_rows for b in whole(lengths, bits)(iter([batch]))) for lengths, bits in rounds[2:]}
+    assert handed == {(3,): 2, (4, 5): 0}
