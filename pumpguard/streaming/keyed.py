@@ -12,9 +12,10 @@ first state is dealt by group and msisdn, so that a burst on one group is spread
 the second by group. A batch reads and writes the buckets that it touched, whole, so the buckets of
 a window should hold thousands of numbers each, not millions: give ``buckets`` for such windows.
 
-Rows are combined before the first shuffle: every Arrow batch is reduced to one row for each
-(pane, group, msisdn), the pane being the longest interval that divides size and slide, so a
-single number that sends a third of all rows costs a row a batch and pane.
+Rows are combined before the first shuffle: ``COMBINED_ROWS`` rows at a time are reduced to one
+entry for each (pane, group, msisdn), the pane being the longest interval that divides size and
+slide, and the entries of a pane and bucket are sent as one row, so that the calls into the state
+get few rows. A single number that sends a third of all rows costs an entry a pane each time.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 
 from pumpguard.operators.aggregates import FRAUD_KEYS, pane, with_number_range
 from pumpguard.operators.silver import dedupe
@@ -43,6 +44,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: Buckets of a window in each state: fixed for the life of a checkpoint.
 BUCKETS = 8
+#: Rows that are combined at a time before the first shuffle.
+COMBINED_ROWS = 100_000
 
 
 @contextmanager
@@ -60,18 +63,55 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(STATE_PROVIDER, old)
 
 
-def _combined(by: list[str]):
-    """Sums of ``n`` and ``v`` and the latest ``ts`` for each value of ``by``, per Arrow batch."""
+def _combined(by: list[str], rows: int = COMBINED_ROWS):
+    """Sums of ``n`` and ``v`` and the latest ``ts`` for each value of ``by``, over Arrow batches
+    of ``rows`` rows together."""
+    def sums(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = held[0].schema
+        out = pa.Table.from_batches(held).group_by(by).aggregate([("n", "sum"), ("v", "sum"), ("ts", "max")])
+        out = out.rename_columns([*by, "n", "v", "ts"])
+        yield from out.select(schema.names).cast(schema).combine_chunks().to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
         for batch in batches:
             if batch.num_rows:
-                sums = pa.Table.from_batches([batch]).group_by(by).aggregate(
-                    [("n", "sum"), ("v", "sum"), ("ts", "max")])
-                sums = sums.rename_columns([*by, "n", "v", "ts"])
-                yield from sums.select(batch.schema.names).cast(batch.schema).combine_chunks().to_batches()
+                held.append(batch)
+                n += batch.num_rows
+            if n >= rows:
+                yield from sums(held)
+                held, n = [], 0
+        if held:
+            yield from sums(held)
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each pane and bucket of combined rows: its entries as JSON, and the latest ``ts``
+    (a time within the pane, so it lies in the windows of all of them)."""
+    for batch in _combined(["pane", "bucket", "g", "msisdn"])(batches):
+        ts_type = batch.schema.field("ts").type
+        columns = [batch[c].cast("int64") for c in ("pane", "ts")] + [
+            batch[c] for c in ("bucket", "g", "msisdn", "n", "v")]
+        dealt: dict[tuple, tuple[list[int], dict[str, list]]] = {}
+        for pane_, ts, bucket, g, msisdn, n, v in zip(*[c.to_numpy(zero_copy_only=False).tolist() for c in columns]):
+            at = dealt.get((pane_, bucket))
+            if at is None:
+                at = dealt[pane_, bucket] = ([ts], {})
+            elif ts > at[0][0]:
+                at[0][0] = ts
+            numbers = at[1].get(g)
+            if numbers is None:
+                numbers = at[1][g] = []
+            numbers.append((msisdn, n, v))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([bucket for _, bucket in dealt], pa.int64()),
+             pa.array([_text([*groups.items()]) for _, groups in dealt.values()], pa.string()),
+             pa.array([latest[0] for latest, _ in dealt.values()], pa.int64()).cast(ts_type)],
+            names=["bucket", "entries", "ts"])
+
+
 def _text(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
@@ -94,11 +134,12 @@ class _NumberCounts(StatefulProcessor):
         totals = {g: dict(numbers) for g, numbers in json.loads(old[0])} if old else {}
         told: dict[str, list[int]] = {}
         for r in rows:
-            g, msisdn, n, v = r.g, r.msisdn, r.n, r.v
-            numbers = totals.setdefault(g, {})
-            numbers[msisdn] = total = numbers.get(msisdn, 0) + n
-            t = told.setdefault(g, [0, 0, 0])
-            t[0], t[1], t[2] = t[0] + n, t[1] + v, max(t[2], total)
+            for g, entries in json.loads(r.entries):
+                numbers = totals.setdefault(g, {})
+                t = told.setdefault(g, [0, 0, 0])
+                for msisdn, n, v in entries:
+                    numbers[msisdn] = total = numbers.get(msisdn, 0) + n
+                    t[0], t[1], t[2] = t[0] + n, t[1] + v, max(t[2], total)
         self.counts.update((_text([[g, [*numbers.items()]] for g, numbers in totals.items()]),))
         closes = datetime.fromtimestamp(end_ms / 1000, timezone.utc)
         dealt: dict[int, list] = {}
@@ -135,8 +176,9 @@ class _GroupVersions(StatefulProcessor):
                 requests, verifications, most = groups.get(g, (0, 0, 0))
                 groups[g] = told[g] = (requests + n, verifications + v, max(most, total))
         self.group.update((_text(groups),))
-        yield Row(start_ms=start_ms, end_ms=end_ms, versions=_text(
-            [dict(zip(("g", "requests", "verifications", "msisdn_max_count"), (g, *t))) for g, t in told.items()]))
+        requests, verifications, most = map(list, zip(*told.values()))
+        yield Row(start_ms=start_ms, end_ms=end_ms, g=[*told], requests=requests,
+                  verifications=verifications, msisdn_max_count=most)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.group.clear()
@@ -163,16 +205,16 @@ def early_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | Non
     v: Column = F.col(verified_col).cast("long") if verified_col else F.lit(0).cast("long")
     rows = with_number_range(events).filter(F.col(ts_col).isNotNull())
     first = F.window(F.col(ts_col), pane(size, slide)) if slide else F.window(F.col(ts_col), size)
-    rows = rows.select(first["start"].alias("pane"), *[F.col(k).cast("string").alias(k) for k in keys],
+    group = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]))  # without null keys
+    rows = rows.select(first["start"].alias("pane"), group.alias("g"),
                        F.col("msisdn").cast("string").alias("msisdn"), F.lit(1).cast("long").alias("n"),
                        F.coalesce(v, F.lit(0)).alias("v"), F.col(ts_col).alias("ts"))
-    rows = rows.mapInArrow(_combined(["pane", *keys, "msisdn"]), rows.schema).withWatermark("ts", delay)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("g", "msisdn"), F.lit(buckets)).cast("long"))
+    rows = rows.mapInArrow(_packed, "bucket long, entries string, ts timestamp").withWatermark("ts", delay)
     # the window column carries the watermark, so a row is late when its window is closed
     win = F.window("ts", size, slide) if slide else F.window("ts", size)
-    group = F.to_json(F.struct(*keys))                  # null keys are left out of the text
-    rows = rows.select(win.alias("window"), group.alias("g"), "msisdn", "n", "v").withColumns({
-        "start_ms": F.unix_millis("window.start"), "end_ms": F.unix_millis("window.end"),
-        "bucket": F.pmod(F.xxhash64("g", "msisdn"), F.lit(buckets)).cast("long")})
+    rows = rows.select(win.alias("window"), "bucket", "entries").withColumns({
+        "start_ms": F.unix_millis("window.start"), "end_ms": F.unix_millis("window.end")})
     at = ["start_ms", "end_ms"]
     plain = [StructField(c, LongType()) for c in at]
     counted = rows.groupBy(*at, "bucket").transformWithState(
@@ -180,10 +222,12 @@ def early_aggregate(events: DataFrame, size: str = "5 minutes", slide: str | Non
         StructType([*plain, StructField("bucket", LongType()), StructField("closes", TimestampType()),
                     StructField("changed", StringType())]),
         "Append", "EventTime", eventTimeColumnName="closes")
+    sums = ["requests", "verifications", "msisdn_max_count"]
     versions = counted.groupBy(*at, "bucket").transformWithState(
-        _GroupVersions(), StructType([*plain, StructField("versions", StringType())]), "Append", "EventTime")
-    told = "g string, requests long, verifications long, msisdn_max_count long"
-    versions = versions.select(*at, F.inline(F.from_json("versions", f"array<struct<{told}>>")))
+        _GroupVersions(),
+        StructType([*plain, StructField("g", ArrayType(StringType())),
+                    *[StructField(c, ArrayType(LongType())) for c in sums]]), "Append", "EventTime")
+    versions = versions.select(*at, F.inline(F.arrays_zip("g", *sums)))
     names = StructType([StructField(k, StringType()) for k in keys])
     versions = versions.withColumn("k", F.from_json("g", names))
     out = ["requests", *(["verifications"] if verified_col else []), "msisdn_max_count"]

@@ -123,3 +123,23 @@ def test_sliding_windows_of_many_numbers_share_few_state_keys(spark, scratch):
     for level in ("numbers", "groups"):
         keys = [r["key"]["end_ms"] for r in state_rows(spark, f"{scratch}/ck", level).collect()]
         assert max(map(keys.count, keys)) <= 8
+
+
+def test_rows_of_a_pane_and_bucket_travel_as_one():
+    """Also when they come in several Arrow batches; null numbers and the latest time are kept."""
+    import pyarrow as pa
+    from pumpguard.streaming.keyed import _packed
+    ts = pa.timestamp("us", tz="UTC")
+    schema = pa.schema([("pane", ts), ("g", pa.string()), ("msisdn", pa.string()), ("n", pa.int64()),
+                        ("v", pa.int64()), ("ts", ts), ("bucket", pa.int64())])
+    rows = [[(0, "a", "1", 1, 0, 5, 3), (0, "a", None, 1, 1, 9, 3), (60, "a", "1", 1, 0, 61, 3)],
+            [(0, "b", '"\n', 1, 0, 7, 3), (0, "a", "1", 1, 1, 2, 3), (0, "a", "2", 1, 0, 4, 5)]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
+               for part in rows]
+    out = pa.Table.from_batches(list(_packed(iter([*batches, batches[0].slice(0, 0)]))))
+    out = out.set_column(2, "ts", out["ts"].cast("int64")).to_pylist()
+    got = {(r["bucket"], r["ts"]): {(g, *e) for g, entries in json.loads(r["entries"]) for e in entries} for r in out}
+    assert len(out) == 3 and got == {
+        (3, 9): {("a", "1", 2, 1), ("a", None, 1, 1), ("b", '"\n', 1, 0)},
+        (3, 61): {("a", "1", 1, 0)}, (5, 4): {("a", "2", 1, 0)}}
+    assert list(_packed(iter([]))) == []
